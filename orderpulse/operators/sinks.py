@@ -83,3 +83,9 @@ def store_raw(messages: DataFrame, path: str, stream_id: str, epoch: int) -> Non
         .write.mode("overwrite").option("compression", "gzip").partitionBy("ingest_date")
         .json(f"{path}/stream_id={stream_id}/epoch={epoch}")
     )
+
+
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """What `store_raw` kept, with its keys."""
+    return spark.read.schema(
+        "offset BIGINT, value STRING, stream_id STRING, epoch BIGINT, ingest_date DATE").json(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderpulse.model import ORDER_DOCUMENT
 from orderpulse.operators.documents import order_line_rows, parse_orders
-from orderpulse.queries.inputs import LINES, load, order_documents, order_files, order_messages
+from orderpulse.queries.inputs import LINES, document_files, load, order_documents
 from orderpulse.queries.registry import query
 from orderpulse.sources.batch import read_json_lines
 
@@ -20,7 +20,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS cu
 FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL
 """)
 def scan_json_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = read_json_lines(spark, order_files(spark, sf_dir), ORDER_DOCUMENT)
+    documents = read_json_lines(spark, document_files(spark, sf_dir), ORDER_DOCUMENT)
     return documents.groupBy(
         "order_id", "customer_id", "amount", F.to_date("timestamp").alias("order_date"),
     ).agg(F.sum(F.size("order_lines").cast("bigint")).alias("n_lines"))
@@ -28,7 +28,10 @@ def scan_json_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(LINES)
 def order_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_line_rows(parse_orders(order_messages(spark, sf_dir))).select(LINE_COLUMNS)
+    """Documents as message text and back."""
+    documents = order_documents(spark, sf_dir)
+    messages = documents.select(F.to_json(F.struct(*documents.columns)).cast("binary").alias("value"))
+    return order_line_rows(parse_orders(messages)).select(LINE_COLUMNS)
 
 
 @query(LINES)

@@ -170,19 +170,47 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nest_orders(orders_flat(spark, sf_dir), lines_flat(spark, sf_dir))
 
 
-def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = order_documents(spark, sf_dir)
+LINES = """
+SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_partkey AS VARCHAR) AS product_id,
+       l_extendedprice AS price, CAST(l_quantity AS INTEGER) AS volume, CAST(o_orderdate AS DATE) AS order_date
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+"""
+
+
+# --- the event stream as orders ---------------------------------------------------------------------
+# An event is an order of its user with two lines: one for its type, one for its property.
+
+def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = load(spark, sf_dir, "events").withColumn("k", F.from_json("props", "k INT")["k"])
+    by_type = F.struct(F.col("value").alias("price"), F.col("event_type").alias("product_id"), F.col("k").alias("volume"))
+    by_property = F.struct(
+        F.col("value").alias("price"), F.concat(F.lit("k"), "k").alias("product_id"), F.lit(1).alias("volume"))
+    return events.select(
+        F.col("event_id").cast("string").alias("order_id"), F.col("user_id").cast("string").alias("customer_id"),
+        F.array(by_type, by_property).alias("order_lines"), F.col("value").alias("amount"),
+        F.col("ts").cast("timestamp").alias("timestamp"))
+
+
+def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = event_documents(spark, sf_dir)
     return documents.select(
-        F.col("order_id").cast("binary").alias("key"),
+        F.col("customer_id").cast("binary").alias("key"),
         F.to_json(F.struct(*documents.columns)).cast("binary").alias("value"),
         F.lit("orders").alias("topic"), F.lit(0).alias("partition"),
         F.col("order_id").cast("bigint").alias("offset"), "timestamp")
 
 
-LINES = """
-SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_partkey AS VARCHAR) AS product_id,
-       l_extendedprice AS price, CAST(l_quantity AS INTEGER) AS volume, CAST(o_orderdate AS DATE) AS order_date
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+EVENT_ORDERS = """
+SELECT CAST(event_id AS VARCHAR) AS order_id, CAST(user_id AS VARCHAR) AS customer_id, value AS amount,
+       CAST(ts AS DATE) AS order_date
+FROM events
+"""
+
+EVENT_LINES = """
+SELECT CAST(event_id AS VARCHAR) AS order_id, event_type AS product_id, value AS price,
+       CAST(json_extract(props, '$.k') AS INTEGER) AS volume, CAST(ts AS DATE) AS order_date FROM events
+UNION ALL
+SELECT CAST(event_id AS VARCHAR), 'k' || json_extract(props, '$.k'), value, 1, CAST(ts AS DATE) FROM events
 """
 
 
@@ -233,8 +261,12 @@ def _once(spark: SparkSession, sf_dir: str, label: str, write) -> str:
     return _written[key]
 
 
+def document_files(spark: SparkSession, sf_dir: str) -> str:
+    return _once(spark, sf_dir, "Documents", lambda path: order_documents(spark, sf_dir).write.json(path))
+
+
 def order_files(spark: SparkSession, sf_dir: str) -> str:
-    return _once(spark, sf_dir, "Orders", lambda path: order_documents(spark, sf_dir).write.json(path))
+    return _once(spark, sf_dir, "Orders", lambda path: event_documents(spark, sf_dir).write.json(path))
 
 
 def customer_csv(spark: SparkSession, sf_dir: str) -> str:
@@ -258,4 +290,7 @@ def delivery_csv(spark: SparkSession, sf_dir: str) -> str:
 
 
 def message_files(spark: SparkSession, sf_dir: str) -> str:
-    return _once(spark, sf_dir, "Messages", lambda path: order_messages(spark, sf_dir).write.parquet(path))
+    """Messages in offset order over several files, so that a stream can take several epochs."""
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return _once(spark, sf_dir, "Messages",
+                 lambda path: event_messages(spark, sf_dir).repartitionByRange(files, "offset").write.parquet(path))

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderpulse import model
 from orderpulse.operators.bridge import BRIDGE
-from orderpulse.operators.documents import parse_orders
-from orderpulse.operators.sinks import replace_table
+from orderpulse.operators.documents import order_rows, parse_orders
+from orderpulse.operators.sinks import read_raw, replace_table
 from orderpulse.queries.dimensions import MERGED_MEMBERS
-from orderpulse.queries.inputs import (DELIVERY, INCOMING_DAY, LINES, TARGET_DAY, delivery_csv, load, members,
-                                       message_files)
+from orderpulse.queries.inputs import (DELIVERY, EVENT_LINES, EVENT_ORDERS, INCOMING_DAY, TARGET_DAY, delivery_csv,
+                                       load, members, message_files)
 from orderpulse.queries.registry import query
 from orderpulse.queries.writes import new_database
 from orderpulse.session import fresh_folder
@@ -23,44 +25,42 @@ from orderpulse.streaming.orders import STREAM_TABLES, run_order_stream, store_s
 
 
 @query(f"""
-SELECT 'order' AS kind, CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS party_id,
-       o_totalprice AS amount, NULL::INTEGER AS volume, CAST(o_orderdate AS DATE) AS order_date FROM orders
-UNION ALL SELECT 'line', order_id, product_id, price, volume, order_date FROM ({LINES})
+SELECT 'order' AS kind, order_id, customer_id AS party_id, amount, 0 AS volume, order_date FROM ({EVENT_ORDERS})
+UNION ALL SELECT 'line', order_id, product_id, price, volume, order_date FROM ({EVENT_LINES})
 """)
 def stream_orders_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both tables after the stream. A long order's documents repeat its row, hence distinct."""
+    """Both tables after the stream."""
     to = new_database(spark, STREAM_TABLES)
     run_order_stream(file_messages(spark, message_files(spark, sf_dir)), to.database, "orders",
                      fresh_folder(spark, "checkpoint"), available_now=True).awaitTermination()
     orders = read_table(spark, to.database, "orders").select(
         F.lit("order").alias("kind"), "order_id", F.col("customer_id").alias("party_id"), "amount",
-        F.lit(None).cast("int").alias("volume"), "order_date").distinct()
+        F.lit(0).alias("volume"), "order_date")
     lines = read_table(spark, to.database, "order_lines").select(
         F.lit("line").alias("kind"), "order_id", F.col("product_id").alias("party_id"),
         F.col("price").alias("amount"), "volume", "order_date")
     return orders.unionByName(lines)
 
 
-@query("""
-WITH n AS (SELECT CAST(o_orderkey AS VARCHAR) AS order_id, count(l_orderkey) AS n_lines
-           FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL)
-SELECT 'raw' AS sink, order_id, n_lines FROM n
-UNION ALL SELECT 'lines', order_id, n_lines FROM n WHERE n_lines > 0
+@query(f"""
+SELECT 'raw' AS sink, order_id, amount, order_date FROM ({EVENT_ORDERS})
+UNION ALL SELECT 'orders', order_id, amount, order_date FROM ({EVENT_ORDERS})
+UNION ALL SELECT 'lines', order_id, price, order_date FROM ({EVENT_LINES})
 """)
 def stream_orders_multisink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines per order in the raw copy and in the table, both written from one batch."""
+    """Raw copy and both tables, all written from one batch."""
     to = new_database(spark, STREAM_TABLES)
     raw_path = fresh_folder(spark, "raw")
     run_order_stream(file_messages(spark, message_files(spark, sf_dir)), to.database, "orders",
                      fresh_folder(spark, "checkpoint"), raw_path=raw_path, available_now=True).awaitTermination()
-    raw = parse_orders(spark.read.schema("offset BIGINT, value STRING").json(f"{raw_path}/stream_id=orders/epoch=*/*"))
-    in_raw = raw.groupBy("order_id").agg(F.sum(F.size("order_lines").cast("bigint")).alias("n_lines"))
-    in_table = read_table(spark, to.database, "order_lines").groupBy("order_id").agg(F.count(F.lit(1)).alias("n_lines"))
-    return in_raw.select(F.lit("raw").alias("sink"), "order_id", "n_lines").unionByName(
-        in_table.select(F.lit("lines").alias("sink"), "order_id", "n_lines"))
+    raw = order_rows(parse_orders(read_raw(spark, raw_path)))
+    sinks = {"raw": raw, "orders": read_table(spark, to.database, "orders"),
+             "lines": read_table(spark, to.database, "order_lines").withColumnRenamed("price", "amount")}
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(name).alias("sink"), "order_id", "amount", "order_date") for name, df in sinks.items()])
 
 
-@query(LINES)
+@query(EVENT_LINES)
 def stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Several epochs, each stored twice as after a crash before its commit; then a restart."""
     to = new_database(spark, STREAM_TABLES)
