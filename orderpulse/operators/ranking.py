@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderpulse.operators.sizing import fits
-from orderpulse.session import shared_root
+from orderpulse.session import ensure_checkpoint_dir
 
 SINGLE_TASK_ROWS = 1_000_000
 
@@ -17,17 +17,16 @@ def top_by(df: DataFrame, k: int, size: Column, tie_break: str) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def rank_all(df: DataFrame, size: Column, tie_break: str,
-             single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+def rank_all(df: DataFrame, size: Column, tie_break: str) -> DataFrame:
     """Rank of every row by descending `size`, then `tie_break`.
 
-    Up to `single_task_rows` rows one sort does it. Beyond, rows are range-partitioned by the
+    Up to SINGLE_TASK_ROWS rows one sort does it. Beyond, rows are range-partitioned by the
     sort key and numbered within their range, after the rows of all earlier ranges. The
     ranges are written down first, so that every reader sees the same ones.
     """
-    if fits(df, max_rows=single_task_rows):
+    if fits(df, max_rows=SINGLE_TASK_ROWS):
         return df.withColumn("rank", F.row_number().over(Window.orderBy(size.desc_nulls_last(), tie_break)))
-    shared_root(df.sparkSession)
+    ensure_checkpoint_dir(df.sparkSession)
     ranged = (
         df.withColumn("_size", size)
         .repartitionByRange(F.col("_size").desc_nulls_last(), F.col(tie_break).asc())

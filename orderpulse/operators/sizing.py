@@ -11,7 +11,7 @@ ROWS_PER_SPLIT = 5_000_000
 MAX_HOT_KEYS = 10_000
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+def fits(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
     """Whether `df` is small enough to be sent to every executor.
 
     One distributed count; only two numbers come back.
@@ -22,16 +22,17 @@ def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCA
         F.lit(0),
     )
     rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()
-    return rows <= max_rows and size <= max_bytes
+    return rows <= (BROADCAST_ROWS if max_rows is None else max_rows) and \
+        size <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
 
 
-def hot_keys(df: DataFrame, key: str, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+def hot_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys with more rows than one task should get, with the number of splits each needs.
 
     A hot key holds more than 1/MAX_HOT_KEYS of all rows, so at most MAX_HOT_KEYS rows
     come out: a proven bound that makes this result safe to broadcast.
     """
-    cut = max(rows_per_split, df.count() // MAX_HOT_KEYS)
+    cut = max(ROWS_PER_SPLIT, df.count() // MAX_HOT_KEYS)
     return (
         df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > cut)
@@ -39,14 +40,13 @@ def hot_keys(df: DataFrame, key: str, rows_per_split: int = ROWS_PER_SPLIT) -> D
     )
 
 
-def salted_join(many: DataFrame, few: DataFrame, key: str, salt_by: Column | None = None,
-                rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+def salted_join(many: DataFrame, few: DataFrame, key: str, salt_by: Column | None = None) -> DataFrame:
     """Inner join in which a hot key of `many` is spread over several tasks.
 
     Rows of `few` are repeated only for hot keys, once per split. `salt_by` tells rows of
     one key apart; it defaults to a hash of the whole row.
     """
-    hot = F.broadcast(hot_keys(many, key, rows_per_split))
+    hot = F.broadcast(hot_keys(many, key))
     salt_by = F.xxhash64(*[F.col(f"`{c}`") for c in many.columns]) if salt_by is None else salt_by
     spread = many.withColumn("_spread", salt_by).join(hot, key, "left").withColumn(
         "_salt", F.coalesce(F.pmod(F.col("_spread"), F.col("_splits")), F.lit(0)).cast("int")

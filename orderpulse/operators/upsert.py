@@ -29,28 +29,27 @@ def merge_upsert(target: DataFrame, incoming: DataFrame, key: str, changed_by: s
 
     A matched row takes the incoming values if `changed_by` differs (NULL differs from
     nothing); unmatched incoming rows, NULL keys among them, are added. A small batch is
-    broadcast, so that the target is not shuffled; otherwise both meet by key. NULL keys
-    match nothing and stay out of the joins.
+    broadcast, so that the target is not shuffled. A large one meets the target by key; rows
+    without a key match nothing and stay out of that shuffle.
     """
     columns = target.columns
     values = [c for c in columns if c != key]
     batch = one_row_per_key(incoming.select(columns), key)
-    small = fits(incoming)
-    sized = F.broadcast if small else lambda df: df
     has_key = F.col(key).isNotNull()
     take = F.coalesce(F.col(changed_by) != F.col(f"_new.{changed_by}"), F.lit(False))
-    kept = (
-        target.filter(has_key)
-        .join(sized(batch.select(key, F.struct(*values).alias("_new"))), key, "left")
-        .select(key, *[F.when(take, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in values])
-    )
-    known = target.select(key)
-    if small:
+    update = [F.when(take, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c != key else F.col(c) for c in columns]
+    changes = batch.select(key, F.struct(*values).alias("_new"))
+    if fits(incoming):
+        kept = target.join(F.broadcast(changes), key, "left").select(update)
         # Only the target's keys that occur in the batch: no more rows than the batch has.
-        known = known.join(F.broadcast(batch.select(key)), key, "left_semi")
-    added = batch.join(sized(known.filter(has_key).distinct()), key, "left_anti")
-    without_key = target.filter(~has_key).unionByName(incoming.filter(~has_key).select(columns))
-    return kept.select(columns).unionByName(added.select(columns)).unionByName(without_key)
+        matched = target.select(key).join(F.broadcast(batch.select(key)), key, "left_semi").distinct()
+        added = batch.join(F.broadcast(matched), key, "left_anti")
+    else:
+        keyed = target.filter(has_key)
+        kept = keyed.join(changes, key, "left").select(update).unionByName(target.filter(~has_key))
+        added = batch.join(keyed.select(key).distinct(), key, "left_anti")
+    without_key = incoming.filter(~has_key)
+    return kept.unionByName(added.select(columns)).unionByName(without_key.select(columns))
 
 
 def merge_sql(table: str, source_view: str, key: str, changed_by: str, columns: list[str]) -> str:

@@ -36,10 +36,13 @@ def shared_root(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if sc.applicationId not in _local_roots:
         _local_roots[sc.applicationId] = tempfile.mkdtemp(prefix="orderpulse-")
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(_local_roots[sc.applicationId])
     return _local_roots[sc.applicationId]
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_root(spark))
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
