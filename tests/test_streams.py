@@ -1,0 +1,137 @@
+import json
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderpulse import model
+from orderpulse.operators.sinks import read_raw, replace_table
+from orderpulse.sources.batch import read_table
+from orderpulse.sources.stream import customer_files, file_messages, kafka_messages
+from orderpulse.streaming.customers import run_customer_stream
+from orderpulse.streaming.daily import daily_totals, run_daily_totals
+from orderpulse.streaming.orders import STREAM_TABLES, run_order_stream, store_silver
+from tests.conftest import rows
+
+D0, D1 = date(2024, 1, 1), date(2024, 1, 2)
+
+
+def messages(spark, *orders, junk=()):
+    values = [json.dumps({"order_id": i, "customer_id": "c", "amount": 1.0, "timestamp": f"{day}T12:00:00Z",
+                          "order_lines": [{"price": 1.0, "product_id": f"p{n}", "volume": n} for n in range(lines)]})
+              for i, day, lines in orders] + list(junk)
+    return spark.createDataFrame(
+        [(b"k", v.encode(), "orders", 0, n) for n, v in enumerate(values)],
+        "key binary, value binary, topic string, partition int, offset long",
+    ).withColumn("timestamp", F.timestamp_seconds(F.lit(1_704_100_000)))
+
+
+def run(spark, to, folder, checkpoint, **options):
+    run_order_stream(file_messages(spark, str(folder), 1), to.database, "s", str(checkpoint),
+                     available_now=True, **options).awaitTermination()
+
+
+def tables(spark, to):
+    return (rows(read_table(spark, to.database, "orders").select("order_id", "epoch", "order_date")),
+            rows(read_table(spark, to.database, "order_lines").select("order_id", "product_id", "epoch")),
+            rows(read_table(spark, to.database, "order_rejects").select("value", "epoch")))
+
+
+def test_order_stream_restart_and_replay(spark, target, tmp_path):
+    to = target(*STREAM_TABLES)
+    folder, checkpoint = tmp_path / "in", tmp_path / "checkpoint"
+    first = messages(spark, ("a", "2024-01-01", 2), ("b", "2024-01-02", 0), junk=["garbage"])
+    first.coalesce(1).write.mode("append").parquet(str(folder))
+    run(spark, to, folder, checkpoint)
+    second = messages(spark, ("c", "2024-01-02", 1))
+    second.coalesce(1).write.mode("append").parquet(str(folder))
+    run(spark, to, folder, checkpoint)
+    expected = ([("a", 0, D0), ("b", 0, D1), ("c", 1, D1)],
+                [("a", "p0", 0), ("a", "p1", 0), ("c", "p0", 1)], [("garbage", 0)])
+    assert tables(spark, to) == expected
+    run(spark, to, folder, checkpoint)
+    store_silver(second, 1, to.database, "s")
+    store_silver(first, 0, to.database, "s")
+    assert tables(spark, to) == expected
+
+
+def test_replay_after_partial_write(spark, target):
+    """A crash between the two tables leaves one of them; the replay completes both."""
+    to = target(*STREAM_TABLES)
+    batch = messages(spark, ("a", "2024-01-01", 1))
+    store_silver(batch, 0, to.database, "s")
+    spark.sql(f"ALTER TABLE {to.database}.order_lines DROP PARTITION "
+              "(stream_id = 's', epoch = 0, order_date = DATE'2024-01-01')")
+    assert read_table(spark, to.database, "order_lines").count() == 0
+    store_silver(batch, 0, to.database, "s")
+    assert [len(t) for t in tables(spark, to)] == [1, 1, 0]
+
+
+def test_streams_do_not_replace_each_other(spark, target):
+    to = target(*STREAM_TABLES)
+    store_silver(messages(spark, ("a", "2024-01-01", 1)), 0, to.database, "s")
+    store_silver(messages(spark, ("b", "2024-01-01", 1)), 0, to.database, "it's another")
+    assert [r[0] for r in tables(spark, to)[0]] == ["a", "b"]
+
+
+def test_raw_copy_beside_the_tables(spark, target, tmp_path):
+    to = target(*STREAM_TABLES)
+    messages(spark, ("a", "2024-01-01", 2), junk=["garbage"]).coalesce(1).write.parquet(str(tmp_path / "in"))
+    run(spark, to, tmp_path / "in", tmp_path / "checkpoint", raw_path=str(tmp_path / "raw"))
+    raw = read_raw(spark, str(tmp_path / "raw"))
+    assert raw.count() == 2 and rows(raw.select("ingest_date").distinct()) == [(D0,)]
+    assert [len(t) for t in tables(spark, to)] == [1, 2, 1]
+
+
+def test_many_small_batches_equal_one(spark, target, tmp_path):
+    orders = [(f"o{n}", f"2024-01-0{1 + n % 3}", n % 4) for n in range(12)]
+    results = []
+    for files in (1, 3):
+        to = target(*STREAM_TABLES)
+        folder = tmp_path / f"in{files}"
+        messages(spark, *orders).repartition(files).write.parquet(str(folder))
+        run(spark, to, folder, tmp_path / f"checkpoint{files}")
+        results.append([rows(read_table(spark, to.database, t.name).drop("epoch")) for t in STREAM_TABLES])
+        assert read_table(spark, to.database, "orders").select("epoch").distinct().count() == files
+    assert results[0] == results[1]
+
+
+def test_customer_stream(spark, target, tmp_path):
+    to = target(model.CUSTOMERS, model.COMPANIES)
+    replace_table(spark.createDataFrame([("1", "A", D0), ("2", "B", D0), ("3", None, D0)], model.CUSTOMERS.schema),
+                  model.CUSTOMERS, to.database)
+    replace_table(spark.createDataFrame([("A", "x", D0)], model.COMPANIES.schema), model.COMPANIES, to.database)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    header = "customer_id,company_name,specialized_industries\n"
+    (folder / "a.csv").write_text(header + "2,B2,y;z\n4,D,\n4,D,\n")
+
+    def go():
+        run_customer_stream(customer_files(spark, str(folder), 1), to.database, str(tmp_path / "checkpoint"),
+                            ingest_date=D1, available_now=True).awaitTermination()
+        return rows(read_table(spark, to.database, "customers")), rows(read_table(spark, to.database, "companies"))
+
+    expected = [("1", "A", D0), ("2", "B2", D1), ("3", None, D0), ("4", "D", D1)]
+    assert go() == (expected, [("A", "x", D1), ("B2", "y", D1), ("B2", "z", D1)])
+    (folder / "b.csv").write_text(header)
+    (folder / "c.csv").write_text(header + "1,A,x;w\n")
+    customers, companies = go()
+    assert customers == expected
+    assert [c[:2] for c in companies] == [("A", "w"), ("A", "x"), ("B2", "y"), ("B2", "z")]
+
+
+def test_daily_totals_emit_closed_days_only(spark, tmp_path):
+    data = [("a", "2024-01-01 01:00:00", 0.1), ("a", "2024-01-01 23:00:00", 0.2), ("b", "2024-01-02 00:00:00", 5.0),
+            ("a", "2024-01-04 06:00:00", 7.0)]
+    spark.createDataFrame(data, "e string, ts string, v double").withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.parquet(
+        str(tmp_path / "in"))
+    stream = spark.readStream.schema("e string, ts timestamp, v double").parquet(str(tmp_path / "in"))
+    run_daily_totals(daily_totals(stream, "e", "ts", "v"), str(tmp_path / "out"), str(tmp_path / "checkpoint"),
+                     available_now=True).awaitTermination()
+    out = spark.read.schema("e string, date date, total double").parquet(str(tmp_path / "out"))
+    assert rows(out) == [("a", D0, 0.3), ("b", D1, 5.0)]
+
+
+def test_kafka_source_needs_its_package(spark):
+    with pytest.raises(Exception, match="kafka"):
+        kafka_messages(spark, "host:9092", "orders")

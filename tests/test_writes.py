@@ -1,0 +1,179 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderpulse import model
+from orderpulse.operators import sinks
+from orderpulse.operators.tables import ensure_tables
+from orderpulse.plans import daily_fluctuations
+from orderpulse.plans.initial_load import load_all, standard_sources
+from orderpulse.session import fresh_folder, shared_root
+from orderpulse.sources.batch import read_table
+from tests.conftest import rows
+
+D1, D2 = date(2024, 1, 1), date(2024, 1, 2)
+FLUCTUATION = "industry string, rank int, value_24h double, avg_30d double, diff double"
+
+
+def test_specs_make_their_tables(spark, target):
+    to = target(*model.WAREHOUSE, model.ORDER_REJECTS)
+    for spec in (*model.WAREHOUSE, model.ORDER_REJECTS):
+        found = spark.table(f"{to.database}.{spec.name}").schema
+        assert [(f.name, f.dataType) for f in found] == [(f.name, f.dataType) for f in spec.schema]
+        if not spec.versioned:
+            columns = spark.catalog.listColumns(f"{to.database}.{spec.name}")
+            assert [c.name for c in columns if c.isPartition] == list(spec.partition)
+
+
+def test_create_sql_names_another_format():
+    sql = model.CUSTOMERS.with_format("iceberg").create_sql("db")
+    assert "USING iceberg" in sql and "PARTITIONED BY (`ingest_date`)" in sql and "`customer_id` STRING" in sql
+
+
+def test_partition_columns_must_come_last():
+    with pytest.raises(ValueError, match="last"):
+        model.TableSpec("t", (("p", "INT"), ("a", "INT")), partition=("p",))
+
+
+def products(spark, *data):
+    return spark.createDataFrame(data, "price float, product_id string, product_name string, ingest_date date")
+
+
+def test_append_by_position_follows_the_spec_and_casts(spark, target):
+    to = target(model.PRODUCTS)
+    sinks.append_by_position(products(spark, (1.5, "p1", "one", D1)), model.PRODUCTS, to.database)
+    sinks.append_by_position(products(spark, (2.5, "p2", "two", D1)), model.PRODUCTS, to.database)
+    assert rows(read_table(spark, to.database, "products")) == [("p1", "one", 1.5, D1), ("p2", "two", 2.5, D1)]
+
+
+def test_full_refresh_empties_and_plain_ensure_does_not(spark, target):
+    to = target(model.PRODUCTS, model.CUSTOMERS)
+    sinks.append_by_position(products(spark, (1.5, "p1", "one", D1)), model.PRODUCTS, to.database)
+    sinks.replace_table(spark.createDataFrame([("c", "x", D1)], model.CUSTOMERS.schema), model.CUSTOMERS, to.database)
+    specs = [model.PRODUCTS, model.CUSTOMERS]
+    ensure_tables(spark, to.database, to.root, specs)
+    assert [read_table(spark, to.database, s.name).count() for s in specs] == [1, 1]
+    ensure_tables(spark, to.database, to.root, specs, full_refresh=True)
+    assert [read_table(spark, to.database, s.name).count() for s in specs] == [0, 0]
+
+
+def store(spark, to, day, *data):
+    sinks.overwrite_partition(spark.createDataFrame(data, FLUCTUATION), model.FLUCTUATIONS, to.database,
+                              {"aggregation_date": day})
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_partition_overwrite_replaces_only_its_day(spark, target, mode):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        to = target(model.FLUCTUATIONS)
+        store(spark, to, D1, ("a", 1, 1.0, 2.0, -1.0))
+        store(spark, to, D2, ("b", 1, 1.0, 2.0, -1.0), ("c", 2, 1.0, 2.0, -1.0))
+        store(spark, to, D2, ("d", 1, 1.0, 2.0, -1.0))
+        assert rows(read_table(spark, to.database, "fluctuations").select("industry", "aggregation_date")) == [
+            ("a", D1), ("d", D2)]
+        store(spark, to, D2)
+        assert rows(read_table(spark, to.database, "fluctuations").select("industry")) == [("a",)]
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_partition_values_follow_the_table(spark, target):
+    to = target(model.ORDERS)
+    with pytest.raises(ValueError, match="stream_id"):
+        sinks.overwrite_partition(spark.range(1), model.ORDERS, to.database, {"epoch": 1})
+
+
+def test_append_by_name_ignores_column_order(spark, target):
+    to = target()
+    table = f"{to.database}.t"
+    sinks.append_by_name(spark.createDataFrame([(1, "a", D1)], "id int, s string, d date"), table, ["d"])
+    sinks.append_by_name(spark.createDataFrame([("b", D2, 2)], "s string, d date, id int"), table, ["d"])
+    assert rows(spark.table(table)) == [(1, "a", D1), (2, "b", D2)]
+
+
+def test_replace_table_may_read_itself_and_keeps_few_versions(spark, target):
+    to = target(model.INDUSTRIES, model.COMPANIES)
+    for n in range(5):
+        current = read_table(spark, to.database, "companies")
+        more = spark.createDataFrame([(f"c{n}", "x", D1)], model.COMPANIES.schema)
+        sinks.replace_table(current.unionByName(more), model.COMPANIES, to.database)
+    assert rows(read_table(spark, to.database, "companies").select("company_name")) == [(f"c{n}",) for n in range(5)]
+    assert len(sinks.versions(spark, model.COMPANIES, to.database)) == 3
+
+
+def test_failed_replacement_leaves_the_old_version(spark, target):
+    to = target(model.COMPANIES)
+    sinks.replace_table(spark.createDataFrame([("c", "x", D1)], model.COMPANIES.schema), model.COMPANIES, to.database)
+    broken = read_table(spark, to.database, "companies").withColumn("industry", F.raise_error(F.lit("stop")).cast("string"))
+    with pytest.raises(Exception, match="stop"):
+        sinks.replace_table(broken, model.COMPANIES, to.database)
+    assert rows(read_table(spark, to.database, "companies").select("industry")) == [("x",)]
+
+
+def test_raw_copy_replaces_a_replayed_epoch_only(spark, tmp_path):
+    def batch(*values):
+        return spark.createDataFrame([(n, v.encode()) for n, v in enumerate(values)], "offset long, value binary").withColumn(
+            "timestamp", F.timestamp_seconds(F.lit(1_700_000_000)))
+    path = str(tmp_path / "raw")
+    sinks.store_raw(batch("a"), path, "s", 0)
+    sinks.store_raw(batch("b", "c"), path, "s", 1)
+    sinks.store_raw(batch("b", "c"), path, "s", 1)
+    raw = sinks.read_raw(spark, path)
+    assert rows(raw.select("value", "epoch", "ingest_date")) == [
+        ("a", 0, date(2023, 11, 14)), ("b", 1, date(2023, 11, 14)), ("c", 1, date(2023, 11, 14))]
+    assert list((tmp_path / "raw").rglob("*.json.gz"))
+
+
+def test_bulk_load_then_daily_job(spark, target, tmp_path):
+    """The whole chain from raw files to the stored, ranked day, twice."""
+    base = tmp_path / "in"
+    files = {
+        "Customers/Customers.csv": "customer_id,company_name,specialized_industries\nc1,acme,P;Q\nc2,bolt,R;bogus\nc3,none,\n",
+        "Industries/Industries.csv": "industry\nP\nQ\nR\n",
+        "Products/Products.csv": "product_id,product_name,price\np1,one,1.5\n",
+        "Orders/orders.json": "".join(
+            f'{{"order_id":"{i}","customer_id":"{c}","amount":{a},"timestamp":"{d}T10:00:00Z",'
+            f'"order_lines":[{{"price":1.0,"product_id":"p1","volume":1}}]}}\n'
+            for i, (c, a, d) in enumerate([("c1", 100, "2023-08-04"), ("c1", 10, "2023-08-01"), ("c1", 30, "2023-08-02"),
+                                           ("c2", 5, "2023-08-03"), ("c3", 99, "2023-08-04")])),
+    }
+    for name, text in files.items():
+        (base / name).parent.mkdir(parents=True)
+        (base / name).write_text(text)
+    to = target()
+    for _ in range(2):
+        load_all(spark, standard_sources(str(base)), to)
+    counts = {s.name: read_table(spark, to.database, s.name).count() for s in model.WAREHOUSE if s.name != "fluctuations"}
+    assert counts == {"products": 1, "orders": 5, "order_lines": 5, "customers": 3, "companies": 4, "industries": 3}
+    for _ in range(2):
+        lines = daily_fluctuations.run(spark, to.database, to.root, date(2023, 8, 4))
+        assert len(lines) == 2 and lines[0].startswith("Rank: 1 -> Industry: P  ")
+    assert rows(read_table(spark, to.database, "fluctuations")) == [
+        ("P", 1, 100.0, 20.0, 80.0, date(2023, 8, 4)), ("Q", 2, 100.0, 20.0, 80.0, date(2023, 8, 4))]
+    daily = daily_fluctuations.compute(spark, to.database, date(2023, 8, 4))
+    plan = daily._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_date" in plan
+
+
+def test_shared_folder_comes_from_the_session():
+    class Conf:
+        def __init__(self, value):
+            self.value = value
+
+        def get(self, key, default):
+            assert key == "spark.checkpoint.dir"
+            return self.value or default
+
+    class Session:
+        class sparkContext:
+            master, applicationId = "spark://host:7077", "app"
+
+    session = Session()
+    session.conf = Conf("hdfs://shared/work/")
+    assert shared_root(session) == "hdfs://shared/work"
+    assert fresh_folder(session, "x").startswith("hdfs://shared/work/x-")
+    session.conf = Conf(None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(session)
