@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderpulse.functions.values import LIST_SEPARATOR, list_items
-from orderpulse.operators.sizing import dimension_join, right_outer
+from orderpulse.operators.sizing import dimension_join, fits, right_outer, salted_join
 
 BRIDGE = ["company_name", "industry"]
 
@@ -61,17 +61,26 @@ def valid_companies(bridge: DataFrame, industries: DataFrame) -> DataFrame:
 
 
 def customer_industries(customers: DataFrame, bridge: DataFrame, industries: DataFrame) -> DataFrame:
-    """(customer_id, industry), with a NULL customer for industries nobody belongs to."""
+    """(customer_id, industry), with a NULL customer for industries nobody belongs to.
+
+    `customers` is a table, so that row positions can spread a company most customers share.
+    """
     companies = valid_companies(bridge, industries)
-    return right_outer(customers.select("customer_id", "company_name"), companies, "company_name").select(
+    members = customers.select("customer_id", "company_name")
+    return right_outer(members, companies, "company_name", F.monotonically_increasing_id()).select(
         "customer_id", "industry")
 
 
 def entity_dim(customers: DataFrame, bridge: DataFrame, industries: DataFrame) -> DataFrame:
     """Distinct (customer_id, industry) as facts need it: customers of known industries only.
 
-    Repeats go before each join, and a company most customers belong to is split.
+    With a small bridge the only shuffle is that of the distinct pairs. With a large one
+    copies of customers go before the join, where a company most customers share is split.
     """
     known = dimension_join(bridge.select(BRIDGE).distinct(), industries.select("industry").distinct(), "industry")
-    members = customers.select("customer_id", "company_name").filter(F.col("customer_id").isNotNull()).distinct()
-    return dimension_join(members, known, "company_name").select("customer_id", "industry").distinct()
+    members = customers.select("customer_id", "company_name").filter(F.col("customer_id").isNotNull())
+    if fits(known):
+        joined = members.join(F.broadcast(known), "company_name")
+    else:
+        joined = salted_join(members.distinct(), known, "company_name")
+    return joined.select("customer_id", "industry").distinct()

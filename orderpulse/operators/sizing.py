@@ -44,7 +44,9 @@ def salted_join(many: DataFrame, few: DataFrame, key: str, salt_by: Column | Non
     """Inner join in which a hot key of `many` is spread over several tasks.
 
     Rows of `few` are repeated only for hot keys, once per split. `salt_by` tells rows of
-    one key apart; it defaults to a hash of the whole row.
+    one key apart: by default a hash of the whole row, which suits rows without copies. For
+    rows straight from a scan pass `monotonically_increasing_id()`, which spreads copies too
+    and, unlike after a shuffle, comes out the same when a lost task is run again.
     """
     hot = F.broadcast(hot_keys(many, key))
     salt_by = F.xxhash64(*[F.col(f"`{c}`") for c in many.columns]) if salt_by is None else salt_by
@@ -57,14 +59,14 @@ def salted_join(many: DataFrame, few: DataFrame, key: str, salt_by: Column | Non
     return spread.join(repeated, [key, "_salt"]).drop("_salt")
 
 
-def dimension_join(many: DataFrame, few: DataFrame, key: str) -> DataFrame:
+def dimension_join(many: DataFrame, few: DataFrame, key: str, salt_by: Column | None = None) -> DataFrame:
     """Inner join: broadcast `few` if it is small, else shuffle with hot keys split."""
     if fits(few):
         return many.join(F.broadcast(few), key)
-    return salted_join(many, few, key)
+    return salted_join(many, few, key, salt_by)
 
 
-def right_outer(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def right_outer(left: DataFrame, right: DataFrame, key: str, salt_by: Column | None = None) -> DataFrame:
     """Keep every row of `right`.
 
     A shuffled right outer join cannot split a hot key of its left side, so beyond the
@@ -73,6 +75,6 @@ def right_outer(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """
     if fits(left):
         return F.broadcast(left).join(right, key, "right")
-    matched = dimension_join(left, right, key)
+    matched = dimension_join(left, right, key, salt_by)
     missing = right.join(left.select(key).distinct(), key, "left_anti")
     return matched.unionByName(missing, allowMissingColumns=True)

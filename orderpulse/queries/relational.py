@@ -11,7 +11,7 @@ from orderpulse.functions import dates
 from orderpulse.functions.dates import LOOKBACK_DAYS, in_days, trailing_bounds
 from orderpulse.functions.values import as_money
 from orderpulse.operators.fluctuation import daily_sums
-from orderpulse.operators.sizing import fits
+from orderpulse.operators.sizing import dimension_join
 from orderpulse.queries.inputs import AS_OF, ORDER_FACTS, SEGMENT_ROWS, load, segments
 from orderpulse.queries.registry import query
 
@@ -55,10 +55,10 @@ def filter_trailing_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT o_orderkey, o_custkey, c_mktsegment AS industry, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey")
 def orders_with_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dim = segments(spark, sf_dir)
-    dim = F.broadcast(dim) if fits(dim) else dim
-    return load(spark, sf_dir, "orders").join(dim, "o_custkey").select(
-        "o_orderkey", "o_custkey", "industry", "o_totalprice")
+    """Broadcast join while the dimension is small, else a join with frequent customers split."""
+    return dimension_join(
+        load(spark, sf_dir, "orders"), segments(spark, sf_dir), "o_custkey", F.monotonically_increasing_id(),
+    ).select("o_orderkey", "o_custkey", "industry", "o_totalprice")
 
 
 @query(f"""
