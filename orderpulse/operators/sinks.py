@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,6 +76,18 @@ def versions(spark: SparkSession, spec: TableSpec, database: str) -> list[str]:
     return sorted(t.name for t in spark.catalog.listTables(database, f"{_version_prefix(spec)}*"))
 
 
+@contextmanager
+def staged(df: DataFrame, database: str, label: str) -> Iterator[DataFrame]:
+    """`df` as a table for the time being, for several readers of an input that is costly to parse."""
+    spark = df.sparkSession
+    table = f"`{database}`.`{label}__staged{time.time_ns()}`"
+    try:
+        df.write.saveAsTable(table)
+        yield spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def store_raw(messages: DataFrame, path: str, stream_id: str, epoch: int) -> None:
     """Keep messages as compressed JSON by day of arrival; a replayed epoch replaces itself."""
     rows = messages.select(

@@ -16,8 +16,8 @@ from pyspark.sql import types as T
 
 from orderpulse import model
 from orderpulse.operators.bridge import build_bridge
-from orderpulse.operators.documents import order_line_rows, order_rows
-from orderpulse.operators.sinks import append_by_position, overwrite_partition, replace_table
+from orderpulse.operators.documents import malformed, order_line_rows, order_rows
+from orderpulse.operators.sinks import append_by_position, overwrite_partition, replace_table, staged
 from orderpulse.operators.tables import ensure_tables
 from orderpulse.session import build_session
 from orderpulse.sources.batch import READERS
@@ -47,8 +47,13 @@ def load_products(df: DataFrame, to: Target) -> None:
 
 
 def load_orders(df: DataFrame, to: Target) -> None:
-    overwrite_partition(order_rows(df), model.ORDERS, to.database, INITIAL)
-    overwrite_partition(order_line_rows(df), model.ORDER_LINES, to.database, INITIAL)
+    """The text is parsed once; the tables then read only the columns they need."""
+    fields = F.struct(*model.ORDER_DOCUMENT.fieldNames())
+    with staged(df, to.database, "documents") as documents:
+        overwrite_partition(order_rows(documents), model.ORDERS, to.database, INITIAL)
+        overwrite_partition(order_line_rows(documents), model.ORDER_LINES, to.database, INITIAL)
+        rejects = malformed(documents).select(F.coalesce("_corrupt_record", F.to_json(fields)).alias("value"))
+        overwrite_partition(rejects, model.ORDER_REJECTS, to.database, INITIAL)
 
 
 @dataclass(frozen=True)
@@ -66,7 +71,8 @@ def standard_sources(base: str) -> list[SourceSpec]:
     return [
         SourceSpec(f"{base}/Customers", "csv", model.CUSTOMERS_CSV, (model.CUSTOMERS, model.COMPANIES), load_customers),
         SourceSpec(f"{base}/Industries", "csv", model.INDUSTRIES_CSV, (model.INDUSTRIES,), load_industries),
-        SourceSpec(f"{base}/Orders", "json", model.ORDER_DOCUMENT, (model.ORDERS, model.ORDER_LINES), load_orders),
+        SourceSpec(f"{base}/Orders", "json", model.ORDER_DOCUMENT,
+                   (model.ORDERS, model.ORDER_LINES, model.ORDER_REJECTS), load_orders),
         SourceSpec(f"{base}/Products", "csv", model.PRODUCTS_CSV, (model.PRODUCTS,), load_products),
     ]
 

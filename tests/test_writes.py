@@ -126,7 +126,7 @@ def test_raw_copy_replaces_a_replayed_epoch_only(spark, tmp_path):
     assert list((tmp_path / "raw").rglob("*.json.gz"))
 
 
-def test_bulk_load_then_daily_job(spark, target, tmp_path):
+def test_bulk_load_then_daily_job(spark, target, tmp_path, monkeypatch):
     """The whole chain from raw files to the stored, ranked day, twice."""
     base = tmp_path / "in"
     files = {
@@ -137,7 +137,7 @@ def test_bulk_load_then_daily_job(spark, target, tmp_path):
             f'{{"order_id":"{i}","customer_id":"{c}","amount":{a},"timestamp":"{d}T10:00:00Z",'
             f'"order_lines":[{{"price":1.0,"product_id":"p1","volume":1}}]}}\n'
             for i, (c, a, d) in enumerate([("c1", 100, "2023-08-04"), ("c1", 10, "2023-08-01"), ("c1", 30, "2023-08-02"),
-                                           ("c2", 5, "2023-08-03"), ("c3", 99, "2023-08-04")])),
+                                           ("c2", 5, "2023-08-03"), ("c3", 99, "2023-08-04")])) + 'not json\n{"customer_id":"no id"}\n',
     }
     for name, text in files.items():
         (base / name).parent.mkdir(parents=True)
@@ -145,6 +145,9 @@ def test_bulk_load_then_daily_job(spark, target, tmp_path):
     to = target()
     for _ in range(2):
         load_all(spark, standard_sources(str(base)), to)
+    rejects = rows(read_table(spark, to.database, "order_rejects").select("value"))
+    assert rejects == [("not json",), ('{"customer_id":"no id"}',)]
+    assert not [t.name for t in spark.catalog.listTables(to.database) if "staged" in t.name]
     counts = {s.name: read_table(spark, to.database, s.name).count() for s in model.WAREHOUSE if s.name != "fluctuations"}
     assert counts == {"products": 1, "orders": 5, "order_lines": 5, "customers": 3, "companies": 4, "industries": 3}
     for _ in range(2):
@@ -152,6 +155,9 @@ def test_bulk_load_then_daily_job(spark, target, tmp_path):
         assert len(lines) == 2 and lines[0].startswith("Rank: 1 -> Industry: P  ")
     assert rows(read_table(spark, to.database, "fluctuations")) == [
         ("P", 1, 100.0, 20.0, 80.0, date(2023, 8, 4)), ("Q", 2, 100.0, 20.0, 80.0, date(2023, 8, 4))]
+    monkeypatch.setattr("sys.argv", ["job", "--root", to.root, "--database", to.database, "--agg_date", "2023-08-03"])
+    daily_fluctuations.main()
+    assert read_table(spark, to.database, "fluctuations").count() == 2
     daily = daily_fluctuations.compute(spark, to.database, date(2023, 8, 4))
     plan = daily._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(order_date" in plan
