@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
@@ -11,19 +12,26 @@ ROWS_PER_SPLIT = 5_000_000
 MAX_HOT_KEYS = 10_000
 
 
+def _bytes(field: T.StructField) -> Column:
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        length = F.octet_length(column)
+    elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        length = F.octet_length(F.to_json(F.struct(column)))
+    else:
+        return F.lit(16)
+    return F.coalesce(length, F.lit(0))
+
+
 def fits(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
     """Whether `df` is small enough to be sent to every executor.
 
-    One distributed count; only two numbers come back.
+    One distributed count of rows and bytes; only two numbers come back.
     """
-    width = sum(
-        (F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) if f.dataType.simpleString() == "string" else F.lit(8)
-         for f in df.schema.fields),
-        F.lit(0),
-    )
-    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()
-    return rows <= (BROADCAST_ROWS if max_rows is None else max_rows) and \
-        size <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
+    size = sum((_bytes(f) for f in df.schema.fields), F.lit(0)).cast("bigint")
+    n_rows, n_bytes = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return n_rows <= (BROADCAST_ROWS if max_rows is None else max_rows) and \
+        n_bytes <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
 
 
 def hot_keys(df: DataFrame, key: str) -> DataFrame:

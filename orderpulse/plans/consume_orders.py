@@ -25,11 +25,15 @@ def main() -> None:
     parser.add_argument("--topic", default="orders")
     parser.add_argument("--raw", help="folder for the raw copy")
     parser.add_argument("--interval", help="for example '1 minute'; as fast as possible if left out")
+    parser.add_argument("--max_per_trigger", type=int, help="most offsets, or files, per epoch")
     parser.add_argument("--database", default="orderpulse")
     args = parser.parse_args()
     spark = build_session("consume_orders")
     ensure_tables(spark, args.database, args.root, STREAM_TABLES)
-    messages = kafka_messages(spark, args.servers, args.topic) if args.servers else file_messages(spark, args.folder)
+    if args.servers:
+        messages = kafka_messages(spark, args.servers, args.topic, max_offsets_per_trigger=args.max_per_trigger)
+    else:
+        messages = file_messages(spark, args.folder, args.max_per_trigger)
     run_order_stream(messages, args.database, args.stream_id, args.checkpoint, args.raw, args.interval).awaitTermination()
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header row; an empty field is NULL."""
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+    return spark.read.schema(schema).option("header", True).csv(path)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
