@@ -18,8 +18,10 @@ class TableSpec:
     partition: tuple[str, ...] = ()
     required: tuple[str, ...] = ()
     format: str = "parquet"
-    # Rewritten as a whole: a view over the folder of its current version.
+    # Rewritten as a whole: `name` is a view of the current version.
     versioned: bool = False
+    # What readers see instead of the stored columns, and under which name.
+    view: tuple[str, tuple[str, ...]] | None = None
 
     def __post_init__(self):
         names = [n for n, _ in self.columns]
@@ -30,6 +32,10 @@ class TableSpec:
     def column_names(self) -> list[str]:
         return [n for n, _ in self.columns]
 
+    @property
+    def read_name(self) -> str:
+        return self.view[0] if self.view else self.name
+
     @property
     def schema(self) -> T.StructType:
         return T.StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in self.columns))
@@ -49,8 +55,10 @@ class TableSpec:
         return df.select(*[F.col(f"`{n}`").cast(t).alias(n) for n, t in self.columns])
 
 
-# Columns every ordered fact carries at the end: who wrote it, in which epoch, for which day.
+# Orders and lines are stored by writer, epoch and day. Readers see the day, and year, month and
+# day made from it, so that a filter on any of them prunes partitions.
 _WRITE_KEYS = (("stream_id", "STRING"), ("epoch", "BIGINT"), ("order_date", "DATE"))
+_DAY_COLUMNS = ("year(order_date) AS year", "month(order_date) AS month", "day(order_date) AS day", "order_date")
 
 PRODUCTS = TableSpec(
     "products",
@@ -59,18 +67,19 @@ PRODUCTS = TableSpec(
     required=("product_id",),
 )
 ORDERS = TableSpec(
-    "orders",
-    (("order_id", "STRING"), ("customer_id", "STRING"), ("amount", "DOUBLE"), ("timestamp", "TIMESTAMP"),
-     ("year", "INT"), ("month", "INT"), ("day", "INT"), *_WRITE_KEYS),
+    "orders_stored",
+    (("order_id", "STRING"), ("customer_id", "STRING"), ("amount", "DOUBLE"), ("timestamp", "TIMESTAMP"), *_WRITE_KEYS),
     partition=("stream_id", "epoch", "order_date"),
     required=("order_id", "customer_id", "timestamp"),
+    view=("orders", ("order_id", "customer_id", "amount", "timestamp", *_DAY_COLUMNS)),
 )
 ORDER_LINES = TableSpec(
-    "order_lines",
+    "order_lines_stored",
     (("order_id", "STRING"), ("product_id", "STRING"), ("price", "DOUBLE"), ("volume", "INT"),
-     ("timestamp", "TIMESTAMP"), ("year", "INT"), ("month", "INT"), ("day", "INT"), *_WRITE_KEYS),
+     ("timestamp", "TIMESTAMP"), *_WRITE_KEYS),
     partition=("stream_id", "epoch", "order_date"),
     required=("order_id", "product_id"),
+    view=("order_lines", ("order_id", "product_id", "price", "volume", "timestamp", *_DAY_COLUMNS)),
 )
 CUSTOMERS = TableSpec(
     "customers",

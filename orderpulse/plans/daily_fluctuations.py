@@ -23,7 +23,7 @@ from orderpulse.sources.batch import read_table
 
 logger = logging.getLogger(__name__)
 
-# `order_date` is the partition column, so a day range prunes files.
+# `order_date` is a partition column, so a range of days prunes files.
 WAREHOUSE_ORDERS = Facts(member="customer_id", moment="order_date", amount="amount")
 
 
@@ -33,7 +33,7 @@ def compute(spark: SparkSession, database: str, as_of: date, k: int = TOP_K) ->
                      read_table(spark, database, INDUSTRIES.name))
     # The cheap count of customers first: if they are too many, so is the dimension.
     small = fits(customers.select("customer_id")) and fits(dim)
-    return top_fluctuations(read_table(spark, database, ORDERS.name), dim, as_of, k=k,
+    return top_fluctuations(read_table(spark, database, ORDERS.read_name), dim, as_of, k=k,
                             cols=WAREHOUSE_ORDERS, dim_fits=small)
 
 
@@ -42,8 +42,9 @@ def run(spark: SparkSession, database: str, root: str, as_of: date, k: int = TOP
     ensure_tables(spark, database, root, [FLUCTUATIONS])
     top = compute(spark, database, as_of, k).persist()
     try:
-        overwrite_partition(top, FLUCTUATIONS, database, {"aggregation_date": as_of})
+        # At most k rows; computed before the stored day is touched.
         lines = [row.line for row in report(top).orderBy("rank").collect()]
+        overwrite_partition(top, FLUCTUATIONS, database, {"aggregation_date": as_of})
     finally:
         top.unpersist()
     for line in lines:

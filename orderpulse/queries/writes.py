@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 from datetime import date, timedelta
 from functools import reduce
 
@@ -15,7 +16,8 @@ from orderpulse.operators.bridge import build_bridge, merge_bridge
 from orderpulse.operators.fluctuation import top_fluctuations
 from orderpulse.operators.tables import ensure_tables
 from orderpulse.operators.tables import schema_violations as violations
-from orderpulse.plans.initial_load import Target, load_all, standard_sources
+from orderpulse.plans import daily_fluctuations
+from orderpulse.plans.initial_load import SourceSpec, Target, load_all, standard_sources
 from orderpulse.queries.comparison import fluctuation_ctes
 from orderpulse.queries.dimensions import UNION_BRIDGE
 from orderpulse.queries.inputs import (AS_OF, CUSTOMERS_RAW, ORDER_FACTS, PRODUCTS_RAW, SEGMENT_ROWS, TARGET_DAY,
@@ -123,6 +125,11 @@ def sink_raw_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         "offset", "v.event_type", F.col("v.value").alias("amount"), "ingest_date")
 
 
+def raw_sources(spark: SparkSession, sf_dir: str) -> list[SourceSpec]:
+    paths = {"Customers": customer_csv, "Industries": industry_csv, "Orders": order_files, "Products": product_csv}
+    return [replace(s, path=paths[s.path.rsplit("/", 1)[1]](spark, sf_dir)) for s in standard_sources("")]
+
+
 @query(f"""
 WITH c AS ({CUSTOMERS_RAW})
 SELECT 'customers' AS table_name, count(*) AS n_rows FROM c
@@ -136,12 +143,7 @@ UNION ALL SELECT 'products', count(*) FROM part
 def initial_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four raw inputs to six tables, with the number of rows in each."""
     to = new_database(spark)
-    paths = {"Customers": customer_csv, "Industries": industry_csv, "Orders": order_files, "Products": product_csv}
-    sources = [
-        type(s)(paths[s.path.rsplit("/", 1)[1]](spark, sf_dir), s.format, s.schema, s.tables, s.load)
-        for s in standard_sources("")
-    ]
-    load_all(spark, sources, to, full_refresh=True)
+    load_all(spark, raw_sources(spark, sf_dir), to, full_refresh=True)
     counts = [
         read_table(spark, to.database, name).agg(
             F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
@@ -150,6 +152,27 @@ def initial_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+LAST_DAY = date(2024, 1, 30)
+
+
+@query(f"""
+WITH c AS ({CUSTOMERS_RAW}),
+bridge AS (SELECT DISTINCT company_name, unnest(string_split(specialized_industries, ';')) AS industry FROM c),
+dims AS (SELECT DISTINCT customer_id, industry FROM c JOIN bridge USING (company_name)),
+{fluctuation_ctes('''
+SELECT dims.industry, CAST(ts AS DATE) AS d, CAST(value AS DECIMAL(18,2)) AS v
+FROM events JOIN dims ON CAST(user_id AS VARCHAR) = dims.customer_id
+''', LAST_DAY)}
+SELECT DATE '{LAST_DAY}' AS aggregation_date, * FROM ranked WHERE rank <= 3
+""")
+def daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw files to tables, tables to the customer-industry dimension, and the day's stored result."""
+    to = new_database(spark)
+    load_all(spark, raw_sources(spark, sf_dir), to)
+    daily_fluctuations.run(spark, to.database, to.root, LAST_DAY)
+    return read_table(spark, to.database, "fluctuations")
+
+
 CHECKED_ORDERS = model.TableSpec(
     "checked_orders",
     (("o_orderkey", "BIGINT"), ("o_totalprice", "DOUBLE"), ("o_orderdate", "DATE"), ("o_orderpriority", "INT"),

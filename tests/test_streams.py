@@ -32,8 +32,8 @@ def run(spark, to, folder, checkpoint, **options):
 
 
 def tables(spark, to):
-    return (rows(read_table(spark, to.database, "orders").select("order_id", "epoch", "order_date")),
-            rows(read_table(spark, to.database, "order_lines").select("order_id", "product_id", "epoch")),
+    return (rows(read_table(spark, to.database, model.ORDERS.name).select("order_id", "epoch", "order_date")),
+            rows(read_table(spark, to.database, model.ORDER_LINES.name).select("order_id", "product_id", "epoch")),
             rows(read_table(spark, to.database, "order_rejects").select("value", "epoch")))
 
 
@@ -60,7 +60,7 @@ def test_replay_after_partial_write(spark, target):
     to = target(*STREAM_TABLES)
     batch = messages(spark, ("a", "2024-01-01", 1))
     store_silver(batch, 0, to.database, "s")
-    spark.sql(f"ALTER TABLE {to.database}.order_lines DROP PARTITION "
+    spark.sql(f"ALTER TABLE {to.database}.order_lines_stored DROP PARTITION "
               "(stream_id = 's', epoch = 0, order_date = DATE'2024-01-01')")
     assert read_table(spark, to.database, "order_lines").count() == 0
     store_silver(batch, 0, to.database, "s")
@@ -91,8 +91,8 @@ def test_many_small_batches_equal_one(spark, target, tmp_path):
         folder = tmp_path / f"in{files}"
         messages(spark, *orders).repartition(files).write.parquet(str(folder))
         run(spark, to, folder, tmp_path / f"checkpoint{files}")
-        results.append([rows(read_table(spark, to.database, t.name).drop("epoch")) for t in STREAM_TABLES])
-        assert read_table(spark, to.database, "orders").select("epoch").distinct().count() == files
+        results.append([rows(read_table(spark, to.database, t.read_name).drop("epoch")) for t in STREAM_TABLES])
+        assert read_table(spark, to.database, model.ORDERS.name).select("epoch").distinct().count() == files
     assert results[0] == results[1]
 
 

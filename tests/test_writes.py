@@ -148,7 +148,7 @@ def test_bulk_load_then_daily_job(spark, target, tmp_path, monkeypatch):
     rejects = rows(read_table(spark, to.database, "order_rejects").select("value"))
     assert rejects == [("not json",), ('{"customer_id":"no id"}',)]
     assert not [t.name for t in spark.catalog.listTables(to.database) if "staged" in t.name]
-    counts = {s.name: read_table(spark, to.database, s.name).count() for s in model.WAREHOUSE if s.name != "fluctuations"}
+    counts = {s.read_name: read_table(spark, to.database, s.read_name).count() for s in model.WAREHOUSE if s.name != "fluctuations"}
     assert counts == {"products": 1, "orders": 5, "order_lines": 5, "customers": 3, "companies": 4, "industries": 3}
     for _ in range(2):
         lines = daily_fluctuations.run(spark, to.database, to.root, date(2023, 8, 4))
@@ -161,6 +161,12 @@ def test_bulk_load_then_daily_job(spark, target, tmp_path, monkeypatch):
     daily = daily_fluctuations.compute(spark, to.database, date(2023, 8, 4))
     plan = daily._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(order_date" in plan
+    orders = read_table(spark, to.database, "orders")
+    assert orders.columns == ["order_id", "customer_id", "amount", "timestamp", "year", "month", "day", "order_date"]
+    one_day = orders.filter("year = 2023 AND month = 8 AND day = 4")
+    assert rows(one_day.select("order_id")) == [("0",), ("4",)]
+    scan = next(line for line in one_day._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line)
+    assert "DataFilters: []" in scan and "(year(order_date" in scan
 
 
 def test_shared_folder_comes_from_the_session():
