@@ -23,7 +23,7 @@ HEADLINE = (
     "fluctuations_backfill", "rank_all", "daily_sum", "orders_with_entity", "filter_trailing_window",
     "company_bridge_initial", "bridge_union_distinct", "customer_industry_dim", "distinct_dim", "merge_upsert",
     "order_json_roundtrip", "scan_table", "sink_append_partitioned", "sink_partition_overwrite",
-    "initial_load_counts", "stream_orders_silver", "stream_customers_upsert",
+    "initial_load_counts", "daily_job", "stream_orders_silver", "stream_customers_upsert",
 )
 
 

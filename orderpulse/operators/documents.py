@@ -34,12 +34,17 @@ def order_rows(parsed: DataFrame) -> DataFrame:
 
 
 def order_line_rows(parsed: DataFrame) -> DataFrame:
-    """One row per line of each document; none for a document without lines."""
+    """One row per line of each document; none for a document without lines.
+
+    Conditions on the document itself would be pushed below the parser and parse the text
+    once more for each, so they are put as one on the position, which only exists afterwards.
+    """
+    lines = F.when(F.col("order_id").isNotNull(), F.col("order_lines"))
     return (
-        parsed.filter(F.col("order_id").isNotNull())
-        .select("order_id", "timestamp", F.inline("order_lines"))
+        parsed.select("order_id", "timestamp", F.posexplode_outer(lines).alias("position", "line"))
+        .filter(F.col("position").isNotNull())
         .select(
-            "order_id", "product_id", "price", "volume", "timestamp", *date_parts(F.col("timestamp")),
+            "order_id", "line.product_id", "line.price", "line.volume", "timestamp", *date_parts(F.col("timestamp")),
             F.to_date("timestamp").alias("order_date"),
         )
     )

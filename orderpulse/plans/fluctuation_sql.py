@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame
 
 from orderpulse.functions.dates import trailing_bounds
 
+# Industries without customers have no orders to compare, so inner joins lose nothing; unlike outer
+# ones they can broadcast the few industries and split a company that many customers share.
 # {orders}: customer_id, moment, amount; {customers}, {companies}, {industries} as in the model.
 FLUCTUATION_SQL = """
 WITH dims AS (
   SELECT DISTINCT customers.customer_id, industries.industry
   FROM {industries} AS industries
-  LEFT JOIN {companies} AS companies ON companies.industry = industries.industry
-  LEFT JOIN {customers} AS customers ON customers.company_name = companies.company_name
+  JOIN {companies} AS companies ON companies.industry = industries.industry
+  JOIN {customers} AS customers ON customers.company_name = companies.company_name
 ),
 member_days AS (
   SELECT customer_id, CAST(moment AS DATE) AS date, SUM(CAST(amount AS DECIMAL(18,2))) AS amount

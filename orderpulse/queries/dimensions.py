@@ -81,13 +81,25 @@ SELECT DISTINCT cu.customer_id, ind.industry FROM ind
 LEFT JOIN co ON ind.industry = co.industry LEFT JOIN cu ON co.company_name = cu.company_name
 """)
 def customer_industry_dim_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Left joins from the industries on, in SQL."""
+    """Left joins from the industries on, in SQL.
+
+    Each is written as matches plus rows without match: a left join can neither broadcast the
+    few industries nor split a company that many customers share, an inner join can do both.
+    """
     return spark.sql(
         """
-        SELECT DISTINCT customers.customer_id, industries.industry
-        FROM {industries} AS industries
-        LEFT JOIN {companies} AS companies ON companies.industry = industries.industry
-        LEFT JOIN {customers} AS customers ON customers.company_name = companies.company_name
+        WITH classified AS (
+          SELECT companies.company_name, industries.industry
+          FROM {industries} AS industries JOIN {companies} AS companies ON companies.industry = industries.industry
+        )
+        SELECT customers.customer_id, classified.industry
+        FROM classified JOIN {customers} AS customers ON customers.company_name = classified.company_name
+        UNION
+        SELECT NULL, industry FROM classified
+        WHERE NOT EXISTS (SELECT 1 FROM {customers} AS customers WHERE customers.company_name = classified.company_name)
+        UNION
+        SELECT NULL, industry FROM {industries} AS industries
+        WHERE NOT EXISTS (SELECT 1 FROM {companies} AS companies WHERE companies.industry = industries.industry)
         """,
         industries=chain_industries(spark, sf_dir), companies=chain_companies(spark, sf_dir),
         customers=chain_customers(spark, sf_dir))

@@ -98,14 +98,15 @@ SELECT o_orderkey, start_date, end_date FROM orders CROSS JOIN t
 WHERE CAST(o_orderdate AS DATE) BETWEEN start_date AND end_date
 """)
 def param_cross_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parameters as a table of exactly one row; its values fold into the scan's filter."""
-    params = spark.range(1).select(
-        F.date_sub(F.lit(TODAY), LOOKBACK_DAYS + 1).alias("start_date"), F.date_sub(F.lit(TODAY), 2).alias("end_date"))
-    return (
-        load(spark, sf_dir, "orders").crossJoin(F.broadcast(params))
-        .filter(F.to_date("o_orderdate").between(F.col("start_date"), F.col("end_date")))
-        .select("o_orderkey", "start_date", "end_date")
-    )
+    """A one-row table of parameters, computed from the day; no join is needed to attach one row.
+
+    The values are constants of the plan and fold into the scan's filter.
+    """
+    start_date, end_date = F.date_sub(F.lit(TODAY), LOOKBACK_DAYS + 1), F.date_sub(F.lit(TODAY), 2)
+    moment = F.col("o_orderdate")
+    return load(spark, sf_dir, "orders").filter(
+        (moment >= start_date) & (moment < F.date_add(end_date, 1))
+    ).select("o_orderkey", start_date.alias("start_date"), end_date.alias("end_date"))
 
 
 @query("""

@@ -55,6 +55,18 @@ def test_backfill_ranks_with_a_limit_per_task(spark, inputs):
     assert re.search(r"WindowGroupLimit \[date#\d+\].*Partial", text) and "SinglePartition" not in text
 
 
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_no_cross_join_anywhere(spark, name):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+@pytest.mark.parametrize("name", ["customer_industry_dim_sql", "fluctuations_sql_top3"])
+def test_sql_forms_have_no_outer_join_that_could_not_be_split(spark, no_broadcast, name):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    assert not re.search(r"Join .*(LeftOuter|RightOuter|FullOuter)", text) and "NestedLoop" not in text
+
+
 @pytest.mark.parametrize("name", ["orders_with_entity", "distinct_dim", "merge_upsert", "customer_industry_dim"])
 def test_nothing_is_broadcast_unchecked(spark, no_broadcast, tiny_limits, name):
     """With every size check failing, only lists of hot keys are broadcast."""
