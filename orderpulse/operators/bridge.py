@@ -82,5 +82,5 @@ def entity_dim(customers: DataFrame, bridge: DataFrame, industries: DataFrame) -
     if fits(known):
         joined = members.join(F.broadcast(known), "company_name")
     else:
-        joined = salted_join(members.distinct(), known, "company_name")
+        joined = salted_join(members.distinct(), known, "company_name", at_most=customers.count())
     return joined.select("customer_id", "industry").distinct()

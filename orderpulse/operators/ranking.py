@@ -20,13 +20,15 @@ def top_by(df: DataFrame, k: int, size: Column, tie_break: str) -> DataFrame:
 def rank_all(df: DataFrame, size: Column, tie_break: str) -> DataFrame:
     """Rank of every row by descending `size`, then `tie_break`.
 
-    Up to SINGLE_TASK_ROWS rows one sort does it. Beyond, rows are range-partitioned by the
-    sort key and numbered within their range, after the rows of all earlier ranges. The
-    ranges are written down first, so that every reader sees the same ones.
+    `df` is computed once and kept with a checkpoint, then counted. Up to SINGLE_TASK_ROWS
+    rows one sort does it. Beyond, rows are range-partitioned by the sort key and numbered
+    within their range, after the rows of all earlier ranges; the ranges are kept too, so that
+    every reader, and every repeated task, sees the same ones.
     """
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint()
     if fits(df, max_rows=SINGLE_TASK_ROWS):
         return df.withColumn("rank", F.row_number().over(Window.orderBy(size.desc_nulls_last(), tie_break)))
-    ensure_checkpoint_dir(df.sparkSession)
     ranged = (
         df.withColumn("_size", size)
         .repartitionByRange(F.col("_size").desc_nulls_last(), F.col(tie_break).asc())

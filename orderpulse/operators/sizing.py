@@ -34,13 +34,14 @@ def fits(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = Non
         n_bytes <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
 
 
-def hot_keys(df: DataFrame, key: str) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, at_most: int | None = None) -> DataFrame:
     """Keys with more rows than one task should get, with the number of splits each needs.
 
     A hot key holds more than 1/MAX_HOT_KEYS of all rows, so at most MAX_HOT_KEYS rows
-    come out: a proven bound that makes this result safe to broadcast.
+    come out: a proven bound that makes this result safe to broadcast. `at_most` is an upper
+    bound on the rows of `df` where one is known for less than counting them.
     """
-    cut = max(ROWS_PER_SPLIT, df.count() // MAX_HOT_KEYS)
+    cut = max(ROWS_PER_SPLIT, (df.count() if at_most is None else at_most) // MAX_HOT_KEYS)
     return (
         df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > cut)
@@ -48,7 +49,8 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def salted_join(many: DataFrame, few: DataFrame, key: str, salt_by: Column | None = None) -> DataFrame:
+def salted_join(many: DataFrame, few: DataFrame, key: str, salt_by: Column | None = None,
+                at_most: int | None = None) -> DataFrame:
     """Inner join in which a hot key of `many` is spread over several tasks.
 
     Rows of `few` are repeated only for hot keys, once per split. `salt_by` tells rows of
@@ -56,7 +58,7 @@ def salted_join(many: DataFrame, few: DataFrame, key: str, salt_by: Column | Non
     rows straight from a scan pass `monotonically_increasing_id()`, which spreads copies too
     and, unlike after a shuffle, comes out the same when a lost task is run again.
     """
-    hot = F.broadcast(hot_keys(many, key))
+    hot = F.broadcast(hot_keys(many, key, at_most))
     salt_by = F.xxhash64(*[F.col(f"`{c}`") for c in many.columns]) if salt_by is None else salt_by
     spread = many.withColumn("_spread", salt_by).join(hot, key, "left").withColumn(
         "_salt", F.coalesce(F.pmod(F.col("_spread"), F.col("_splits")), F.lit(0)).cast("int")

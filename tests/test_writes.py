@@ -169,6 +169,29 @@ def test_bulk_load_then_daily_job(spark, target, tmp_path, monkeypatch):
     assert "DataFilters: []" in scan and "(year(order_date" in scan
 
 
+def test_plain_sql_over_the_tables(spark, target):
+    """Queries that name tables in the current database and filter on day parts."""
+    to = target(*model.WAREHOUSE)
+    moment = F.to_timestamp(F.lit("2023-08-04 10:00:00"))
+    orders = spark.createDataFrame([("o1", "c1", 5.0), ("o2", "c2", 7.0)], "order_id string, customer_id string, amount double")
+    sinks.overwrite_partition(orders.select("*", moment.alias("timestamp"), F.to_date(moment).alias("order_date")),
+                              model.ORDERS, to.database, {"stream_id": "s", "epoch": 0})
+    sinks.replace_table(spark.createDataFrame([("c1", "acme", D1), ("c2", "bolt", D1)], model.CUSTOMERS.schema),
+                        model.CUSTOMERS, to.database)
+    sinks.replace_table(spark.createDataFrame([("acme", "P", D1), ("acme", "Q", D1), ("bolt", "Q", D1)], model.COMPANIES.schema),
+                        model.COMPANIES, to.database)
+    current = spark.catalog.currentDatabase()
+    spark.sql(f"USE {to.database}")
+    try:
+        result = spark.sql("""
+            SELECT industry, sum(amount) AS total
+            FROM orders JOIN customers USING (customer_id) JOIN companies USING (company_name)
+            WHERE year = 2023 AND month = 8 AND day = 4 GROUP BY industry""")
+        assert rows(result) == [("P", 5.0), ("Q", 12.0)]
+    finally:
+        spark.sql(f"USE {current}")
+
+
 def test_shared_folder_comes_from_the_session():
     class Conf:
         def __init__(self, value):
