@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderpulse.functions.values import LIST_SEPARATOR, list_items
@@ -37,9 +37,25 @@ def build_bridge(companies: DataFrame, list_column: str = "specialized_industrie
     return pairs.unionByName(unclassified)
 
 
-def merge_bridge(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Union of both without repeats. Pairs are only ever added, unclassified companies go."""
-    return existing.select(BRIDGE).unionByName(incoming.select(BRIDGE)).filter(F.col("industry").isNotNull()).distinct()
+def merge_bridge(existing: DataFrame, incoming: DataFrame, existing_distinct: bool = False) -> DataFrame:
+    """Union of both without repeats. Pairs are only ever added, unclassified companies go.
+
+    If `existing` has no repeats, as a stored bridge has none, and few pairs come in, only the
+    new ones are looked for and `existing` is not shuffled.
+    """
+    classified = F.col("industry").isNotNull()
+    existing, incoming = existing.select(BRIDGE).filter(classified), incoming.select(BRIDGE).filter(classified)
+    if not (existing_distinct and fits(incoming)):
+        return existing.unionByName(incoming).distinct()
+    pairs = incoming.distinct()
+    known = existing.alias("l").join(F.broadcast(pairs.alias("r")), _same_pair(), "left_semi")
+    added = pairs.alias("l").join(F.broadcast(known.alias("r")), _same_pair(), "left_anti")
+    return existing.unionByName(added)
+
+
+def _same_pair() -> Column:
+    """Equal pairs of `l` and `r`; companies without a name are the same one, as in `distinct`."""
+    return F.col("l.company_name").eqNullSafe(F.col("r.company_name")) & (F.col("l.industry") == F.col("r.industry"))
 
 
 def industry_lists(bridge: DataFrame) -> DataFrame:

@@ -16,7 +16,10 @@ from orderpulse.sources.batch import read_table
 
 
 def store_customers(batch: DataFrame, database: str, ingest_date: date | None = None) -> None:
-    """Apply one batch. Applying it again changes nothing, so a replay is harmless."""
+    """Apply one batch. Applying it again changes nothing, so a replay is harmless.
+
+    The exception is rows without a customer id: they match nothing and are added each time.
+    """
     if batch.isEmpty():
         return
     spark = batch.sparkSession
@@ -26,7 +29,7 @@ def store_customers(batch: DataFrame, database: str, ingest_date: date | None =
         incoming = batch.select("customer_id", "company_name", today.alias("ingest_date")).distinct()
         merged = merge_upsert(read_table(spark, database, CUSTOMERS.name), incoming, "customer_id", "company_name")
         replace_table(merged, CUSTOMERS, database)
-        bridge = merge_bridge(read_table(spark, database, COMPANIES.name), build_bridge(batch))
+        bridge = merge_bridge(read_table(spark, database, COMPANIES.name), build_bridge(batch), existing_distinct=True)
         replace_table(bridge.withColumn("ingest_date", today), COMPANIES, database)
     finally:
         batch.unpersist()

@@ -33,6 +33,18 @@ def test_incremental_bridge(spark):
     assert rows(merge_bridge(merged, build_bridge(raw))) == rows(merged)
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_merge_into_distinct_bridge_equals_union_distinct(spark, monkeypatch, small):
+    from orderpulse.operators import sizing
+    if not small:
+        monkeypatch.setattr(sizing, "BROADCAST_ROWS", 0)
+    existing = spark.createDataFrame([("A", "x"), ("A", "y"), (None, "x"), ("B", None)], PAIRS)
+    incoming = spark.createDataFrame([("A", "y"), ("A", "z"), (None, "x"), (None, "w"), ("A", "z"), ("C", None)], PAIRS)
+    expected = [(None, "w"), (None, "x"), ("A", "x"), ("A", "y"), ("A", "z")]
+    assert rows(merge_bridge(existing, incoming, existing_distinct=True)) == expected
+    assert rows(merge_bridge(existing, incoming)) == expected
+
+
 def test_lists_and_their_explosion_are_inverse(spark):
     bridge = spark.createDataFrame([("A", "y"), ("A", "x"), ("A", "x"), ("B", None), ("C", "z")], PAIRS)
     lists = industry_lists(bridge)
