@@ -37,7 +37,7 @@ def overwrite_partition(df: DataFrame, spec: TableSpec, database: str, values: d
     partition makes a rerun replace its own earlier output whatever the session's mode is.
     """
     assigned = spec.partition[: len(values)]
-    if list(values) != list(assigned):
+    if not values or list(values) != list(assigned):
         raise ValueError(f"{spec.name}: give values for {assigned} in this order")
     dynamic = list(spec.partition[len(values):])
     types = dict(spec.columns)

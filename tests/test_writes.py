@@ -83,6 +83,8 @@ def test_partition_values_follow_the_table(spark, target):
     to = target(model.ORDERS)
     with pytest.raises(ValueError, match="stream_id"):
         sinks.overwrite_partition(spark.range(1), model.ORDERS, to.database, {"epoch": 1})
+    with pytest.raises(ValueError):
+        sinks.overwrite_partition(spark.range(1), model.ORDERS, to.database, {})
 
 
 def test_append_by_name_ignores_column_order(spark, target):
