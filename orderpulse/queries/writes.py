@@ -121,8 +121,9 @@ def sink_raw_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("offset"), F.to_json(F.struct("event_type", "value")).cast("binary").alias("value"),
         F.col("ts").alias("timestamp"))
     sinks.store_raw(messages, path, "events", 0)
-    return sinks.read_raw(spark, path).select("offset", "ingest_date", F.from_json("value", "event_type STRING, value DOUBLE").alias("v")).select(
-        "offset", "v.event_type", F.col("v.value").alias("amount"), "ingest_date")
+    event = F.from_json("value", "event_type STRING, value DOUBLE").alias("event")
+    return sinks.read_raw(spark, path).select("offset", "ingest_date", event).select(
+        "offset", "event.event_type", F.col("event.value").alias("amount"), "ingest_date")
 
 
 def raw_sources(spark: SparkSession, sf_dir: str) -> list[SourceSpec]:
