@@ -62,9 +62,10 @@ def dedup_decisions(docs: DataFrame, key: str = "doc_id", text: str = "text", **
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), sha)
     suspects = kept(marked.where("__suspect").select("doc_id", sha))
-    groups = suspects.groupBy("text_sha256").agg(
-        F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    # One row per text meets the rows of that text; adaptive execution splits a text that many rows share.
+    groups = kept(suspects.groupBy("text_sha256").agg(
+        F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
+    # One row per text meets the rows of that text. Adaptive execution splits a text that many rows share, which it
+    # can't do if the sums are made in the same stage as the join.
     decided = suspects.join(groups, "text_sha256").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
     return alone.unionByName(decided.select(alone.columns))
 
