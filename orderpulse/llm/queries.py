@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderpulse.llm import bpe, decontamination, exact_dedup, licenses, sharding
+from orderpulse.llm import (bpe, chat, decontamination, exact_dedup, licenses, ngram_join, sharding,
+                            substring_dedup)
 from orderpulse.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +30,36 @@ def tokenizer() -> dict[str, str]:
     return {"ranks_path": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
 
 
+@query()
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat.with_control_case(spark, load(spark, sf_dir, "conversations"))
+    return chat.digest_conversations(chat.locate_turns(rows))
+
+
+@query("""
+WITH RECURSIVE word_lists AS (
+  SELECT doc_id, [w FOR w IN regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') IF w <> ''] AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS s
+  FROM word_lists),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b, c.n = p.n AND c.n = q.n AS same FROM common c JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE c.n * 10 >= 8 * (p.n + q.n - c.n)),
+reached AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT doc_id, b FROM reached JOIN links ON a = other)
+SELECT d.doc_id, least(d.doc_id, min(b) FILTER (WHERE same)) AS set_id,
+       (SELECT min(other) FROM reached r WHERE r.doc_id = d.doc_id) AS class_id, count(b) AS n_links
+FROM documents d LEFT JOIN links ON a = d.doc_id GROUP BY d.doc_id
+""")
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_join(load(spark, sf_dir, "documents"))
+
+
 @query("""
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -43,6 +74,25 @@ def op5_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(load(spark, sf_dir, "documents"), [1.0] * 40, [1.0] * 41)
 
 
+@query("""
+WITH word_lists AS (
+  SELECT doc_id, [w FOR w IN regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') IF w <> ''] AS w
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i + 1:i + 20], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(0, len(w) - 19)) AS i FROM word_lists)),
+repeats AS (
+  SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1),
+gone AS (SELECT doc_id, list(DISTINCT i + k) AS cut FROM repeats, range(20) AS t(k) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(cut), 0)::BIGINT AS n_removed,
+       sha256(array_to_string([x FOR x, n IN w IF cut IS NULL OR NOT list_contains(cut, n - 1)], ' ')) AS kept_sha256
+FROM word_lists LEFT JOIN gone USING (doc_id)
+""")
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(load(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query()
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = licenses.scan_licenses(load(spark, sf_dir, "documents"))
