@@ -2,50 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderpulse.llm import bloom
 from orderpulse.llm.common import kept, text_of
 
-#: Bits of the filter per row: a unique row looks repeated in about one case of 250.
-BITS_PER_ROW = 32
-#: The filter is broadcast, and never larger than this (256 MiB). Beyond 67 million rows more unique
-#: rows pass as possibly repeated and are shuffled with the rest; results stay the same.
-MAX_FILTER_BITS = 1 << 31
-#: Bits in one row of the filter, as Spark's bitmap functions have it.
-PAGE_BITS = 32_768
 
+def mark_suspects(docs: DataFrame, text: str = "text", *, bits_per_row: int = bloom.BITS_PER_ROW,
+                  max_filter_bits: int = bloom.MAX_FILTER_BITS) -> DataFrame:
+    """`docs` with `__suspect`, true for every row whose text repeats and few others.
 
-def filter_bits(rows: int, per_row: int = BITS_PER_ROW, most: int = MAX_FILTER_BITS) -> int:
-    return min(most, max(PAGE_BITS, 1 << max(0, rows * per_row - 1).bit_length()))
-
-
-def _cells(text: str, bits: int) -> list[Column]:
-    first = F.xxhash64(text_of(text))
-    return [F.pmod(first, F.lit(bits)), F.pmod(F.xxhash64(first, F.lit(1)), F.lit(bits))]
-
-
-def repeated_cells(docs: DataFrame, text: str, bits: int) -> DataFrame:
-    """First pass: pages of the filter, with a bit for each cell that was hit at least twice."""
-    cells = docs.select(F.explode(F.array(*_cells(text, bits))).alias("cell"))
-    twice = cells.groupBy("cell").count().where("count > 1")
-    return twice.groupBy(F.shiftright("cell", 15).alias("page")).agg(
-        F.bitmap_construct_agg(F.col("cell").bitwiseAND(PAGE_BITS - 1)).alias("bits"))
-
-
-def mark_suspects(docs: DataFrame, text: str = "text", *, bits_per_row: int = BITS_PER_ROW,
-                  max_filter_bits: int = MAX_FILTER_BITS) -> DataFrame:
-    """Second pass: `docs` with `__suspect`, true for every row whose text repeats and few others. No row is shuffled."""
-    bits = filter_bits(docs.count(), bits_per_row, max_filter_bits)
-    pages = kept(repeated_cells(docs, text, bits))
-    marked, hit = docs, F.lit(True)
-    for n, cell in enumerate(_cells(text, bits)):
-        page = F.broadcast(pages.select(F.col("page").alias(f"__page{n}"), F.col("bits").alias(f"__bits{n}")))
-        marked = marked.join(page, F.shiftright(cell, 15) == F.col(f"__page{n}"), "left")
-        at = cell.bitwiseAND(PAGE_BITS - 1)
-        octet = F.conv(F.hex(F.substring(F.col(f"__bits{n}"), F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10)
-        hit = hit & F.coalesce(F.getbit(octet.cast("int"), at.bitwiseAND(7).cast("int")) == 1, F.lit(False))
-    return marked.withColumn("__suspect", hit).select(*[docs[c] for c in docs.columns], "__suspect")
+    The first pass counts how often each cell of the filter is hit and sets those hit twice; the second asks
+    the filter. No row is shuffled, only cell numbers are.
+    """
+    bits, value = bloom.filter_bits(docs.count(), bits_per_row, max_filter_bits), F.xxhash64(text_of(text))
+    return bloom.marked(docs, value, bloom.pages(docs, value, bits, twice=True), bits, "__suspect")
 
 
 def dedup_decisions(docs: DataFrame, key: str = "doc_id", text: str = "text", **limits) -> DataFrame:

@@ -16,6 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderpulse.llm import bloom
 from orderpulse.llm.common import kept, short_batches, text_of
 from orderpulse.llm.words import mix, runs, whole_groups, window_hashes, word_hashes
 
@@ -25,7 +26,7 @@ NO_ID = -(1 << 63)
 @dataclass(frozen=True)
 class PassageSettings:
     """Words in a window and in the runs that minimisers are taken from; text bytes that a bucket gets on average;
-    super-k-mers that make a minimiser hot; bytes of repeated strings a task remembers; bytes of spans that may be broadcast.
+    super-k-mers that make a minimiser hot; bytes of repeated strings a task remembers.
 
     The windows of a hot minimiser go to buckets one by one, by their own hash. None of the limits changes a result.
     """
@@ -35,7 +36,6 @@ class PassageSettings:
     bucket_bytes: int = 32 << 20
     hot: int = 50_000
     remembered_bytes: int = 16 << 20
-    broadcast_bytes: int = 16 << 20
 
 
 def minimisers(hashes: np.ndarray, window: int, run: int) -> np.ndarray:
@@ -49,7 +49,7 @@ def minimisers(hashes: np.ndarray, window: int, run: int) -> np.ndarray:
 
 def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"),
-                       F.xxhash64(text_of(text)).alias("print"), text_of(text).alias("text"))
+                       F.hash(text_of(text)).alias("print"), text_of(text).alias("text"))
 
 
 def hot_minimisers(rows: DataFrame, settings: PassageSettings) -> tuple[np.ndarray, int]:
@@ -80,10 +80,18 @@ def hot_minimisers(rows: DataFrame, settings: PassageSettings) -> tuple[np.ndarr
 PACKED = "bucket long, packed binary, removed binary"
 
 
-def _pack(entries: list[tuple[bytes, tuple[int, int, int]]], window: int) -> bytes:
+def _pack(entries: list[tuple[bytes, tuple[int, int, int]]]) -> bytes:
+    """Super-k-mers of a bucket in one compressed string: count, steps between ids, starts, text hashes, strings."""
     ids, prints, starts = (np.array([k[n] for _, k in entries], np.int64) for n in range(3))
-    text = b"\n".join(s for s, _ in entries)
-    return zstandard.compress(np.int64(len(entries)).tobytes() + ids.tobytes() + prints.tobytes() + starts.tobytes() + text, 3)
+    head = [np.int64(len(entries)), np.diff(ids, prepend=0), starts.astype(np.int32), prints.astype(np.int32)]
+    return zstandard.compress(b"".join(x.tobytes() for x in head) + b"\n".join(s for s, _ in entries), 3)
+
+
+def _unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
+    raw = zstandard.decompress(packed)
+    count = int(np.frombuffer(raw, np.int64, 1)[0])
+    starts, prints = np.frombuffer(raw, np.int32, 2 * count, 8 + 8 * count).reshape(2, count).astype(np.int64)
+    return np.cumsum(np.frombuffer(raw, np.int64, count, 8)), prints, starts, raw[8 + 16 * count:]
 
 
 def super_kmers(rows: DataFrame, settings: PassageSettings, hot: np.ndarray, buckets: int) -> DataFrame:
@@ -148,13 +156,13 @@ def super_kmers(rows: DataFrame, settings: PassageSettings, hot: np.ndarray, buc
             gone = np.array(removed, np.int64).tobytes()
             if not by_bucket and gone:
                 by_bucket[0] = []
-            yield pd.DataFrame([(b, _pack(entries, window), gone if n == 0 else b"") for n, (b, entries) in enumerate(by_bucket.items())],
+            yield pd.DataFrame([(b, _pack(entries), gone if n == 0 else b"") for n, (b, entries) in enumerate(by_bucket.items())],
                                columns=["bucket", "packed", "removed"])
 
     return rows.mapInPandas(packed, PACKED)
 
 
-SPANS = "id long, print long, start long, stop long"
+SPANS = "id long, print int, start long, stop long"
 
 
 def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -179,13 +187,10 @@ def repeated_windows(packed: DataFrame, settings: PassageSettings) -> DataFrame:
             for low, high in zip(edges[:-1], edges[1:], strict=True):
                 texts, parts = [], []
                 for number, blob in enumerate(frame["packed"].iloc[low:high]):
-                    raw = zstandard.decompress(blob)
-                    count = int(np.frombuffer(raw, np.int64, 1)[0])
-                    if not count:
-                        texts.append(b"")
+                    ids, prints, starts, text = _unpack(blob)
+                    texts.append(text)
+                    if not len(ids):
                         continue
-                    ids, prints, starts = np.frombuffer(raw, np.int64, 3 * count, 8).reshape(3, count)
-                    text = raw[8 + 24 * count:]
                     octets = np.frombuffer(text, np.uint8)
                     if len(octets) > len(powers):
                         powers, inverses = _powers(len(octets) * 2)
@@ -195,11 +200,10 @@ def repeated_windows(packed: DataFrame, settings: PassageSettings) -> DataFrame:
                     first_word = np.append(0, np.searchsorted(gaps, gaps[octets[gaps] == 10]) + 1)
                     n_words = np.diff(np.append(first_word, len(begins)))
                     n_windows = n_words - window + 1
-                    owner = np.repeat(np.arange(count), n_windows)
+                    owner = np.repeat(np.arange(len(ids)), n_windows)
                     nth = np.arange(len(owner)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
                     word = first_word[owner] + nth
                     begin, stop = begins[word], stops[word + window - 1]
-                    texts.append(text)
                     parts.append((mix((total[stop] - total[begin]) * inverses[begin]), ids[owner], prints[owner],
                                   starts[owner] + nth, np.full(len(owner), number), begin, stop))
                 if not parts:
@@ -260,8 +264,11 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text",
     spans = repeated_windows(packed, settings).groupBy("id", "print").agg(
         F.collect_list(F.struct("start", "stop")).alias("spans"))  # a document's spans are fewer than its words
     spans = kept(spans)
-    small = (spans.agg(F.sum(F.size("spans") * 24 + 64)).first()[0] or 0) <= settings.broadcast_bytes
-    joined = rows.join(F.broadcast(spans) if small else spans, ["id", "print"], "left").select(
+    # Only documents with spans need to meet them; a filter spares most of the others the shuffle.
+    bits, value = bloom.filter_bits(spans.count()), F.xxhash64("id", "print")
+    marked = bloom.marked(rows, value, bloom.pages(spans, value, bits), bits, "some")
+    met = marked.where("some").drop("some").join(spans, ["id", "print"], "left")
+    joined = met.unionByName(marked.where("NOT some").drop("some"), allowMissingColumns=True).select(
         "id", "text", F.transform("spans", lambda s: s["start"]).alias("starts"),
         F.transform("spans", lambda s: s["stop"]).alias("stops"))
 
