@@ -73,12 +73,13 @@ def minhash(shingles: np.ndarray, values: int) -> np.ndarray:
     return mix(least)
 
 
-SKETCH = "doc_id long, node long, signature binary, bands array<long>"
+SKETCH = "doc_id long, text_hash long, node long, signature binary, bands array<long>"
 
 
 def sketch(docs: DataFrame, settings: JoinSettings, key: str, text: str) -> DataFrame:
     """Per document: `node`, a hash of its shingle set (null without words), 16 bits of each MinHash value, and band keys."""
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_of(text).alias("text"))
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text_of(text)).alias("text_hash"),
+                       text_of(text).alias("text"))
 
     def sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         salt = mix(np.arange(settings.bands, dtype=np.uint64))
@@ -96,7 +97,7 @@ def sketch(docs: DataFrame, settings: JoinSettings, key: str, text: str) -> Data
                 nodes.append(int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).astype(np.int64)))
                 signatures.append((least & np.uint64(0xFFFF)).astype("<u2").tobytes())
                 bands.append(key_of_band.astype(np.int64))
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "node": pd.array(nodes, "Int64"),
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "text_hash": batch["text_hash"], "node": pd.array(nodes, "Int64"),
                                 "signature": pd.Series(signatures, dtype=object, index=batch.index),
                                 "bands": pd.Series(bands, dtype=object, index=batch.index)})
 
@@ -247,7 +248,7 @@ def shingled(docs: DataFrame, settings: JoinSettings) -> DataFrame:
 
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text",
                  settings: JoinSettings = JoinSettings()) -> DataFrame:
-    """One row per document: doc_id, set_id, class_id, n_links.
+    """One row per document: doc_id, text_hash, set_id, class_id, n_links.
 
     `n_links` counts the other documents whose shingle sets have at least the threshold's Jaccard similarity; copies of a
     set count one by one. `set_id` is the least id among documents of the same set, `class_id` the least id among all that
@@ -281,15 +282,17 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text",
     rooted = kept(rooted)
     named = rooted.join(rooted.groupBy("root").agg(F.min("set_id").alias("class_id")), "root").select(
         "node", "set_id", "class_id", "n_links")
-    with_words = sketches.where("node IS NOT NULL").join(kept(named), "node").select("doc_id", "set_id", "class_id", "n_links")
+    with_words = sketches.where("node IS NOT NULL").join(kept(named), "node").select(
+        "doc_id", "text_hash", "set_id", "class_id", "n_links")
     return with_words.unionByName(sketches.where("node IS NULL").select(
-        "doc_id", F.col("doc_id").alias("set_id"), F.col("doc_id").alias("class_id"),
+        "doc_id", "text_hash", F.col("doc_id").alias("set_id"), F.col("doc_id").alias("class_id"),
         F.lit(0).cast("long").alias("n_links")))
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
                          settings: JoinSettings = JoinSettings()) -> DataFrame:
-    """`docs`, same columns, with the rows whose id is the least of their class; rows without id stay."""
+    """`docs`, same columns, with the row of least id of each class; rows without id stay, and so do repeats of that row."""
     gone = kept(jaccard_join(docs, key, text, settings).where("doc_id <> class_id")
-                .select(F.col("doc_id").alias("__id")).distinct())
-    return docs.join(small(gone), docs[key].cast("long") == F.col("__id"), "left_anti")
+                .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct())
+    return docs.join(small(gone), (docs[key].cast("long") == F.col("__id")) & (F.xxhash64(text_of(text)) == F.col("__hash")),
+                     "left_anti")

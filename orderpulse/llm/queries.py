@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderpulse.llm import (bpe, chat, decontamination, exact_dedup, licenses, ngram_join, sharding,
-                            substring_dedup)
+from orderpulse.llm import (bpe, chat, decontamination, exact_dedup, licenses, ngram_join, quality, sharding,
+                            substring_dedup, toxicity)
 from orderpulse.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,7 +57,7 @@ SELECT d.doc_id, least(d.doc_id, min(b) FILTER (WHERE same)) AS set_id,
 FROM documents d LEFT JOIN links ON a = d.doc_id GROUP BY d.doc_id
 """)
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.jaccard_join(load(spark, sf_dir, "documents"))
+    return ngram_join.jaccard_join(load(spark, sf_dir, "documents")).drop("text_hash")
 
 
 @query("""
@@ -69,6 +69,14 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_decisions(load(spark, sf_dir, "documents"))
 
 
+@query()
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = load(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = toxicity.fit_toxicity(docs, load(spark, sf_dir, "labels").where(~held_out))
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query()
 def op5_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(load(spark, sf_dir, "documents"), [1.0] * 40, [1.0] * 41)
@@ -93,6 +101,14 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query()
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    model = quality.fit_quality(docs, quality.grades_of_labels(load(spark, sf_dir, "labels")), levels=3)
+    return quality.grade_documents(docs, model).select(
+        "doc_id", "expected_grade", F.col("tails")[0].alias("p_good"), F.col("tails")[1].alias("p_best"), "selected")
+
+
 @query()
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = licenses.scan_licenses(load(spark, sf_dir, "documents"))

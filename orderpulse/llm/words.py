@@ -72,3 +72,26 @@ def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[t
     if held:
         frame = pd.concat(held, ignore_index=True)
         yield frame, runs(*[frame[k].to_numpy() for k in keys])
+
+
+class WordTable:
+    """What `describe` says about a word, as rows of a table; words are remembered up to `most` at a time."""
+
+    def __init__(self, describe, width: int, dtype, most: int = 200_000):
+        self.describe, self.known = describe, {}
+        self.rows = np.zeros((most, width), dtype)
+
+    def _number(self, word) -> int:
+        n = self.known.get(word)
+        if n is None:
+            n = self.known[word] = len(self.known)
+            self.rows[n] = self.describe(word)
+        return n
+
+    def numbers(self, words: list) -> np.ndarray:
+        """Row numbers of the words; they hold until the next call."""
+        if len(self.known) + len(words) > len(self.rows):
+            self.known.clear()
+            if len(words) > len(self.rows):
+                self.rows = np.zeros((2 * len(words), self.rows.shape[1]), self.rows.dtype)
+        return np.fromiter(map(self._number, words), np.int64, len(words))
