@@ -20,7 +20,7 @@ from orderpulse.llm.common import short_batches, worker_cache
 
 #: Characters of text whose pieces are looked at together, distinct pieces a worker remembers, and the widest
 #: matrix row. Longer pieces (runs without a break) merge by a heap, as rounds would cost their length squared.
-CHUNK_CHARS, KNOWN_PIECES, WIDEST = 1 << 20, 400_000, 1_024
+CHUNK_CHARS, KNOWN_PIECES, WIDEST = 1 << 20, 250_000, 1_024
 _NONE = np.int32(np.iinfo(np.int32).max)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -75,12 +75,12 @@ class PairTable:
 
 
 class Encoder:
-    """Encodes and decodes with one vocabulary."""
+    """Encodes with one vocabulary."""
 
     def __init__(self, tokens: list[bytes], pattern: str):
         import regex
 
-        self.tokens, self.pairs = tokens, PairTable(tokens)
+        self.pairs = PairTable(tokens)
         self.pieces = regex.compile(pattern).findall
         single = {t[0]: n for n, t in enumerate(tokens) if len(t) == 1}
         self.single = np.array([single.get(b, -1) for b in range(256)], np.int32)
@@ -192,9 +192,6 @@ class Encoder:
                 part, chars = [], 0
         return out
 
-    def decode(self, packed: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(packed, "<u4").tolist()))
-
 
 def encoder_of(shared, name: str, pattern: str) -> Encoder:
     """The worker's encoder; a worker builds one for each vocabulary."""
@@ -230,16 +227,16 @@ def encode_column(docs: DataFrame, ranks_path: str, pattern: str, text: str = "t
     return docs.withColumn(out, packed(F.col(text)))
 
 
-def decode_column(docs: DataFrame, ranks_path: str, pattern: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
+def decode_column(docs: DataFrame, ranks_path: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
     """`docs` and the binary column `out`: the bytes that the packed ids stand for; null ids give no bytes."""
     short_batches(docs.sparkSession)
-    shared, name = share_ranks(docs.sparkSession, ranks_path)
+    shared, _ = share_ranks(docs.sparkSession, ranks_path)
 
     @F.pandas_udf("binary")
     def unpacked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = encoder_of(shared, name, pattern)
+        token = shared.value.__getitem__
         for values in batches:
-            yield pd.Series([encoder.decode(v) if v is not None else b"" for v in values], dtype=object)
+            yield pd.Series([b"".join(map(token, np.frombuffer(v or b"", "<u4").tolist())) for v in values], dtype=object)
 
     return docs.withColumn(out, unpacked(F.col(ids)))
 
