@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderpulse.llm.common import short_batches
+from orderpulse.llm.common import short_batches, worker_cache
 
 Turn = tuple[str, str]  # role, text
 
@@ -41,8 +41,16 @@ _ESCAPED = re.compile("|".join([re.escape("\\"), *[f"(?<={re.escape(c[0])}){re.e
 
 
 def escape(text: str) -> str:
-    """No control string is left: a backslash stands before each backslash and behind the first character of a control."""
-    return _ESCAPED.sub(lambda m: "\\" + m[0], text)
+    """No control string is left: a backslash stands before each backslash and behind the first character of a control.
+
+    The last few texts are remembered, as the prefixes of a conversation repeat them.
+    """
+    known = worker_cache("escaped")
+    if text not in known:
+        if len(known) >= 8 * WINDOW:
+            known.clear()
+        known[text] = _ESCAPED.sub(lambda m: "\\" + m[0], text)
+    return known[text]
 
 
 def unescape(text: str) -> str:
@@ -102,7 +110,7 @@ class Spans:
             self._slide()
         template, before = self.template, self.last
         after = template.render([*self.turns, turn])
-        shared = self._common(before, after)
+        shared = len(before) if after.startswith(before) else self._common(before, after)
         rewrites = shared < len(before)
         piece, start = after[shared:], self.length - (len(before) - shared)
         empty = template.render([*self.turns, (turn[0], "")])
