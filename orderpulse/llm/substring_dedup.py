@@ -33,7 +33,7 @@ class PassageSettings:
 
     window: int = 20
     run: int = 4
-    bucket_bytes: int = 32 << 20
+    bucket_bytes: int = 16 << 20
     hot: int = 50_000
     remembered_bytes: int = 16 << 20
 
@@ -90,7 +90,7 @@ def _pack(entries: list[tuple[bytes, tuple[int, int, int]]]) -> bytes:
 def _unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
     raw = zstandard.decompress(packed)
     count = int(np.frombuffer(raw, np.int64, 1)[0])
-    starts, prints = np.frombuffer(raw, np.int32, 2 * count, 8 + 8 * count).reshape(2, count).astype(np.int64)
+    starts, prints = np.frombuffer(raw, np.int32, 2 * count, 8 + 8 * count).reshape(2, count)
     return np.cumsum(np.frombuffer(raw, np.int64, count, 8)), prints, starts, raw[8 + 16 * count:]
 
 
@@ -200,15 +200,17 @@ def repeated_windows(packed: DataFrame, settings: PassageSettings) -> DataFrame:
                     first_word = np.append(0, np.searchsorted(gaps, gaps[octets[gaps] == 10]) + 1)
                     n_words = np.diff(np.append(first_word, len(begins)))
                     n_windows = n_words - window + 1
-                    owner = np.repeat(np.arange(len(ids)), n_windows)
-                    nth = np.arange(len(owner)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
+                    owner = np.repeat(np.arange(len(ids), dtype=np.int32), n_windows)
+                    nth = (np.arange(len(owner)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)).astype(np.int32)
                     word = first_word[owner] + nth
                     begin, stop = begins[word], stops[word + window - 1]
                     parts.append((mix((total[stop] - total[begin]) * inverses[begin]), ids[owner], prints[owner],
-                                  starts[owner] + nth, np.full(len(owner), number), begin, stop))
+                                  starts[owner] + nth, np.full(len(owner), number, np.int32),
+                                  begin.astype(np.int32), stop.astype(np.int32)))
                 if not parts:
                     continue
                 hashes, ids, prints, starts, number, begin, stop = map(np.concatenate, zip(*parts, strict=True))
+                del parts
                 order = np.argsort(hashes, kind="stable")
                 same = hashes[order][1:] == hashes[order][:-1]
                 twice = np.zeros(len(order), bool)
