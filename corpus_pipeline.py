@@ -38,8 +38,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, token_ids (packed) and the hash of the text decoded from them."""
-    encoded = bpe.encode_column(docs.select("doc_id", "lang", "source", "text"), **tokenizer()).drop("text")
-    return bpe.decode_column(encoded, tokenizer()["ranks_path"]).select(
+    return bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), **tokenizer()).select(
         "doc_id", "lang", "source", bpe.n_tokens(F.col("token_ids")).alias("n_tokens"), "token_ids",
         F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -208,6 +208,14 @@ def share_ranks(spark: SparkSession, path: str) -> tuple:
     return spark.sparkContext.broadcast(tokens), hashlib.sha256(b"\n".join(map(base64.b64encode, tokens))).hexdigest()
 
 
+def _packed(encoder: Encoder, texts: pd.Series) -> pd.Series:
+    return pd.Series(encoder.encode(texts.fillna("").tolist()), dtype=object)
+
+
+def _unpacked(tokens: list[bytes], values: pd.Series) -> pd.Series:
+    return pd.Series([b"".join(map(tokens.__getitem__, np.frombuffer(v or b"", "<u4").tolist())) for v in values], dtype=object)
+
+
 def encode_column(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", out: str = "token_ids") -> DataFrame:
     """`docs` and the binary column `out`: the ids of `text`, packed as little-endian unsigned 32-bit integers.
 
@@ -220,9 +228,8 @@ def encode_column(docs: DataFrame, ranks_path: str, pattern: str, text: str = "t
 
     @F.pandas_udf("binary")
     def packed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = encoder_of(shared, name, pattern)
         for texts in batches:
-            yield pd.Series(encoder.encode(texts.fillna("").tolist()), dtype=object)
+            yield _packed(encoder_of(shared, name, pattern), texts)
 
     return docs.withColumn(out, packed(F.col(text)))
 
@@ -234,12 +241,27 @@ def decode_column(docs: DataFrame, ranks_path: str, ids: str = "token_ids", out:
 
     @F.pandas_udf("binary")
     def unpacked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        token = shared.value.__getitem__
         for values in batches:
-            yield pd.Series([b"".join(map(token, np.frombuffer(v or b"", "<u4").tolist())) for v in values], dtype=object)
+            yield _unpacked(shared.value, values)
 
     return docs.withColumn(out, unpacked(F.col(ids)))
 
 
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", out: str = "token_ids",
+               decoded: str = "decoded") -> DataFrame:
+    """`docs` with both columns, encoded and decoded again in one pass: a task then needs one Python worker, not two."""
+    short_batches(docs.sparkSession)
+    shared, name = share_ranks(docs.sparkSession, ranks_path)
+
+    @F.pandas_udf("ids binary, octets binary")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            ids = _packed(encoder_of(shared, name, pattern), texts)
+            yield pd.DataFrame({"ids": ids, "octets": _unpacked(shared.value, ids)})
+
+    made = docs.withColumn("__both", both(F.col(text)))
+    return made.withColumns({out: F.col("__both.ids"), decoded: F.col("__both.octets")}).drop("__both")
+
+
 def n_tokens(ids: Column) -> Column:
     return F.floor(F.octet_length(ids) / 4).cast("long")

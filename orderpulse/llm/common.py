@@ -44,5 +44,12 @@ def bound(value: Column, body) -> Column:
 
 
 def worker_cache(name: str) -> dict:
-    """A dict that lives as long as the Python worker. Functions that travel by value get new globals in each task."""
-    return sys.__dict__.setdefault("_orderpulse_caches", {}).setdefault(name, {})
+    """A dict that lives in the Python worker until another name is asked for, so that one operator's memory is free for the next.
+
+    Functions that travel by value get new globals in each task, hence the place in `sys`.
+    """
+    caches = sys.__dict__.setdefault("_orderpulse_caches", {})
+    if name not in caches:
+        caches.clear()
+        caches[name] = {}
+    return caches[name]

@@ -147,7 +147,6 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 @query()
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode_column(load(spark, sf_dir, "documents").select("doc_id", "text"), **tokenizer())
-    return bpe.decode_column(encoded.drop("text"), tokenizer()["ranks_path"]).select(
+    return bpe.round_trip(load(spark, sf_dir, "documents").select("doc_id", "text"), **tokenizer()).select(
         "doc_id", bpe.n_tokens(F.col("token_ids")).alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
