@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderpulse.llm.common import kept
+from orderpulse.llm.common import kept, unused
 
 #: Bits of a filter per row: about one row in 250 passes by chance.
 BITS_PER_ROW = 32
@@ -37,11 +37,13 @@ def pages(rows: DataFrame, value: Column, bits: int, twice: bool = False) -> Dat
 
 def marked(rows: DataFrame, value: Column, filter_pages: DataFrame, bits: int, out: str) -> DataFrame:
     """`rows` and the boolean `out`: whether the filter may hold the hash. No row is shuffled."""
-    joined, hit = rows, F.lit(True)
+    joined, hit, added = rows, F.lit(True), []
     for n, cell in enumerate(cells(value, bits)):
-        page = F.broadcast(filter_pages.select(F.col("page").alias(f"__page{n}"), F.col("bits").alias(f"__bits{n}")))
-        joined = joined.join(page, F.shiftright(cell, 15) == F.col(f"__page{n}"), "left")
-        at = cell.bitwiseAND(PAGE_BITS - 1)
-        octet = F.conv(F.hex(F.substring(F.col(f"__bits{n}"), F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10)
-        hit = hit & F.coalesce(F.getbit(octet.cast("int"), at.bitwiseAND(7).cast("int")) == 1, F.lit(False))
-    return joined.withColumn(out, hit).select(*[rows[c] for c in rows.columns], out)
+        at, octets = unused(rows, f"__page{n}"), unused(rows, f"__bits{n}")
+        page = F.broadcast(filter_pages.select(F.col("page").alias(at), F.col("bits").alias(octets)))
+        joined = joined.join(page, F.shiftright(cell, 15) == F.col(at), "left")
+        bit = cell.bitwiseAND(PAGE_BITS - 1)
+        octet = F.conv(F.hex(F.substring(F.col(octets), F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10)
+        hit = hit & F.coalesce(F.getbit(octet.cast("int"), bit.bitwiseAND(7).cast("int")) == 1, F.lit(False))
+        added += [at, octets]
+    return joined.withColumn(out, hit).drop(*added)

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderpulse.llm.common import short_batches, worker_cache
+from orderpulse.llm.common import short_batches, unused, worker_cache
 
 #: Characters of text whose pieces are looked at together, distinct pieces a worker remembers, and the widest
 #: matrix row. Longer pieces (runs without a break) merge by a heap, as rounds would cost their length squared.
@@ -259,8 +259,9 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text
             ids = _packed(encoder_of(shared, name, pattern), texts)
             yield pd.DataFrame({"ids": ids, "octets": _unpacked(shared.value, ids)})
 
-    made = docs.withColumn("__both", both(F.col(text)))
-    return made.withColumns({out: F.col("__both.ids"), decoded: F.col("__both.octets")}).drop("__both")
+    pair = unused(docs, "__both")
+    made = docs.withColumn(pair, both(F.col(text)))
+    return made.withColumns({out: F.col(f"{pair}.ids"), decoded: F.col(f"{pair}.octets")}).drop(pair)
 
 
 def n_tokens(ids: Column) -> Column:

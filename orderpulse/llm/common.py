@@ -34,8 +34,21 @@ def short_batches(spark: SparkSession, rows: int = 1_000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 
 
+def unused(df: DataFrame, stem: str) -> str:
+    """A column name that `df` does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
+def quoted(column: str) -> Column:
+    """The column of just that name, dots and all."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def text_of(column: str) -> Column:
-    return F.coalesce(F.col(column), F.lit(""))
+    return F.coalesce(quoted(column), F.lit(""))
 
 
 def bound(value: Column, body) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderpulse.llm.common import bound, kept, small, text_of
+from orderpulse.llm.common import bound, kept, quoted, small, text_of, unused
 
 #: Words in a shingle, and the share of an item's distinct shingles that a document must hold.
 WORDS, SHARE = 5, 0.8
@@ -92,7 +92,7 @@ def leaked_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
 
 def drop_leaking(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """`docs`, same columns, without the documents that hold an item."""
+    one, two = unused(docs, "__id"), unused(docs, "__hash")
     gone = kept(leaked_items(docs, items, key, text, **how).select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct())
-    return docs.join(small(gone), docs[key].eqNullSafe(F.col("__id")) & (F.xxhash64(text_of(text)) == F.col("__hash")),
-                     "left_anti")
+        F.col("doc_id").alias(one), F.col("text_hash").alias(two)).distinct())
+    return docs.join(small(gone), quoted(key).eqNullSafe(F.col(one)) & (F.xxhash64(text_of(text)) == F.col(two)), "left_anti")

@@ -6,18 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderpulse.llm import bloom
-from orderpulse.llm.common import kept, text_of
+from orderpulse.llm.common import kept, quoted, text_of, unused
 
 
 def mark_suspects(docs: DataFrame, text: str = "text", *, bits_per_row: int = bloom.BITS_PER_ROW,
                   max_filter_bits: int = bloom.MAX_FILTER_BITS) -> DataFrame:
-    """`docs` with `__suspect`, true for every row whose text repeats and few others.
+    """`docs` and a last column (called as no other is), true for every row whose text repeats and few others.
 
     The first pass counts how often each cell of the filter is hit and sets those hit twice; the second asks
     the filter. No row is shuffled, only cell numbers are.
     """
     bits, value = bloom.filter_bits(docs.count(), bits_per_row, max_filter_bits), F.xxhash64(text_of(text))
-    return bloom.marked(docs, value, bloom.pages(docs, value, bits, twice=True), bits, "__suspect")
+    return bloom.marked(docs, value, bloom.pages(docs, value, bits, twice=True), bits, unused(docs, "__suspect"))
 
 
 def dedup_decisions(docs: DataFrame, key: str = "doc_id", text: str = "text", **limits) -> DataFrame:
@@ -49,7 +49,8 @@ def drop_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **
     meet on the map side first: a task passes on one row of each text.
     """
     marked = mark_suspects(docs, text, **limits)
-    alone = marked.where(~F.col("__suspect")).drop("__suspect")
-    row = F.struct(F.col(key).alias("__key"), *[F.col(c).alias(f"c{n}") for n, c in enumerate(docs.columns)])
-    best = marked.where("__suspect").groupBy(F.sha2(text_of(text), 256).alias("__sha")).agg(F.max(row).alias("__row"))
+    suspect = F.col(marked.columns[-1])
+    alone = marked.where(~suspect).drop(suspect)
+    row = F.struct(quoted(key).alias("__key"), *[quoted(c).alias(f"c{n}") for n, c in enumerate(docs.columns)])
+    best = marked.where(suspect).groupBy(F.sha2(text_of(text), 256).alias("__sha")).agg(F.max(row).alias("__row"))
     return alone.unionByName(best.select(*[F.col(f"__row.c{n}").alias(c) for n, c in enumerate(docs.columns)]))

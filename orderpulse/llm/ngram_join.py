@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderpulse.llm.common import kept, short_batches, small, text_of
+from orderpulse.llm.common import kept, quoted, short_batches, small, text_of, unused
 from orderpulse.llm.components import components
 from orderpulse.llm.words import mix, shingle_set, whole_groups
 
@@ -292,7 +292,8 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text",
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
                          settings: JoinSettings = JoinSettings()) -> DataFrame:
     """`docs`, same columns, with the row of least id of each class; rows without id stay, and so do repeats of that row."""
+    one, two = unused(docs, "__id"), unused(docs, "__hash")
     gone = kept(jaccard_join(docs, key, text, settings).where("doc_id <> class_id")
-                .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct())
-    return docs.join(small(gone), (docs[key].cast("long") == F.col("__id")) & (F.xxhash64(text_of(text)) == F.col("__hash")),
+                .select(F.col("doc_id").alias(one), F.col("text_hash").alias(two)).distinct())
+    return docs.join(small(gone), (quoted(key).cast("long") == F.col(one)) & (F.xxhash64(text_of(text)) == F.col(two)),
                      "left_anti")
