@@ -20,13 +20,14 @@ def trailing_bounds(as_of: date, lookback_days: int = LOOKBACK_DAYS) -> tuple[da
     return as_of - timedelta(days=lookback_days), as_of - timedelta(days=1)
 
 
-def in_days(moment: Column, first: date, last: date) -> Column:
-    """True for moments on the days first..last.
+def in_days(moment: Column, first: date | None, last: date | None) -> Column:
+    """True for moments on the days first..last; without one of them that side is open.
 
     A half-open range on the bare column, so that it works for date and timestamp columns
     alike and is pushed to the file reader or prunes partitions.
     """
-    return (moment >= F.lit(first)) & (moment < F.lit(last + timedelta(days=1)))
+    after = F.lit(True) if first is None else moment >= F.lit(first)
+    return after if last is None else after & (moment < F.lit(last + timedelta(days=1)))
 
 
 def in_day_parts(year: Column, month: Column, day: Column, first: date, last: date) -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "DECIMAL(18,2)"
+#: Wide enough for 22 digits before the point and millionths; sums have 32 digits before the point.
+MONEY = "DECIMAL(28,6)"
 LIST_SEPARATOR = ";"
 
 # Fixed value: the layout of a report line.
@@ -15,9 +16,9 @@ REPORT_LINE = (
 )
 
 
-def as_money(amount: Column) -> Column:
-    """Exact cents: decimal sums do not depend on the order in which rows arrive."""
-    return amount.cast(MONEY)
+def as_money(amount: Column, kind: str = MONEY) -> Column:
+    """Exact amounts: decimal sums do not depend on the order in which rows arrive. NULL for what `kind` can't hold."""
+    return amount.try_cast(kind)
 
 
 def percent_change(diff: Column, base: Column) -> Column:

@@ -131,6 +131,8 @@ ORDER_DOCUMENT = (
         T.StructType().add("price", "double").add("product_id", "string").add("volume", "integer")))
     .add("amount", "double")
     .add("timestamp", "timestamp")
+    # Ours: a document that goes on with the lines of a long order has a number; others have none.
+    .add("fragment", "integer")
 )
 # Row contract of a message source: what a Kafka subscription returns and we read.
 MESSAGE = (

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderpulse.functions.dates import date_parts
-from orderpulse.model import ORDER_DOCUMENT
+from orderpulse.model import ORDER_DOCUMENT, ORDERS
 from orderpulse.operators.sizing import salted_join
 
 MAX_LINES = 1_000
@@ -21,13 +24,18 @@ def parse_orders(messages: DataFrame, value: str = "value") -> DataFrame:
         "raw", F.from_json("raw", ORDER_DOCUMENT).alias("document")).select("raw", "document.*")
 
 
+def _complete() -> Column:
+    """Whether a document has what an order must have: an unreadable time would put it in a day that no query reads."""
+    return reduce(and_, [F.col(c).isNotNull() for c in ORDERS.required])
+
+
 def malformed(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col("order_id").isNull())
+    return parsed.filter(~_complete())
 
 
 def order_rows(parsed: DataFrame) -> DataFrame:
-    """One row per document that has an order id."""
-    return parsed.filter(F.col("order_id").isNotNull()).select(
+    """One row per order; documents that only go on with an order's lines add none."""
+    return parsed.filter(_complete() & F.col("fragment").isNull()).select(
         "order_id", "customer_id", "amount", "timestamp", *date_parts(F.col("timestamp")),
         F.to_date("timestamp").alias("order_date"),
     )
@@ -39,7 +47,7 @@ def order_line_rows(parsed: DataFrame) -> DataFrame:
     Conditions on the document itself would be pushed below the parser and parse the text
     once more for each, so they are put as one on the position, which only exists afterwards.
     """
-    lines = F.when(F.col("order_id").isNotNull(), F.col("order_lines"))
+    lines = F.when(_complete(), F.col("order_lines"))
     return (
         parsed.select("order_id", "timestamp", F.posexplode_outer(lines).alias("position", "line"))
         .filter(F.col("position").isNotNull())
@@ -55,24 +63,31 @@ def split_orders(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def nest_orders(orders: DataFrame, lines: DataFrame, max_lines: int = MAX_LINES) -> DataFrame:
-    """Order documents from flat tables; the inverse of `split_orders`.
+    """Order documents from flat tables; the inverse of `split_orders` for lines that have an order.
 
     `orders` has the document's scalar fields, `lines` order_id and the line fields. An order
-    of more than `max_lines` lines becomes several documents that repeat its scalar fields,
-    so no array grows beyond a fixed expected size.
+    of more than `max_lines` lines becomes a document without lines and numbered fragments that
+    hold them, so no array grows beyond a fixed expected size and the order itself stands once.
+    `lines_without_order` has the other lines.
     """
     # Positions come straight from the scan of `lines`: they tell equal lines apart.
     placed = lines.select("order_id", "price", "product_id", "volume", F.monotonically_increasing_id().alias("_at"))
     counted = placed.groupBy("order_id").agg(F.count(F.lit(1)).alias("_lines"))
     headers = orders.select("order_id", "customer_id", "amount", "timestamp").join(counted, "order_id", "left")
     # Headers travel with the lines, so that the documents of a long order stay apart.
+    long = F.col("_lines") > max_lines
+    part = F.when(long, F.pmod(F.xxhash64("_at"), F.ceil(F.col("_lines") / max_lines)) + 1).cast("int")
     nested = (
         salted_join(placed, headers.filter(F.col("_lines").isNotNull()), "order_id", salt_by=F.col("_at"))
-        .groupBy("order_id", "customer_id", "amount", "timestamp",
-                 F.pmod(F.xxhash64("_at"), F.ceil(F.col("_lines") / max_lines)).alias("_chunk"))
+        .groupBy("order_id", "customer_id", "amount", "timestamp", part.alias("fragment"))
         .agg(F.collect_list(F.struct("price", "product_id", "volume")).alias("order_lines"))
     )
-    without = headers.filter(F.col("_lines").isNull()).withColumn(
-        "order_lines", F.array().cast(nested.schema["order_lines"].dataType))
+    without = headers.filter(F.col("_lines").isNull() | long).withColumns({
+        "order_lines": F.array().cast(nested.schema["order_lines"].dataType), "fragment": F.lit(None).cast("int")})
     fields = ORDER_DOCUMENT.fieldNames()
     return nested.select(fields).unionByName(without.select(fields))
+
+
+def lines_without_order(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Lines that no document can hold; they belong with the rejects."""
+    return lines.join(orders.select("order_id").distinct(), "order_id", "left_anti")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderpulse.functions.dates import LOOKBACK_DAYS, in_days, trailing_bounds
-from orderpulse.functions.values import as_money, percent_change, report_line
+from orderpulse.functions.values import MONEY, as_money, percent_change, report_line
 from orderpulse.operators.ranking import top_by
 from orderpulse.operators.sizing import fits
 
@@ -18,20 +18,20 @@ TOP_K = 3
 
 @dataclass(frozen=True)
 class Facts:
-    """Which columns of a fact table hold the member, the moment and the amount."""
+    """Which columns of a fact table hold the member, the moment and the amount, and the decimal type to sum in."""
 
     member: str = "customer_id"
     moment: str = "timestamp"
     amount: str = "amount"
+    money: str = MONEY
 
 
 def _day_amounts(facts: DataFrame, cols: Facts, first: date | None, last: date | None) -> DataFrame:
-    if first is not None:
-        facts = facts.filter(in_days(F.col(cols.moment), first, last))
+    facts = facts.filter(in_days(F.col(cols.moment), first, last))
     return facts.select(
         F.col(cols.member),
         F.to_date(cols.moment).alias("date"),
-        as_money(F.col(cols.amount)).alias("amount"),
+        as_money(F.col(cols.amount), cols.money).alias("amount"),
     )
 
 
@@ -119,12 +119,13 @@ def backfill_fluctuations(facts: DataFrame, dim: DataFrame, *, k: int = TOP_K, c
                           entity: str = "industry", lookback_days: int = LOOKBACK_DAYS,
                           first: date | None = None, last: date | None = None,
                           dim_fits: bool | None = None) -> DataFrame:
-    """`top_fluctuations` for every day at once, from one scan.
+    """`top_fluctuations` for every day from `first` to `last` at once (all days without), from one scan.
 
-    An entity's window holds one row per calendar day; the ranking per day keeps k rows
-    per task before it shuffles.
+    The scan begins with the baseline of the first day. An entity's window holds one row per
+    calendar day; the ranking per day keeps k rows per task before it shuffles.
     """
-    daily = daily_sums(facts, dim, cols=cols, entity=entity, first=first, last=last, dim_fits=dim_fits)
+    start = first and trailing_bounds(first, lookback_days)[0]
+    daily = daily_sums(facts, dim, cols=cols, entity=entity, first=start, last=last, dim_fits=dim_fits)
     earlier = Window.partitionBy(entity).orderBy(F.unix_date("date")).rangeBetween(-lookback_days, -1)
     by_size = Window.partitionBy("date").orderBy(F.abs("diff").desc_nulls_last(), entity)
     return (
@@ -134,7 +135,7 @@ def backfill_fluctuations(facts: DataFrame, dim: DataFrame, *, k: int = TOP_K, c
             F.try_divide(F.sum("total").over(earlier).cast("double"), F.count("total").over(earlier)).alias("avg_30d"),
             F.count(F.lit(1)).over(earlier).alias("_days"),
         )
-        .filter("_days > 0")
+        .filter((F.col("_days") > 0) & (F.lit(True) if first is None else F.col("date") >= F.lit(first)))
         .withColumn("diff", F.col("value_24h") - F.col("avg_30d"))
         .withColumn("rank", F.row_number().over(by_size))
         .filter(F.col("rank") <= k)

@@ -5,11 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderpulse.operators.sizing import fits
 from orderpulse.session import ensure_checkpoint_dir
 
-SINGLE_TASK_ROWS = 1_000_000
-
 
 def top_by(df: DataFrame, k: int, size: Column, tie_break: str) -> DataFrame:
     """The k rows of greatest `size` with their rank; only k rows per task meet in one task."""
@@ -18,17 +15,12 @@ def top_by(df: DataFrame, k: int, size: Column, tie_break: str) -> DataFrame:
 
 
 def rank_all(df: DataFrame, size: Column, tie_break: str) -> DataFrame:
-    """Rank of every row by descending `size`, then `tie_break`.
+    """Rank (bigint) of every row by descending `size`, then `tie_break`.
 
-    `df` is computed once and kept with a checkpoint, then counted. Up to SINGLE_TASK_ROWS
-    rows one sort does it. Beyond, rows are range-partitioned by the sort key and numbered
-    within their range, after the rows of all earlier ranges; the ranges are kept too, so that
-    every reader, and every repeated task, sees the same ones.
+    Rows are range-partitioned by the sort key and numbered within their range, after the rows of all earlier
+    ranges. The ranges are kept with a checkpoint, so that every reader, and every repeated task, sees the same ones.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    df = df.checkpoint()
-    if fits(df, max_rows=SINGLE_TASK_ROWS):
-        return df.withColumn("rank", F.row_number().over(Window.orderBy(size.desc_nulls_last(), tie_break)))
     ranged = (
         df.withColumn("_size", size)
         .repartitionByRange(F.col("_size").desc_nulls_last(), F.col(tie_break).asc())
@@ -42,6 +34,6 @@ def rank_all(df: DataFrame, size: Column, tie_break: str) -> DataFrame:
     within = Window.partitionBy("_range").orderBy(F.col("_size").desc_nulls_last(), tie_break)
     return (
         ranged.join(F.broadcast(offsets), "_range")
-        .withColumn("rank", (F.row_number().over(within) + F.col("_offset")).cast("int"))
+        .withColumn("rank", F.row_number().over(within) + F.col("_offset"))
         .drop("_range", "_size", "_offset")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from datetime import timedelta
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -13,7 +14,10 @@ from orderpulse.model import TableSpec
 
 
 def append_by_position(df: DataFrame, spec: TableSpec, database: str) -> None:
-    spec.conform(df).write.mode("append").insertInto(f"{database}.{spec.name}")
+    rows = spec.conform(df)
+    if spec.partition:
+        rows = by_partition(rows, list(spec.partition))
+    rows.write.mode("append").insertInto(f"{database}.{spec.name}")
 
 
 def append_by_name(df: DataFrame, table: str, partition: list[str], fmt: str = "parquet") -> None:
@@ -45,30 +49,52 @@ def overwrite_partition(df: DataFrame, spec: TableSpec, database: str, values: d
     rows = spec.conform(df.withColumns({c: F.lit(v).cast(types[c]) for c, v in values.items()})).drop(*assigned)
     if dynamic:
         rows = by_partition(rows, dynamic)
-    df.sparkSession.sql(
-        f"INSERT OVERWRITE TABLE `{database}`.`{spec.name}` PARTITION ({clause}) SELECT * FROM {{rows}}", rows=rows)
+    with static_overwrite(df.sparkSession) as spark:
+        spark.sql(f"INSERT OVERWRITE TABLE `{database}`.`{spec.name}` PARTITION ({clause}) SELECT * FROM {{rows}}", rows=rows)
+
+
+@contextmanager
+def static_overwrite(spark: SparkSession) -> Iterator[SparkSession]:
+    """For the time being an overwrite clears all that its partition clause names, not only what new rows touch.
+
+    In dynamic mode a replayed epoch with fewer days would leave its earlier days behind.
+    """
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "static")
+    try:
+        yield spark
+    finally:
+        spark.conf.set(key, before)
 
 
 def _version_prefix(spec: TableSpec) -> str:
     return f"{spec.name}__v"
 
 
-def replace_table(df: DataFrame, spec: TableSpec, database: str, keep: int = 3) -> None:
+def replace_table(df: DataFrame, spec: TableSpec, database: str, keep: int = 3,
+                  min_age: timedelta = timedelta(hours=1)) -> None:
     """Replace a versioned table, which `df` may read.
 
     The new version is a table of its own; switching the view to it is the commit. A failure
-    before that leaves the old version in place. The latest `keep` versions stay, so that
-    queries already running on them can end.
+    before that leaves the old version in place. The latest `keep` versions stay, and so does any
+    that was replaced less than `min_age` ago: give it the time of the longest query that reads the table.
     """
     spark = df.sparkSession
     version = f"{_version_prefix(spec)}{time.time_ns()}"
-    writer = spec.conform(df).write.mode("error").format(spec.format)
+    rows = spec.conform(df)
+    if spec.partition:
+        rows = by_partition(rows, list(spec.partition))
+    writer = rows.write.mode("error").format(spec.format)
     if spec.partition:
         writer = writer.partitionBy(*spec.partition)
     writer.saveAsTable(f"{database}.{version}")
     spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{spec.name}` AS SELECT * FROM `{database}`.`{version}`")
-    for old in versions(spark, spec, database)[:-keep]:
-        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{old}`")
+    made = versions(spark, spec, database)
+    for old, successor in list(zip(made, made[1:], strict=False))[:max(0, len(made) - keep)]:
+        replaced = int(successor.removeprefix(_version_prefix(spec)))
+        if time.time_ns() - replaced >= min_age.total_seconds() * 1e9:
+            spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{old}`")
 
 
 def versions(spark: SparkSession, spec: TableSpec, database: str) -> list[str]:
@@ -94,7 +120,8 @@ def store_raw(messages: DataFrame, path: str, stream_id: str, epoch: int) -> Non
         "offset", F.col("value").cast("string").alias("value"), F.to_date("timestamp").alias("ingest_date"))
     (
         by_partition(rows, ["ingest_date"])
-        .write.mode("overwrite").option("compression", "gzip").partitionBy("ingest_date")
+        .write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "gzip")
+        .partitionBy("ingest_date")
         .json(f"{path}/stream_id={stream_id}/epoch={epoch}")
     )
 

@@ -19,7 +19,7 @@ WITH dims AS (
   JOIN {customers} AS customers ON customers.company_name = companies.company_name
 ),
 member_days AS (
-  SELECT customer_id, CAST(moment AS DATE) AS date, SUM(CAST(amount AS DECIMAL(18,2))) AS amount
+  SELECT customer_id, CAST(moment AS DATE) AS date, SUM(TRY_CAST(amount AS DECIMAL(28,6))) AS amount
   FROM {orders}
   WHERE moment >= :first AND moment < :as_of + INTERVAL 1 DAY
   GROUP BY ALL

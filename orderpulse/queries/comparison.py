@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,14 +96,14 @@ FROM lineitem JOIN part ON l_partkey = p_partkey
 """
 
 
-@query(f"WITH {fluctuation_ctes(NAME_ROWS, AS_OF)} SELECT * FROM ranked")
+@query(f"WITH {fluctuation_ctes(NAME_ROWS, AS_OF)} SELECT * REPLACE (CAST(rank AS BIGINT) AS rank) FROM ranked")
 def rank_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = load(spark, sf_dir, "part").selectExpr("p_partkey AS l_partkey", "p_name AS industry")
     compared = fluctuation.fluctuations(load(spark, sf_dir, "lineitem"), names, AS_OF, cols=LINE_FACTS)
     return rank_everything(compared, F.abs("diff"), "industry")
 
 
-@query(f"""
+BACKFILL = f"""
 WITH o AS ({SEGMENT_ROWS}),
 dd AS (SELECT industry, d, CAST(sum(v) AS DECIMAL(18,2)) AS v FROM o GROUP BY industry, d),
 w AS (SELECT industry, d, v, sum(v) OVER f AS sv, count(*) OVER f AS n FROM dd
@@ -110,8 +112,32 @@ w AS (SELECT industry, d, v, sum(v) OVER f AS sv, count(*) OVER f AS n FROM dd
 x AS (SELECT industry, d, CAST(v AS DOUBLE) AS value_24h, CAST(sv AS DOUBLE) / n AS avg_30d FROM w WHERE n > 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY d ORDER BY abs(value_24h - avg_30d) DESC, industry) AS rk FROM x)
 SELECT d AS aggregation_date, industry, CAST(rk AS INTEGER) AS rank, value_24h, avg_30d, value_24h - avg_30d AS diff
-FROM r WHERE rk <= 3
-""")
+FROM r WHERE rk <= 3"""
+
+
+@query(BACKFILL)
 def fluctuations_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fluctuation.backfill_fluctuations(
         load(spark, sf_dir, "orders"), segments(spark, sf_dir), cols=ORDER_FACTS)
+
+
+@query(f"{BACKFILL} AND d BETWEEN DATE '{AS_OF - timedelta(days=400)}' AND DATE '{AS_OF}'")
+def fluctuations_backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days asked for only; the first of them has its whole baseline."""
+    return fluctuation.backfill_fluctuations(
+        load(spark, sf_dir, "orders"), segments(spark, sf_dir), cols=ORDER_FACTS,
+        first=AS_OF - timedelta(days=400), last=AS_OF)
+
+
+@query("""
+SELECT p_name AS industry, CAST(l_shipdate AS DATE) AS date,
+       CAST(sum(CAST(l_extendedprice * l_discount AS DECIMAL(28,6))) AS DOUBLE) AS total
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL
+""")
+def daily_sum_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts of more than two decimals are summed as they are."""
+    facts = load(spark, sf_dir, "lineitem").select(
+        "l_partkey", "l_shipdate", (F.col("l_extendedprice") * F.col("l_discount")).alias("discount"))
+    names = load(spark, sf_dir, "part").selectExpr("p_partkey AS l_partkey", "p_name AS industry")
+    daily = fluctuation.daily_sums(facts, names, cols=fluctuation.Facts("l_partkey", "l_shipdate", "discount"))
+    return daily.withColumn("total", F.col("total").cast("double"))

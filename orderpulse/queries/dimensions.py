@@ -85,6 +85,7 @@ def customer_industry_dim_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Each is written as matches plus rows without match: a left join can neither broadcast the
     few industries nor split a company that many customers share, an inner join can do both.
+    What an anti join looks for is made distinct first, as its right side can't be split.
     """
     return spark.sql(
         """
@@ -96,10 +97,12 @@ def customer_industry_dim_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM classified JOIN {customers} AS customers ON customers.company_name = classified.company_name
         UNION
         SELECT NULL, industry FROM classified
-        WHERE NOT EXISTS (SELECT 1 FROM {customers} AS customers WHERE customers.company_name = classified.company_name)
+        WHERE NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT company_name FROM {customers}) AS served
+                          WHERE served.company_name = classified.company_name)
         UNION
         SELECT NULL, industry FROM {industries} AS industries
-        WHERE NOT EXISTS (SELECT 1 FROM {companies} AS companies WHERE companies.industry = industries.industry)
+        WHERE NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT industry FROM {companies}) AS active
+                          WHERE active.industry = industries.industry)
         """,
         industries=chain_industries(spark, sf_dir), companies=chain_companies(spark, sf_dir),
         customers=chain_customers(spark, sf_dir))

@@ -3,7 +3,8 @@ import json
 from pyspark.sql import functions as F
 
 from orderpulse.model import ORDER_DOCUMENT, TableSpec
-from orderpulse.operators.documents import malformed, nest_orders, order_line_rows, order_rows, parse_orders, split_orders
+from orderpulse.operators.documents import (lines_without_order, malformed, nest_orders, order_line_rows, order_rows,
+                                            parse_orders, split_orders)
 from orderpulse.operators.tables import schema_violations
 from orderpulse.sources.batch import read_csv, read_json_lines
 from orderpulse.model import CUSTOMERS_CSV
@@ -52,11 +53,11 @@ def test_nesting_and_splitting_are_inverse(spark, tiny_limits):
     for r in documents.select("order_id", F.size("order_lines").alias("n")).collect():
         sizes[r.order_id].append(r.n)
     assert sizes["2"] == [1] and sizes["3"] == [0]
-    assert sum(sizes["1"]) == 40 and len(sizes["1"]) > 3
+    assert sum(sizes["1"]) == 40 and len(sizes["1"]) > 3 and min(sizes["1"]) == 0
     text = documents.select(F.to_json(F.struct(*documents.columns)).alias("value"))
     back_orders, back_lines = split_orders(parse_orders(text))
     assert rows(back_lines.select(lines.columns)) == rows(lines)
-    assert rows(back_orders.select("order_id", "customer_id", "amount").distinct()) == rows(orders.drop("timestamp"))
+    assert rows(back_orders.select("order_id", "customer_id", "amount")) == rows(orders.drop("timestamp"))
 
 
 def test_short_orders_are_one_document(spark):
@@ -65,6 +66,29 @@ def test_short_orders_are_one_document(spark):
     assert nest_orders(orders, lines).schema.fieldNames() == ORDER_DOCUMENT.fieldNames()
 
 
+def test_a_long_order_counts_once(spark):
+    orders, _ = flat(spark)
+    lines = spark.createDataFrame([("1", 1.0, "p", 1)] * 2_500, "order_id string, price double, product_id string, volume int")
+    documents = nest_orders(orders, lines)
+    assert rows(order_rows(documents).select("order_id", "amount")) == [("1", 10.0), ("2", 20.0), ("3", 30.0)]
+    assert order_line_rows(documents).count() == 2_500
+
+
+def test_lines_without_order_are_told(spark):
+    orders, lines = flat(spark)
+    stray = spark.createDataFrame([("9", 1.0, "p", 1)], lines.schema)
+    assert rows(lines_without_order(orders, lines.unionByName(stray)).select("order_id")) == [("9",)]
+
+
+def test_orders_without_time_or_customer_are_rejected(spark):
+    no_time = json.dumps({**DOCUMENT, "order_id": "o4", "timestamp": "soon"})
+    no_customer = json.dumps({**DOCUMENT, "order_id": "o5", "customer_id": None})
+    parsed = parse_orders(messages(spark, no_time, no_customer, json.dumps(DOCUMENT))).cache()
+    assert rows(malformed(parsed).select("order_id")) == [("o4",), ("o5",)]
+    assert rows(order_rows(parsed).select("order_id")) == [("o1",)]
+    assert order_line_rows(parsed).count() == 2
+
+
 def test_csv_headers_and_empty_fields(spark, tmp_path):
     for name, line in (("a.csv", "1,x,a;b"), ("b.csv", "2,y,")):
         (tmp_path / name).write_text(f"customer_id,company_name,specialized_industries\n{line}\n")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orderpulse.functions.dates import in_day_parts, in_days, parse_day, trailing_bounds
 from orderpulse.functions.values import list_items, percent_change
-from orderpulse.operators.fluctuation import (backfill_fluctuations, fluctuations, report, top_fluctuations,
+from orderpulse.operators.fluctuation import (backfill_fluctuations, daily_sums, fluctuations, report, top_fluctuations,
                                               two_branch_fluctuations)
 from orderpulse.operators.ranking import rank_all
 from orderpulse.plans.fluctuation_sql import top_fluctuations_sql
@@ -124,6 +124,28 @@ def test_both_join_orders_and_two_branches_equal_brute_force(spark, data, member
     assert one == two
 
 
+def test_sums_are_exact_and_one_large_amount_stops_nothing(spark):
+    facts = spark.createDataFrame([("m", date(2023, 1, 1), 0.004)] * 1_000 + [("n", date(2023, 1, 1), 2e16), ("o", date(2023, 1, 1), 1e40)],
+                                  "customer_id string, timestamp date, amount double")
+    dim = spark.createDataFrame([("m", "x"), ("n", "y"), ("o", "z")], "customer_id string, industry string")
+    got = {r.industry: r.total for r in daily_sums(facts, dim).collect()}
+    assert float(got["x"]) == 4.0 and float(got["y"]) == 2e16 and got["z"] is None
+
+
+def test_bounded_backfill_has_the_whole_baseline(spark):
+    days = [date(2023, 1, 1) + timedelta(days=n) for n in range(60)]
+    facts = spark.createDataFrame([("m", day, float(n + 1)) for n, day in enumerate(days)], "customer_id string, timestamp date, amount double")
+    dim = spark.createDataFrame([("m", "x")], "customer_id string, industry string")
+    first, last = days[45], days[50]
+    got = {r.aggregation_date: (r.value_24h, r.avg_30d, r["diff"])
+           for r in backfill_fluctuations(facts, dim, first=first, last=last).collect()}
+    assert sorted(got) == days[45:51]
+    for day, values in got.items():
+        one = top_fluctuations(facts, dim, day).first()
+        assert values == (one.value_24h, one.avg_30d, one["diff"])
+    assert got[first] == (46.0, 30.0, 16.0)
+
+
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(data=orders, members=pairs)
 def test_backfill_equals_one_job_per_day(spark, data, members):

@@ -67,6 +67,22 @@ def test_sql_forms_have_no_outer_join_that_could_not_be_split(spark, no_broadcas
     assert not re.search(r"Join .*(LeftOuter|RightOuter|FullOuter)", text) and "NestedLoop" not in text
 
 
+def test_anti_joins_look_for_distinct_keys_only(spark, no_broadcast):
+    text = plan(QUERIES["customer_industry_dim_sql"](spark, SF_DIR))
+    lines = text.splitlines()
+    for n, line in enumerate(lines):
+        if "LeftAnti" in line:
+            margin = line.index(re.search(r"[A-Z]", line.replace("(", " "))[0])
+            below = [x for x in lines[n + 1:] if len(x) > margin]
+            assert any("HashAggregate" in x for x in below)
+    assert "LeftAnti" in text
+
+
+def test_right_outer_query_sums_before_it_joins(spark, no_broadcast):
+    text = plan(QUERIES["right_outer_null_rejected"](spark, SF_DIR))
+    assert "partial_sum" in text[text.index("Join"):]
+
+
 @pytest.mark.parametrize("name", ["orders_with_entity", "distinct_dim", "merge_upsert", "customer_industry_dim"])
 def test_nothing_is_broadcast_unchecked(spark, no_broadcast, tiny_limits, name):
     """With every size check failing, only lists of hot keys are broadcast."""

@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,11 +100,50 @@ def test_replace_table_may_read_itself_and_keeps_few_versions(spark, target):
     for n in range(5):
         current = read_table(spark, to.database, "companies")
         more = spark.createDataFrame([(f"c{n}", "x", D1)], model.COMPANIES.schema)
-        sinks.replace_table(current.unionByName(more), model.COMPANIES, to.database)
+        sinks.replace_table(current.unionByName(more), model.COMPANIES, to.database, min_age=timedelta(0))
     assert rows(read_table(spark, to.database, "companies").select("company_name")) == [(f"c{n}",) for n in range(5)]
     assert len(sinks.versions(spark, model.COMPANIES, to.database)) == 3
 
 
+def test_versions_stay_while_young(spark, target):
+    to = target(model.COMPANIES)
+    sinks.replace_table(spark.createDataFrame([("c", "x", D1)], model.COMPANIES.schema), model.COMPANIES, to.database)
+    reader = read_table(spark, to.database, "companies")
+    for n in range(5):
+        sinks.replace_table(spark.createDataFrame([(f"d{n}", "x", D1)], model.COMPANIES.schema), model.COMPANIES, to.database)
+    assert rows(reader.select("company_name")) == [("c",)]
+
+
+def test_replaced_table_has_few_files(spark, target):
+    to = target(model.CUSTOMERS)
+    many = spark.range(20_000, numPartitions=16).select(
+        F.col("id").cast("string").alias("customer_id"), F.lit("x").alias("company_name"),
+        F.date_add(F.lit(D1), (F.col("id") % 10).cast("int")).alias("ingest_date"))
+    sinks.replace_table(many, model.CUSTOMERS, to.database)
+    assert len(read_table(spark, to.database, "customers").inputFiles()) <= 20
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_replayed_epoch_that_shrinks_leaves_nothing_behind(spark, target, tmp_path, mode):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        to = target(model.ORDERS)
+        schema = "order_id string, customer_id string, amount double, timestamp timestamp, order_date date"
+        moments = [datetime(2024, 1, day, 12) for day in (1, 2)]
+        for days in (2, 1, 0):
+            data = [(f"o{d}", "c", 1.0, moments[d], moments[d].date()) for d in range(days)]
+            sinks.overwrite_partition(spark.createDataFrame(data, schema), model.ORDERS, to.database,
+                                      {"stream_id": "s", "epoch": 0})
+            assert spark.table(f"{to.database}.{model.ORDERS.name}").count() == days
+            assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == mode
+        for days in (2, 1):
+            raw = spark.createDataFrame([(d, b"v", moments[d]) for d in range(days)], "offset long, value binary, timestamp timestamp")
+            sinks.store_raw(raw, str(tmp_path / "raw"), "s", 0)
+        assert sinks.read_raw(spark, str(tmp_path / "raw")).count() == 1
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
 def test_failed_replacement_leaves_the_old_version(spark, target):
     to = target(model.COMPANIES)
     sinks.replace_table(spark.createDataFrame([("c", "x", D1)], model.COMPANIES.schema), model.COMPANIES, to.database)
