@@ -2,33 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from orderpulse.functions.values import as_money
-
-
-def daily_totals(rows: DataFrame, entity: str, moment: str, amount: str, lateness: str = "1 day") -> DataFrame:
-    """(entity, date, total) per UTC day; state holds one row per entity and open day."""
-    return (
-        rows.withWatermark(moment, lateness)
-        .groupBy(F.window(moment, "1 day").alias("day"), F.col(entity))
-        .agg(F.sum(as_money(F.col(amount))).alias("total"))
-        .select(
-            entity,
-            F.to_date(F.to_utc_timestamp("day.start", F.current_timezone())).alias("date"),
-            F.col("total").cast("double").alias("total"),
-        )
-    )
-
-
-def run_daily_totals(totals: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """Write each day once its lateness has passed."""
-    writer = (
-        totals.writeStream.outputMode("append").format("parquet").option("path", path)
-        .option("checkpointLocation", checkpoint)
-    )
+from orderpulse.functions.values import MONEY, as_money
+
+
+def day_sums(rows: DataFrame, entity: str, moment: str, amount: str) -> DataFrame:
+    """(entity, date, total) of some rows, by UTC day; totals are decimal, so that they add up exactly."""
+    day = F.to_date(F.to_utc_timestamp(moment, F.current_timezone()))
+    return rows.groupBy(F.col(entity), day.alias("date")).agg(F.sum(as_money(F.col(amount))).alias("total"))
+
+
+def run_daily_totals(rows: DataFrame, entity: str, moment: str, amount: str, path: str, checkpoint: str,
+                     available_now: bool = False) -> StreamingQuery:
+    """Store each batch's sums per entity and day in a folder of its own, which a replay of the batch replaces.
+
+    `read_daily_totals` adds them up: open days grow with every batch, and rows that come late, however late, count. No
+    state is kept between batches.
+    """
+    def store(batch: DataFrame, epoch: int) -> None:
+        day_sums(batch, entity, moment, amount).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+    writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+def read_daily_totals(spark: SparkSession, path: str, entity: str) -> DataFrame:
+    """(entity, date, total) of all rows so far, as `operators.fluctuation.compare_day` takes them."""
+    kind = MONEY.replace("28", "38")
+    stored = spark.read.schema(f"`{entity}` STRING, date DATE, total {kind}, epoch BIGINT").parquet(path)
+    return stored.groupBy(entity, "date").agg(F.sum("total").alias("total"))

@@ -9,7 +9,8 @@ from orderpulse.operators.sinks import read_raw, replace_table
 from orderpulse.sources.batch import read_table
 from orderpulse.sources.stream import customer_files, file_messages, kafka_messages
 from orderpulse.streaming.customers import run_customer_stream
-from orderpulse.streaming.daily import daily_totals, run_daily_totals
+from orderpulse.operators.fluctuation import compare_day
+from orderpulse.streaming.daily import read_daily_totals, run_daily_totals
 from orderpulse.streaming.orders import STREAM_TABLES, run_order_stream, store_silver
 from tests.conftest import rows
 
@@ -120,16 +121,23 @@ def test_customer_stream(spark, target, tmp_path):
     assert [c[:2] for c in companies] == [("A", "w"), ("A", "x"), ("B2", "y"), ("B2", "z")]
 
 
-def test_daily_totals_emit_closed_days_only(spark, tmp_path):
-    data = [("a", "2024-01-01 01:00:00", 0.1), ("a", "2024-01-01 23:00:00", 0.2), ("b", "2024-01-02 00:00:00", 5.0),
-            ("a", "2024-01-04 06:00:00", 7.0)]
-    spark.createDataFrame(data, "e string, ts string, v double").withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.parquet(
-        str(tmp_path / "in"))
-    stream = spark.readStream.schema("e string, ts timestamp, v double").parquet(str(tmp_path / "in"))
-    run_daily_totals(daily_totals(stream, "e", "ts", "v"), str(tmp_path / "out"), str(tmp_path / "checkpoint"),
-                     available_now=True).awaitTermination()
-    out = spark.read.schema("e string, date date, total double").parquet(str(tmp_path / "out"))
-    assert rows(out) == [("a", D0, 0.3), ("b", D1, 5.0)]
+def test_daily_totals_have_open_days_and_late_rows(spark, tmp_path):
+    def deliver(*data):
+        spark.createDataFrame(data, "e string, ts string, v double").withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.mode(
+            "append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema("e string, ts timestamp, v double").parquet(str(tmp_path / "in"))
+        run_daily_totals(stream, "e", "ts", "v", str(tmp_path / "out"), str(tmp_path / "checkpoint"),
+                         available_now=True).awaitTermination()
+        totals = read_daily_totals(spark, str(tmp_path / "out"), "e")
+        return rows(totals.withColumn("total", F.col("total").cast("double")))
+
+    assert deliver(("a", "2024-01-01 01:00:00", 0.1), ("a", "2024-01-01 23:00:00", 0.2), ("b", "2024-01-02 00:00:00", 5.0)) == [
+        ("a", D0, 0.3), ("b", D1, 5.0)]
+    assert deliver(("a", "2024-03-01 00:00:00", 7.0)) == [("a", D0, 0.3), ("a", date(2024, 3, 1), 7.0), ("b", D1, 5.0)]
+    late = deliver(("a", "2024-01-01 12:00:00", 0.004), ("b", "2024-01-02 01:00:00", 1.0))
+    assert late == [("a", D0, 0.304), ("a", date(2024, 3, 1), 7.0), ("b", D1, 6.0)]
+    totals = read_daily_totals(spark, str(tmp_path / "out"), "e")
+    assert compare_day(totals, date(2024, 1, 2), "e").count() == 0
 
 
 def test_kafka_source_needs_its_package(spark):
