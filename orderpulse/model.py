@@ -117,7 +117,7 @@ ORDER_REJECTS = TableSpec(
 
 WAREHOUSE = (PRODUCTS, ORDERS, ORDER_LINES, CUSTOMERS, COMPANIES, INDUSTRIES, FLUCTUATIONS)
 
-# Reader schemas of the raw inputs.
+# Columns of the raw inputs and of the documents.
 CUSTOMERS_CSV = (
     T.StructType().add("customer_id", "string").add("company_name", "string").add("specialized_industries", "string")
 )

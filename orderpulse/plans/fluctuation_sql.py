@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from orderpulse.functions.dates import trailing_bounds
 
@@ -52,3 +52,15 @@ def top_fluctuations_sql(orders: DataFrame, customers: DataFrame, companies: Dat
     return orders.sparkSession.sql(
         FLUCTUATION_SQL, args={"as_of": as_of, "first": first, "k": k},
         orders=orders, customers=customers, companies=companies, industries=industries)
+
+
+def top_fluctuations_in(spark: SparkSession, database: str, as_of: date, k: int = 3) -> DataFrame:
+    """The same statement over the tables (or views) of a database, by their plain names after `USE`."""
+    first, _ = trailing_bounds(as_of)
+    names = {name: name for name in ("orders", "customers", "companies", "industries")}
+    before = spark.catalog.currentDatabase()
+    spark.sql(f"USE `{database}`")
+    try:
+        return spark.sql(FLUCTUATION_SQL.format(**names), args={"as_of": as_of, "first": first, "k": k})
+    finally:
+        spark.sql(f"USE `{before}`")

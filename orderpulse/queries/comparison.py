@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderpulse.functions.dates import trailing_bounds
+from orderpulse.functions.values import REPORT_LINE
 from orderpulse.operators import fluctuation
 from orderpulse.operators.ranking import rank_all as rank_everything
-from orderpulse.plans.fluctuation_sql import top_fluctuations_sql
+from orderpulse.plans.fluctuation_sql import top_fluctuations_in
 from orderpulse.queries.inputs import (AS_OF, LINE_FACTS, ORDER_FACTS, SEGMENT_ROWS, WORD_ROWS, load, segments, words)
 from orderpulse.queries.registry import query
 
@@ -68,22 +70,31 @@ SELECT industry, value_24h, avg_30d, diff, abs(diff) AS abs_diff, diff / avg_30d
 FROM ranked WHERE rank <= 3
 """)
 def fluctuations_sql_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Regions as industries and nations as companies, in one SQL statement."""
-    nations = load(spark, sf_dir, "nation").join(
-        load(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return top_fluctuations_sql(
-        orders=load(spark, sf_dir, "orders").selectExpr(
-            "o_custkey AS customer_id", "o_orderdate AS moment", "o_totalprice AS amount"),
-        customers=load(spark, sf_dir, "customer").selectExpr("c_custkey AS customer_id", "c_nationkey AS company_name"),
-        companies=nations.selectExpr("n_nationkey AS company_name", "r_name AS industry"),
-        industries=load(spark, sf_dir, "region").selectExpr("r_name AS industry"),
-        as_of=AS_OF)
+    """Regions as industries and nations as companies, in one SQL statement over the views of a database.
+
+    The database can go once the statement is analysed: its views stand for files.
+    """
+    database = f"orderpulse_{uuid.uuid4().hex[:12]}"
+    file = lambda name: f"parquet.`{sf_dir}/{name}.parquet`"
+    views = {
+        "orders": f"SELECT o_custkey AS customer_id, o_orderdate AS moment, o_totalprice AS amount FROM {file('orders')}",
+        "customers": f"SELECT c_custkey AS customer_id, c_nationkey AS company_name FROM {file('customer')}",
+        "companies": f"SELECT n_nationkey AS company_name, r_name AS industry FROM {file('nation')} "
+                     f"JOIN {file('region')} ON n_regionkey = r_regionkey",
+        "industries": f"SELECT r_name AS industry FROM {file('region')}",
+    }
+    spark.sql(f"CREATE DATABASE `{database}`")
+    try:
+        for name, rows in views.items():
+            spark.sql(f"CREATE VIEW `{database}`.`{name}` AS {rows}")
+        return top_fluctuations_in(spark, database, AS_OF)
+    finally:
+        spark.sql(f"DROP DATABASE `{database}` CASCADE")
 
 
 @query(f"""
 WITH {fluctuation_ctes(SEGMENT_ROWS, AS_OF)}
-SELECT rank, printf('Rank: %d -> Industry: %-15s | 24h_value: %-15.2f | 30d_avg: %-15.2f | Difference: %-15.2f | %% variation: %.2f%%',
-                    rank, industry, value_24h, avg_30d, diff, diff / avg_30d * 100) AS line
+SELECT rank, printf('{REPORT_LINE}', rank, industry, value_24h, avg_30d, diff, diff / avg_30d * 100) AS line
 FROM ranked WHERE rank <= 3
 """)
 def fluctuations_report(spark: SparkSession, sf_dir: str) -> DataFrame:
