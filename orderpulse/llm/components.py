@@ -5,18 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderpulse.llm.common import kept
+from orderpulse.llm.common import kept, small
 
 
+# The least neighbours are kept before they are joined: few are broadcast, so that the edges stay where they are; many meet
+# the edges in a join that adaptive execution splits where one node has most of them, which it can't do if the
+# least ones are found in the same stage.
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
+    least = small(kept(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))))
     return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """`edges` lead from the larger to the smaller node."""
-    least = edges.groupBy("a").agg(F.min("b").alias("least"))
+    least = small(kept(edges.groupBy("a").agg(F.min("b").alias("least"))))
     moved = edges.join(least, "a").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
     return moved.unionByName(least.select("a", F.col("least").alias("b")))
 
@@ -34,7 +37,7 @@ def components(edges: DataFrame) -> DataFrame:
         if state == before or state[0] == 0:
             break
         before = state
-        large = _large_star(now).where("a <> b").distinct()
+        large = kept(_large_star(now).where("a <> b").distinct())
         now = kept(_small_star(large).where("a <> b").distinct())
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

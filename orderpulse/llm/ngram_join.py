@@ -280,7 +280,8 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text",
         "node", "set_id", F.coalesce("root", "node").alias("root"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     rooted = kept(rooted)
-    named = rooted.join(rooted.groupBy("root").agg(F.min("set_id").alias("class_id")), "root").select(
+    ids = kept(rooted.groupBy("root").agg(F.min("set_id").alias("class_id")))
+    named = rooted.join(small(ids), "root").select(
         "node", "set_id", "class_id", "n_links")
     with_words = sketches.where("node IS NOT NULL").join(kept(named), "node").select(
         "doc_id", "text_hash", "set_id", "class_id", "n_links")
