@@ -18,8 +18,10 @@ class TableSpec:
     partition: tuple[str, ...] = ()
     required: tuple[str, ...] = ()
     format: str = "parquet"
-    # Rewritten as a whole: `name` is a view of the current version.
-    versioned: bool = False
+    # Parquet keeps such a table in buckets, by a hash of these columns, in place of `partition`: rows are replaced
+    # by the bucket, and `name` is a view of each bucket's current rows.
+    bucket_by: tuple[str, ...] = ()
+    buckets: int = 16
     # What readers see instead of the stored columns, and under which name.
     view: tuple[str, tuple[str, ...]] | None = None
 
@@ -32,6 +34,10 @@ class TableSpec:
     def column_names(self) -> list[str]:
         return [n for n, _ in self.columns]
 
+    @property
+    def versioned(self) -> bool:
+        return bool(self.bucket_by)
+
     @property
     def read_name(self) -> str:
         return self.view[0] if self.view else self.name
@@ -86,14 +92,14 @@ CUSTOMERS = TableSpec(
     (("customer_id", "STRING"), ("company_name", "STRING"), ("ingest_date", "DATE")),
     partition=("ingest_date",),
     required=("customer_id",),
-    versioned=True,
+    bucket_by=("customer_id",),
 )
 COMPANIES = TableSpec(
     "companies",
     (("company_name", "STRING"), ("industry", "STRING"), ("ingest_date", "DATE")),
     partition=("ingest_date",),
     required=("company_name",),
-    versioned=True,
+    bucket_by=("company_name",),
 )
 INDUSTRIES = TableSpec(
     "industries",

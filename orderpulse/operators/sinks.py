@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import time
 from datetime import timedelta
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderpulse.model import TableSpec
@@ -68,38 +68,106 @@ def static_overwrite(spark: SparkSession) -> Iterator[SparkSession]:
         spark.conf.set(key, before)
 
 
-def _version_prefix(spec: TableSpec) -> str:
-    return f"{spec.name}__v"
+#: Properties of a bucketed table's view: versions of its buckets in order, and the last epoch of each stream.
+_VERSIONS, _EPOCH = "orderpulse.versions", "orderpulse.epoch."
 
 
-def replace_table(df: DataFrame, spec: TableSpec, database: str, keep: int = 3,
-                  min_age: timedelta = timedelta(hours=1)) -> None:
-    """Replace a versioned table, which `df` may read.
+def stored_name(spec: TableSpec) -> str:
+    return f"{spec.name}_stored"
 
-    The new version is a table of its own; switching the view to it is the commit. A failure
-    before that leaves the old version in place. The latest `keep` versions stay, and so does any
-    that was replaced less than `min_age` ago: give it the time of the longest query that reads the table.
+
+def bucket_of(spec: TableSpec) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in spec.bucket_by]), F.lit(spec.buckets)).cast("int")
+
+
+def _part(version: int, bucket: int) -> str:
+    return f"{version}_{bucket}"
+
+
+def _properties(spark: SparkSession, spec: TableSpec, database: str) -> dict[str, str]:
+    if not spark.catalog.tableExists(f"`{database}`.`{spec.name}`"):
+        return {}
+    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES `{database}`.`{spec.name}`").collect()}
+
+
+def applied_epoch(spark: SparkSession, spec: TableSpec, database: str, stream: str) -> int:
+    """The last epoch of a stream that the table holds, -1 if none."""
+    return int(_properties(spark, spec, database).get(_EPOCH + stream, -1))
+
+
+def create_bucketed(spark: SparkSession, spec: TableSpec, database: str) -> None:
+    """An empty bucketed table: the stored rows, partitioned by version and bucket, and the view."""
+    columns = ", ".join(f"`{n}` {t}" for n, t in (*spec.columns, ("part", "STRING")))
+    spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{stored_name(spec)}` ({columns}) "
+              f"USING {spec.format} PARTITIONED BY (part)")
+    _switch(spark, spec, database, [0] * spec.buckets, {})
+
+
+def _switch(spark: SparkSession, spec: TableSpec, database: str, current: list[int], epochs: dict[str, str],
+            same: dict[str, object] | None = None) -> None:
+    properties = {_VERSIONS: ",".join(map(str, current)), **epochs}
+    listed = ", ".join(f"{_literal(k, 'STRING')} = {_literal(v, 'STRING')}" for k, v in properties.items())
+    parts = ", ".join(_literal(_part(v, n), "STRING") for n, v in enumerate(current))
+    same = {c: f"CAST({_literal(v, 'STRING')} AS {dict(spec.columns)[c]}) AS `{c}`" for c, v in (same or {}).items()}
+    columns = ", ".join(same.get(c, f"`{c}`") for c in spec.column_names)
+    spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{spec.name}` TBLPROPERTIES ({listed}) AS "
+              f"SELECT {columns} FROM `{database}`.`{stored_name(spec)}` WHERE part IN ({parts})")
+
+
+def read_buckets(spark: SparkSession, spec: TableSpec, database: str, buckets: Iterable[int]) -> DataFrame:
+    """Current rows of some buckets; the others are not read."""
+    current = _properties(spark, spec, database)[_VERSIONS].split(",")
+    wanted = [_part(int(current[n]), n) for n in buckets]
+    return spark.table(f"`{database}`.`{stored_name(spec)}`").where(F.col("part").isin(wanted)).select(*spec.column_names)
+
+
+def replace_table(df: DataFrame, spec: TableSpec, database: str, keep: int = 3, min_age: timedelta = timedelta(hours=1),
+                  buckets: Iterable[int] | None = None, stream: str | None = None, epoch: int = 0,
+                  same: dict[str, object] | None = None) -> None:
+    """Replace a bucketed table, or those of its `buckets` that `df` holds all rows of; `df` may read the table.
+
+    New rows go to partitions of their own; switching the view to them is the commit, and records `epoch` of
+    `stream` with it. A failure before that leaves the old rows in place. A bucket's latest `keep` versions stay, and
+    so does any that was replaced less than `min_age` ago: give it the time of the longest query that reads the
+    table. `same` gives columns one value in all rows, those of other buckets too, without writing them. A table has one
+    writer at a time.
     """
-    spark = df.sparkSession
-    version = f"{_version_prefix(spec)}{time.time_ns()}"
-    rows = spec.conform(df)
-    if spec.partition:
-        rows = by_partition(rows, list(spec.partition))
-    writer = rows.write.mode("error").format(spec.format)
-    if spec.partition:
-        writer = writer.partitionBy(*spec.partition)
-    writer.saveAsTable(f"{database}.{version}")
-    spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{spec.name}` AS SELECT * FROM `{database}`.`{version}`")
-    made = versions(spark, spec, database)
-    for old, successor in list(zip(made, made[1:], strict=False))[:max(0, len(made) - keep)]:
-        replaced = int(successor.removeprefix(_version_prefix(spec)))
-        if time.time_ns() - replaced >= min_age.total_seconds() * 1e9:
-            spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{old}`")
-
-
-def versions(spark: SparkSession, spec: TableSpec, database: str) -> list[str]:
-    """Names of the kept versions, oldest first."""
-    return sorted(t.name for t in spark.catalog.listTables(database, f"{_version_prefix(spec)}*"))
+    spark, version = df.sparkSession, time.time_ns()
+    if not spark.catalog.tableExists(f"`{database}`.`{spec.name}`"):
+        create_bucketed(spark, spec, database)
+    rows = spec.conform(df).withColumn("part", F.concat(F.lit(f"{version}_"), bucket_of(spec).cast("string")))
+    by_partition(rows, ["part"]).write.insertInto(f"`{database}`.`{stored_name(spec)}`")
+    properties = _properties(spark, spec, database)
+    current = [int(v) for v in properties[_VERSIONS].split(",")]
+    for bucket in range(spec.buckets) if buckets is None else buckets:
+        current[bucket] = version
+    epochs = {k: v for k, v in properties.items() if k.startswith(_EPOCH)}
+    if stream is not None:
+        epochs[_EPOCH + stream] = str(epoch)
+    _switch(spark, spec, database, current, epochs, same)
+    _retire(spark, spec, database, current, keep, min_age)
+
+
+def _stored_parts(spark: SparkSession, spec: TableSpec, database: str) -> list[tuple[int, int]]:
+    """(bucket, version) of what is stored; a few for each bucket."""
+    found = spark.sql(f"SHOW PARTITIONS `{database}`.`{stored_name(spec)}`").collect()
+    parts = [r.partition.removeprefix("part=").split("_") for r in found]
+    return sorted((int(bucket), int(version)) for version, bucket in parts)
+
+
+def _retire(spark: SparkSession, spec: TableSpec, database: str, current: list[int], keep: int, min_age: timedelta) -> None:
+    stored, now, old = _stored_parts(spark, spec, database), time.time_ns(), []
+    for bucket, version in stored:
+        later = sorted({v for b, v in stored if b == bucket and v > version} | {v for v in current[bucket:bucket + 1] if v > version})
+        if len(later) >= keep and now - later[0] >= min_age.total_seconds() * 1e9:
+            old.append(f"PARTITION (part = '{_part(version, bucket)}')")
+    if old:
+        spark.sql(f"ALTER TABLE `{database}`.`{stored_name(spec)}` DROP IF EXISTS {', '.join(old)}")
+
+
+def versions(spark: SparkSession, spec: TableSpec, database: str) -> list[int]:
+    """The kept versions, oldest first."""
+    return sorted({version for _, version in _stored_parts(spark, spec, database)})
 
 
 @contextmanager

@@ -8,28 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderpulse.model import TableSpec
-from orderpulse.operators.sinks import replace_table, versions
+from orderpulse.operators.sinks import create_bucketed, stored_name
 
 
 def ensure_tables(spark: SparkSession, database: str, root: str, specs: Iterable[TableSpec],
                   full_refresh: bool = False) -> None:
     """Create the database below `root` and each missing table; `full_refresh` drops first."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{root}'")
+    place = root.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{place}'")
     for spec in specs:
-        name = f"{database}.{spec.name}"
+        name = f"`{database}`.`{spec.name}`"
         if full_refresh:
             spark.sql(f"DROP {'VIEW' if spec.versioned else 'TABLE'} IF EXISTS {name}")
             if spec.versioned:
-                for version in versions(spark, spec, database):
-                    spark.sql(f"DROP TABLE IF EXISTS {database}.{version}")
+                spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{stored_name(spec)}`")
         if spec.versioned:
             if not spark.catalog.tableExists(name):
-                replace_table(spark.createDataFrame([], spec.schema), spec, database)
+                create_bucketed(spark, spec, database)
         else:
             spark.sql(spec.create_sql(database))
         if spec.view:
             view, columns = spec.view
-            spark.sql(f"CREATE OR REPLACE VIEW {database}.{view} AS SELECT {', '.join(columns)} FROM {name}")
+            spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{view}` AS SELECT {', '.join(columns)} FROM {name}")
         if not spark.catalog.tableExists(name):
             raise RuntimeError(f"{name} was not created")
 

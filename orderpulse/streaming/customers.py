@@ -8,39 +8,58 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from orderpulse.model import COMPANIES, CUSTOMERS
+from orderpulse.model import COMPANIES, CUSTOMERS, TableSpec
 from orderpulse.operators.bridge import build_bridge, merge_bridge
-from orderpulse.operators.sinks import replace_table
+from orderpulse.operators.sinks import applied_epoch, bucket_of, read_buckets, replace_table
 from orderpulse.operators.upsert import merge_upsert
-from orderpulse.sources.batch import read_table
 
 
-def store_customers(batch: DataFrame, database: str, ingest_date: date | None = None) -> None:
-    """Apply one batch. Applying it again changes nothing, so a replay is harmless.
+def store_customers(batch: DataFrame, database: str, ingest_date: date | None = None, stream: str | None = None,
+                    epoch: int = 0) -> None:
+    """Apply one batch, at the cost of the buckets that it touches. The whole bridge gets the date of the batch.
 
-    The exception is rows without a customer id: they match nothing and are added each time.
+    Both tables record the epoch of `stream` with their rows and skip one they hold, so a replay changes nothing.
+    Without `stream`, rows without a customer id, which match nothing, are added each time.
     """
     if batch.isEmpty():
         return
     spark = batch.sparkSession
-    today = F.lit(ingest_date) if ingest_date else F.current_date()
+    today = ingest_date or spark.range(1).select(F.current_date()).first()[0]
     batch = batch.persist()
     try:
-        incoming = batch.select("customer_id", "company_name", today.alias("ingest_date")).distinct()
-        merged = merge_upsert(read_table(spark, database, CUSTOMERS.name), incoming, "customer_id", "company_name")
-        replace_table(merged, CUSTOMERS, database)
-        bridge = merge_bridge(read_table(spark, database, COMPANIES.name), build_bridge(batch), existing_distinct=True)
-        replace_table(bridge.withColumn("ingest_date", today), COMPANIES, database)
+        if stream is None or applied_epoch(spark, CUSTOMERS, database, stream) < epoch:
+            incoming = batch.select("customer_id", "company_name", F.lit(today).alias("ingest_date")).distinct()
+            touched = _touched(incoming, CUSTOMERS)
+            stored = read_buckets(spark, CUSTOMERS, database, touched)
+            merged = merge_upsert(stored, incoming, "customer_id", "company_name")
+            replace_table(merged, CUSTOMERS, database, buckets=touched, stream=stream, epoch=epoch)
+        if stream is None or applied_epoch(spark, COMPANIES, database, stream) < epoch:
+            pairs = build_bridge(batch)
+            touched = _touched(pairs, COMPANIES)
+            stored = read_buckets(spark, COMPANIES, database, touched)
+            bridge = merge_bridge(stored, pairs, existing_distinct=True).withColumn("ingest_date", F.lit(today))
+            replace_table(bridge, COMPANIES, database, buckets=touched, stream=stream, epoch=epoch,
+                          same={"ingest_date": today})
     finally:
         batch.unpersist()
 
 
+def _touched(rows: DataFrame, spec: TableSpec) -> list[int]:
+    """The buckets of some rows, at most as many as the table has."""
+    return sorted(r[0] for r in rows.select(bucket_of(spec)).distinct().collect())
+
+
 def run_customer_stream(files: DataFrame, database: str, checkpoint: str,
                         ingest_date: date | None = None, interval: str = "60 seconds",
                         available_now: bool = False) -> StreamingQuery:
+    def store(batch: DataFrame, epoch: int) -> None:
+        # Spark gives each checkpoint an id of its own, which outlives restarts; epochs count within it.
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        store_customers(batch, database, ingest_date, stream, epoch)
+
     writer = (
         files.writeStream.outputMode("append").queryName("customers")
-        .foreachBatch(lambda batch, _: store_customers(batch, database, ingest_date))
+        .foreachBatch(store)
         .option("checkpointLocation", checkpoint)
     )
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}

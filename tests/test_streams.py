@@ -5,10 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderpulse import model
-from orderpulse.operators.sinks import read_raw, replace_table
+from orderpulse.operators.sinks import _stored_parts, applied_epoch, read_raw, replace_table
 from orderpulse.sources.batch import read_table
 from orderpulse.sources.stream import customer_files, file_messages, kafka_messages
-from orderpulse.streaming.customers import run_customer_stream
+from orderpulse.streaming.customers import run_customer_stream, store_customers
 from orderpulse.operators.fluctuation import compare_day
 from orderpulse.streaming.daily import read_daily_totals, run_daily_totals
 from orderpulse.streaming.orders import STREAM_TABLES, run_order_stream, store_silver
@@ -121,6 +121,44 @@ def test_customer_stream(spark, target, tmp_path):
     assert [c[:2] for c in companies] == [("A", "w"), ("A", "x"), ("B2", "y"), ("B2", "z")]
 
 
+def test_small_batch_writes_its_bucket_and_a_replay_nothing(spark, target, tmp_path, monkeypatch):
+    to = target(model.CUSTOMERS, model.COMPANIES)
+    before = spark.createDataFrame([(str(n), f"c{n % 7}", D0) for n in range(200)], model.CUSTOMERS.schema)
+    replace_table(before, model.CUSTOMERS, to.database)
+    reader = read_table(spark, to.database, "customers")
+    first = set(_stored_parts(spark, model.CUSTOMERS, to.database))
+    schema = "customer_id string, company_name string, specialized_industries string"
+    batch = spark.createDataFrame([("3", "new", "x")], schema)
+    store_customers(batch, to.database, D1, "s", 0)
+    assert len(set(_stored_parts(spark, model.CUSTOMERS, to.database)) - first) == 1
+    expected = rows(before.where("customer_id <> '3'")) + [("3", "new", D1)]
+    assert rows(read_table(spark, to.database, "customers")) == sorted(expected)
+    nameless = spark.createDataFrame([(None, "n", "y")], schema)
+    for n in (1, 1, 0):
+        store_customers(nameless if n else batch, to.database, D1, "s", n)
+    assert read_table(spark, to.database, "customers").where("customer_id IS NULL").count() == 1
+    assert rows(read_table(spark, to.database, "companies")) == [("n", "y", D1), ("new", "x", D1)]
+    for n in range(2, 5):
+        store_customers(spark.createDataFrame([("3", f"v{n}", "x")], schema), to.database, D1, "s", n)
+    assert rows(reader) == rows(before)  # opened before all batches
+    # Another stream has epochs of its own.
+    store_customers(nameless, to.database, D1, "t", 0)
+    assert read_table(spark, to.database, "customers").where("customer_id IS NULL").count() == 2
+
+
+def test_stream_records_its_epochs(spark, target, tmp_path):
+    to = target(model.CUSTOMERS, model.COMPANIES)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("customer_id,company_name,specialized_industries\n,A,x\n")
+    query = run_customer_stream(customer_files(spark, str(folder), 1), to.database, str(tmp_path / "checkpoint"),
+                                ingest_date=D1, available_now=True)
+    query.awaitTermination()
+    assert applied_epoch(spark, model.CUSTOMERS, to.database, str(query.id)) == 0
+    assert applied_epoch(spark, model.COMPANIES, to.database, str(query.id)) == 0
+    assert applied_epoch(spark, model.COMPANIES, to.database, "another") == -1
+
+
 def test_daily_totals_have_open_days_and_late_rows(spark, tmp_path):
     def deliver(*data):
         spark.createDataFrame(data, "e string, ts string, v double").withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.mode(
