@@ -29,7 +29,7 @@ def by_partition(df: DataFrame, partition: list[str]) -> DataFrame:
     return df.hint("rebalance", *partition)
 
 
-def _literal(value, kind: str) -> str:
+def sql_literal(value, kind: str) -> str:
     text = "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
     return {"STRING": text, "DATE": f"DATE {text}"}.get(kind) or str(int(value))
 
@@ -45,7 +45,7 @@ def overwrite_partition(df: DataFrame, spec: TableSpec, database: str, values: d
         raise ValueError(f"{spec.name}: give values for {assigned} in this order")
     dynamic = list(spec.partition[len(values):])
     types = dict(spec.columns)
-    clause = ", ".join([f"`{c}` = {_literal(values[c], types[c])}" for c in assigned] + [f"`{c}`" for c in dynamic])
+    clause = ", ".join([f"`{c}` = {sql_literal(values[c], types[c])}" for c in assigned] + [f"`{c}`" for c in dynamic])
     rows = spec.conform(df.withColumns({c: F.lit(v).cast(types[c]) for c, v in values.items()})).drop(*assigned)
     if dynamic:
         rows = by_partition(rows, dynamic)
@@ -84,15 +84,15 @@ def _part(version: int, bucket: int) -> str:
     return f"{version}_{bucket}"
 
 
-def _properties(spark: SparkSession, spec: TableSpec, database: str) -> dict[str, str]:
-    if not spark.catalog.tableExists(f"`{database}`.`{spec.name}`"):
+def view_properties(spark: SparkSession, database: str, view: str) -> dict[str, str]:
+    if not spark.catalog.tableExists(f"`{database}`.`{view}`"):
         return {}
-    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES `{database}`.`{spec.name}`").collect()}
+    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES `{database}`.`{view}`").collect()}
 
 
 def applied_epoch(spark: SparkSession, spec: TableSpec, database: str, stream: str) -> int:
     """The last epoch of a stream that the table holds, -1 if none."""
-    return int(_properties(spark, spec, database).get(_EPOCH + stream, -1))
+    return int(view_properties(spark, database, spec.name).get(_EPOCH + stream, -1))
 
 
 def create_bucketed(spark: SparkSession, spec: TableSpec, database: str) -> None:
@@ -106,9 +106,9 @@ def create_bucketed(spark: SparkSession, spec: TableSpec, database: str) -> None
 def _switch(spark: SparkSession, spec: TableSpec, database: str, current: list[int], epochs: dict[str, str],
             same: dict[str, object] | None = None) -> None:
     properties = {_VERSIONS: ",".join(map(str, current)), **epochs}
-    listed = ", ".join(f"{_literal(k, 'STRING')} = {_literal(v, 'STRING')}" for k, v in properties.items())
-    parts = ", ".join(_literal(_part(v, n), "STRING") for n, v in enumerate(current))
-    same = {c: f"CAST({_literal(v, 'STRING')} AS {dict(spec.columns)[c]}) AS `{c}`" for c, v in (same or {}).items()}
+    listed = ", ".join(f"{sql_literal(k, 'STRING')} = {sql_literal(v, 'STRING')}" for k, v in properties.items())
+    parts = ", ".join(sql_literal(_part(v, n), "STRING") for n, v in enumerate(current))
+    same = {c: f"CAST({sql_literal(v, 'STRING')} AS {dict(spec.columns)[c]}) AS `{c}`" for c, v in (same or {}).items()}
     columns = ", ".join(same.get(c, f"`{c}`") for c in spec.column_names)
     spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{spec.name}` TBLPROPERTIES ({listed}) AS "
               f"SELECT {columns} FROM `{database}`.`{stored_name(spec)}` WHERE part IN ({parts})")
@@ -116,7 +116,7 @@ def _switch(spark: SparkSession, spec: TableSpec, database: str, current: list[i
 
 def read_buckets(spark: SparkSession, spec: TableSpec, database: str, buckets: Iterable[int]) -> DataFrame:
     """Current rows of some buckets; the others are not read."""
-    current = _properties(spark, spec, database)[_VERSIONS].split(",")
+    current = view_properties(spark, database, spec.name)[_VERSIONS].split(",")
     wanted = [_part(int(current[n]), n) for n in buckets]
     return spark.table(f"`{database}`.`{stored_name(spec)}`").where(F.col("part").isin(wanted)).select(*spec.column_names)
 
@@ -137,7 +137,7 @@ def replace_table(df: DataFrame, spec: TableSpec, database: str, keep: int = 3,
         create_bucketed(spark, spec, database)
     rows = spec.conform(df).withColumn("part", F.concat(F.lit(f"{version}_"), bucket_of(spec).cast("string")))
     by_partition(rows, ["part"]).write.insertInto(f"`{database}`.`{stored_name(spec)}`")
-    properties = _properties(spark, spec, database)
+    properties = view_properties(spark, database, spec.name)
     current = [int(v) for v in properties[_VERSIONS].split(",")]
     for bucket in range(spec.buckets) if buckets is None else buckets:
         current[bucket] = version

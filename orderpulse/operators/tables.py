@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderpulse.model import TableSpec
+from orderpulse.operators.compaction import create_view
 from orderpulse.operators.sinks import create_bucketed, stored_name
 
 
@@ -28,8 +29,9 @@ def ensure_tables(spark: SparkSession, database: str, root: str, specs: Iterable
         else:
             spark.sql(spec.create_sql(database))
         if spec.view:
-            view, columns = spec.view
-            spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{view}` AS SELECT {', '.join(columns)} FROM {name}")
+            if full_refresh:
+                spark.sql(f"DROP VIEW IF EXISTS `{database}`.`{spec.view[0]}`")
+            create_view(spark, spec, database)
         if not spark.catalog.tableExists(name):
             raise RuntimeError(f"{name} was not created")
 

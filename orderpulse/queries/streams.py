@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from orderpulse import model
 from orderpulse.operators.bridge import BRIDGE
+from orderpulse.operators.compaction import fold_epochs, last_closed
 from orderpulse.operators.documents import order_rows, parse_orders
 from orderpulse.operators.sinks import read_raw, replace_table
 from orderpulse.queries.dimensions import MERGED_MEMBERS
@@ -80,6 +82,21 @@ def stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, to.database, "order_lines").select("order_id", "product_id", "price", "volume", "order_date")
 
 
+@query(EVENT_LINES)
+def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several epochs, of which the closed ones are folded; then the stream starts again and the rest is folded."""
+    to = new_database(spark, STREAM_TABLES)
+    path, checkpoint = message_files(spark, sf_dir), fresh_folder(spark, "checkpoint")
+    files = spark.read.schema(model.MESSAGE).parquet(path).inputFiles()
+    run_order_stream(file_messages(spark, path, max(1, len(files) // 3)), to.database, "orders", checkpoint,
+                     available_now=True).awaitTermination()
+    for keep_open in (1, 0):
+        last = last_closed(spark, model.ORDER_LINES, to.database, "orders") + 1
+        fold_epochs(spark, model.ORDER_LINES, to.database, "orders", last - keep_open, min_age=timedelta(0))
+        run_order_stream(file_messages(spark, path), to.database, "orders", checkpoint, available_now=True).awaitTermination()
+    return read_table(spark, to.database, "order_lines").select("order_id", "product_id", "price", "volume", "order_date")
+
+
 @query(f"""
 SELECT 'customer' AS kind, customer_id AS id, company_name AS value, ingest_date FROM ({MERGED_MEMBERS})
 UNION ALL SELECT DISTINCT 'company', company_name, unnest(string_split(specialized_industries, ';')),

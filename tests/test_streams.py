@@ -1,11 +1,13 @@
 import json
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from orderpulse import model
+from orderpulse.operators.compaction import fold_epochs, last_closed
 from orderpulse.operators.sinks import _stored_parts, applied_epoch, read_raw, replace_table
+from orderpulse.operators.tables import ensure_tables
 from orderpulse.sources.batch import read_table
 from orderpulse.sources.stream import customer_files, file_messages, kafka_messages
 from orderpulse.streaming.customers import run_customer_stream, store_customers
@@ -159,6 +161,38 @@ def test_stream_records_its_epochs(spark, target, tmp_path):
     assert applied_epoch(spark, model.COMPANIES, to.database, "another") == -1
 
 
+def test_closed_epochs_fold_into_days(spark, target):
+    to = target(*STREAM_TABLES)
+    for epoch in range(4):
+        store_silver(messages(spark, (f"a{epoch}", "2024-01-01", 1), (f"b{epoch}", "2024-01-02", 0)), epoch, to.database, "s")
+        store_silver(messages(spark, (f"c{epoch}", "2024-01-01", 1)), epoch, to.database, "it's")
+    stored = f"{to.database}.{model.ORDERS.name}"
+
+    def seen():
+        return rows(read_table(spark, to.database, "orders").select("order_id", "order_date"))
+
+    expected, reader = seen(), read_table(spark, to.database, "orders").select("order_id", "order_date")
+    assert last_closed(spark, model.ORDERS, to.database, "s") == 2 and last_closed(spark, model.ORDERS, to.database, "x") == -1
+    fold_epochs(spark, model.ORDERS, to.database, "s", 1)
+    assert seen() == expected and rows(reader) == expected
+    # A fold that was written and not committed is not seen, and cleared by the next.
+    spark.table(stored).where("stream_id = 's' AND epoch = 2").withColumn("epoch", F.lit(-3).cast("long")).write.insertInto(stored)
+    assert seen() == expected
+    ensure_tables(spark, to.database, to.root, STREAM_TABLES)
+    assert seen() == expected
+    fold_epochs(spark, model.ORDERS, to.database, "s", 2, min_age=timedelta(0))
+    fold_epochs(spark, model.ORDERS, to.database, "s", 2, min_age=timedelta(0))
+    assert seen() == expected
+    epochs = spark.table(stored).where("stream_id = 's'").select("epoch", "order_date").distinct()
+    assert rows(epochs) == [(n, day) for n in (-2, -3, 3) for day in (D0, D1)]
+    # The open epoch may still be replayed; the other stream's text is a name, not SQL.
+    store_silver(messages(spark, ("a3", "2024-01-01", 1), ("b3", "2024-01-02", 0)), 3, to.database, "s")
+    fold_epochs(spark, model.ORDERS, to.database, "it's", 2, min_age=timedelta(0))
+    assert seen() == expected
+    fold_epochs(spark, model.ORDERS, to.database, "nobody", -1)
+    assert seen() == expected
+
+
 def test_daily_totals_have_open_days_and_late_rows(spark, tmp_path):
     def deliver(*data):
         spark.createDataFrame(data, "e string, ts string, v double").withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.mode(
