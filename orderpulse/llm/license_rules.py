@@ -1,23 +1,38 @@
 """Signature rules for licences, in the order of their priority.
 
-A rule is (keyword, pattern, label, confidence). Texts are matched as lower-case words joined by one space, so
-`CC BY-NC 4.0` reads `cc by nc 4 0`. A rule's pattern is tried only on texts that hold its keyword's words, and
-only texts that hold one of GATES are looked at; what a pattern matches always holds both.
+A rule is (keyword, pattern, label, confidence, gate). Texts are matched as lower-case words joined by one space, so
+`CC BY-NC 4.0` reads `cc by nc 4 0`. A rule's pattern is tried only on texts that hold its keyword's words, and only
+texts that hold one of `gates_of` the rules are looked at. Rules come first: gates are taken from them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
 from typing import NamedTuple
 
-#: Every rule needs one of these; looking for them is all that most documents cost.
-GATES = ("licen", "copyright", "spdx", "public", "creative", "copyleft", "cc")
-
 
 class Rule(NamedTuple):
+    """What `pattern` matches always holds the words of `keyword` and, if given, `gate`: a word or a part of one."""
+
     keyword: str
     pattern: str
     label: str
     confidence: float
+    gate: str = ""
+
+
+def _gate(words: str) -> str:
+    """The longest word; spaces around it say that it must be a word, as short ones stand inside many others."""
+    longest = max(words.split(), key=len)
+    return longest if len(longest) > 3 and longest.isalpha() else f" {longest} "
+
+
+def gates_of(rules: Sequence[Rule], phrases: Iterable[str] = ()) -> list[str]:
+    """Few words so that whatever a rule or phrase matches holds one of them; looking for them is all that most
+    documents cost."""
+    wanted = dict.fromkeys([rule.gate or _gate(rule.keyword) for rule in rules])
+    wanted |= dict.fromkeys(_gate(p) for p in phrases if not any(g in f" {p} " for g in wanted))
+    return [g for g in wanted if not any(other != g and other in f" {g.strip()} " for other in wanted)]
 
 
 _UNDER = r"(?:licensed|released|distributed|available|provided|published|made available|offered|covered|usable)"
@@ -102,30 +117,48 @@ _CC_PARTS = (("by-nc-nd", "attribution non ?commercial no ?deriv(?:ative)?s"),
              ("by", "attribution"))
 _CC_VERSIONS = ("1 0", "2 0", "2 5", "3 0", "4 0")
 
-#: Sentences that stand in licence texts themselves, and notices without a named licence.
+#: Abbreviations that name a licence if a version follows, by the label in _VERSIONED whose versions they have.
+_SHORT = (
+    ("gpl", r"(?:gnu )?", "gpl"), ("lgpl", r"(?:gnu )?", "lgpl"), ("agpl", r"(?:gnu )?", "agpl"), ("gfdl", r"(?:gnu )?", "gfdl"),
+    ("apache", "", "apache"), ("mpl", "", "mpl"), ("epl", "", "epl"), ("cddl", "", "cddl"), ("eupl", "", "eupl"),
+    ("osl", "", "osl"), ("afl", "", "afl"), ("ofl", r"(?:sil )?", "ofl"), ("odbl", "", "odbl"), ("busl", "", "busl"),
+    ("artistic", "", "artistic"),
+)
+#: Abbreviations that stand for nothing else, with or without a version.
+_ALONE = ("gpl", "lgpl", "agpl", "wtfpl", "gfdl", "cddl", "eupl", "odbl", "sspl")
+
+_ANY = r"(?: [^ ]+)"
+#: Sentences that stand in licence texts themselves, and notices without a named licence: label, keyword, pattern, gate.
 _SENTENCES = (
     ("mit", "permission is hereby granted", r"permission is hereby granted free of charge to any person obtaining a copy "
-     r"of this software(?: \w+){0,60}? without limitation the rights to use copy modify merge publish distribute sublicense"),
+     rf"of this software(?:{_ANY}{{0,60}}? without limitation the rights to use copy modify merge publish distribute"
+     r"(?: sublicense)?(?: and or sell copies of the software)?)?", ""),
     ("isc", "permission to use", r"permission to use copy modify and(?: or)? distribute this software for any purpose with "
-     r"or without fee is hereby granted provided that the above copyright notice"),
-    ("bsd", "redistribution and use", r"redistribution and use in source and binary forms with or without modification are "
-     r"permitted(?: \w+){0,40}? copyright notice"),
-    ("zlib", "express or implied", r"this software is provided as is without any express or implied warranty(?: \w+){0,80}? "
-     r"this notice may not be removed(?: \w+){0,20}? licen[sc]e"),
+     r"or without fee is hereby granted provided that the above copyright notice", ""),
+    ("0bsd", "permission to use", r"permission to use copy modify and(?: or)? distribute this software for any purpose with "
+     r"or without fee is hereby granted(?! provided )", ""),
+    ("bsd", "redistribution and use", r"redistribution and use in source and binary forms with or without modification "
+     rf"(?:are|is) permitted(?:{_ANY}{{0,40}}? copyright notice)?", ""),
+    ("zlib", "implied warranty", r"this software is provided [^ ]?as is[^ ]? without any express or implied warranty"
+     rf"{_ANY}{{0,40}}? permission is granted to anyone to use this software for any purpose{_ANY}{{0,120}}? "
+     r"this notice may not be removed or altered from any(?: source)? distribution", ""),
+    ("zlib", "permission is granted", r"permission is granted to anyone to use this software for any purpose including "
+     r"commercial applications and to alter it and redistribute it freely", ""),
     ("gpl", "free software", r"this program is free software(?: you can| \w+){0,12}? redistribute it and or modify it under "
-     r"the terms of the gnu general public license"),
-    ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
-    ("public-domain", "public domain", r"(?:released|placed|dedicated|is|are) (?:in|to|into)(?: the)? public domain"),
-    ("public-domain", "public domain", r"public domain"),
-    ("cc0", "cc0", r"cc0(?: 1 0)?(?: universal)?"),
-    ("cc0", "creative commons", r"creative commons (?:cc0|zero)(?: 1 0)?(?: universal)?"),
-    ("all-rights-reserved", "all rights reserved", r"copyright(?: \w+){0,12}? all rights reserved"),
-    ("proprietary", "proprietary", r"(?:proprietary and confidential(?: \w+){0,6}? copyright|proprietary licen[sc]e)"),
-    ("commercial", "commercial", r"commercial licen[sc]e(?: agreement)?"),
-    ("eula", "end user", r"end user licen[sc]e agreement"),
-    ("copyleft", "copyleft", r"(?:strong |weak )?copyleft(?: licen[sc]e)?"),
-    ("copyright", "copyright", r"copyright (?:c )?(?:19|20)\d\d(?: (?:19|20)\d\d)*"),
-    ("license-file", "see", r"see (?:the )?licen[sc]e(?: (?:txt|md))?(?: file)?(?: \w+){0,6}? (?:details|information)"),
+     r"the terms of the gnu general public license", "licen"),
+    ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain", ""),
+    ("public-domain", "public domain", r"(?:released|placed|dedicated|is|are) (?:in|to|into)(?: the)? public domain", ""),
+    ("public-domain", "public domain", r"public domain", ""),
+    ("cc0", "cc0", r"cc0(?: 1 0)?(?: universal)?", ""),
+    ("cc0", "creative commons", r"creative commons (?:cc0|zero)(?: 1 0)?(?: universal)?", ""),
+    ("all-rights-reserved", "all rights reserved", rf"(?:copyright{_ANY}{{0,12}}? )?all rights reserved", ""),
+    ("proprietary", "proprietary", r"(?:proprietary and confidential|confidential and proprietary|proprietary licen[sc]e)", ""),
+    ("commercial", "commercial", r"commercial licen[sc]e(?: agreement)?", "licen"),
+    ("eula", "end user", r"end user licen[sc]e agreement", "licen"),
+    ("eula", "eula", r"eula", ""),
+    ("copyleft", "copyleft", r"(?:strong |weak )?copyleft(?: licen[sc]e)?", ""),
+    ("copyright", "copyright", r"copyright (?:c |\u00a9 ?)?(?:19|20)\d\d(?: (?:19|20)\d\d)*", ""),
+    ("license-file", "see", r"see (?:the )?licen[sc]e(?: (?:txt|md))?(?: file)?(?: \w+){0,6}? (?:details|information)", "licen"),
 )
 
 
@@ -137,12 +170,14 @@ def rules() -> list[Rule]:
             own = f"{label}-{version.replace(' ', '.')}".removesuffix(".0")
             identifiers.append(Rule("spdx", rf"spdx licen[sc]e identifier {spdx} {version}(?: only| or later)?", own, 1.0))
             versions.append(Rule(
-                keyword, rf"{name} {_LICENCE}{_VERSION} ?{version}(?: or(?: \w+){{0,4}}? later(?: version)?)?", own, 0.95))
-            versions.append(Rule(keyword, rf"{_UNDER} under {_TERMS}{name} {_LICENCE}{_VERSION} ?{version}", own, 0.98))
+                keyword, rf"{name} {_LICENCE}{_VERSION} ?{version}(?: or(?: \w+){{0,4}}? later(?: version)?)?", own, 0.95,
+                "licen"))
+            versions.append(Rule(
+                keyword, rf"{_UNDER} under {_TERMS}{name} {_LICENCE}{_VERSION} ?{version}", own, 0.98, "licen"))
         identifiers.append(Rule("spdx", rf"spdx licen[sc]e identifier {spdx}", label, 0.98))
-        names.append(Rule(keyword, rf"{_UNDER} under {_TERMS}{name} {_LICENCE}", label, 0.9))
-        names.append(Rule(keyword, rf"under {_TERMS}{name} {_LICENCE}", label, 0.85))
-        loose.append(Rule(keyword, rf"{name} {_LICENCE}", label, 0.7))
+        names.append(Rule(keyword, rf"{_UNDER} under {_TERMS}{name} {_LICENCE}", label, 0.9, "licen"))
+        names.append(Rule(keyword, rf"under {_TERMS}{name} {_LICENCE}", label, 0.85, "licen"))
+        loose.append(Rule(keyword, rf"{name} {_LICENCE}", label, 0.7, "licen"))
     for part, long in _CC_PARTS:
         short = part.replace("-", " ")
         for version in _CC_VERSIONS:
@@ -152,6 +187,19 @@ def rules() -> list[Rule]:
             versions.append(Rule("creative commons", rf"creative commons {long}(?: {_LICENCE})? {version}", own, 0.95))
         names.append(Rule("cc by", rf"cc {short}", f"cc-{part}", 0.85))
         names.append(Rule("creative commons", rf"creative commons {long}(?: {_LICENCE})?", f"cc-{part}", 0.85))
-    sentences = [Rule(keyword, pattern, label, 0.8) for label, keyword, pattern in _SENTENCES]
+    for short, before, label in _SHORT:
+        for version in _VERSIONED[label]:
+            own, first = f"{label}-{version.replace(' ', '.')}".removesuffix(".0"), version.split()[0]
+            # A further number is the version of something else, such as a server.
+            later = r"(?! \d{1,2} )(?: only| or(?: \w+){0,4}? later(?: version)?)?"
+            versions.append(Rule(short, rf"{before}{short}{_VERSION} ?{version}{later}", own, 0.85))
+            versions.append(Rule(f"{short}v{first}", rf"{before}{short}v{version}{later}", own, 0.85))
+            if short != "apache":  # apache2 is a server
+                versions.append(Rule(f"{short}{first}", rf"{before}{short}{version}{later}", own, 0.85))
+    loose += [Rule(short, rf"(?:gnu )?{short}", short, 0.6) for short in _ALONE]
+    for n, word in (("2", "two"), ("3", "three"), ("4", "four")):
+        for name in (f"bsd {n} clause", f"{n} clause bsd", f"{word} clause bsd"):
+            loose.append(Rule(name, name, f"bsd-{n}-clause", 0.7, " bsd "))
+    sentences = [Rule(keyword, pattern, label, 0.8, gate) for label, keyword, pattern, gate in _SENTENCES]
     loose.append(Rule("creative commons", rf"creative commons(?: {_LICENCE})?", "cc", 0.6))
     return identifiers + versions + sentences + names + loose

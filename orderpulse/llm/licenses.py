@@ -5,13 +5,16 @@ Everything happens inside a row, in built-in functions: no shuffle, and a docume
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderpulse.llm.common import bound, text_of
-from orderpulse.llm.license_rules import GATES, Rule, rules
+from orderpulse.llm.license_rules import Rule, gates_of, rules
 
 #: Phrases that are always counted, overlapping or not, with the label each stands for.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -35,10 +38,16 @@ def _spaces(text: Column) -> Column:
 
 
 def _any_of(text: Column, parts: Sequence[str]) -> Column:
-    test = F.lit(False)
-    for part in parts:
-        test = test | F.contains(text, F.lit(part))
-    return test
+    """Whether the text holds a part; one between spaces must be a word."""
+    def held(some: Sequence[str]) -> Column:
+        return reduce(or_, [F.contains(text, F.lit(part)) for part in some], F.lit(False))
+
+    words = [part.strip() for part in parts if part.startswith(" ")]
+    if not words:
+        return held(parts)
+    alone = rf"(?<![0-9a-z])(?:{'|'.join(map(re.escape, words))})(?![0-9a-z])"
+    shortest = [word for word in words if not any(other != word and other in word for other in words)]
+    return held([part for part in parts if not part.startswith(" ")]) | (held(shortest) & F.rlike(text, F.lit(alone)))
 
 
 def _whole(pattern: str) -> str:
@@ -84,15 +93,17 @@ def resolve(found: Column) -> Column:
 
 def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text",
                   signature_rules: Sequence[Rule] | None = None, phrases: Mapping[str, str] = PHRASES,
-                  gates: Sequence[str] = GATES) -> DataFrame:
+                  gates: Sequence[str] | None = None) -> DataFrame:
     """One row per row of `docs`: its id, n_words, the phrases' places and the rules' detections.
 
     `n_base`, `first_word`, `last_word`, `base_labels` count the places of `phrases` (words from 0; null
     without a place). `detections` holds rule, label, interval in words and confidence of what `resolve` leaves. A
     null text is empty and has no words; long texts are scanned whole. Rows are independent of each other.
-    Only a text that holds one of `gates`, in any case, is looked at: each phrase and rule must hold one.
+    Only a text that holds one of `gates`, in any case, is looked at: each phrase and rule must hold one. Without
+    `gates` they are taken from the rules and phrases, so that none is missed.
     """
     listed = rules() if signature_rules is None else signature_rules
+    gates = gates_of(listed, phrases) if gates is None else gates
     table = F.array(*[
         F.struct(F.lit(f" {r.keyword} ").alias("keyword"), F.lit(_whole(r.pattern)).alias("pattern"), F.lit(n).alias("rank"),
                  F.lit(r.label).alias("label"), F.lit(float(r.confidence)).alias("confidence"))
@@ -102,7 +113,7 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text",
     # The explode keeps Catalyst from copying the text's preparation into each expression that uses it.
     rows = docs.select(
         F.col(key).alias("doc_id"), (F.size(F.split(_padded(body), _GAPS)) - 2).cast("long").alias("n_words"),
-        F.explode(F.array(F.when(_any_of(F.lower(body), gates), spaced_words(body)))).alias("spaced"))
+        F.explode(F.array(F.when(bound(F.lower(body), lambda low: _any_of(low, gates)), spaced_words(body)))).alias("spaced"))
     found = F.flatten(F.transform(
         F.filter(table, lambda r: F.contains(spaced, r["keyword"])), lambda r: _places(spaced, r)))
     based = F.col("spaced").rlike(any_phrase)
