@@ -115,7 +115,9 @@ def super_kmers(rows: DataFrame, settings: PassageSettings, hot: np.ndarray, buc
                     local[string], where[string] = key, bucket
                     return
                 again.add(string)
-                if first <= key:
+                if first == key:  # the same document once more
+                    return
+                if first < key:
                     removed.append((*key, key[2] + windows - 1))
                 else:  # it comes before the one that was seen first
                     if string in local:
@@ -218,17 +220,17 @@ def repeated_windows(packed: DataFrame, settings: PassageSettings) -> DataFrame:
                 twice[:-1] |= same
                 some = order[twice]
                 some = some[np.lexsort((starts[some], prints[some], ids[some], hashes[some]))]
-                # Equal hashes lie together, earliest first; the strings themselves decide.
-                seen, last, repeats = set(), None, []
-                for n, value, text, a, b in zip(some.tolist(), hashes[some].tolist(), number[some].tolist(),
-                                                begin[some].tolist(), stop[some].tolist(), strict=True):
+                # Equal hashes lie together, earliest first; the strings themselves decide. Rows that repeat id and
+                # text bring the earliest window more than once; only a later one repeats it.
+                seen, last, repeats = {}, None, []
+                keys = zip(ids[some].tolist(), prints[some].tolist(), starts[some].tolist(), strict=True)
+                for n, key, value, text, a, b in zip(some.tolist(), keys, hashes[some].tolist(), number[some].tolist(),
+                                                     begin[some].tolist(), stop[some].tolist(), strict=True):
                     string = texts[text][a:b]
                     if value != last:
-                        seen, last = {string}, value
-                    elif string in seen:
+                        seen, last = {string: key}, value
+                    elif seen.setdefault(string, key) != key:
                         repeats.append(n)
-                    else:
-                        seen.add(string)
                 n = np.array(repeats, np.int64)
                 removed.append(np.stack([ids[n], prints[n], starts[n], starts[n]], 1))
             rows = np.concatenate(removed)

@@ -1,6 +1,8 @@
 """Cases in which a text operator once did less than the whole job."""
 
-from orderpulse.llm import licenses
+import pytest
+
+from orderpulse.llm import licenses, substring_dedup
 from orderpulse.llm.license_rules import gates_of, rules
 
 # Licences
@@ -68,3 +70,21 @@ def test_gates_lose_no_rule(spark):
     docs = spark.createDataFrame([(0, "nothing but a (Zebra)")], "doc_id long, text string")
     own = [licenses.Rule("zebra", "zebra", "zebra", 0.5), licenses.Rule("ox", "ox", "ox", 0.5)]
     assert [d.label for d in licenses.scan_licenses(docs, signature_rules=own).first().detections] == ["zebra"]
+
+
+# Substring dedup
+
+BODY = " ".join(f"w{n}" for n in range(40))
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+@pytest.mark.parametrize("limits", [{}, {"hot": 0}, {"remembered_bytes": 0}])
+def test_rows_that_repeat_id_and_text_keep_their_text(spark, parts, limits):
+    settings = substring_dedup.PassageSettings(**limits)
+    for doc_id in (1, None):
+        rows = spark.createDataFrame([(doc_id, BODY)] * 2, "doc_id long, text string").repartition(parts)
+        got = substring_dedup.remove_repeats(rows, settings=settings).collect()
+        assert [(r.doc_id, r.n_removed, r.kept_text) for r in got] == [(doc_id, 0, BODY)] * 2
+    rows = spark.createDataFrame([(1, BODY), (2, BODY), (1, BODY), (2, BODY)], "doc_id long, text string").repartition(parts)
+    got = substring_dedup.remove_repeats(rows, settings=settings).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in got) == [(1, 0), (1, 0), (2, 40), (2, 40)]
