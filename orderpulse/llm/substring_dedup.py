@@ -7,6 +7,7 @@ instead of once per window.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -155,11 +156,11 @@ def super_kmers(rows: DataFrame, settings: PassageSettings, hot: np.ndarray, buc
             by_bucket: dict[int, list] = {}
             for string, key in local.items():
                 by_bucket.setdefault(where[string], []).append((string, key))
-            gone = np.array(removed, np.int64).tobytes()
-            if not by_bucket and gone:
-                by_bucket[0] = []
-            yield pd.DataFrame([(b, _pack(entries), gone if n == 0 else b"") for n, (b, entries) in enumerate(by_bucket.items())],
-                               columns=["bucket", "packed", "removed"])
+            made = [(b, _pack(entries), b"") for b, entries in by_bucket.items()]
+            if removed:  # to any bucket, a batch's own: batches without a new string would else share one
+                gone = np.array(removed, np.int64).tobytes()
+                made.append((zlib.crc32(gone) % buckets, _pack([]), gone))
+            yield pd.DataFrame(made, columns=["bucket", "packed", "removed"])
 
     return rows.mapInPandas(packed, PACKED)
 

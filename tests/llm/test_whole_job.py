@@ -1,5 +1,8 @@
 """Cases in which a text operator once did less than the whole job."""
 
+from collections import Counter
+
+import numpy as np
 import pytest
 
 from orderpulse.llm import licenses, substring_dedup
@@ -88,3 +91,19 @@ def test_rows_that_repeat_id_and_text_keep_their_text(spark, parts, limits):
     rows = spark.createDataFrame([(1, BODY), (2, BODY), (1, BODY), (2, BODY)], "doc_id long, text string").repartition(parts)
     got = substring_dedup.remove_repeats(rows, settings=settings).collect()
     assert sorted((r.doc_id, r.n_removed) for r in got) == [(1, 0), (1, 0), (2, 40), (2, 40)]
+
+
+def test_removed_windows_are_spread(spark):
+    rows = spark.createDataFrame([(n, 0, BODY) for n in range(400)], "id long, print int, text string").coalesce(1)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10)
+    try:
+        packed = substring_dedup.super_kmers(rows, substring_dedup.PassageSettings(), np.zeros(0, np.uint64), 64).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    sizes = Counter()
+    for r in packed:
+        sizes[r.bucket] += len(r.removed)
+    assert sum(np.ptp(np.frombuffer(r.removed, np.int64).reshape(-1, 4)[:, 2:], 1).sum() + len(r.removed) // 32 if r.removed else 0
+               for r in packed) == 399 * 21  # windows of 20 words in 40
+    assert max(sizes.values()) < sum(sizes.values()) / 4
