@@ -19,8 +19,8 @@ from orderpulse.llm.common import short_batches, worker_cache
 
 Turn = tuple[str, str]  # role, text
 
-#: Prefixes grow to WINDOW turns; then rendering goes on from the last CONTEXT turns, after a check that the
-#: template says the same there. So work grows with the conversation and not with its square.
+#: For a local template prefixes grow to WINDOW turns; then rendering goes on from the last CONTEXT turns, after a check
+#: that the template says the same there. So work grows with the conversation and not with its square.
 WINDOW, CONTEXT = 32, 4
 #: A text that stands nowhere else, to find where a template puts a turn's text.
 PROBE = "\ue000\ue001\ue000"
@@ -28,11 +28,16 @@ PROBE = "\ue000\ue001\ue000"
 
 @dataclass(frozen=True)
 class Template:
-    """`render` is all that spans are found with; `escape` is undone by `unescape`; `read` gives turns back from output."""
+    """`render` is all that spans are found with; `escape` is undone by `unescape`; `read` gives turns back from output.
+
+    `local` declares that a turn's output hangs on the turn and the CONTEXT - 1 before it alone, and never changes. No
+    check of some turns can tell that, so without it whole prefixes are rendered, at a cost of the conversation's square.
+    """
 
     render: Callable[[Sequence[Turn]], str]
     unescape: Callable[[str], str] = str
     read: Callable[[str], list[Turn]] | None = None
+    local: bool = False
 
 
 #: The control strings of the bracketed instruction format.
@@ -85,7 +90,7 @@ def read_instructions(formatted: str) -> list[Turn]:
     return turns
 
 
-INSTRUCTIONS = Template(render_instructions, unescape, read_instructions)
+INSTRUCTIONS = Template(render_instructions, unescape, read_instructions, local=True)
 
 
 class Spans:
@@ -95,7 +100,7 @@ class Spans:
         self.template, self.window, self.context = template, window, context
         self.turns: list[Turn] = []
         self.last = template.render([])
-        self.length, self.first, self.slides = len(self.last), self.last, True
+        self.length, self.first, self.slides = len(self.last), self.last, template.local
 
     def _common(self, a: str, b: str) -> int:
         low, high = 0, min(len(a), len(b))
@@ -157,8 +162,8 @@ def locate_turns(conversations: DataFrame, template: Template = INSTRUCTIONS, co
     at most; without it the text's span is null. Null roles and texts are empty. Turns go by `turn` (null first),
     then role and text; repeated rows are turns of their own; rows without conv_id form one conversation.
 
-    Conversations are spread by id and stream through their task, sorted by Spark: a worker holds a window of turns
-    and never a conversation, however long.
+    Conversations are spread by id and stream through their task, sorted by Spark: with a local template a worker holds a
+    window of turns and never a conversation, however long; with any other it holds and renders a conversation whole.
     """
     short_batches(conversations.sparkSession)
     rows = conversations.select(

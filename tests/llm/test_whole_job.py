@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from orderpulse.llm import licenses, substring_dedup
+from orderpulse.llm import chat, licenses, substring_dedup
 from orderpulse.llm.license_rules import gates_of, rules
 
 # Licences
@@ -107,3 +107,27 @@ def test_removed_windows_are_spread(spark):
     assert sum(np.ptp(np.frombuffer(r.removed, np.int64).reshape(-1, 4)[:, 2:], 1).sum() + len(r.removed) // 32 if r.removed else 0
                for r in packed) == 399 * 21  # windows of 20 words in 40
     assert max(sizes.values()) < sum(sizes.values()) / 4
+
+
+# Chat
+
+def system_in_last_user_turn(turns):
+    system = "".join(t for role, t in turns if role == "system")
+    last = max((n for n, (role, _) in enumerate(turns) if role == "user"), default=-1)
+    return "".join(f"<{role}:{system if n == last else ''}{t}>" for n, (role, t) in enumerate(turns) if role != "system")
+
+
+def folded(turns):
+    return f"({len(turns) - 64} left out)" + "".join(f"<{t}>" for _, t in turns[-64:]) if len(turns) > 64 else "".join(
+        f"<{t}>" for _, t in turns)
+
+
+@pytest.mark.parametrize("render", [system_in_last_user_turn, folded])
+def test_late_rewrites_are_seen(spark, render):
+    turns = [("system", "be kind"), ("assistant", "hello")] + [(("user", "assistant")[n % 2], f"t{n}") for n in range(100)]
+    rows = spark.createDataFrame([(1, n, *t) for n, t in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    got = chat.locate_turns(rows, chat.Template(render)).orderBy("nth").collect()
+    prefixes = [render(turns[:n]) for n in range(len(turns) + 1)]
+    assert [r.rewrites for r in got] == [not b.startswith(a) for a, b in zip(prefixes, prefixes[1:])]
+    assert [r.stop for r in got] == [len(p) for p in prefixes[1:]]
+    assert all(p[r.start:r.stop] == r.piece for r, p in zip(got, prefixes[1:]))
