@@ -34,11 +34,14 @@ def assign_shards(docs: DataFrame, weights: Sequence[float], grown: Sequence[flo
     `shard` and `grown_shard` follow from the key and the weights (`grown`: the weights after growth, null
     without). `size` is the UTF-8 length plus 16; a null text counts as empty. `slot` numbers a shard's rows from
     0 without gaps: rows are counted per shard and hash group, the counts add up to each group's first slot,
-    and only a group is ever sorted. Rows with the same id get slots in order of checksum and size.
+    and only a group is ever sorted. A row's group hangs on id, checksum and size, so rows that share an id or have none
+    are spread too; only rows equal in all three meet, in one group.
     """
     groups = max(1, -(-docs.count() // (len(weights) * group_rows)))
     body = text_of("__text")
-    shard, group = rendezvous(F.col("__key"), weights), F.pmod(F.xxhash64(F.col("__key"), F.lit("slot")), F.lit(groups))
+    size, crc = (F.octet_length(body) + 16).cast("long"), F.crc32(body.cast("binary"))
+    shard = rendezvous(F.col("__key"), weights)
+    group = F.pmod(F.xxhash64(F.col("__key"), F.lit("slot"), crc, size), F.lit(groups))
     rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
     firsts = (
         rows.groupBy(shard.alias("shard"), group.alias("group")).count()
@@ -46,8 +49,7 @@ def assign_shards(docs: DataFrame, weights: Sequence[float], grown: Sequence[flo
             Window.partitionBy("shard").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         .drop("count"))
     placed = rows.select(
-        F.col("__key").alias("doc_id"), (F.octet_length(body) + 16).cast("long").alias("size"),
-        F.crc32(body.cast("binary")).alias("text_crc32"), F.lit("key").alias("law"),
+        F.col("__key").alias("doc_id"), size.alias("size"), crc.alias("text_crc32"), F.lit("key").alias("law"),
         shard.alias("shard"), group.alias("group"),
         (rendezvous(F.col("__key"), grown) if grown else F.lit(None).cast("int")).alias("grown_shard"))
     order = Window.partitionBy("shard", "group").orderBy("doc_id", "text_crc32", "size")

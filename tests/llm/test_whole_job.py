@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from orderpulse.llm import chat, licenses, substring_dedup
+from orderpulse.llm import chat, licenses, sharding, substring_dedup
 from orderpulse.llm.license_rules import gates_of, rules
 
 # Licences
@@ -131,3 +131,13 @@ def test_late_rewrites_are_seen(spark, render):
     assert [r.rewrites for r in got] == [not b.startswith(a) for a, b in zip(prefixes, prefixes[1:])]
     assert [r.stop for r in got] == [len(p) for p in prefixes[1:]]
     assert all(p[r.start:r.stop] == r.piece for r, p in zip(got, prefixes[1:]))
+
+
+# Sharding
+
+def test_rows_that_share_a_key_are_spread_over_slot_groups(spark):
+    rows = spark.createDataFrame([(None, f"text {n}") for n in range(300)], "doc_id long, text string")
+    got = sharding.assign_shards(rows, [1.0, 1.0], group_rows=10).collect()
+    assert len({r.shard for r in got}) == 1 and sorted(r.slot for r in got) == list(range(300))
+    ordered = [(r.text_crc32, r["size"]) for r in sorted(got, key=lambda r: r.slot)]
+    assert ordered != sorted(ordered)  # sorted as a whole if one group holds them all
