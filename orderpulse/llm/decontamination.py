@@ -45,6 +45,14 @@ def item_shingles(items: DataFrame, item: str, text: str, n: int, share: float)
         .withColumn("needed", _needed(F.col("n_item"), share)))
 
 
+def unsearched_items(items: DataFrame, item: str = "item_id", text: str = "text", *, n: int = WORDS) -> DataFrame:
+    """(item_id, n_words): items, or rows of one, that have fewer than `n` words, so that `leaked_items` never finds them."""
+    return (
+        items.where(quoted(item).isNotNull())
+        .select(quoted(item).alias("item_id"), F.size(words(text_of(text))).alias("n_words"))
+        .where(F.col("n_words") < n).distinct())
+
+
 def sketches(rows: DataFrame, share: float) -> DataFrame:
     """(item_id, hash, n_item, enough): each item's least hashes, as many as its partition asks for.
 
@@ -65,9 +73,9 @@ def leaked_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
                  item_text: str = "text", *, n: int = WORDS, share: float = SHARE) -> DataFrame:
     """(doc_id, text_hash, item_id, n_item, n_found, containment) for each document that holds `share` of an item.
 
-    Texts are whole; a null text is empty. Items of fewer than `n` words say too little and are never found; rows
-    of one item_id form one item and items without id are left out. Rows that repeat id and text give one
-    result, other repeats of an id their own (`text_hash` tells them apart). Empty tables give no rows.
+    Texts are whole; a null text is empty. Items of fewer than `n` words are never found (`unsearched_items`); rows of
+    one item_id form one item and items without id are left out. Rows that repeat id and text give one result, other
+    repeats of an id their own (`text_hash` tells them apart). Empty tables give no rows.
     """
     rows = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text_of(text)).alias("text_hash"),
                        text_of(text).alias("text"))

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from orderpulse.llm import chat, licenses, sharding, substring_dedup
+from orderpulse.llm import chat, decontamination, licenses, sharding, substring_dedup
 from orderpulse.llm.license_rules import gates_of, rules
 
 # Licences
@@ -141,3 +141,11 @@ def test_rows_that_share_a_key_are_spread_over_slot_groups(spark):
     assert len({r.shard for r in got}) == 1 and sorted(r.slot for r in got) == list(range(300))
     ordered = [(r.text_crc32, r["size"]) for r in sorted(got, key=lambda r: r.slot)]
     assert ordered != sorted(ordered)  # sorted as a whole if one group holds them all
+
+
+# Decontamination
+
+def test_items_that_are_not_searched_are_told(spark):
+    items = [(1, "one two three four"), (2, "one two three four five"), (3, None), (4, "一二三四五六七八"), (None, "one")]
+    got = decontamination.unsearched_items(spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.item_id, r.n_words) for r in got} == {(1, 4), (3, 0), (4, 1)}
