@@ -51,6 +51,12 @@ def text_of(column: str) -> Column:
     return F.coalesce(quoted(column), F.lit(""))
 
 
+def lower_ascii(text: Column) -> Column:
+    """`text` with A-Z in lower case and all else as it is."""
+    upper = "".join(map(chr, range(ord("A"), ord("Z") + 1)))
+    return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, upper, upper.lower()))
+
+
 def bound(value: Column, body) -> Column:
     """`body(value)` with `value` computed once; Catalyst would copy an expression into a lambda."""
     return F.transform(F.array(value), body)[0]

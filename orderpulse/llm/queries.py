@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderpulse.llm import (bpe, chat, decontamination, exact_dedup, licenses, ngram_join, quality, sharding,
-                            substring_dedup, toxicity)
-from orderpulse.llm.common import load
+from orderpulse.llm import (bpe, chat, decontamination, exact_dedup, licenses, line_dedup, ngram_join, periodic, quality,
+                            sharding, spelling, substring_dedup, toxicity)
+from orderpulse.llm.common import bound, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -150,3 +150,94 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(load(spark, sf_dir, "documents").select("doc_id", "text"), **tokenizer()).select(
         "doc_id", bpe.n_tokens(F.col("token_ids")).alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("""
+WITH lines AS (
+  SELECT doc_id, i, l, translate(trim(l, ' ' || chr(9) || chr(11) || chr(12) || chr(13)),
+                                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, unnest(parts) AS l, unnest(range(len(parts))) AS i
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))),
+often AS (
+  SELECT k, max(doc_id) AS last FROM lines WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE last <> doc_id) AS n_dropped,
+       sha256(coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (WHERE last IS NULL OR last = doc_id), '')) AS kept_sha256
+FROM lines LEFT JOIN often USING (k) GROUP BY doc_id
+""")
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_repeated_lines(load(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("""
+WITH RECURSIVE steps AS (
+  SELECT list((list_reduce(list_prepend(i, range(8)), lambda c, bit:
+    xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)))::BIGINT ORDER BY i) AS t FROM range(256) AS r(i)),
+tokens AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[a-z\u00C0-\u00FF]+')) AS w FROM documents),
+counts AS (SELECT doc_id, w, count(*) AS n FROM tokens GROUP BY doc_id, w),
+octets AS (
+  SELECT doc_id, w, n, [('0x' || x)::BIGINT FOR x IN regexp_extract_all(hex(encode(doc_id || ':' || w)), '..')] AS o
+  FROM counts),
+hashes AS (
+  SELECT w, n, xor(list_reduce(list_prepend(4294967295, o), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM octets, steps),
+changed AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(w, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM hashes),
+vocabulary AS (SELECT word, sum(n)::BIGINT AS n FROM changed WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+shorter AS (
+  SELECT word, i, left(word, i) || substr(word, i + 2) AS s
+  FROM (SELECT word, unnest(range(length(word))) AS i FROM vocabulary)),
+pairs AS (
+  SELECT a.word, b.word AS near FROM shorter a JOIN shorter b ON a.s = b.s AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, v.word FROM shorter a JOIN vocabulary v ON a.s = v.word
+  UNION SELECT v.word, a.word FROM shorter a JOIN vocabulary v ON a.s = v.word),
+best AS (
+  SELECT p.word, count(*) AS n_near, (min((-v.n, near))) AS top FROM pairs p JOIN vocabulary v ON v.word = near GROUP BY p.word),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -top[1] >= 2 * n THEN top[2] END AS form,
+         CASE WHEN -top[1] >= 2 * n THEN -top[1] END AS form_n FROM vocabulary LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS root FROM formed UNION ALL
+  SELECT walk.word, form FROM walk JOIN formed f ON f.word = walk.root WHERE form IS NOT NULL)
+SELECT f.word, n, n_near, form, form_n, walk.root FROM formed f JOIN walk USING (word)
+WHERE walk.root IN (SELECT word FROM formed WHERE form IS NULL)
+""")
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.text_words(load(spark, sf_dir, "documents"))
+    return spelling.spelling_groups(words.select(with_misspellings(F.col("id"), F.col("word")).alias("word")))
+
+
+def with_misspellings(key: Column, word: Column) -> Column:
+    """`word`, or for a fixed share of (key, word) the word without one of its code points."""
+    chance = F.crc32(F.concat(key.cast("string"), F.lit(":"), word).cast("binary"))
+    at = F.pmod(chance, F.length(word)).cast("int")
+    return F.when(chance % 97 == 0, F.concat(F.substring(word, F.lit(1), at), F.substring(word, at + 2, F.length(word)))).otherwise(word)
+
+
+@query()
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    found = periodic.find_runs(docs.select("doc_id", with_periods(F.col("doc_id"), F.col("text")).alias("text")))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    longest = periodic.longest_run(F.col("runs"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *[longest[c].alias(c) for c in ("start", "length", "period")],
+        F.floor(1000 * longest["length"] / longest["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"), F.sha2("collapsed_text", 256).alias("collapsed_sha256"))
+
+
+def with_periods(key: Column, text: Column) -> Column:
+    """`text`, or for a tenth of the keys its words, the last ones replaced by a stretch that repeats."""
+    chance = F.crc32(key.cast("string").cast("binary"))
+    g = F.floor(chance / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        a = F.pmod(g, n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        return F.transform(words, lambda word, i: F.when(i < a, word).otherwise(words[a + F.pmod(i - a, p)]))
+
+    words = F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda word: word != "")
+    return F.when(chance % 10 == 0, F.array_join(bound(words, repeated), " ")).otherwise(text)
