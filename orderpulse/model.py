@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Table formats that run MERGE and replace a table that is being read.
+MERGING_FORMATS = ("iceberg", "delta")
+
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -18,10 +21,10 @@ class TableSpec:
     partition: tuple[str, ...] = ()
     required: tuple[str, ...] = ()
     format: str = "parquet"
-    # Parquet keeps such a table in buckets, by a hash of these columns, in place of `partition`: rows are replaced
-    # by the bucket, and `name` is a view of each bucket's current rows.
-    bucket_by: tuple[str, ...] = ()
-    buckets: int = 16
+    # A table that changes by key or only grows is kept as a log of batches, and `name` is a view that folds them: the key
+    # and the column whose change makes a row new, or the columns that are distinct. Formats with MERGE need no log.
+    upsert: tuple[str, str] | None = None
+    union: tuple[str, ...] = ()
     # What readers see instead of the stored columns, and under which name.
     view: tuple[str, tuple[str, ...]] | None = None
 
@@ -35,8 +38,8 @@ class TableSpec:
         return [n for n, _ in self.columns]
 
     @property
-    def versioned(self) -> bool:
-        return bool(self.bucket_by)
+    def logged(self) -> bool:
+        return bool(self.upsert or self.union) and self.format not in MERGING_FORMATS
 
     @property
     def read_name(self) -> str:
@@ -92,14 +95,14 @@ CUSTOMERS = TableSpec(
     (("customer_id", "STRING"), ("company_name", "STRING"), ("ingest_date", "DATE")),
     partition=("ingest_date",),
     required=("customer_id",),
-    bucket_by=("customer_id",),
+    upsert=("customer_id", "company_name"),
 )
 COMPANIES = TableSpec(
     "companies",
     (("company_name", "STRING"), ("industry", "STRING"), ("ingest_date", "DATE")),
     partition=("ingest_date",),
     required=("company_name",),
-    bucket_by=("company_name",),
+    union=("company_name", "industry"),
 )
 INDUSTRIES = TableSpec(
     "industries",

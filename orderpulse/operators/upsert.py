@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderpulse.model import TableSpec
 from orderpulse.operators.sizing import fits
 
 
@@ -60,3 +61,14 @@ def merge_sql(table: str, source_view: str, key: str, changed_by: str, columns:
         f"WHEN MATCHED AND t.`{changed_by}` <> s.`{changed_by}` THEN UPDATE SET {updates}\n"
         f"WHEN NOT MATCHED THEN INSERT *"
     )
+
+
+def merge_into(incoming: DataFrame, spec: TableSpec, database: str) -> None:
+    """Run the upsert as a statement, on a table whose format has it."""
+    key, changed_by = spec.upsert
+    view = f"incoming_{spec.name}"
+    spec.conform(incoming).createOrReplaceTempView(view)
+    try:
+        incoming.sparkSession.sql(merge_sql(f"`{database}`.`{spec.name}`", view, key, changed_by, spec.column_names))
+    finally:
+        incoming.sparkSession.catalog.dropTempView(view)

@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 
 from orderpulse import model
 from orderpulse.operators.bridge import build_bridge
+from orderpulse.operators.changelog import replace_table
 from orderpulse.operators.documents import malformed, order_line_rows, order_rows
-from orderpulse.operators.sinks import append_by_position, overwrite_partition, replace_table, staged
+from orderpulse.operators.sinks import append_by_position, overwrite_partition, staged
 from orderpulse.operators.tables import ensure_tables
 from orderpulse.session import build_session
 from orderpulse.sources.batch import READERS

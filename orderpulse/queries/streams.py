@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from orderpulse import model
 from orderpulse.operators.bridge import BRIDGE
+from orderpulse.operators.changelog import replace_table
 from orderpulse.operators.compaction import fold_epochs, last_closed
 from orderpulse.operators.documents import order_rows, parse_orders
-from orderpulse.operators.sinks import read_raw, replace_table
+from orderpulse.operators.sinks import read_raw
 from orderpulse.queries.dimensions import MERGED_MEMBERS
 from orderpulse.queries.inputs import (DELIVERY, EVENT_LINES, EVENT_ORDERS, INCOMING_DAY, TARGET_DAY, delivery_csv,
                                        load, members, message_files)

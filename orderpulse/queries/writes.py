@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from orderpulse import model
 from orderpulse.operators import sinks
 from orderpulse.operators.bridge import build_bridge, merge_bridge
+from orderpulse.operators.changelog import replace_table
 from orderpulse.operators.fluctuation import top_fluctuations
 from orderpulse.operators.tables import ensure_tables
 from orderpulse.operators.tables import schema_violations as violations
@@ -20,7 +21,7 @@ from orderpulse.plans import daily_fluctuations
 from orderpulse.plans.initial_load import SourceSpec, Target, load_all, standard_sources
 from orderpulse.queries.comparison import fluctuation_ctes
 from orderpulse.queries.dimensions import UNION_BRIDGE
-from orderpulse.queries.inputs import (AS_OF, CUSTOMERS_RAW, ORDER_FACTS, PRODUCTS_RAW, SEGMENT_ROWS, TARGET_DAY,
+from orderpulse.queries.inputs import (AS_OF, CUSTOMERS_RAW, INCOMING_DAY, ORDER_FACTS, PRODUCTS_RAW, SEGMENT_ROWS, TARGET_DAY,
                                        companies_raw, customer_csv, industry_csv, later_companies_raw, load,
                                        order_files, product_csv, products_raw, segments)
 from orderpulse.queries.registry import query
@@ -60,6 +61,29 @@ def ddl_create_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, to.database, "products").drop("ingest_date")
 
 
+SIZES_BEFORE = model.TableSpec("sizes", (("product_id", "STRING"), ("size", "INT"), ("ingest_date", "DATE")), ("ingest_date",),
+                               ("product_id",))
+SIZES_NOW = model.TableSpec("sizes", (("product_id", "STRING"), ("size", "BIGINT"), ("brand", "STRING"), ("ingest_date", "DATE")),
+                            ("ingest_date",), ("product_id",))
+
+
+@query(f"""
+SELECT CAST(p_partkey AS VARCHAR) AS product_id, CAST(p_size AS BIGINT) AS size, NULL AS brand, DATE '{TARGET_DAY}' AS ingest_date
+FROM part UNION ALL
+SELECT CAST(p_partkey AS VARCHAR), 10000000000 + p_size, p_brand, DATE '{INCOMING_DAY}' FROM part
+""")
+def ddl_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of an older spec gets a wider type and a new column, and then rows that need both."""
+    to = new_database(spark, [SIZES_BEFORE])
+    sizes = load(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("product_id"), F.col("p_size").alias("size"), F.col("p_brand").alias("brand"))
+    sinks.append_by_position(sizes.withColumn("ingest_date", F.lit(TARGET_DAY)), SIZES_BEFORE, to.database)
+    ensure_tables(spark, to.database, to.root, [SIZES_NOW])
+    later = sizes.withColumn("size", F.lit(10_000_000_000) + F.col("size")).withColumn("ingest_date", F.lit(INCOMING_DAY))
+    sinks.append_by_position(later, SIZES_NOW, to.database)
+    return read_table(spark, to.database, "sizes")
+
+
 @query(f"SELECT *, DATE '{TARGET_DAY}' AS ingest_date FROM ({PRODUCTS_RAW}) UNION ALL "
        f"SELECT *, DATE '{TARGET_DAY + timedelta(days=1)}' AS ingest_date FROM ({PRODUCTS_RAW})")
 def sink_append_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,10 +114,10 @@ def sink_full_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bridge is replaced by a merge that reads it."""
     to = new_database(spark, [model.COMPANIES])
     day = F.lit(TARGET_DAY)
-    sinks.replace_table(build_bridge(companies_raw(spark, sf_dir)).withColumn("ingest_date", day),
+    replace_table(build_bridge(companies_raw(spark, sf_dir)).withColumn("ingest_date", day),
                         model.COMPANIES, to.database)
     merged = merge_bridge(read_table(spark, to.database, "companies"), build_bridge(later_companies_raw(spark, sf_dir)))
-    sinks.replace_table(merged.withColumn("ingest_date", day), model.COMPANIES, to.database)
+    replace_table(merged.withColumn("ingest_date", day), model.COMPANIES, to.database)
     return read_table(spark, to.database, "companies").select("company_name", "industry")
 
 

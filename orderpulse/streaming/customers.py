@@ -9,17 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from orderpulse.model import COMPANIES, CUSTOMERS, TableSpec
-from orderpulse.operators.bridge import build_bridge, merge_bridge
-from orderpulse.operators.sinks import applied_epoch, bucket_of, read_buckets, replace_table
-from orderpulse.operators.upsert import merge_upsert
+from orderpulse.operators.bridge import build_bridge
+from orderpulse.operators.changelog import append_changes
+from orderpulse.operators.upsert import merge_into, one_row_per_key
 
 
 def store_customers(batch: DataFrame, database: str, ingest_date: date | None = None, stream: str | None = None,
-                    epoch: int = 0) -> None:
-    """Apply one batch, at the cost of the buckets that it touches. The whole bridge gets the date of the batch.
+                    epoch: int = 0, customers: TableSpec = CUSTOMERS) -> None:
+    """Apply one batch at the cost of its own rows; nothing stored is read or rewritten. The whole bridge gets its date.
 
-    Both tables record the epoch of `stream` with their rows and skip one they hold, so a replay changes nothing.
-    Without `stream`, rows without a customer id, which match nothing, are added each time.
+    A replayed epoch of `stream` changes nothing. Without `stream`, rows without a customer id, which match nothing, are
+    added each time. A table format that has MERGE gets the batch as that statement.
     """
     if batch.isEmpty():
         return
@@ -27,28 +27,20 @@ def store_customers(batch: DataFrame, database: str, ingest_date: date | None =
     today = ingest_date or spark.range(1).select(F.current_date()).first()[0]
     batch = batch.persist()
     try:
-        if stream is None or applied_epoch(spark, CUSTOMERS, database, stream) < epoch:
-            incoming = batch.select("customer_id", "company_name", F.lit(today).alias("ingest_date")).distinct()
-            touched = _touched(incoming, CUSTOMERS)
-            stored = read_buckets(spark, CUSTOMERS, database, touched)
-            merged = merge_upsert(stored, incoming, "customer_id", "company_name")
-            replace_table(merged, CUSTOMERS, database, buckets=touched, stream=stream, epoch=epoch)
-        if stream is None or applied_epoch(spark, COMPANIES, database, stream) < epoch:
-            pairs = build_bridge(batch)
-            touched = _touched(pairs, COMPANIES)
-            stored = read_buckets(spark, COMPANIES, database, touched)
-            bridge = merge_bridge(stored, pairs, existing_distinct=True).withColumn("ingest_date", F.lit(today))
-            replace_table(bridge, COMPANIES, database, buckets=touched, stream=stream, epoch=epoch,
-                          same={"ingest_date": today})
+        incoming = batch.select("customer_id", "company_name", F.lit(today).alias("ingest_date")).distinct()
+        if customers.logged:
+            keyed = one_row_per_key(incoming, "customer_id")
+            append_changes(keyed.unionByName(incoming.where("customer_id IS NULL")), customers, database, stream, epoch)
+        else:
+            merge_into(incoming, customers, database)
+        # A row without industry adds no pair; it brings the date of a batch that has none.
+        pairs = build_bridge(batch).where("industry IS NOT NULL").unionByName(
+            spark.createDataFrame([(None, None)], "company_name string, industry string"))
+        append_changes(pairs.withColumn("ingest_date", F.lit(today)), COMPANIES, database, stream, epoch)
     finally:
         batch.unpersist()
 
 
-def _touched(rows: DataFrame, spec: TableSpec) -> list[int]:
-    """The buckets of some rows, at most as many as the table has."""
-    return sorted(r[0] for r in rows.select(bucket_of(spec)).distinct().collect())
-
-
 def run_customer_stream(files: DataFrame, database: str, checkpoint: str,
                         ingest_date: date | None = None, interval: str = "60 seconds",
                         available_now: bool = False) -> StreamingQuery:

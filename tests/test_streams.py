@@ -1,12 +1,17 @@
 import json
+import random
+from collections import Counter
+from dataclasses import replace
 from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from orderpulse import model
+from orderpulse.operators import changelog
+from orderpulse.operators.changelog import append_changes, fold_log, log_spec, replace_table, versions
 from orderpulse.operators.compaction import fold_epochs, last_closed
-from orderpulse.operators.sinks import _stored_parts, applied_epoch, read_raw, replace_table
+from orderpulse.operators.sinks import read_raw
 from orderpulse.operators.tables import ensure_tables
 from orderpulse.sources.batch import read_table
 from orderpulse.sources.stream import customer_files, file_messages, kafka_messages
@@ -123,42 +128,120 @@ def test_customer_stream(spark, target, tmp_path):
     assert [c[:2] for c in companies] == [("A", "w"), ("A", "x"), ("B2", "y"), ("B2", "z")]
 
 
-def test_small_batch_writes_its_bucket_and_a_replay_nothing(spark, target, tmp_path, monkeypatch):
+CUSTOMER_ROWS = "customer_id string, company_name string, specialized_industries string"
+
+
+def test_small_batch_writes_its_rows_and_a_replay_nothing(spark, target):
     to = target(model.CUSTOMERS, model.COMPANIES)
     before = spark.createDataFrame([(str(n), f"c{n % 7}", D0) for n in range(200)], model.CUSTOMERS.schema)
     replace_table(before, model.CUSTOMERS, to.database)
     reader = read_table(spark, to.database, "customers")
-    first = set(_stored_parts(spark, model.CUSTOMERS, to.database))
-    schema = "customer_id string, company_name string, specialized_industries string"
-    batch = spark.createDataFrame([("3", "new", "x")], schema)
+    log = f"{to.database}.{log_spec(model.CUSTOMERS).name}"
+    batch = spark.createDataFrame([("3", "new", "x")], CUSTOMER_ROWS)
     store_customers(batch, to.database, D1, "s", 0)
-    assert len(set(_stored_parts(spark, model.CUSTOMERS, to.database)) - first) == 1
+    assert spark.table(log).where("stream_id = 's'").count() == 1 and spark.table(log).count() == 201
     expected = rows(before.where("customer_id <> '3'")) + [("3", "new", D1)]
     assert rows(read_table(spark, to.database, "customers")) == sorted(expected)
-    nameless = spark.createDataFrame([(None, "n", "y")], schema)
+    nameless = spark.createDataFrame([(None, "n", "y")], CUSTOMER_ROWS)
     for n in (1, 1, 0):
         store_customers(nameless if n else batch, to.database, D1, "s", n)
     assert read_table(spark, to.database, "customers").where("customer_id IS NULL").count() == 1
     assert rows(read_table(spark, to.database, "companies")) == [("n", "y", D1), ("new", "x", D1)]
     for n in range(2, 5):
-        store_customers(spark.createDataFrame([("3", f"v{n}", "x")], schema), to.database, D1, "s", n)
-    assert rows(reader) == rows(before)  # opened before all batches
+        store_customers(spark.createDataFrame([("3", f"v{n}", "x")], CUSTOMER_ROWS), to.database, D1, "s", n)
+    store_customers(batch, to.database, D1, "s", 0)  # an old epoch keeps its place
+    assert rows(read_table(spark, to.database, "customers").where("customer_id = '3'")) == [("3", "v4", D1)]
     # Another stream has epochs of its own.
-    store_customers(nameless, to.database, D1, "t", 0)
+    store_customers(nameless, to.database, D1, "it's", 0)
     assert read_table(spark, to.database, "customers").where("customer_id IS NULL").count() == 2
+    seen = rows(read_table(spark, to.database, "customers"))
+    assert fold_log(spark, model.CUSTOMERS, to.database) and not fold_log(spark, model.CUSTOMERS, to.database)
+    assert rows(read_table(spark, to.database, "customers")) == seen
+    store_customers(batch, to.database, D1, "s", 4)  # a replay of what is folded
+    assert rows(read_table(spark, to.database, "customers")) == seen
+    assert rows(reader.where("customer_id = '4'")) == [("4", "c4", D0)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_change_log_equals_merges(spark, target, seed):
+    """Random batches, folds at random: the view shows what the upsert gives, batch by batch."""
+    rng = random.Random(seed)
+    to = target(model.CUSTOMERS, model.COMPANIES)
+    expected, pairs, day = {}, set(), D0
+    nameless = []
+    for epoch in range(6):
+        day = D0 + timedelta(days=epoch)
+        batch = {str(rng.randrange(12)): rng.choice(["A", "B", None]) for _ in range(rng.randrange(1, 8))}
+        data = [(k, v, rng.choice(["x", "y;z", None])) for k, v in batch.items()] + [(None, "N", None)] * rng.randrange(2)
+        store_customers(spark.createDataFrame(data, CUSTOMER_ROWS), to.database, day, rng.choice(["s", "t"]), epoch)
+        for key, company, industries in data:
+            if key is None:
+                nameless.append((None, company, day))
+            elif key not in expected or None not in (expected[key][0], company) and expected[key][0] != company:
+                expected[key] = (company, day)
+            pairs |= {(company, i) for i in (industries or "").split(";") if i}
+        if rng.random() < 0.4:
+            for spec in (model.CUSTOMERS, model.COMPANIES):
+                fold_log(spark, spec, to.database, min_age=timedelta(0))
+        got = rows(read_table(spark, to.database, "customers"))
+        assert Counter(got) == Counter([(k, *v) for k, v in expected.items()] + nameless)
+        assert set(rows(read_table(spark, to.database, "companies"))) == {(*p, day) for p in pairs}
+
+
+def test_a_key_twice_in_a_batch_fails_and_leaves_the_table(spark, target):
+    to = target(model.CUSTOMERS, model.COMPANIES)
+    with pytest.raises(Exception, match="several incoming rows"):
+        store_customers(spark.createDataFrame([("1", "A", None), ("1", "B", None)], CUSTOMER_ROWS), to.database, D1, "s", 0)
+    assert read_table(spark, to.database, "customers").count() == 0
+    with pytest.raises(ValueError, match="may be called"):
+        append_changes(spark.range(1), model.CUSTOMERS, to.database, "_state")
 
 
-def test_stream_records_its_epochs(spark, target, tmp_path):
+def test_batches_that_come_in_during_a_fold_are_kept(spark, target, monkeypatch):
     to = target(model.CUSTOMERS, model.COMPANIES)
-    folder = tmp_path / "in"
-    folder.mkdir()
-    (folder / "a.csv").write_text("customer_id,company_name,specialized_industries\n,A,x\n")
-    query = run_customer_stream(customer_files(spark, str(folder), 1), to.database, str(tmp_path / "checkpoint"),
-                                ingest_date=D1, available_now=True)
-    query.awaitTermination()
-    assert applied_epoch(spark, model.CUSTOMERS, to.database, str(query.id)) == 0
-    assert applied_epoch(spark, model.COMPANIES, to.database, str(query.id)) == 0
-    assert applied_epoch(spark, model.COMPANIES, to.database, "another") == -1
+    store_customers(spark.createDataFrame([("1", "A", "x")], CUSTOMER_ROWS), to.database, D0, "s", 0)
+    shown = changelog._show
+
+    def late(*args):
+        monkeypatch.setattr(changelog, "_show", shown)
+        store_customers(spark.createDataFrame([("1", "B", "x"), ("2", "C", "x")], CUSTOMER_ROWS), to.database, D1, "s", 1)
+        store_customers(spark.createDataFrame([("1", "D", "x")], CUSTOMER_ROWS), to.database, D1, "t", 0)
+        shown(*args)
+
+    monkeypatch.setattr(changelog, "_show", late)
+    fold_log(spark, model.CUSTOMERS, to.database)
+    assert rows(read_table(spark, to.database, "customers")) == [("1", "D", D1), ("2", "C", D1)]
+
+
+def test_folded_epochs_go_once_no_query_reads_them(spark, target):
+    to = target(model.CUSTOMERS, model.COMPANIES)
+    log = f"{to.database}.{log_spec(model.CUSTOMERS).name}"
+    for epoch in range(3):
+        store_customers(spark.createDataFrame([("1", f"v{epoch}", None)], CUSTOMER_ROWS), to.database, D1, "s", epoch)
+        fold_log(spark, model.CUSTOMERS, to.database)
+    assert spark.table(log).where("stream_id = 's'").count() == 3 and len(versions(spark, model.CUSTOMERS, to.database)) == 3
+    for epoch in range(3, 6):
+        store_customers(spark.createDataFrame([("1", f"v{epoch}", None)], CUSTOMER_ROWS), to.database, D1, "s", epoch)
+        fold_log(spark, model.CUSTOMERS, to.database, min_age=timedelta(0))
+    assert spark.table(log).where("stream_id = 's'").count() == 1 and len(versions(spark, model.CUSTOMERS, to.database)) == 3
+    assert rows(read_table(spark, to.database, "customers")) == [("1", "v5", D1)]
+
+
+def test_only_changed_keys_are_grouped(spark, target):
+    """What is stored is read for the day's rows, and neither sorted nor sent about for keys that nothing changed."""
+    to = target(model.CUSTOMERS)
+    plan = read_table(spark, to.database, "customers")._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "LeftSemi" in plan and "Window" not in plan
+
+
+def test_upsert_by_statement_where_the_format_has_it(spark, target):
+    to = target(model.CUSTOMERS, model.COMPANIES)
+    spark.sql(f"CREATE TABLE {to.database}.merged (customer_id STRING, company_name STRING, ingest_date DATE) USING parquet")
+    spec = replace(model.CUSTOMERS, name="merged", format="iceberg")
+    assert not spec.logged and "USING iceberg" in spec.create_sql("d")
+    with pytest.raises(Exception, match="MERGE INTO TABLE"):  # the statement reaches a table that can't run it
+        store_customers(spark.createDataFrame([("1", "A", None)], CUSTOMER_ROWS), to.database, D1, customers=spec)
+    assert not spark.catalog.tableExists("incoming_merged")
 
 
 def test_closed_epochs_fold_into_days(spark, target):

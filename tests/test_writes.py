@@ -1,11 +1,14 @@
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderpulse import model
 from orderpulse.operators import sinks
-from orderpulse.operators.tables import ensure_tables
+from orderpulse.operators.changelog import log_spec, replace_table, versions
+from orderpulse.operators.tables import SchemaMismatch, ensure_tables, schema_steps
 from orderpulse.plans import daily_fluctuations
 from orderpulse.plans.initial_load import load_all, standard_sources
 from orderpulse.session import fresh_folder, shared_root
@@ -21,7 +24,7 @@ def test_specs_make_their_tables(spark, target):
     for spec in (*model.WAREHOUSE, model.ORDER_REJECTS):
         found = spark.table(f"{to.database}.{spec.name}").schema
         assert [(f.name, f.dataType) for f in found] == [(f.name, f.dataType) for f in spec.schema]
-        if not spec.versioned:
+        if not spec.logged:
             columns = spark.catalog.listColumns(f"{to.database}.{spec.name}")
             assert [c.name for c in columns if c.isPartition] == list(spec.partition)
 
@@ -50,7 +53,7 @@ def test_append_by_position_follows_the_spec_and_casts(spark, target):
 def test_full_refresh_empties_and_plain_ensure_does_not(spark, target):
     to = target(model.PRODUCTS, model.CUSTOMERS)
     sinks.append_by_position(products(spark, (1.5, "p1", "one", D1)), model.PRODUCTS, to.database)
-    sinks.replace_table(spark.createDataFrame([("c", "x", D1)], model.CUSTOMERS.schema), model.CUSTOMERS, to.database)
+    replace_table(spark.createDataFrame([("c", "x", D1)], model.CUSTOMERS.schema), model.CUSTOMERS, to.database)
     specs = [model.PRODUCTS, model.CUSTOMERS]
     ensure_tables(spark, to.database, to.root, specs)
     assert [read_table(spark, to.database, s.name).count() for s in specs] == [1, 1]
@@ -100,17 +103,17 @@ def test_replace_table_may_read_itself_and_keeps_few_versions(spark, target):
     for n in range(5):
         current = read_table(spark, to.database, "companies")
         more = spark.createDataFrame([(f"c{n}", "x", D1)], model.COMPANIES.schema)
-        sinks.replace_table(current.unionByName(more), model.COMPANIES, to.database, min_age=timedelta(0))
+        replace_table(current.unionByName(more), model.COMPANIES, to.database, min_age=timedelta(0))
     assert rows(read_table(spark, to.database, "companies").select("company_name")) == [(f"c{n}",) for n in range(5)]
-    assert len(sinks.versions(spark, model.COMPANIES, to.database)) == 3
+    assert len(versions(spark, model.COMPANIES, to.database)) == 3
 
 
 def test_versions_stay_while_young(spark, target):
     to = target(model.COMPANIES)
-    sinks.replace_table(spark.createDataFrame([("c", "x", D1)], model.COMPANIES.schema), model.COMPANIES, to.database)
+    replace_table(spark.createDataFrame([("c", "x", D1)], model.COMPANIES.schema), model.COMPANIES, to.database)
     reader = read_table(spark, to.database, "companies")
     for n in range(5):
-        sinks.replace_table(spark.createDataFrame([(f"d{n}", "x", D1)], model.COMPANIES.schema), model.COMPANIES, to.database)
+        replace_table(spark.createDataFrame([(f"d{n}", "x", D1)], model.COMPANIES.schema), model.COMPANIES, to.database)
     assert rows(reader.select("company_name")) == [("c",)]
 
 
@@ -119,7 +122,7 @@ def test_replaced_table_has_few_files(spark, target):
     many = spark.range(20_000, numPartitions=16).select(
         F.col("id").cast("string").alias("customer_id"), F.lit("x").alias("company_name"),
         F.date_add(F.lit(D1), (F.col("id") % 10).cast("int")).alias("ingest_date"))
-    sinks.replace_table(many, model.CUSTOMERS, to.database)
+    replace_table(many, model.CUSTOMERS, to.database)
     assert len(read_table(spark, to.database, "customers").inputFiles()) <= 20
 
 
@@ -146,10 +149,10 @@ def test_replayed_epoch_that_shrinks_leaves_nothing_behind(spark, target, tmp_pa
 
 def test_failed_replacement_leaves_the_old_version(spark, target):
     to = target(model.COMPANIES)
-    sinks.replace_table(spark.createDataFrame([("c", "x", D1)], model.COMPANIES.schema), model.COMPANIES, to.database)
+    replace_table(spark.createDataFrame([("c", "x", D1)], model.COMPANIES.schema), model.COMPANIES, to.database)
     broken = read_table(spark, to.database, "companies").withColumn("industry", F.raise_error(F.lit("stop")).cast("string"))
     with pytest.raises(Exception, match="stop"):
-        sinks.replace_table(broken, model.COMPANIES, to.database)
+        replace_table(broken, model.COMPANIES, to.database)
     assert rows(read_table(spark, to.database, "companies").select("industry")) == [("x",)]
 
 
@@ -217,9 +220,9 @@ def test_plain_sql_over_the_tables(spark, target):
     orders = spark.createDataFrame([("o1", "c1", 5.0), ("o2", "c2", 7.0)], "order_id string, customer_id string, amount double")
     sinks.overwrite_partition(orders.select("*", moment.alias("timestamp"), F.to_date(moment).alias("order_date")),
                               model.ORDERS, to.database, {"stream_id": "s", "epoch": 0})
-    sinks.replace_table(spark.createDataFrame([("c1", "acme", D1), ("c2", "bolt", D1)], model.CUSTOMERS.schema),
+    replace_table(spark.createDataFrame([("c1", "acme", D1), ("c2", "bolt", D1)], model.CUSTOMERS.schema),
                         model.CUSTOMERS, to.database)
-    sinks.replace_table(spark.createDataFrame([("acme", "P", D1), ("acme", "Q", D1), ("bolt", "Q", D1)], model.COMPANIES.schema),
+    replace_table(spark.createDataFrame([("acme", "P", D1), ("acme", "Q", D1), ("bolt", "Q", D1)], model.COMPANIES.schema),
                         model.COMPANIES, to.database)
     current = spark.catalog.currentDatabase()
     spark.sql(f"USE {to.database}")
@@ -233,6 +236,75 @@ def test_plain_sql_over_the_tables(spark, target):
         spark.sql(f"USE {current}")
 
 
+# Schemas of stored tables
+
+OLD_PRODUCTS = model.TableSpec("products", (("product_id", "STRING"), ("size", "INT"), ("day", "DATE")), ("day",), ("product_id",))
+NEW_PRODUCTS = model.TableSpec("products", (("product_id", "STRING"), ("size", "BIGINT"), ("brand", "STRING"), ("day", "DATE")), ("day",),
+                               ("product_id",))
+
+
+def test_an_older_table_is_brought_to_its_spec(spark, target):
+    to = target(OLD_PRODUCTS)
+    sinks.append_by_position(spark.createDataFrame([("p1", 3, D1), ("p2", None, D2)], OLD_PRODUCTS.schema), OLD_PRODUCTS, to.database)
+    for _ in range(2):
+        ensure_tables(spark, to.database, to.root, [NEW_PRODUCTS])
+    sinks.append_by_position(spark.createDataFrame([("p3", 1 << 40, "b", D1)], NEW_PRODUCTS.schema), NEW_PRODUCTS, to.database)
+    assert rows(spark.table(f"{to.database}.products")) == [("p1", 3, None, D1), ("p2", None, None, D2), ("p3", 1 << 40, "b", D1)]
+    assert spark.table(f"{to.database}.products").schema == NEW_PRODUCTS.schema
+    assert [c.name for c in spark.catalog.listColumns(f"{to.database}.products") if c.isPartition] == ["day"]
+    with pytest.raises(SchemaMismatch, match="brand"):
+        ensure_tables(spark, to.database, to.root, [OLD_PRODUCTS])
+
+
+def test_a_rewrite_that_failed_is_finished(spark, target):
+    to = target(OLD_PRODUCTS)
+    sinks.append_by_position(spark.createDataFrame([("p1", 3, D1)], OLD_PRODUCTS.schema), OLD_PRODUCTS, to.database)
+    NEW_PRODUCTS.conform(spark.table(f"{to.database}.products").withColumn("brand", F.lit(None))).write.saveAsTable(f"{to.database}.products__wider")
+    spark.sql(f"DROP TABLE {to.database}.products")
+    ensure_tables(spark, to.database, to.root, [NEW_PRODUCTS])
+    assert rows(spark.table(f"{to.database}.products")) == [("p1", 3, None, D1)]
+    assert not spark.catalog.tableExists(f"{to.database}.products__wider")
+
+
+@pytest.mark.parametrize("columns, partitioned, reason", [
+    ("product_name STRING, product_id STRING, price DOUBLE, ingest_date DATE", "ingest_date", "in the order"),
+    ("product_id STRING, product_name STRING, price DOUBLE, weight INT, ingest_date DATE", "ingest_date", "unknown columns"),
+    ("product_id STRING, product_name STRING, price STRING, ingest_date DATE", "ingest_date", "price is string"),
+    ("product_id STRING, product_name STRING, price DOUBLE, ingest_date DATE", None, "partitioned by"),
+    ("product_name STRING, price DOUBLE, ingest_date DATE", "ingest_date", "required columns"),
+    ("product_id STRING, price DOUBLE, ingest_date DATE", "ingest_date", "behind all others"),
+    ("product_id STRING, product_name STRING, price DOUBLE, ingest_date STRING", "ingest_date", "ingest_date is string"),
+])
+def test_a_table_that_differs_is_refused(spark, target, columns, partitioned, reason):
+    to = target()
+    spark.sql(f"CREATE TABLE {to.database}.products ({columns}) USING parquet" + (f" PARTITIONED BY ({partitioned})" if partitioned else ""))
+    with pytest.raises(SchemaMismatch, match=reason):
+        ensure_tables(spark, to.database, to.root, [model.PRODUCTS])
+    ensure_tables(spark, to.database, to.root, [model.PRODUCTS], full_refresh=True)
+    assert spark.table(f"{to.database}.products").schema == model.PRODUCTS.schema
+
+
+def test_safe_steps():
+    def steps(stored, wanted):
+        spec = model.TableSpec("t", tuple(tuple(c.split(" ")) for c in wanted.split(", ")))
+        return [(s.kind, s.column, s.wanted) for s in schema_steps(T.StructType.fromDDL(stored), [], spec)]
+
+    assert steps("a INT, b FLOAT, c DECIMAL(10,2)", "a BIGINT, b DOUBLE, c DECIMAL(12,3)") == [
+        ("widen", "a", "BIGINT"), ("widen", "b", "DOUBLE"), ("widen", "c", "DECIMAL(12,3)")]
+    assert steps("a INT", "a INT, b STRING, c DATE") == [("add", "b", "STRING"), ("add", "c", "DATE")]
+    for stored, wanted in [("a BIGINT", "a INT"), ("a DOUBLE", "a FLOAT"), ("a DECIMAL(10,2)", "a DECIMAL(10,3)"), ("a BIGINT", "a DOUBLE")]:
+        with pytest.raises(SchemaMismatch):
+            steps(stored, wanted)
+
+
+def test_a_log_table_gets_new_columns_too(spark, target):
+    to = target(model.CUSTOMERS)
+    replace_table(spark.createDataFrame([("c1", "acme", D1)], model.CUSTOMERS.schema), model.CUSTOMERS, to.database)
+    with pytest.raises(SchemaMismatch):  # it would come before the log's own columns
+        ensure_tables(spark, to.database, to.root, [replace(model.CUSTOMERS, columns=(("tier", "INT"), *model.CUSTOMERS.columns))])
+    assert rows(read_table(spark, to.database, "customers")) == [("c1", "acme", D1)]
+
+
 def test_shared_folder_comes_from_the_session():
     class Conf:
         def __init__(self, value):
