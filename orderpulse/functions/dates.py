@@ -35,5 +35,10 @@ def in_day_parts(year: Column, month: Column, day: Column, first: date, last: da
     return F.make_date(year, month, day).between(F.lit(first), F.lit(last))
 
 
+def utc_day(moment: Column) -> Column:
+    """The UTC day of a moment, whatever the session's time zone."""
+    return F.to_date(F.to_utc_timestamp(moment, F.current_timezone()))
+
+
 def date_parts(moment: Column) -> list[Column]:
     return [F.year(moment).alias("year"), F.month(moment).alias("month"), F.day(moment).alias("day")]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 #: Wide enough for 22 digits before the point and millionths; sums have 32 digits before the point.
 MONEY = "DECIMAL(28,6)"
+MONEY_SUM = "DECIMAL(38,6)"
 LIST_SEPARATOR = ";"
 
 # Fixed value: the layout of a report line.

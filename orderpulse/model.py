@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderpulse.functions.values import MONEY_SUM
+
 #: Table formats that run MERGE and replace a table that is being read.
 MERGING_FORMATS = ("iceberg", "delta")
 
@@ -117,6 +119,14 @@ FLUCTUATIONS = TableSpec(
     partition=("aggregation_date",),
     required=("industry", "rank"),
 )
+# What a stream summed per entity and day, by batch; `late` marks rows that came after their day was closed.
+ENTITY_DAYS = TableSpec(
+    "entity_days",
+    (("industry", "STRING"), ("date", "DATE"), ("total", MONEY_SUM), ("stream_id", "STRING"), ("epoch", "BIGINT"),
+     ("late", "BOOLEAN")),
+    partition=("stream_id", "epoch", "late"),
+    required=("industry", "date"),
+)
 # Messages that hold no order document.
 ORDER_REJECTS = TableSpec(
     "order_rejects",

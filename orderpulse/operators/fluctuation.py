@@ -121,11 +121,19 @@ def backfill_fluctuations(facts: DataFrame, dim: DataFrame, *, k: int = TOP_K, c
                           dim_fits: bool | None = None) -> DataFrame:
     """`top_fluctuations` for every day from `first` to `last` at once (all days without), from one scan.
 
-    The scan begins with the baseline of the first day. An entity's window holds one row per
-    calendar day; the ranking per day keeps k rows per task before it shuffles.
+    The scan begins with the baseline of the first day.
     """
     start = first and trailing_bounds(first, lookback_days)[0]
     daily = daily_sums(facts, dim, cols=cols, entity=entity, first=start, last=last, dim_fits=dim_fits)
+    return rank_days(daily, k=k, entity=entity, lookback_days=lookback_days, first=first)
+
+
+def rank_days(daily: DataFrame, *, k: int = TOP_K, entity: str = "industry", lookback_days: int = LOOKBACK_DAYS,
+              first: date | None = None) -> DataFrame:
+    """The k entities that fluctuated most, for every day of (entity, date, total) from `first` on.
+
+    An entity's window holds one row per calendar day; the ranking per day keeps k rows per task before it shuffles.
+    """
     earlier = Window.partitionBy(entity).orderBy(F.unix_date("date")).rangeBetween(-lookback_days, -1)
     by_size = Window.partitionBy("date").orderBy(F.abs("diff").desc_nulls_last(), entity)
     return (

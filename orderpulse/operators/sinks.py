@@ -52,6 +52,12 @@ def overwrite_partition(df: DataFrame, spec: TableSpec, database: str, values: d
         spark.sql(f"INSERT OVERWRITE TABLE `{database}`.`{spec.name}` PARTITION ({clause}) SELECT * FROM {{rows}}", rows=rows)
 
 
+def replace_days(df: DataFrame, spec: TableSpec, database: str) -> None:
+    """Replace the partitions that `df` has rows of and no others, whatever the session's mode is."""
+    rows = by_partition(spec.conform(df), list(spec.partition))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(f"`{database}`.`{spec.name}`")
+
+
 @contextmanager
 def static_overwrite(spark: SparkSession) -> Iterator[SparkSession]:
     """For the time being an overwrite clears all that its partition clause names, not only what new rows touch.

@@ -114,8 +114,10 @@ def rank_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_everything(compared, F.abs("diff"), "industry")
 
 
-BACKFILL = f"""
-WITH o AS ({SEGMENT_ROWS}),
+def backfill_sql(rows: str) -> str:
+    """The ranking of every day of `rows` (industry, d, v)."""
+    return f"""
+WITH o AS ({rows}),
 dd AS (SELECT industry, d, CAST(sum(v) AS DECIMAL(18,2)) AS v FROM o GROUP BY industry, d),
 w AS (SELECT industry, d, v, sum(v) OVER f AS sv, count(*) OVER f AS n FROM dd
       WINDOW f AS (PARTITION BY industry ORDER BY date_diff('day', DATE '1970-01-01', d)
@@ -126,6 +128,9 @@ SELECT d AS aggregation_date, industry, CAST(rk AS INTEGER) AS rank, value_24h,
 FROM r WHERE rk <= 3"""
 
 
+BACKFILL = backfill_sql(SEGMENT_ROWS)
+
+
 @query(BACKFILL)
 def fluctuations_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fluctuation.backfill_fluctuations(

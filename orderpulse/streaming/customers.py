@@ -12,6 +12,7 @@ from orderpulse.model import COMPANIES, CUSTOMERS, TableSpec
 from orderpulse.operators.bridge import build_bridge
 from orderpulse.operators.changelog import append_changes
 from orderpulse.operators.upsert import merge_into, one_row_per_key
+from orderpulse.streaming.batches import stream_name
 
 
 def store_customers(batch: DataFrame, database: str, ingest_date: date | None = None, stream: str | None = None,
@@ -45,9 +46,7 @@ def run_customer_stream(files: DataFrame, database: str, checkpoint: str,
                         ingest_date: date | None = None, interval: str = "60 seconds",
                         available_now: bool = False) -> StreamingQuery:
     def store(batch: DataFrame, epoch: int) -> None:
-        # Spark gives each checkpoint an id of its own, which outlives restarts; epochs count within it.
-        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        store_customers(batch, database, ingest_date, stream, epoch)
+        store_customers(batch, database, ingest_date, stream_name(batch), epoch)
 
     writer = (
         files.writeStream.outputMode("append").queryName("customers")

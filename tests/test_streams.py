@@ -1,8 +1,9 @@
 import json
 import random
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import replace
 from datetime import date, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,7 +17,8 @@ from orderpulse.operators.tables import ensure_tables
 from orderpulse.sources.batch import read_table
 from orderpulse.sources.stream import customer_files, file_messages, kafka_messages
 from orderpulse.streaming.customers import run_customer_stream, store_customers
-from orderpulse.operators.fluctuation import compare_day
+from orderpulse.operators.fluctuation import compare_day, rank_days
+from orderpulse.streaming import fluctuations
 from orderpulse.streaming.daily import read_daily_totals, run_daily_totals
 from orderpulse.streaming.orders import STREAM_TABLES, run_order_stream, store_silver
 from tests.conftest import rows
@@ -295,6 +297,85 @@ def test_daily_totals_have_open_days_and_late_rows(spark, tmp_path):
     assert compare_day(totals, date(2024, 1, 2), "e").count() == 0
 
 
+def test_streams_that_share_totals_add_up(spark, tmp_path):
+    """A new checkpoint counts epochs from 0 again and replaces nothing."""
+    for name in ("a", "b"):
+        source = str(tmp_path / name)
+        spark.createDataFrame([(name, "2024-01-01 01:00:00", 1.0)], "e string, ts string, v double").withColumn(
+            "ts", F.to_timestamp("ts")).write.parquet(source)
+        stream = spark.readStream.schema("e string, ts timestamp, v double").parquet(source)
+        run_daily_totals(stream, "e", "ts", "v", str(tmp_path / "out"), f"{source}-checkpoint", available_now=True).awaitTermination()
+    assert rows(read_daily_totals(spark, str(tmp_path / "out"), "e").select("e", "date")) == [("a", D0), ("b", D0)]
+
+
+# The streamed comparison
+
+FACTS = "industry string, moment string, amount double"
+
+
+@pytest.fixture
+def fluctuation_stream(spark, target, tmp_path):
+    """A function that delivers rows to a stream, runs it to their end and returns (stored rankings, days, open days)."""
+    to, checkpoint = target(*fluctuations.STREAM_TABLES), str(tmp_path / "checkpoint")
+
+    def deliver(*data, delay="1 day"):
+        spark.createDataFrame(data, FACTS).withColumn("moment", F.to_timestamp("moment")).coalesce(1).write.mode("append").parquet(
+            str(tmp_path / "in"))
+        stream = spark.readStream.schema("industry string, moment timestamp, amount double").parquet(str(tmp_path / "in"))
+        fluctuations.run_fluctuation_stream(stream, to.database, checkpoint, delay=delay, available_now=True).awaitTermination()
+        return (read_table(spark, to.database, "fluctuations"), spark.table(f"{to.database}.entity_days"),
+                fluctuations.open_days(spark, checkpoint))
+
+    deliver.to, deliver.checkpoint = to, checkpoint
+    return deliver
+
+
+def test_days_come_when_the_watermark_closes_them(spark, fluctuation_stream):
+    ranked, days, still_open = fluctuation_stream(("a", "2024-01-01 10:00:00", 1.0), ("a", "2024-01-01 23:59:59", 2.5), ("a", "2024-01-02 12:00:00", 9.0))
+    assert (ranked.count(), days.count()) == (0, 0)
+    assert rows(still_open.withColumn("total", F.col("total").cast("double"))) == [("a", D0, 3.5), ("a", D1, 9.0)]
+    # The latest row is a day and more beyond the end of the first day.
+    ranked, days, still_open = fluctuation_stream(("a", "2024-01-03 00:00:00", 4.0), ("b", "2024-01-01 08:00:00", 5.0))
+    assert rows(days.select("industry", "date", "late")) == [("a", D0, False), ("b", D0, False)]
+    ranked, days, still_open = fluctuation_stream(("b", "2024-01-04 00:00:00", 1.0))
+    assert rows(ranked) == [("a", 1, 9.0, 3.5, 5.5, D1)]
+    assert rows(still_open.select("industry", "date")) == [("a", date(2024, 1, 3)), ("b", date(2024, 1, 4))]
+
+
+def test_late_rows_are_kept_apart_and_added(spark, fluctuation_stream):
+    for n in range(1, 6):
+        fluctuation_stream(("a", f"2024-01-{n:02d} 12:00:00", float(n)), delay="0 seconds")
+    ranked, days, _ = fluctuation_stream(("a", "2024-01-02 09:00:00", 10.0), ("c", "2024-01-01 09:00:00", 3.0), delay="0 seconds")
+    assert rows(days.where("late").select("industry", "date", F.col("total").cast("double"))) == [("a", D1, 10.0), ("c", D0, 3.0)]
+    assert rows(ranked.select("aggregation_date", "value_24h", "avg_30d")) == [
+        (D1, 12.0, 1.0), (date(2024, 1, 3), 3.0, 6.5), (date(2024, 1, 4), 4.0, 16.0 / 3)]
+    before, stored = rows(ranked), days.collect()
+    # A replay of any epoch changes nothing.
+    for epoch in sorted({r.epoch for r in stored}):
+        fluctuations.store_rankings(spark, fluctuation_stream.to.database, stored[0].stream_id, epoch)
+    assert rows(read_table(spark, fluctuation_stream.to.database, "fluctuations")) == before
+
+
+def test_streamed_days_equal_the_backfill(spark, fluctuation_stream):
+    rng = random.Random(8)
+    everything = []
+    for n in range(5):
+        data = [(rng.choice("abcd"), f"2024-01-{rng.randrange(max(1, 6 * n - 7), 6 * n + 3):02d} {rng.randrange(24):02d}:00:00",
+                 round(rng.uniform(-50, 50), 2)) for _ in range(40)]
+        everything += data
+        ranked, days, still_open = fluctuation_stream(*data)
+    assert days.where("late").count() > 0
+    total = fluctuations.read_entity_days(spark, fluctuation_stream.to.database).unionByName(still_open)
+    exact = [(e, date.fromisoformat(m[:10]), Decimal(str(v))) for e, m, v in everything]
+    expected = defaultdict(Decimal)
+    for e, day, v in exact:
+        expected[e, day] += v
+    assert {(r.industry, r.date): r.total for r in total.collect()} == expected
+    facts = spark.createDataFrame(exact, "industry string, date date, total decimal(38,6)").groupBy("industry", "date").agg(F.sum("total").alias("total"))
+    last = days.where("NOT late").agg(F.max("date")).first()[0]
+    assert rows(ranked) == rows(rank_days(facts).where(F.col("aggregation_date") <= F.lit(last)).select(ranked.columns))
+
+
 def test_kafka_source_needs_its_package(spark):
     with pytest.raises(Exception, match="kafka"):
         kafka_messages(spark, "host:9092", "orders")
