@@ -48,29 +48,21 @@ def overwrite_partition(df: DataFrame, spec: TableSpec, database: str, values: d
     rows = spec.conform(df.withColumns({c: F.lit(v).cast(types[c]) for c, v in values.items()})).drop(*assigned)
     if dynamic:
         rows = by_partition(rows, dynamic)
-    with static_overwrite(df.sparkSession) as spark:
-        spark.sql(f"INSERT OVERWRITE TABLE `{database}`.`{spec.name}` PARTITION ({clause}) SELECT * FROM {{rows}}", rows=rows)
+    # Static: all that the clause names is cleared. A replayed epoch with fewer days would else leave its earlier days behind.
+    _overwrite(rows, spec, database, "static", f"PARTITION ({clause})")
 
 
-def replace_days(df: DataFrame, spec: TableSpec, database: str) -> None:
-    """Replace the partitions that `df` has rows of and no others, whatever the session's mode is."""
-    rows = by_partition(spec.conform(df), list(spec.partition))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(f"`{database}`.`{spec.name}`")
+def _overwrite(rows: DataFrame, spec: TableSpec, database: str, mode: str, partition: str) -> None:
+    """The mode is the statement's own: the session's setting neither counts nor changes."""
+    rows.sparkSession.sql(
+        f"INSERT OVERWRITE TABLE `{database}`.`{spec.name}` WITH ('partitionOverwriteMode' = '{mode}') {partition} "
+        "SELECT * FROM {rows}", rows=rows)
 
 
-@contextmanager
-def static_overwrite(spark: SparkSession) -> Iterator[SparkSession]:
-    """For the time being an overwrite clears all that its partition clause names, not only what new rows touch.
-
-    In dynamic mode a replayed epoch with fewer days would leave its earlier days behind.
-    """
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "static")
-    try:
-        yield spark
-    finally:
-        spark.conf.set(key, before)
+def replace_days(df: DataFrame, spec: TableSpec, database: str) -> None:
+    """Replace the partitions that `df` has rows of and no others."""
+    rows = by_partition(spec.conform(df), list(spec.partition))
+    _overwrite(rows, spec, database, "dynamic", f"PARTITION ({', '.join(f'`{c}`' for c in spec.partition)})")
 
 
 def view_properties(spark: SparkSession, database: str, view: str) -> dict[str, str]:
