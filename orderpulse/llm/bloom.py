@@ -47,3 +47,9 @@ def marked(rows: DataFrame, value: Column, filter_pages: DataFrame, bits: int, o
         hit = hit & F.coalesce(F.getbit(octet.cast("int"), bit.bitwiseAND(7).cast("int")) == 1, F.lit(False))
         added += [at, octets]
     return joined.withColumn(out, hit).drop(*added)
+
+
+def likely(rows: DataFrame, value: Column, members: DataFrame, member: Column) -> DataFrame:
+    """The rows whose hash `value` is that of a member, and a few others: what is left to meet `members` in a shuffle."""
+    bits, out = filter_bits(members.count()), unused(rows, "__likely")
+    return marked(rows, value, pages(members, member, bits), bits, out).where(F.col(out)).drop(out)

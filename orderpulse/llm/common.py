@@ -7,10 +7,11 @@ import sys
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderpulse.operators.sizing import fits
 from orderpulse.session import ensure_checkpoint_dir
 
-#: A side of a join is broadcast only if it was counted and has at most so many narrow rows (tens of bytes each).
-BROADCAST_ROWS = 1_000_000
+#: A side of a join is broadcast only if it was counted and has at most so many rows and bytes.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -23,9 +24,9 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A hint to broadcast `df`, which should be cheap to count, if it has at most `rows` narrow rows."""
-    return F.broadcast(df) if df.count() <= rows else df
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, octets: int = BROADCAST_BYTES) -> DataFrame:
+    """A hint to broadcast `df`, which should be cheap to read, if it has at most so many rows and bytes."""
+    return F.broadcast(df) if fits(df, rows, octets) else df
 
 
 def short_batches(spark: SparkSession, rows: int = 1_000) -> None:

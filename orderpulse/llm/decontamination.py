@@ -7,9 +7,12 @@ document with the asked share of the item cannot miss all that must be found of
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderpulse.llm import bloom
 from orderpulse.llm.common import bound, kept, quoted, small, text_of, unused
 
 #: Words in a shingle, and the share of an item's distinct shingles that a document must hold.
@@ -21,11 +24,17 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def shingles(text: Column, of, n: int = WORDS) -> Column:
-    """`of(array of n words)` for each n consecutive words; none if the text has fewer."""
-    return bound(words(text), lambda all_words: F.when(
-        F.size(all_words) >= n,
-        F.transform(F.sequence(F.lit(1), F.size(all_words) - n + 1), lambda at: of(F.slice(all_words, at, n)))))
+def shingles(text: Column, of, widths: Sequence[int] = (WORDS,)) -> Column:
+    """`of(array of n words)` for each n consecutive words, for each of a few widths n; null if the text has fewer than any."""
+    def of_width(all_words: Column, n: int) -> Column:
+        return F.when(F.size(all_words) >= n, F.transform(
+            F.sequence(F.lit(1), F.size(all_words) - n + 1), lambda at: of(F.slice(all_words, at, n))))
+
+    def of_each(all_words: Column) -> Column:
+        each = [of_width(all_words, n) for n in widths]
+        return each[0] if len(each) == 1 else F.flatten(F.array_compact(F.array(*each)))
+
+    return bound(words(text), of_each)
 
 
 def _needed(count: Column, share: float) -> Column:
@@ -33,26 +42,21 @@ def _needed(count: Column, share: float) -> Column:
 
 
 def item_shingles(items: DataFrame, item: str, text: str, n: int, share: float) -> DataFrame:
-    """(item_id, shingle, hash, n_item, needed): the distinct shingles of each item."""
-    rows = (
-        items.where(F.col(item).isNotNull())
-        .select(F.col(item).alias("item_id"),
-                F.explode(shingles(text_of(text), lambda w: F.concat_ws(" ", w), n)).alias("shingle"))
-        .distinct())
+    """(item_id, shingle, hash, width, n_item, needed): the distinct shingles of each item, of its widest row's width.
+
+    A row of fewer than `n` words is one shingle of all of them.
+    """
+    rows = items.where(quoted(item).isNotNull()).select(quoted(item).alias("item_id"), words(text_of(text)).alias("words"))
+    rows = rows.where(F.size("words") > 0).withColumn("width", F.least(F.lit(n), F.size("words")))
+    starts = F.sequence(F.lit(1), F.size("words") - F.col("width") + 1)
+    rows = rows.select("item_id", "width", F.explode(F.transform(
+        starts, lambda at: F.concat_ws(" ", F.slice("words", at, F.col("width"))))).alias("shingle")).distinct()
     total = F.count(F.lit(1)).over(Window.partitionBy("item_id"))
     return (
         rows.withColumn("hash", F.xxhash64(F.split("shingle", " "))).withColumn("n_item", total)
         .withColumn("needed", _needed(F.col("n_item"), share)))
 
 
-def unsearched_items(items: DataFrame, item: str = "item_id", text: str = "text", *, n: int = WORDS) -> DataFrame:
-    """(item_id, n_words): items, or rows of one, that have fewer than `n` words, so that `leaked_items` never finds them."""
-    return (
-        items.where(quoted(item).isNotNull())
-        .select(quoted(item).alias("item_id"), F.size(words(text_of(text))).alias("n_words"))
-        .where(F.col("n_words") < n).distinct())
-
-
 def sketches(rows: DataFrame, share: float) -> DataFrame:
     """(item_id, hash, n_item, enough): each item's least hashes, as many as its partition asks for.
 
@@ -73,23 +77,27 @@ def leaked_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
                  item_text: str = "text", *, n: int = WORDS, share: float = SHARE) -> DataFrame:
     """(doc_id, text_hash, item_id, n_item, n_found, containment) for each document that holds `share` of an item.
 
-    Texts are whole; a null text is empty. Items of fewer than `n` words are never found (`unsearched_items`); rows of
-    one item_id form one item and items without id are left out. Rows that repeat id and text give one result, other
-    repeats of an id their own (`text_hash` tells them apart). Empty tables give no rows.
+    Texts are whole; a null text is empty. An item of fewer than `n` words is found where all of them stand in a row;
+    one without words is found nowhere. Rows of one item_id form one item, items without id are left out. Rows that repeat
+    id and text give one result, other repeats of an id their own (`text_hash` tells them apart). Empty tables give no rows.
     """
-    rows = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text_of(text)).alias("text_hash"),
+    rows = docs.select(quoted(key).alias("doc_id"), F.xxhash64(text_of(text)).alias("text_hash"),
                        text_of(text).alias("text"))
     known = kept(item_shingles(items, item, item_text, n, share))
-    sketch = small(kept(sketches(known, share)))
-    hashed = rows.select("doc_id", "text_hash", F.explode(shingles(F.col("text"), F.xxhash64, n)).alias("hash"))
+    widths = sorted(r.width for r in known.select("width").distinct().collect()) or [n]  # n of them at most
+    sketch = kept(sketches(known, share))
+    hashed = rows.select("doc_id", "text_hash", F.explode(shingles(F.col("text"), F.xxhash64, widths)).alias("hash"))
+    few = small(sketch)
+    if few is sketch:  # a filter spares nearly all of the documents' shingles the shuffle
+        hashed = bloom.likely(hashed, F.col("hash"), sketch, F.col("hash"))
     candidates = kept(
-        hashed.join(sketch, "hash").groupBy("doc_id", "text_hash", "item_id")
+        hashed.join(few, "hash").groupBy("doc_id", "text_hash", "item_id")
         .agg(F.count_distinct("hash").alias("hits"), F.first("enough").alias("enough"))
         .where("hits >= enough").select("doc_id", "text_hash", "item_id"))
     named = small(candidates).alias("c")
     pairs = rows.alias("d").join(named, F.expr("d.doc_id <=> c.doc_id AND d.text_hash = c.text_hash")).select(
         "d.doc_id", "d.text_hash", "c.item_id",
-        F.explode(F.array_distinct(shingles(F.col("text"), lambda w: F.concat_ws(" ", w), n))).alias("shingle"))
+        F.explode(F.array_distinct(shingles(F.col("text"), lambda w: F.concat_ws(" ", w), widths))).alias("shingle"))
     found = pairs.distinct().join(small(known.select("item_id", "shingle", "n_item", "needed")), ["item_id", "shingle"])
     return (
         found.groupBy("doc_id", "text_hash", "item_id", "n_item", "needed")

@@ -64,8 +64,7 @@ def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text"
     often = kept(repeated_lines(lines, settings))
     few = small(often)
     if few is often:  # too many for every task: a filter spares most other lines the shuffle
-        bits, value = bloom.filter_bits(often.count()), F.col("h1")
-        lines = bloom.marked(lines, value, bloom.pages(often, value, bits), bits, "maybe").where("maybe").drop("maybe")
+        lines = bloom.likely(lines, F.col("h1"), often, F.col("h1"))
     dropped = lines.join(few, ["h1", "h2"]).where(~F.col("id").eqNullSafe(F.col("last")))
     gone = kept(dropped.groupBy("id", "print").agg(F.collect_set("at").alias("gone")))  # at most a document's own lines
     # Only documents that lose a line meet their positions; a filter spares most of the others the shuffle.

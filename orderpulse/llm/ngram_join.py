@@ -259,7 +259,8 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text",
     short_batches(docs.sparkSession)
     sketches = kept(sketch(docs, settings, key, text))
     classes = kept(sketches.where("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("set_id"), F.count(F.lit(1)).alias("copies"),
+        F.min("doc_id").alias("set_id"), F.coalesce(F.min_by("text_hash", "doc_id"), F.min("text_hash")).alias("set_hash"),
+        F.count(F.lit(1)).alias("copies"),
         F.first("signature").alias("signature"), F.first("bands").alias("bands")))
 
     in_bands = classes.select("node", F.explode("bands").alias("bucket"))
@@ -270,8 +271,10 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text",
     grouped = kept(components(candidates))
     sizes = kept(grouped.groupBy("root").agg(F.count(F.lit(1)).alias("members")))
     wanted = kept(grouped.join(sizes, "root").join(classes.drop("bands"), "node"))
-    texts = docs.select(F.col(key).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    members = texts.alias("d").join(small(wanted, 200_000).alias("w"), F.expr("d.doc_id <=> w.set_id")).select("d.text", "w.*")
+    # A class's text is found by id and hash: rows without id, or that repeat one, would else meet every class of that id.
+    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text_of(text)).alias("text_hash"), text_of(text).alias("text"))
+    members = texts.alias("d").join(small(wanted, 200_000).alias("w"), F.expr("d.text_hash = w.set_hash AND d.doc_id <=> w.set_id")) \
+        .select("d.text", "w.*")
     verified = kept(block_links(in_tiles(shingled(members, settings), "members", settings.block), settings))
 
     linked = kept(components(verified.where("b IS NOT NULL").select("a", "b")))

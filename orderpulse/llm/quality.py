@@ -116,8 +116,8 @@ def fit_quality(docs: DataFrame, ratings: DataFrame, levels: int, key: str = "do
                 grade: str = "grade", sample_rows: int = SAMPLE_ROWS) -> OrdinalModel | None:
     """The model for grades 0 to levels - 1, from at most `sample_rows` rated documents; None if there are none.
 
-    Features are made where the documents are; only those of the sample come to the driver. Ratings without grade or
-    document are left out; a document rated twice counts twice.
+    Features are made where the documents are; only those of the sample come to the driver, never more than `sample_rows`.
+    Ratings without grade or document are left out; a document rated twice counts twice, and so do documents of one id.
     """
     short_batches(docs.sparkSession)
     sample = (
@@ -131,7 +131,9 @@ def fit_quality(docs: DataFrame, ratings: DataFrame, levels: int, key: str = "do
             yield pd.DataFrame({"id": batch["__id"], "grade": batch["grade"], "found": [f.astype("<i4").tobytes() for f, _ in made],
                                 "parts": [v.astype("<f4").tobytes() for _, v in made]})
 
-    rows = rated.mapInPandas(features, "id long, grade int, found binary, parts binary").collect()
+    made = rated.mapInPandas(features, "id long, grade int, found binary, parts binary")
+    # The sample bounds ratings; documents that share a rated id are bounded here.
+    rows = made.orderBy(F.xxhash64("id"), "id", "grade", "found", "parts").limit(sample_rows).collect()
     if not rows:
         return None
     rows.sort(key=lambda r: (r.id, r.grade, r.found))

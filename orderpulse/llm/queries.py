@@ -126,13 +126,14 @@ WITH word_lists AS (
   SELECT doc_id, [w FOR w IN regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+') IF w <> ''] AS w
   FROM documents),
 item_lists AS (
-  SELECT item_id, [w FOR w IN regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+') IF w <> ''] AS w
-  FROM benchmark),
+  SELECT item_id, w, least(5, len(w)) AS n
+  FROM (SELECT item_id, [w FOR w IN regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+') IF w <> ''] AS w
+        FROM benchmark) WHERE len(w) > 0),
 doc_shingles AS (
-  SELECT DISTINCT doc_id, unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) AS s
-  FROM word_lists),
+  SELECT DISTINCT doc_id, unnest([array_to_string(w[i:i + n - 1], ' ') FOR i IN range(1, len(w) - n + 2)]) AS s
+  FROM word_lists, (SELECT DISTINCT n FROM item_lists)),
 item_shingles AS (
-  SELECT DISTINCT item_id, unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) AS s
+  SELECT DISTINCT item_id, unnest([array_to_string(w[i:i + n - 1], ' ') FOR i IN range(1, len(w) - n + 2)]) AS s
   FROM item_lists),
 totals AS (SELECT item_id, count(*) AS n_item FROM item_shingles GROUP BY item_id),
 matches AS (

@@ -226,7 +226,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
             yield pd.DataFrame({"id": batch["__id"], "part": batch["part"], "toxic": batch["toxic"],
                                 "x": [dense(body, table) for body in batch["text"]]})
 
-    made = rows.where(part >= LEXICON_PART).mapInPandas(features, "id long, part long, toxic int, x array<double>").toPandas()
+    made = rows.where(part >= LEXICON_PART).mapInPandas(features, "id long, part long, toxic int, x array<double>")
+    # The sample bounds labels; documents that share a labelled id are bounded here.
+    made = made.orderBy(F.xxhash64("id"), "id", "toxic", "x").limit(sample_rows).toPandas()
     made = made.sort_values(["id", "toxic"], kind="stable")
     x = np.array(made["x"].tolist(), np.float64).reshape(-1, FEATURES)
     y, tree_part = made["toxic"].to_numpy(np.float64), made["part"].to_numpy() < TREE_PART

@@ -163,6 +163,16 @@ def plain_shingles(text, n=5):
     return {tuple(words[i:i + n]) for i in range(len(words) - n + 1)}
 
 
+def item_shingles_plainly(text):
+    words = [w for w in re.split(r"[^\w]|_", (text or "").lower()) if w]
+    return plain_shingles(text, min(5, len(words))) if words else set()
+
+
+def holds(text, shingles):
+    """Whether a text holds 0.8 of an item's shingles."""
+    return bool(shingles) and len(shingles & plain_shingles(text, len(next(iter(shingles))))) >= 0.8 * len(shingles) - 1e-9
+
+
 def test_decontamination(spark, docs, texts, empty):
     rng = random.Random(9)
     shared = dict(texts)[60].split("\n")[1].split("\t")[0].split()
@@ -172,8 +182,9 @@ def test_decontamination(spark, docs, texts, empty):
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = set()
     for item, text in items:
-        own = plain_shingles(text)
-        want |= {(i, item) for i, t in texts if own and item and len(own & plain_shingles(t)) >= 0.8 * len(own) - 1e-9}
+        own = item_shingles_plainly(text)
+        want |= {(i, item) for i, t in texts if item and holds(t, own)}
+    assert (80, 3) in want  # the whole text is an item of four words
     got = decontamination.leaked_items(docs, bench)
     assert {(r.doc_id, r.item_id) for r in got.collect()} == want
     left = decontamination.drop_leaking(docs, bench)

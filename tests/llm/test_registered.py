@@ -5,7 +5,7 @@ import pytest
 
 import corpus_pipeline
 from orderpulse.llm.queries import ORACLES, QUERIES, tokenizer
-from tests.llm.test_operators import jaccard_plainly, plain_shingles
+from tests.llm.test_operators import holds, item_shingles_plainly, jaccard_plainly
 
 SF = "/root/testdata/sf0.001"
 
@@ -50,9 +50,8 @@ def test_pipeline(spark):
     left = {i: text for text, i in last.items()}
     groups = jaccard_plainly(sorted(left.items()))
     left = {i: t for i, t in left.items() if groups[i][1] == i}
-    items = [s for s in (plain_shingles(r[1]) for r in table("benchmark").fetchall()) if s]
-    left = {i: t for i, t in left.items()
-            if not any(len(s & own) >= 0.8 * len(s) - 1e-9 for own in [plain_shingles(t)] for s in items)}
+    items = [item_shingles_plainly(r[1]) for r in table("benchmark").fetchall()]
+    left = {i: t for i, t in left.items() if not any(holds(t, s) for s in items)}
     got = {r.doc_id: r for r in corpus_pipeline.run(spark, SF).collect()}
     assert set(got) == set(left)
     encoder = bpe.Encoder(bpe.read_ranks(tokenizer()["ranks_path"]), tokenizer()["pattern"])

@@ -1,12 +1,14 @@
 """Cases in which a text operator once did less than the whole job."""
 
+import random
 from collections import Counter
 
 import numpy as np
 import pytest
 
-from orderpulse.llm import chat, decontamination, licenses, sharding, substring_dedup
+from orderpulse.llm import chat, common, decontamination, licenses, ngram_join, quality, sharding, substring_dedup, toxicity
 from orderpulse.llm.license_rules import gates_of, rules
+from tests.llm.test_operators import holds, item_shingles_plainly, jaccard_plainly
 
 # Licences
 
@@ -145,7 +147,73 @@ def test_rows_that_share_a_key_are_spread_over_slot_groups(spark):
 
 # Decontamination
 
-def test_items_that_are_not_searched_are_told(spark):
-    items = [(1, "one two three four"), (2, "one two three four five"), (3, None), (4, "一二三四五六七八"), (None, "one")]
-    got = decontamination.unsearched_items(spark.createDataFrame(items, "item_id long, text string")).collect()
-    assert {(r.item_id, r.n_words) for r in got} == {(1, 4), (3, 0), (4, 1)}
+SHORT_ITEMS = [(1, "one two three four"), (2, "one two three four five"), (3, None), (4, "一二三四五六七八"), (5, "Two!"), (None, "one"),
+               (6, "two three"), (6, "three four"), (7, "six seven six")]
+
+
+def test_short_items_are_one_run_of_all_their_words(spark):
+    texts = {1: "x one two three four y", 2: "One, two; three... four five", 3: "two one", 4: "前 一二三四五六七八。", 5: "three four one two",
+             6: "six seven six seven", 7: "two three four", 8: None, 9: "", 10: "six seven"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    items = spark.createDataFrame(SHORT_ITEMS, "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.n_item, r.n_found) for r in decontamination.leaked_items(docs, items).collect()}
+    assert got == {(1, 1, 1, 1), (2, 1, 1, 1), (2, 2, 1, 1), (4, 4, 1, 1), (6, 7, 1, 1), *((n, 5, 1, 1) for n in (1, 2, 3, 5, 7)),
+                   *((n, 6, 2, 2) for n in (1, 2, 7))}
+    left = decontamination.drop_leaking(docs, items)
+    assert {r.doc_id for r in left.collect()} == {8, 9, 10}
+
+
+@pytest.mark.parametrize("rows", [0, 3])
+def test_items_that_are_too_many_to_broadcast(spark, monkeypatch, rows):
+    rng = random.Random(rows)
+    body = {n: " ".join(rng.choice("abcdefgh") + str(rng.randrange(9)) for _ in range(60)) for n in range(30)}
+    items = {n: " ".join(body[n].split()[5:5 + rng.choice([1, 3, 4, 9, 30])]) for n in range(0, 30, 3)}
+    docs = spark.createDataFrame(list(body.items()), "doc_id long, text string")
+    listed = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    expected = {(i, n) for n, item in items.items() for i, t in body.items() if holds(t, item_shingles_plainly(item))}
+    monkeypatch.setattr(decontamination, "small", lambda df: common.small(df, rows))
+    assert {(r.doc_id, r.item_id) for r in decontamination.leaked_items(docs, listed).collect()} == expected
+
+
+# N-gram join
+
+def test_rows_without_id_meet_only_their_own_class(spark):
+    """Each text is looked up by id and hash: what is shingled again is about one row for each class."""
+    rng = random.Random(2)
+    base = [f"w{rng.randrange(500)}" for _ in range(60)]
+    texts = []
+    for n in range(60):
+        words = list(base)
+        words[n] = f"changed{n}"
+        texts.append(" ".join(words))
+    seen = spark.sparkContext.accumulator(0)
+    plain = ngram_join.shingled
+
+    def counted(docs, settings):
+        seen.add(docs.count())
+        return plain(docs, settings)
+
+    for ids in ([None] * 60, [7] * 60, list(range(60))):
+        seen.value = 0
+        rows = spark.createDataFrame(list(zip(ids, texts)) * 2, "doc_id long, text string")
+        with pytest.MonkeyPatch.context() as patched:
+            patched.setattr(ngram_join, "shingled", counted)
+            got = ngram_join.jaccard_join(rows).collect()
+        assert seen.value <= 2 * 60 and len(got) == 120
+        expected = jaccard_plainly(list(enumerate(texts * 2)))
+        assert Counter(r.n_links for r in got) == Counter(links for _, _, links in expected.values())
+
+
+# Samples
+
+def test_samples_bound_documents_not_only_labels(spark, monkeypatch):
+    """Documents that share a labelled id don't all come to the driver."""
+    docs = spark.createDataFrame([(n % 10, f"text number {n} of {n % 7}") for n in range(600)], "doc_id long, text string")
+    taken = []
+    monkeypatch.setattr(quality, "fit_ordinal", lambda found, grades, levels: taken.append(len(found)))
+    quality.fit_quality(docs, spark.createDataFrame([(n, n % 2) for n in range(10)], "doc_id long, grade int"), 2, sample_rows=8)
+    monkeypatch.setattr(toxicity, "grow_trees", lambda x, y: taken.append(len(x)) or (0.0, []))
+    monkeypatch.setattr(toxicity, "isotonic", lambda raw, y: taken.append(len(y)) or (np.zeros(1), np.zeros(1)))
+    monkeypatch.setattr(toxicity.ToxicityModel, "raw", lambda self, x: np.zeros(len(x)))
+    toxicity.fit_toxicity(docs, spark.createDataFrame([(n, n % 2) for n in range(10)], "doc_id long, toxic int"), sample_rows=9)
+    assert taken[0] == 8 and sum(taken[1:]) <= 9
