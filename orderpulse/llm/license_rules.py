@@ -111,6 +111,9 @@ _VERSIONED = {
     "ofl": ("1 0", "1 1"), "odbl": ("1 0",), "busl": ("1 1",), "elastic": ("2 0",),
 }
 
+#: Names that are also everyday words; alone behind the word licence they say nothing.
+_EVERYDAY = {"python", "php", "ruby", "json", "vim", "curl", "elastic", "artistic", "llama", "psf", "apache", "boost"}
+
 _CC_PARTS = (("by-nc-nd", "attribution non ?commercial no ?deriv(?:ative)?s"),
              ("by-nc-sa", "attribution non ?commercial share ?alike"), ("by-nc", "attribution non ?commercial"),
              ("by-nd", "attribution no ?deriv(?:ative)?s"), ("by-sa", "attribution share ?alike"),
@@ -162,8 +165,106 @@ _SENTENCES = (
 )
 
 
+_GNU = (("gpl", "general public", r"general public", ("1", "2", "3")),
+        ("lgpl", "lesser general", r"lesser general public", ("2 1", "3")),
+        ("lgpl", "library general", r"library general public", ("2",)),
+        ("agpl", "affero", r"affero general public", ("3",)))
+
+_BSD_TERMS = rf"redistribution and use in source and binary forms{_ANY}{{0,90}}? provided with the distribution"
+#: Notices as the licences' own texts have them, which tell the version: label, keyword, pattern, gate.
+_NOTICES = (
+    ("bsd-2-clause", "redistribution and use", rf"{_BSD_TERMS} this software is provided", ""),
+    ("bsd-3-clause", "redistribution and use", rf"{_BSD_TERMS}(?: 3)? (?:neither the names?|the names?) of{_ANY}{{0,30}}? "
+     r"(?:endorse or promote|promote or endorse) products derived", ""),
+    ("bsd-4-clause", "redistribution and use", rf"{_BSD_TERMS}(?: 3)? all advertising materials mentioning features", ""),
+    ("bsd-3-clause", "endorse or promote", rf"neither the names? of{_ANY}{{0,30}}? endorse or promote products derived", ""),
+    ("bsd-4-clause", "advertising materials", r"all advertising materials mentioning features or use of this software", ""),
+    ("boost-1", "person or organization", r"permission is hereby granted free of charge to any person or organization obtaining "
+     r"a copy of the software and accompanying documentation covered by this licen[sc]e", "licen"),
+    ("wtfpl", "permitted to copy", r"everyone is permitted to copy and distribute verbatim or modified copies of this licen[sc]e "
+     r"document and changing it is allowed as long as the name is changed", "licen"),
+    ("postgresql", "written agreement", r"permission to use copy modify and distribute this software and its documentation for any "
+     r"purpose without fee and without a written agreement is hereby granted", "hereby"),
+    ("json", "good not evil", r"the software shall be used for good not evil", " evil "),
+    ("beerware", "retain this notice", r"as long as you retain this notice you can do whatever you want with this stuff", "whatever"),
+    ("mpl-2", "source code form", r"this source code form is subject to the terms of the mozilla public licen[sc]e v 2 0", "licen"),
+    ("mpl-2", "incompatible with", r"incompatible with secondary licen[sc]es as defined by the mozilla public licen[sc]e v 2 0", "licen"),
+    ("apache-2", "limitations under", r"see the licen[sc]e for the specific language governing permissions and limitations under the "
+     r"licen[sc]e", "licen"),
+    ("ofl-1.1", "font software", r"this font software is licensed under the sil open font licen[sc]e version 1 1", "licen"),
+    ("gfdl", "modify this document", r"copy distribute and or modify this document under the terms of the gnu free documentation "
+     r"licen[sc]e", "licen"),
+    ("cc0", "deed", r"(?:has|have) dedicated the work to the public domain by waiving", "waiving"),
+    ("artistic", "artistic", r"under the same terms as perl itself", "perl itself"),
+    ("public-domain", "domain", r"(?:hereby )?(?:disclaims?|waives?) (?:all )?copyright(?: and related rights)?", "copyright"),
+)
+
+#: Addresses of licence texts, in words: label, keyword, pattern, gate.
+_ADDRESSES = (
+    ("apache-2", "apache org", r"apache org licen[sc]es licen[sc]e 2 0", "licen"),
+    ("apache-1.1", "apache org", r"apache org licen[sc]es licen[sc]e 1 1", "licen"),
+    ("gpl-3", "gnu org", r"gnu org licen[sc]es gpl 3 0", "licen"),
+    ("gpl-2", "gnu org", r"gnu org licen[sc]es(?: old licen[sc]es)? gpl 2 0", "licen"),
+    ("lgpl-3", "gnu org", r"gnu org licen[sc]es lgpl 3 0", "licen"),
+    ("lgpl-2.1", "gnu org", r"gnu org licen[sc]es(?: old licen[sc]es)? lgpl 2 1", "licen"),
+    ("agpl-3", "gnu org", r"gnu org licen[sc]es agpl 3 0", "licen"),
+    ("gfdl-1.3", "gnu org", r"gnu org licen[sc]es fdl 1 3", "licen"),
+    ("gpl", "gnu org", r"gnu org (?:licen[sc]es|copyleft) gpl", " gnu "),
+    ("lgpl", "gnu org", r"gnu org (?:licen[sc]es|copyleft) lesser", " gnu "),
+    ("agpl", "gnu org", r"gnu org licen[sc]es agpl", "licen"),
+    ("mpl-2", "mozilla org", r"mozilla org(?: en us)? mpl 2 0", " mpl "),
+    ("mpl-1.1", "mozilla org", r"mozilla org(?: en us)? mpl (?:mpl )?1 1", " mpl "),
+    ("epl-2", "eclipse org", r"eclipse org (?:legal|org documents) epl (?:2 0|v20)", " epl "),
+    ("epl-1", "eclipse org", r"eclipse org (?:legal|org documents) epl (?:1 0|v10)", " epl "),
+    ("boost-1", "boost org", r"boost org licen[sc]e 1 0", "licen"),
+    ("unlicense", "unlicense org", r"unlicense org", ""),
+    ("wtfpl", "wtfpl net", r"wtfpl net", ""),
+    ("cc0", "creativecommons org", r"creativecommons org publicdomain zero 1 0", "creativecommons"),
+    ("public-domain", "creativecommons org", r"creativecommons org publicdomain mark 1 0", "creativecommons"),
+    ("odbl-1", "opendatacommons org", r"opendatacommons org licen[sc]es odbl(?: 1 0)?", "licen"),
+    ("odc-by", "opendatacommons org", r"opendatacommons org licen[sc]es by", "licen"),
+    ("pddl", "opendatacommons org", r"opendatacommons org licen[sc]es pddl", "licen"),
+    ("ofl", "sil org", r"scripts sil org ofl", " sil "),
+    ("php-3.01", "php net", r"php net licen[sc]e 3 01", "licen"),
+    ("cddl", "opensolaris", r"opensolaris org os licensing", "licen"),
+)
+
+#: Short names that only a partner makes a licence, as in `MIT or Apache-2.0`; the partners have rules of their own.
+_WEAK = (("mit", "mit"), ("isc", "isc"), ("zlib", "zlib"), ("bsd", "bsd"), ("x11", "x11"))
+_PARTNERS = ("apache", "gpl", "gplv2", "gplv3", "lgpl", "agpl", "mpl", "unlicense", "cc0", "epl", "wtfpl")
+#: What may stand between a partner and the `or` behind it.
+_ENDINGS = ("", " 2", " 3", " 2 0", " 2 1", " 3 0", " v2", " v3", " license", " license 2 0", " license version 2 0", " 2 0 only", " 3 0 only",
+            " 2 0 or later", " 3 0 or later")
+
+#: What a text says it is not: such an interval hides what stands in it and is no detection itself.
+DENIED = ""
+_WITHIN = r"(?:(?!but |and |or |under |is |are |it )[^ ]+ ){0,5}?"
+_DENIALS = tuple((word, rf"(?:not|never|no longer)(?: be| been| being| yet| itself)?(?: {_UNDER})? under {_TERMS}(?:an? |any )?{_WITHIN}{name}"
+                        rf"(?: {_LICENCE})?(?:{_VERSION} ?\d(?: \d)?)?", gate)
+                 for word, name, gate in (("under", _LICENCE, "licen"), ("gpl", "gpl", ""), ("lgpl", "lgpl", ""), ("agpl", "agpl", ""),
+                                          ("apache", "apache", ""), ("bsd", "bsd", " bsd ")))
+
+
+def _choices() -> list[Rule]:
+    """The weak name on either side of `or` (or a slash, which is no word) and a partner."""
+    found = []
+    for label, weak in _WEAK:
+        for partner in _PARTNERS:
+            behind = "|".join(f"(?<= {partner}{ending} )" for ending in _ENDINGS)  # each of a fixed length
+            found.append(Rule(f"{weak} or {partner}", rf"{weak} or(?= {partner} )", label, 0.85, _gate(partner)))
+            found.append(Rule(f"or {weak}", rf"(?:{behind})or {weak}", label, 0.85, _gate(partner)))
+    return found
+
+
 def rules() -> list[Rule]:
-    """All rules, strongest first: identifiers, named versions, licence sentences, names, loose notices."""
+    """All rules, strongest first: denials, identifiers, notices and addresses, named versions, sentences, names, loose ones."""
+    denials = [Rule(keyword, pattern, DENIED, 0.0, gate) for keyword, pattern, gate in _DENIALS]
+    notices = [Rule(keyword, pattern, label, 0.97, gate) for label, keyword, pattern, gate in _NOTICES + _ADDRESSES]
+    for label, keyword, name, versions_of in _GNU:
+        for version in versions_of:
+            notices.append(Rule(
+                keyword, rf"{_TERMS}(?:gnu )?{name} licen[sc]e as published by(?! [^ ]+ licen){_ANY}{{0,6}}? (?:either )?version {version}"
+                rf" of the licen[sc]e(?: or(?: \w+){{0,4}}? later version)?(?! \d)", f"{label}-{version.replace(' ', '.')}", 0.97, "licen"))
     identifiers, versions, names, loose = [], [], [], []
     for label, keyword, name, spdx in _NAMED:
         for version in _VERSIONED.get(label, ()):
@@ -174,7 +275,12 @@ def rules() -> list[Rule]:
                 "licen"))
             versions.append(Rule(
                 keyword, rf"{_UNDER} under {_TERMS}{name} {_LICENCE}{_VERSION} ?{version}", own, 0.98, "licen"))
+            notices.append(Rule("org", rf"(?:opensource|spdx) org licen[sc]es? {spdx} {version}", own, 0.95, "licen"))
+            names.append(Rule(spdx.split()[0], rf"licen[sc]es? (?:is )?{spdx} {version}(?: only| or later)?", own, 0.9, "licen"))
         identifiers.append(Rule("spdx", rf"spdx licen[sc]e identifier {spdx}", label, 0.98))
+        notices.append(Rule("org", rf"(?:opensource|spdx) org licen[sc]es? {spdx}(?: licen[sc]e)?", label, 0.95, "licen"))
+        if spdx not in _EVERYDAY:
+            names.append(Rule(spdx.split()[0], rf"licen[sc]es?(?: osi approved)? {spdx}(?: {_LICENCE})?", label, 0.75, "licen"))
         names.append(Rule(keyword, rf"{_UNDER} under {_TERMS}{name} {_LICENCE}", label, 0.9, "licen"))
         names.append(Rule(keyword, rf"under {_TERMS}{name} {_LICENCE}", label, 0.85, "licen"))
         loose.append(Rule(keyword, rf"{name} {_LICENCE}", label, 0.7, "licen"))
@@ -184,7 +290,9 @@ def rules() -> list[Rule]:
             own = f"cc-{part}-{version.replace(' ', '.')}"
             identifiers.append(Rule("spdx", rf"spdx licen[sc]e identifier cc {short} {version}", own, 1.0))
             versions.append(Rule("cc by", rf"cc {short} {version}(?: international)?", own, 0.95))
-            versions.append(Rule("creative commons", rf"creative commons {long}(?: {_LICENCE})? {version}", own, 0.95))
+            versions.append(Rule("creative commons", rf"creative commons {long}(?: {_LICENCE})? {version}"
+                                 rf"(?: (?:international|unported)(?: {_LICENCE})?)?", own, 0.95))
+            notices.append(Rule("creativecommons org", rf"creativecommons org licen[sc]es {short} {version}", own, 0.95, "licen"))
         names.append(Rule("cc by", rf"cc {short}", f"cc-{part}", 0.85))
         names.append(Rule("creative commons", rf"creative commons {long}(?: {_LICENCE})?", f"cc-{part}", 0.85))
     for short, before, label in _SHORT:
@@ -202,4 +310,4 @@ def rules() -> list[Rule]:
             loose.append(Rule(name, name, f"bsd-{n}-clause", 0.7, " bsd "))
     sentences = [Rule(keyword, pattern, label, 0.8, gate) for label, keyword, pattern, gate in _SENTENCES]
     loose.append(Rule("creative commons", rf"creative commons(?: {_LICENCE})?", "cc", 0.6))
-    return identifiers + versions + sentences + names + loose
+    return denials + identifiers + notices + versions + sentences + _choices() + names + loose

@@ -1,10 +1,13 @@
 """Cases in which a text operator once did less than the whole job."""
 
 import random
+import re
 from collections import Counter
 
 import numpy as np
 import pytest
+import regex
+from pyspark.sql import functions as F
 
 from orderpulse.llm import chat, common, decontamination, licenses, ngram_join, quality, sharding, substring_dedup, toxicity
 from orderpulse.llm.license_rules import gates_of, rules
@@ -37,7 +40,7 @@ NOTICES = {
         "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter "
         "it and redistribute it freely"],
     "gpl": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-            "License as published by the Free Software Foundation", "Covered by the GPL."],
+            "License as published by the Free Software Foundation", "Covered by the GPL.", "https://www.gnu.org/licenses/gpl.html"],
     "unlicense": ["This is free and unencumbered software released into the public domain."],
     "public-domain": ["Dedicated to the public domain", "Public domain."],
     "cc0": ["CC0", "CC0 1.0 Universal", "Creative Commons Zero"],
@@ -60,11 +63,119 @@ NOTICES = {
 }
 
 
+GNU_NOTICE = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} License as published by "
+              "the Free Software Foundation, either version {} of the License, or (at your option) any later version.")
+BSD_START = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+             "conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and "
+             "the following disclaimer.\n2. Redistributions in binary form must reproduce the above copyright notice, this list of "
+             "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n")
+BSD_NAMES = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+             "derived from this software without specific prior written permission.\n")
+BSD_ADS = ("3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This "
+           "product includes software developed by the organization.\n")
+BSD_END = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\""
+#: Texts, and the labels of what is found in them, in order.
+TEXTS = [
+    (GNU_NOTICE.format("General Public", "3"), ["gpl-3"]), (GNU_NOTICE.format("General Public", "2"), ["gpl-2"]),
+    (GNU_NOTICE.format("Lesser General Public", "2.1"), ["lgpl-2.1"]), (GNU_NOTICE.format("Lesser General Public", "3"), ["lgpl-3"]),
+    (GNU_NOTICE.format("Library General Public", "2"), ["lgpl-2"]), (GNU_NOTICE.format("Affero General Public", "3"), ["agpl-3"]),
+    (BSD_START + BSD_END, ["bsd-2-clause"]), (BSD_START + BSD_NAMES + BSD_END, ["bsd-3-clause"]),
+    (BSD_START + BSD_ADS + BSD_END, ["bsd-4-clause"]),
+    ("https://creativecommons.org/licenses/by-sa/4.0/", ["cc-by-sa-4.0"]), ("http://creativecommons.org/licenses/by-nc-nd/3.0/de", ["cc-by-nc-nd-3.0"]),
+    ("https://creativecommons.org/publicdomain/zero/1.0/", ["cc0"]), ("http://www.apache.org/licenses/LICENSE-2.0", ["apache-2"]),
+    ("https://opensource.org/licenses/MIT", ["mit"]), ("https://opensource.org/license/bsd-3-clause/", ["bsd-3-clause"]),
+    ("https://spdx.org/licenses/GPL-3.0-or-later.html", ["gpl-3"]), ("https://www.gnu.org/licenses/old-licenses/gpl-2.0.html", ["gpl-2"]),
+    ("https://mozilla.org/MPL/2.0/.", ["mpl-2"]), ("https://www.eclipse.org/legal/epl-v10.html", ["epl-1"]),
+    ("http://www.boost.org/LICENSE_1_0.txt", ["boost-1"]), ("<https://unlicense.org>", ["unlicense"]),
+    ("Licence: MIT", ["mit"]), ('license = "MIT"', ["mit"]), ('"license": "BSD-3-Clause",', ["bsd-3-clause"]), ("License: Apache-2.0", ["apache-2"]),
+    ("License :: OSI Approved :: MIT License", ["mit"]), ("license: GPL-3.0-only", ["gpl-3"]),
+    ("MIT or Apache-2.0", ["mit", "apache-2"]), ("Apache-2.0 OR MIT", ["apache-2", "mit"]), ("Apache 2.0 / MIT", ["apache-2"]),
+    ("GPL-2.0 or MIT", ["gpl-2", "mit"]), ("either mit or not", []), ("komm mit oder bleib", []),
+    ("not released under the GPL", []), ("This is not licensed under the MIT license.", []), ("never distributed under the terms of the GPL version 3", []),
+    ("not under the GPL but under the Apache License, Version 2.0", ["apache-2"]), ("It is not free. Released under the GPL v2", ["gpl-2"]),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy", ["mpl-2"]),
+    ("Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance", ["apache-2"]),
+    ("The Software shall be used for Good, not Evil.", ["json"]),
+    ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying "
+     "documentation covered by this license (the \"Software\")", ["boost-1"]),
+    ("Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as "
+     "long as the name is changed.", ["wtfpl"]),
+    ("Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a "
+     "written agreement is hereby granted", ["postgresql"]),
+    ("As long as you retain this notice you can do whatever you want with this stuff.", ["beerware"]),
+]
+
+
 def test_each_notice_is_found_as_it_reads(spark):
-    listed = [(label, text) for label, texts in NOTICES.items() for text in texts]
+    listed = [([label] if label else [], text) for label, texts in NOTICES.items() for text in texts] + [(labels, text) for text, labels in TEXTS]
     docs = spark.createDataFrame([(n, text) for n, (_, text) in enumerate(listed)], "doc_id long, text string")
     got = {r.doc_id: [d.label for d in r.detections] for r in licenses.scan_licenses(docs).collect()}
-    assert [(text, got[n]) for n, (_, text) in enumerate(listed)] == [(text, [label] if label else []) for label, text in listed]
+    assert [(text, got[n]) for n, (_, text) in enumerate(listed)] == [(text, labels) for labels, text in listed]
+
+
+def resolve_plainly(found):
+    """(start, stop, rank) that stay: in each turn the winners of one pass; then what overlaps none of them."""
+    stay, left = [], sorted(found, key=lambda d: (d[0], -d[1], d[2]))
+    while left:
+        kept = []
+        for d in left:
+            if not kept or d[0] >= kept[-1][1]:
+                kept.append(d)
+            elif d[1] > kept[-1][1] and d[2] < kept[-1][2]:
+                kept[-1] = d
+        stay += kept
+        left = [d for d in left if not any(d[0] < k[1] and k[0] < d[1] for k in kept)]
+    return sorted(stay)
+
+
+def detections_plainly(text, listed):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+    spaced = " " + "".join(f"{w} " for w in words)
+    found = []
+    for rank, rule in enumerate(listed):
+        for m in regex.finditer(f" (?:{rule.pattern})(?= )", spaced, regex.ASCII):
+            start = spaced[:m.start()].count(" ")
+            found.append((start, start + m.group().count(" "), rank))
+    return [(s, e, listed[r].label, listed[r].confidence) for s, e, r in resolve_plainly(found) if listed[r].label]
+
+
+def test_all_rules_equal_a_plain_scan(spark):
+    """Every rule is tried on every text here, without keywords and gates."""
+    rng, listed = random.Random(5), rules()
+    texts = [t for _, ts in NOTICES.items() for t in ts] + [t for t, _ in TEXTS] + [None, "", "nothing at all"]
+    for _ in range(40):
+        parts = [rng.choice(texts) or "" for _ in range(rng.randrange(2, 5))]
+        texts.append(rng.choice([" ", ", ", "\n", " or ", " not "]).join(p[rng.randrange(len(p) // 2 + 1):] for p in parts))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: [(d.start, d.stop, d.label, d.confidence) for d in r.detections] for r in licenses.scan_licenses(docs).collect()}
+    for n, text in enumerate(texts):
+        assert got[n] == detections_plainly(text, listed), text
+
+
+def test_what_a_loser_hid_comes_back(spark):
+    listed = [licenses.Rule("hh", "hh ii jj", "b", 0.9), licenses.Rule("aa", "aa bb cc dd ee ff gg hh", "a", 0.5), licenses.Rule("cc", "cc", "c", 0.5)]
+    docs = spark.createDataFrame([(1, "aa bb cc dd ee ff gg hh ii jj")], "doc_id long, text string")
+    assert [d.label for d in licenses.scan_licenses(docs, signature_rules=listed).first().detections] == ["c", "b"]
+
+
+def test_suppression_of_random_intervals(spark):
+    rng, rows = random.Random(6), []
+    for n in range(400):
+        found = {(a, a + rng.randrange(1, 9), rng.randrange(30)) for a in (rng.randrange(25) for _ in range(rng.randrange(0, 14)))}
+        rows.append((n, [(s, e, r, str(r), 0.5) for s, e, r in sorted(found)]))
+    docs = spark.createDataFrame(rows, "n int, found array<struct<start: int, stop: int, rank: int, label: string, confidence: double>>")
+    got = {r.n: [(d.start, d.stop, d.rank) for d in r.left] for r in docs.select("n", licenses.resolve(F.col("found")).alias("left")).collect()}
+    for n, found in rows:
+        assert got[n] == resolve_plainly([d[:3] for d in found])
+        assert all(a[1] <= b[0] for a, b in zip(got[n], got[n][1:]))
+
+
+def test_license_scan_on_awkward_tables(spark):
+    schema = "doc_id string, text string, keyword string, spaced string, rules int, detections string"
+    rows = [("a", "Licence: MIT", "x", "y", 1, "z")] * 3 + [(None, "GPLv3 " * 4_000, None, None, None, None), (None, None, None, None, None, None)]
+    got = licenses.scan_licenses(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((str(r.doc_id), len(r.detections)) for r in got) == [("None", 0), ("None", 4_000), ("a", 1), ("a", 1), ("a", 1)]
 
 
 def test_gates_lose_no_rule(spark):
