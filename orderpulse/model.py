@@ -127,6 +127,14 @@ ENTITY_DAYS = TableSpec(
     partition=("stream_id", "epoch", "late"),
     required=("industry", "date"),
 )
+# Daily sums that are kept up to date, by refresh: sums add up over refreshes and may be negative in one.
+_SUMS = (("total", MONEY_SUM), ("n_rows", "BIGINT"), ("n_values", "BIGINT"), ("refresh", "BIGINT"))
+MEMBER_DAYS = TableSpec("member_days", (("customer_id", "STRING"), ("date", "DATE"), *_SUMS), ("refresh",), ("customer_id", "date"))
+INDUSTRY_DAYS = TableSpec("industry_days", (("industry", "STRING"), ("date", "DATE"), *_SUMS), ("refresh",), ("industry", "date"))
+MEMBER_INDUSTRIES = TableSpec(
+    "member_industries", (("customer_id", "STRING"), ("industry", "STRING"), ("refresh", "BIGINT")), ("refresh",),
+    ("customer_id", "industry"))
+REFRESHES = TableSpec("refreshes", (("stream_id", "STRING"), ("epoch", "BIGINT"), ("refresh", "BIGINT")), ("refresh",))
 # Messages that hold no order document.
 ORDER_REJECTS = TableSpec(
     "order_rejects",

@@ -8,13 +8,12 @@ from __future__ import annotations
 
 import time
 from datetime import timedelta
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderpulse.model import TableSpec
-from orderpulse.operators.sinks import overwrite_partition, sql_literal, view_properties
+from orderpulse.operators.sinks import overwrite_partition, partitions, sql_literal, view_properties
 
 #: The writer of folded rows; no stream may have this name. Batches without a stream have the other one.
 STATE, BATCHES = "_state", "_batch"
@@ -115,9 +114,8 @@ def append_changes(rows: DataFrame, spec: TableSpec, database: str, stream: str
 def _epochs(spark: SparkSession, spec: TableSpec, database: str) -> dict[str, list[int]]:
     """Stored epochs by writer, in order. Names alone come back, one for each batch that is not folded and dropped yet."""
     found: dict[str, list[int]] = {}
-    for row in spark.sql(f"SHOW PARTITIONS `{database}`.`{log_spec(spec).name}`").collect():
-        stream, epoch = (unquote(part.split("=", 1)[1]) for part in row.partition.split("/"))
-        found.setdefault(stream, []).append(int(epoch))
+    for part in partitions(spark, database, log_spec(spec).name):
+        found.setdefault(part["stream_id"], []).append(int(part["epoch"]))
     return {stream: sorted(epochs) for stream, epochs in found.items()}
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Iterator
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,6 +72,12 @@ def view_properties(spark: SparkSession, database: str, view: str) -> dict[str,
     return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES `{database}`.`{view}`").collect()}
 
 
+def partitions(spark: SparkSession, database: str, table: str) -> list[dict[str, str]]:
+    """The partitions of a table, by column. Names from the catalog: no file is listed or read."""
+    listed = spark.sql(f"SHOW PARTITIONS `{database}`.`{table}`").collect()
+    return [{unquote(k): unquote(v) for k, v in (part.split("=", 1) for part in r.partition.split("/"))} for r in listed]
+
+
 @contextmanager
 def staged(df: DataFrame, database: str, label: str) -> Iterator[DataFrame]:
     """`df` as a table for the time being, for several readers of an input that is costly to parse."""

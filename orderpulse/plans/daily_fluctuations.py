@@ -1,6 +1,6 @@
 """The daily job: rank industries by fluctuation and store the day's result.
 
-    spark-submit orderpulse/plans/daily_fluctuations.py --root DIR [--agg_date YYYY-MM-DD]
+    spark-submit orderpulse/plans/daily_fluctuations.py --root DIR [--agg_date YYYY-MM-DD] [--maintained]
 """
 
 from __future__ import annotations
@@ -10,15 +10,17 @@ import logging
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderpulse.functions.dates import parse_day
+from orderpulse.functions.dates import in_days, parse_day, trailing_bounds
 from orderpulse.model import COMPANIES, CUSTOMERS, FLUCTUATIONS, INDUSTRIES, ORDERS
 from orderpulse.operators.bridge import entity_dim
-from orderpulse.operators.fluctuation import TOP_K, Facts, report, top_fluctuations
+from orderpulse.operators.fluctuation import TOP_K, Facts, compare_day, report, top_fluctuations
+from orderpulse.operators.maintained import MAINTAINED_TABLES, industry_days, refresh
+from orderpulse.operators.ranking import top_by
 from orderpulse.operators.sinks import overwrite_partition
-from orderpulse.operators.sizing import fits
 from orderpulse.operators.tables import ensure_tables
-from orderpulse.session import build_session
+from orderpulse.session import build_session, checkpointed
 from orderpulse.sources.batch import read_table
 
 logger = logging.getLogger(__name__)
@@ -27,20 +29,28 @@ logger = logging.getLogger(__name__)
 WAREHOUSE_ORDERS = Facts(member="customer_id", moment="order_date", amount="amount")
 
 
+def dimension(spark: SparkSession, database: str) -> DataFrame:
+    """(customer_id, industry) of all customers of known industries, computed once."""
+    return checkpointed(entity_dim(*[read_table(spark, database, t.name) for t in (CUSTOMERS, COMPANIES, INDUSTRIES)]))
+
+
 def compute(spark: SparkSession, database: str, as_of: date, k: int = TOP_K) -> DataFrame:
-    customers = read_table(spark, database, CUSTOMERS.name)
-    dim = entity_dim(customers, read_table(spark, database, COMPANIES.name),
-                     read_table(spark, database, INDUSTRIES.name))
-    # The cheap count of customers first: if they are too many, so is the dimension.
-    small = fits(customers.select("customer_id")) and fits(dim)
-    return top_fluctuations(read_table(spark, database, ORDERS.read_name), dim, as_of, k=k,
-                            cols=WAREHOUSE_ORDERS, dim_fits=small)
+    return top_fluctuations(read_table(spark, database, ORDERS.read_name), dimension(spark, database), as_of, k=k,
+                            cols=WAREHOUSE_ORDERS)
+
+
+def compute_maintained(spark: SparkSession, database: str, as_of: date, k: int = TOP_K) -> DataFrame:
+    """The same from daily sums that are kept: of the orders only those since the last run are read."""
+    refresh(spark, database, dimension(spark, database))
+    first, _ = trailing_bounds(as_of)
+    days = industry_days(spark, database).where(in_days(F.col("date"), first, as_of))
+    return top_by(compare_day(days, as_of), k, F.abs("diff"), "industry")
 
 
-def run(spark: SparkSession, database: str, root: str, as_of: date, k: int = TOP_K) -> list[str]:
+def run(spark: SparkSession, database: str, root: str, as_of: date, k: int = TOP_K, maintained: bool = False) -> list[str]:
     """Compute once, store the day, return the report's lines (at most k)."""
-    ensure_tables(spark, database, root, [FLUCTUATIONS])
-    top = compute(spark, database, as_of, k).persist()
+    ensure_tables(spark, database, root, [FLUCTUATIONS, *(MAINTAINED_TABLES if maintained else ())])
+    top = (compute_maintained if maintained else compute)(spark, database, as_of, k).persist()
     try:
         # At most k rows; computed before the stored day is touched.
         lines = [row.line for row in report(top).orderBy("rank").collect()]
@@ -57,9 +67,10 @@ def main() -> None:
     parser.add_argument("--root", required=True)
     parser.add_argument("--database", default="orderpulse")
     parser.add_argument("--agg_date", help="YYYY-MM-DD; yesterday if left out")
+    parser.add_argument("--maintained", action="store_true", help="from daily sums that each run brings up to date")
     args = parser.parse_args()
     logging.basicConfig(level=logging.INFO)
-    run(build_session("daily_fluctuations"), args.database, args.root, parse_day(args.agg_date))
+    run(build_session("daily_fluctuations"), args.database, args.root, parse_day(args.agg_date), maintained=args.maintained)
 
 
 if __name__ == "__main__":

@@ -15,16 +15,18 @@ from orderpulse.operators.compaction import fold_epochs, last_closed
 from orderpulse.operators.documents import order_rows, parse_orders
 from orderpulse.operators.sinks import read_raw
 from orderpulse.operators.fluctuation import rank_days
-from orderpulse.queries.comparison import backfill_sql
+from orderpulse.plans import daily_fluctuations
+from orderpulse.plans.initial_load import load_all
+from orderpulse.queries.comparison import backfill_sql, fluctuation_ctes
 from orderpulse.queries.dimensions import MERGED_MEMBERS
-from orderpulse.queries.inputs import (DELIVERY, EVENT_LINES, EVENT_ORDERS, INCOMING_DAY, TARGET_DAY, delivery_csv,
+from orderpulse.queries.inputs import (CUSTOMERS_RAW, DELIVERY, EVENT_LINES, EVENT_ORDERS, INCOMING_DAY, TARGET_DAY, delivery_csv,
                                        load, members, message_files)
 from orderpulse.queries.registry import query
-from orderpulse.queries.writes import new_database
+from orderpulse.queries.writes import LAST_DAY, new_database, raw_sources
 from orderpulse.session import fresh_folder
 from orderpulse.sources.batch import read_table
 from orderpulse.sources.stream import customer_files, file_messages
-from orderpulse.streaming.customers import run_customer_stream
+from orderpulse.streaming.customers import run_customer_stream, store_customers
 from orderpulse.streaming import fluctuations
 from orderpulse.streaming.daily import read_daily_totals, run_daily_totals
 from orderpulse.streaming.orders import STREAM_TABLES, run_order_stream, store_silver
@@ -161,3 +163,45 @@ def stream_fluctuations(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = fluctuations.read_entity_days(spark, to.database).unionByName(fluctuations.open_days(spark, checkpoint))
     still_open = rank_days(days).where(F.lit(True) if last is None else F.col("aggregation_date") > F.lit(last))
     return read_table(spark, to.database, "fluctuations").unionByName(still_open)
+
+
+MOVED = """
+SELECT CAST(c_custkey AS VARCHAR) AS customer_id, n_name || ' MOVED' AS company_name, r_name AS specialized_industries
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE c_custkey % 3 = 0
+"""
+
+
+@query(f"""
+WITH c AS ({CUSTOMERS_RAW}), m AS ({MOVED}),
+bridge AS (SELECT DISTINCT company_name, unnest(string_split(specialized_industries, ';')) AS industry
+           FROM (SELECT * FROM c UNION ALL SELECT * FROM m)),
+members AS (SELECT customer_id, coalesce(m.company_name, c.company_name) AS company_name FROM c LEFT JOIN m USING (customer_id)),
+known AS (SELECT c_mktsegment AS industry FROM customer UNION SELECT r_name FROM region),
+dims AS (SELECT DISTINCT customer_id, industry FROM members JOIN bridge USING (company_name) JOIN known USING (industry)),
+{fluctuation_ctes("""
+SELECT dims.industry, CAST(ts AS DATE) AS d, CAST(value AS DECIMAL(18,2)) AS v
+FROM events JOIN dims ON CAST(user_id AS VARCHAR) = dims.customer_id
+""", LAST_DAY)}
+SELECT DATE '{LAST_DAY}' AS aggregation_date, * FROM ranked WHERE rank <= 3
+""")
+def daily_job_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily job from kept sums, run amid the order stream and again at its end, when a third of the customers has moved."""
+    to = new_database(spark, STREAM_TABLES)
+    load_all(spark, [s for s in raw_sources(spark, sf_dir) if model.ORDERS not in s.tables], to)
+    path, checkpoint = message_files(spark, sf_dir), fresh_folder(spark, "checkpoint")
+    files = spark.read.schema(model.MESSAGE).parquet(path).inputFiles()
+    stream = run_order_stream(file_messages(spark, path, max(1, len(files) // 2)), to.database, "orders", checkpoint, available_now=True)
+    for epoch in range(2):
+        if epoch:
+            stream.awaitTermination()
+            store_customers(moved_customers(spark, sf_dir), to.database, INCOMING_DAY)
+        daily_fluctuations.run(spark, to.database, to.root, LAST_DAY, maintained=True)
+    return read_table(spark, to.database, "fluctuations")
+
+
+def moved_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    places = load(spark, sf_dir, "nation").join(load(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    customers = load(spark, sf_dir, "customer").where("c_custkey % 3 = 0")
+    return customers.join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("c_custkey").cast("string").alias("customer_id"), F.concat("n_name", F.lit(" MOVED")).alias("company_name"),
+        F.col("r_name").alias("specialized_industries"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
 
@@ -44,5 +44,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_root(spark))
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows in the shared checkpoint folder, computed once for all that reads them."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
