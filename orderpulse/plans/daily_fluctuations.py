@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from orderpulse.functions.dates import in_days, parse_day, trailing_bounds
 from orderpulse.model import COMPANIES, CUSTOMERS, FLUCTUATIONS, INDUSTRIES, ORDERS
 from orderpulse.operators.bridge import entity_dim
-from orderpulse.operators.fluctuation import TOP_K, Facts, compare_day, report, top_fluctuations
+from orderpulse.operators.fluctuation import TOP_K, Facts, compare_day, fill_days, report, top_fluctuations
 from orderpulse.operators.maintained import MAINTAINED_TABLES, industry_days, refresh
 from orderpulse.operators.ranking import top_by
 from orderpulse.operators.sinks import overwrite_partition
@@ -34,23 +34,29 @@ def dimension(spark: SparkSession, database: str) -> DataFrame:
     return checkpointed(entity_dim(*[read_table(spark, database, t.name) for t in (CUSTOMERS, COMPANIES, INDUSTRIES)]))
 
 
-def compute(spark: SparkSession, database: str, as_of: date, k: int = TOP_K) -> DataFrame:
+def compute(spark: SparkSession, database: str, as_of: date, k: int = TOP_K, zero_fill: bool = False,
+            keep_missing: bool = False) -> DataFrame:
     return top_fluctuations(read_table(spark, database, ORDERS.read_name), dimension(spark, database), as_of, k=k,
-                            cols=WAREHOUSE_ORDERS)
+                            cols=WAREHOUSE_ORDERS, zero_fill=zero_fill, keep_missing=keep_missing)
 
 
-def compute_maintained(spark: SparkSession, database: str, as_of: date, k: int = TOP_K) -> DataFrame:
+def compute_maintained(spark: SparkSession, database: str, as_of: date, k: int = TOP_K, zero_fill: bool = False,
+                       keep_missing: bool = False) -> DataFrame:
     """The same from daily sums that are kept: of the orders only those since the last run are read."""
-    refresh(spark, database, dimension(spark, database))
+    dim = dimension(spark, database)
+    refresh(spark, database, dim)
     first, _ = trailing_bounds(as_of)
     days = industry_days(spark, database).where(in_days(F.col("date"), first, as_of))
-    return top_by(compare_day(days, as_of), k, F.abs("diff"), "industry")
+    if zero_fill or keep_missing:
+        days = fill_days(days, dim.select("industry").distinct(), first, as_of, zero=zero_fill)
+    return top_by(compare_day(days, as_of, keep_missing=keep_missing), k, F.abs("diff"), "industry")
 
 
-def run(spark: SparkSession, database: str, root: str, as_of: date, k: int = TOP_K, maintained: bool = False) -> list[str]:
+def run(spark: SparkSession, database: str, root: str, as_of: date, k: int = TOP_K, maintained: bool = False,
+        zero_fill: bool = False, keep_missing: bool = False) -> list[str]:
     """Compute once, store the day, return the report's lines (at most k)."""
     ensure_tables(spark, database, root, [FLUCTUATIONS, *(MAINTAINED_TABLES if maintained else ())])
-    top = (compute_maintained if maintained else compute)(spark, database, as_of, k).persist()
+    top = (compute_maintained if maintained else compute)(spark, database, as_of, k, zero_fill, keep_missing).persist()
     try:
         # At most k rows; computed before the stored day is touched.
         lines = [row.line for row in report(top).orderBy("rank").collect()]
@@ -68,9 +74,12 @@ def main() -> None:
     parser.add_argument("--database", default="orderpulse")
     parser.add_argument("--agg_date", help="YYYY-MM-DD; yesterday if left out")
     parser.add_argument("--maintained", action="store_true", help="from daily sums that each run brings up to date")
+    parser.add_argument("--zero_fill", action="store_true", help="a day without orders counts as 0 in the average")
+    parser.add_argument("--keep_missing", action="store_true", help="rank industries without orders on the day or before it too")
     args = parser.parse_args()
     logging.basicConfig(level=logging.INFO)
-    run(build_session("daily_fluctuations"), args.database, args.root, parse_day(args.agg_date), maintained=args.maintained)
+    run(build_session("daily_fluctuations"), args.database, args.root, parse_day(args.agg_date), maintained=args.maintained,
+        zero_fill=args.zero_fill, keep_missing=args.keep_missing)
 
 
 if __name__ == "__main__":

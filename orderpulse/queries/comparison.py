@@ -137,6 +137,58 @@ def fluctuations_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
         load(spark, sf_dir, "orders"), segments(spark, sf_dir), cols=ORDER_FACTS)
 
 
+def _window(as_of) -> str:
+    first, _ = trailing_bounds(as_of)
+    return f"d BETWEEN DATE '{first}' AND DATE '{as_of}'"
+
+
+@query(f"""
+WITH o AS ({NAME_ROWS}),
+s AS (SELECT industry, coalesce(sum(v) FILTER (WHERE d = DATE '{AS_OF}'), 0) AS today,
+             coalesce(sum(v) FILTER (WHERE d < DATE '{AS_OF}'), 0) AS before
+      FROM o WHERE {_window(AS_OF)} GROUP BY industry)
+SELECT industry, CAST(today AS DOUBLE) AS value_24h, CAST(before AS DOUBLE) / 31 AS avg_30d,
+       CAST(today AS DOUBLE) - CAST(before AS DOUBLE) / 31 AS diff FROM s
+""")
+def fluctuations_zero_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Averages over all 31 days; names with rows in the window only."""
+    names = load(spark, sf_dir, "part").selectExpr("p_partkey AS l_partkey", "p_name AS industry")
+    return fluctuation.fluctuations(load(spark, sf_dir, "lineitem"), names, AS_OF, cols=LINE_FACTS, zero_fill=True)
+
+
+@query(f"""
+WITH {fluctuation_ctes(NAME_ROWS, AS_OF)}, e AS (SELECT DISTINCT p_name AS industry FROM part)
+SELECT industry, coalesce(h.value_24h, 0) AS value_24h, b.avg_30d, coalesce(h.value_24h, 0) - b.avg_30d AS diff
+FROM e LEFT JOIN h USING (industry) LEFT JOIN b USING (industry)
+""")
+def fluctuations_keep_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every name, with 0 where it is silent on the day and NULL where it was silent before."""
+    names = load(spark, sf_dir, "part").selectExpr("p_partkey AS l_partkey", "p_name AS industry")
+    return fluctuation.fluctuations(load(spark, sf_dir, "lineitem"), names, AS_OF, cols=LINE_FACTS, keep_missing=True)
+
+
+@query(f"""
+WITH o AS ({NAME_ROWS}),
+e AS (SELECT DISTINCT p_name AS industry FROM part),
+bounds AS (SELECT min(d) AS low, max(d) AS high FROM o),
+spine AS (SELECT industry, CAST(unnest(generate_series(low - 31, high, INTERVAL 1 DAY)) AS DATE) AS d FROM e, bounds),
+dd AS (SELECT industry, d, sum(v) AS v FROM o GROUP BY industry, d),
+f AS (SELECT industry, d, coalesce(v, 0) AS v FROM spine LEFT JOIN dd USING (industry, d)),
+w AS (SELECT industry, d, CAST(v AS DOUBLE) AS value_24h,
+             CAST(sum(v) OVER (PARTITION BY industry ORDER BY d ROWS BETWEEN 31 PRECEDING AND 1 PRECEDING) AS DOUBLE) / 31 AS avg_30d
+      FROM f),
+r AS (SELECT *, row_number() OVER (PARTITION BY d ORDER BY abs(value_24h - avg_30d) DESC, industry) AS rk
+      FROM w, bounds WHERE d >= low)
+SELECT d AS aggregation_date, industry, CAST(rk AS INTEGER) AS rank, value_24h, avg_30d, value_24h - avg_30d AS diff
+FROM r WHERE rk <= 3
+""")
+def fluctuations_backfill_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days with both options: every name on every day."""
+    names = load(spark, sf_dir, "part").selectExpr("p_partkey AS l_partkey", "p_name AS industry")
+    return fluctuation.backfill_fluctuations(
+        load(spark, sf_dir, "lineitem"), names, cols=LINE_FACTS, zero_fill=True, keep_missing=True)
+
+
 @query(f"{BACKFILL} AND d BETWEEN DATE '{AS_OF - timedelta(days=400)}' AND DATE '{AS_OF}'")
 def fluctuations_backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The days asked for only; the first of them has its whole baseline."""

@@ -1,3 +1,5 @@
+import random
+import re
 from collections import defaultdict
 from datetime import date, datetime, timedelta
 from decimal import Decimal
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from orderpulse.functions.dates import in_day_parts, in_days, parse_day, trailing_bounds
 from orderpulse.functions.values import list_items, percent_change
+from orderpulse.operators import fluctuation
 from orderpulse.operators.fluctuation import (backfill_fluctuations, daily_sums, fluctuations, report, top_fluctuations,
                                               two_branch_fluctuations)
 from orderpulse.operators.ranking import rank_all
@@ -216,3 +219,57 @@ def test_distributed_rank_equals_single_sort(spark, tiny_limits):
     expected = sorted(data, key=lambda r: (r[1] is None, -abs(r[1] or 0), r[0]))
     assert [(r.industry, r.diff) for r in ranked] == expected
     assert [r["rank"] for r in ranked] == list(range(1, 201))
+
+
+# Days without rows, entities without days
+
+def filled_plainly(facts, dim, as_of, zero_fill, keep_missing, lookback=31):
+    totals = defaultdict(Decimal)
+    for member, day, amount in facts:
+        for m, entity in dim:
+            if m == member and as_of - timedelta(days=lookback) <= day <= as_of:
+                totals[entity, day] += Decimal(str(amount))
+    out = []
+    for entity in {e for _, e in dim}:
+        own = {d: v for (e, d), v in totals.items() if e == entity}
+        before = [v for d, v in own.items() if d < as_of]
+        if not keep_missing and not own or not zero_fill and not keep_missing and (as_of not in own or not before):
+            continue
+        value = float(own.get(as_of, 0))
+        average = float(sum(before)) / (lookback if zero_fill else len(before)) if zero_fill or before else None
+        out.append((entity, value, average, None if average is None else value - average))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("zero_fill", [False, True])
+@pytest.mark.parametrize("keep_missing", [False, True])
+def test_days_without_rows_and_entities_without_days(spark, zero_fill, keep_missing):
+    rng = random.Random(7)
+    dim = [("m1", "a"), ("m1", "b"), ("m2", "b"), ("m3", "c"), ("m4", "silent"), ("m5", "only day"), ("m6", "only before")]
+    start = date(2024, 1, 1)
+    facts = [(f"m{rng.randrange(1, 4)}", start + timedelta(days=rng.randrange(50)), rng.randrange(-20, 99)) for _ in range(60)]
+    facts += [("m5", start + timedelta(days=40), 5), ("m6", start + timedelta(days=35), 7), ("unknown", start, 3)]
+    rows_of = spark.createDataFrame(facts, "customer_id string, timestamp date, amount int")
+    pairs = spark.createDataFrame(dim, "customer_id string, industry string")
+    how = {"zero_fill": zero_fill, "keep_missing": keep_missing}
+    backfill = fluctuation.backfill_fluctuations(rows_of, pairs, k=100, **how).collect()
+    for n in (0, 1, 20, 35, 40, 49):
+        as_of = start + timedelta(days=n)
+        expected = filled_plainly(facts, dim, as_of, **how)
+        got = fluctuation.fluctuations(rows_of, pairs, as_of, **how).collect()
+        assert sorted(map(tuple, got)) == expected
+        if as_of <= max(d for m, d, _ in facts):
+            assert sorted((r.industry, r.value_24h, r.avg_30d, r["diff"]) for r in backfill if r.aggregation_date == as_of) == expected
+    bounded = fluctuation.backfill_fluctuations(rows_of, pairs, k=100, first=start + timedelta(days=20), last=start + timedelta(days=22), **how)
+    assert rows(bounded) == sorted([tuple(r) for r in backfill if 20 <= (r.aggregation_date - start).days <= 22],
+                                   key=lambda r: [(v is not None, str(v)) for v in r])
+
+
+def test_the_calendar_reads_no_facts(spark):
+    facts = spark.createDataFrame([("m1", date(2024, 1, 1), 5)], "customer_id string, timestamp date, amount int")
+    dim = spark.createDataFrame([("m1", "a")], "customer_id string, industry string")
+    found = fluctuation.fluctuations(facts.select("*"), dim, date(2024, 1, 2), zero_fill=True, keep_missing=True, dim_fits=True)
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("amount#") and len(re.findall(r"LogicalRDD \[customer_id#\d+, timestamp#\d+", text)) == 1
+    empty = fluctuation.backfill_fluctuations(facts.limit(0), dim, zero_fill=True, keep_missing=True)
+    assert empty.count() == 0
