@@ -10,6 +10,8 @@ BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
 ROWS_PER_SPLIT = 5_000_000
 MAX_HOT_KEYS = 10_000
+#: Keys that a sketch of heavy hitters tracks, and tasks that merge the sketches of all others.
+TRACKED_KEYS, MERGING_TASKS = 1 << 16, 256
 
 
 def _bytes(field: T.StructField) -> Column:
@@ -34,23 +36,29 @@ def fits(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = Non
         n_bytes <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
 
 
-def hot_keys(df: DataFrame, key: str, at_most: int | None = None) -> DataFrame:
+def hot_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys with more rows than one task should get, with the number of splits each needs.
 
-    A hot key holds more than 1/MAX_HOT_KEYS of all rows, so at most MAX_HOT_KEYS rows
-    come out: a proven bound that makes this result safe to broadcast. `at_most` is an upper
-    bound on the rows of `df` where one is known for less than counting them.
+    A hot key holds more than 1/MAX_HOT_KEYS of all rows, so at most MAX_HOT_KEYS rows come out: a proven bound that
+    makes this result safe to broadcast. One pass finds them, and no key is shuffled: each task sketches its heavy
+    hitters in bounded memory, groups of tasks merge their sketches, and one task merges the groups. The sketch errs by
+    half that share at most; a key it overlooks or adds is split otherwise, and joins the same rows.
     """
-    cut = max(ROWS_PER_SPLIT, (df.count() if at_most is None else at_most) // MAX_HOT_KEYS)
+    parts = df.select(F.col(key).alias("_key"), F.pmod(F.spark_partition_id(), F.lit(MERGING_TASKS)).alias("_part"))
+    sketches = parts.groupBy("_part").agg(
+        F.expr(f"approx_top_k_accumulate(_key, {TRACKED_KEYS})").alias("_sketch"), F.count(F.lit(1)).alias("_rows"))
+    merged = sketches.groupBy(F.lit(0).alias("_all")).agg(  # a group, so that no rows give no sketch
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(_sketch, {TRACKED_KEYS}), {MAX_HOT_KEYS})").alias("_top"),
+        F.sum("_rows").alias("_total"))
+    cut = F.greatest(F.lit(ROWS_PER_SPLIT), F.floor(F.col("_total") / MAX_HOT_KEYS))
     return (
-        df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > cut)
-        .select(key, F.ceil(F.col("_rows") / cut).cast("int").alias("_splits"))
+        merged.select(F.explode("_top").alias("_hot"), cut.alias("_cut"))
+        .filter((F.col("_hot.count") > F.col("_cut")) & F.col("_hot.item").isNotNull())
+        .select(F.col("_hot.item").alias(key), F.ceil(F.col("_hot.count") / F.col("_cut")).cast("int").alias("_splits"))
     )
 
 
-def salted_join(many: DataFrame, few: DataFrame, key: str, salt_by: Column | None = None,
-                at_most: int | None = None) -> DataFrame:
+def salted_join(many: DataFrame, few: DataFrame, key: str, salt_by: Column | None = None) -> DataFrame:
     """Inner join in which a hot key of `many` is spread over several tasks.
 
     Rows of `few` are repeated only for hot keys, once per split. `salt_by` tells rows of
@@ -58,7 +66,7 @@ def salted_join(many: DataFrame, few: DataFrame, key: str, salt_by: Column | Non
     rows straight from a scan pass `monotonically_increasing_id()`, which spreads copies too
     and, unlike after a shuffle, comes out the same when a lost task is run again.
     """
-    hot = F.broadcast(hot_keys(many, key, at_most))
+    hot = F.broadcast(hot_keys(many, key))
     salt_by = F.xxhash64(*[F.col(f"`{c}`") for c in many.columns]) if salt_by is None else salt_by
     spread = many.withColumn("_spread", salt_by).join(hot, key, "left").withColumn(
         "_salt", F.coalesce(F.pmod(F.col("_spread"), F.col("_splits")), F.lit(0)).cast("int")

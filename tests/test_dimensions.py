@@ -1,3 +1,4 @@
+import re
 from datetime import date
 
 import pytest
@@ -104,6 +105,27 @@ def test_hot_keys_are_bounded_by_their_share(spark, monkeypatch):
     assert rows(hot_keys(df, "k")) == [("hot", 2)]
 
 
+def test_hot_keys_come_from_one_pass_without_a_shuffle_of_keys(spark, monkeypatch):
+    from orderpulse.operators import sizing
+    monkeypatch.setattr(sizing, "ROWS_PER_SPLIT", 1_000)
+    many = spark.range(0, 40_000, 1, 7).selectExpr("IF(id % 3 = 0, 'hot', concat('k', id % 9000)) AS k", "id")
+    found = hot_keys(many, "k")
+    assert rows(found) == [("hot", 14)]
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\([^)]*key", text) and text.count("Range (") == 2  # in the final and the initial plan
+    assert hot_keys(many.limit(0), "k").count() == 0
+    assert rows(hot_keys(many.selectExpr("CAST(NULL AS BIGINT) AS k"), "k")) == []
+
+
+@pytest.mark.parametrize("listed", [[], [("k1", 3), ("nobody", 2)], [("hot", 2)]])
+def test_any_answer_of_the_sketch_joins_the_same_rows(spark, monkeypatch, listed):
+    from orderpulse.operators import sizing
+    monkeypatch.setattr(sizing, "hot_keys", lambda df, key: spark.createDataFrame(listed, "k string, _splits int"))
+    many = spark.range(60).selectExpr("IF(id % 3 = 0, 'hot', concat('k', id % 4)) AS k", "id AS a")
+    few = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("k9", 4)], "k string, b int")
+    assert rows(sizing.salted_join(many, few, "k").select("k", "a", "b")) == rows(many.join(few, "k").select("k", "a", "b"))
+
+
 def test_a_hot_key_is_spread(spark, monkeypatch):
     from orderpulse.operators import sizing
     monkeypatch.setattr(sizing, "ROWS_PER_SPLIT", 10)
