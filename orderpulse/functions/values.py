@@ -22,6 +22,12 @@ def as_money(amount: Column, kind: str = MONEY) -> Column:
     return amount.try_cast(kind)
 
 
+def unfit(amount: Column, kind: str = MONEY) -> Column:
+    """Whether an amount is too large, too small or no number, so that `as_money` would leave it out or make it 0."""
+    money = as_money(amount, kind)
+    return amount.isNotNull() & (money.isNull() | ((money == 0) & (amount != 0)))
+
+
 def percent_change(diff: Column, base: Column) -> Column:
     """NULL where the base is zero."""
     return F.try_divide(diff, base) * 100

@@ -142,8 +142,18 @@ ORDER_REJECTS = TableSpec(
     partition=("stream_id", "epoch"),
 )
 
+# Violations that loads and streams counted, by what wrote them.
+LOAD_CHECKS = TableSpec(
+    "load_checks",
+    (("column_name", "STRING"), ("problem", "STRING"), ("n_rows", "BIGINT"), ("stream_id", "STRING"), ("epoch", "BIGINT"),
+     ("table_name", "STRING")),
+    partition=("stream_id", "epoch", "table_name"),
+)
+
 WAREHOUSE = (PRODUCTS, ORDERS, ORDER_LINES, CUSTOMERS, COMPANIES, INDUSTRIES, FLUCTUATIONS)
 
+#: Tells a document that only goes on with the lines of a long order from the order itself.
+FRAGMENT = "_orderpulse_fragment"
 # Columns of the raw inputs and of the documents.
 CUSTOMERS_CSV = (
     T.StructType().add("customer_id", "string").add("company_name", "string").add("specialized_industries", "string")
@@ -158,8 +168,8 @@ ORDER_DOCUMENT = (
         T.StructType().add("price", "double").add("product_id", "string").add("volume", "integer")))
     .add("amount", "double")
     .add("timestamp", "timestamp")
-    # Ours: a document that goes on with the lines of a long order has a number; others have none.
-    .add("fragment", "integer")
+    # Ours, under a name that no producer uses: a document that goes on with the lines of a long order has a number.
+    .add(FRAGMENT, "integer")
 )
 # Row contract of a message source: what a Kafka subscription returns and we read.
 MESSAGE = (

@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderpulse.functions.dates import date_parts
-from orderpulse.model import ORDER_DOCUMENT, ORDERS
-from orderpulse.operators.sizing import salted_join
+from orderpulse.functions.values import unfit
+from orderpulse.model import FRAGMENT, ORDER_DOCUMENT, ORDERS
+from orderpulse.operators.sizing import fits, salted_join
+from orderpulse.session import checkpointed
 
 MAX_LINES = 1_000
 
@@ -25,8 +27,9 @@ def parse_orders(messages: DataFrame, value: str = "value") -> DataFrame:
 
 
 def _complete() -> Column:
-    """Whether a document has what an order must have: an unreadable time would put it in a day that no query reads."""
-    return reduce(and_, [F.col(c).isNotNull() for c in ORDERS.required])
+    """Whether a document has what an order must have: an unreadable time would put it in a day that no query reads, and
+    an amount that can't be summed would be missing from the sums."""
+    return reduce(and_, [F.col(c).isNotNull() for c in ORDERS.required]) & ~unfit(F.col("amount"))
 
 
 def malformed(parsed: DataFrame) -> DataFrame:
@@ -35,7 +38,7 @@ def malformed(parsed: DataFrame) -> DataFrame:
 
 def order_rows(parsed: DataFrame) -> DataFrame:
     """One row per order; documents that only go on with an order's lines add none."""
-    return parsed.filter(_complete() & F.col("fragment").isNull()).select(
+    return parsed.filter(_complete() & F.col(FRAGMENT).isNull()).select(
         "order_id", "customer_id", "amount", "timestamp", *date_parts(F.col("timestamp")),
         F.to_date("timestamp").alias("order_date"),
     )
@@ -58,6 +61,28 @@ def order_line_rows(parsed: DataFrame) -> DataFrame:
     )
 
 
+def without_orphans(parsed: DataFrame, stored: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """`parsed` without fragments whose order is unknown, and these (None if there are none): they belong with the rejects.
+
+    An order is known if it is among `parsed` or in `stored` on the fragment's day. Most batches have no fragments,
+    and cost one look at `parsed`, which should be cheap to read again.
+    """
+    fragments = parsed.filter(_complete() & F.col(FRAGMENT).isNotNull())
+    if fragments.isEmpty():
+        return parsed, None
+    known = order_rows(parsed).select("order_id")
+    if stored is not None:
+        day = F.to_date("timestamp")
+        first, last = fragments.agg(F.min(day), F.max(day)).first()
+        known = known.unionByName(stored.where(F.col("order_date").between(first, last)).select("order_id"))
+    lost = checkpointed(fragments.select("order_id").distinct().join(known, "order_id", "left_anti"))
+    if lost.isEmpty():
+        return parsed, None
+    marked = parsed.join((F.broadcast(lost) if fits(lost) else lost).withColumn("_lost", F.lit(True)), "order_id", "left")
+    orphan = _complete() & F.col(FRAGMENT).isNotNull() & F.coalesce("_lost", F.lit(False))
+    return marked.filter(~orphan).select(parsed.columns), marked.filter(orphan).select(parsed.columns)
+
+
 def split_orders(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return order_rows(parsed), order_line_rows(parsed)
 
@@ -79,11 +104,11 @@ def nest_orders(orders: DataFrame, lines: DataFrame, max_lines: int = MAX_LINES)
     part = F.when(long, F.pmod(F.xxhash64("_at"), F.ceil(F.col("_lines") / max_lines)) + 1).cast("int")
     nested = (
         salted_join(placed, headers.filter(F.col("_lines").isNotNull()), "order_id", salt_by=F.col("_at"))
-        .groupBy("order_id", "customer_id", "amount", "timestamp", part.alias("fragment"))
+        .groupBy("order_id", "customer_id", "amount", "timestamp", part.alias(FRAGMENT))
         .agg(F.collect_list(F.struct("price", "product_id", "volume")).alias("order_lines"))
     )
     without = headers.filter(F.col("_lines").isNull() | long).withColumns({
-        "order_lines": F.array().cast(nested.schema["order_lines"].dataType), "fragment": F.lit(None).cast("int")})
+        "order_lines": F.array().cast(nested.schema["order_lines"].dataType), FRAGMENT: F.lit(None).cast("int")})
     fields = ORDER_DOCUMENT.fieldNames()
     return nested.select(fields).unionByName(without.select(fields))
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from orderpulse.model import TableSpec
 from orderpulse.operators.changelog import create_log, log_spec, refresh_view
+from orderpulse.operators.checks import spec_checks
 from orderpulse.operators.compaction import create_view
 
 #: Types that hold all values of another one, which files of the other are read as.
@@ -131,16 +132,9 @@ def schema_violations(raw: DataFrame, spec: TableSpec) -> DataFrame:
 
     One aggregation for all columns. A column missing from `raw` counts as NULL.
     """
-    present = set(raw.columns)
-    checks = []
-    for name, kind in spec.columns:
-        column = F.col(f"`{name}`") if name in present else F.lit(None).cast("string")
-        if name in spec.required:
-            checks.append((name, "missing", column.isNull()))
-        if kind != "STRING":
-            checks.append((name, f"not {kind}", column.isNotNull() & column.try_cast(kind).isNull()))
-    counted = raw.agg(*[F.count_if(bad).alias(f"_{i}") for i, (_, _, bad) in enumerate(checks)])
+    checks = spec_checks(raw.columns, spec)
+    counted = raw.agg(*[F.count_if(c.bad).alias(f"_{i}") for i, c in enumerate(checks)])
     rows = F.array(*[
-        F.struct(F.lit(name).alias("column_name"), F.lit(problem).alias("problem"), F.col(f"_{i}").alias("n_rows"))
-        for i, (name, problem, _) in enumerate(checks)])
+        F.struct(F.lit(c.column).alias("column_name"), F.lit(c.problem).alias("problem"), F.col(f"_{i}").alias("n_rows"))
+        for i, c in enumerate(checks)])
     return counted.select(F.inline(rows)).filter("n_rows > 0")

@@ -9,12 +9,14 @@ import argparse
 import logging
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderpulse.functions.dates import in_days, parse_day, trailing_bounds
+from orderpulse.functions.values import unfit
 from orderpulse.model import COMPANIES, CUSTOMERS, FLUCTUATIONS, INDUSTRIES, ORDERS
 from orderpulse.operators.bridge import entity_dim
+from orderpulse.operators.checks import observed
 from orderpulse.operators.fluctuation import TOP_K, Facts, compare_day, fill_days, report, top_fluctuations
 from orderpulse.operators.maintained import MAINTAINED_TABLES, industry_days, refresh
 from orderpulse.operators.ranking import top_by
@@ -35,9 +37,14 @@ def dimension(spark: SparkSession, database: str) -> DataFrame:
 
 
 def compute(spark: SparkSession, database: str, as_of: date, k: int = TOP_K, zero_fill: bool = False,
-            keep_missing: bool = False) -> DataFrame:
-    return top_fluctuations(read_table(spark, database, ORDERS.read_name), dimension(spark, database), as_of, k=k,
-                            cols=WAREHOUSE_ORDERS, zero_fill=zero_fill, keep_missing=keep_missing)
+            keep_missing: bool = False, left_out: Observation | None = None) -> DataFrame:
+    """The day's ranking. `left_out` counts, as `n`, amounts of the days read that can't be summed."""
+    cols = WAREHOUSE_ORDERS
+    orders = read_table(spark, database, ORDERS.read_name).select(cols.member, cols.moment, cols.amount)
+    if left_out is not None:
+        days = in_days(F.col(cols.moment), trailing_bounds(as_of)[0], as_of)
+        orders = orders.where(days).observe(left_out, F.count_if(unfit(F.col(cols.amount), cols.money)).alias("n"))
+    return top_fluctuations(orders, dimension(spark, database), as_of, k=k, cols=cols, zero_fill=zero_fill, keep_missing=keep_missing)
 
 
 def compute_maintained(spark: SparkSession, database: str, as_of: date, k: int = TOP_K, zero_fill: bool = False,
@@ -56,13 +63,17 @@ def run(spark: SparkSession, database: str, root: str, as_of: date, k: int = TOP
         zero_fill: bool = False, keep_missing: bool = False) -> list[str]:
     """Compute once, store the day, return the report's lines (at most k)."""
     ensure_tables(spark, database, root, [FLUCTUATIONS, *(MAINTAINED_TABLES if maintained else ())])
-    top = (compute_maintained if maintained else compute)(spark, database, as_of, k, zero_fill, keep_missing).persist()
+    left_out = None if maintained else Observation()  # kept sums are of orders that were checked when they were stored
+    how = {} if maintained else {"left_out": left_out}
+    top = (compute_maintained if maintained else compute)(spark, database, as_of, k, zero_fill, keep_missing, **how).persist()
     try:
         # At most k rows; computed before the stored day is touched.
         lines = [row.line for row in report(top).orderBy("rank").collect()]
         overwrite_partition(top, FLUCTUATIONS, database, {"aggregation_date": as_of})
     finally:
         top.unpersist()
+    if left_out is not None and (n := observed(left_out).get("n")):
+        logger.warning("%d amounts are too large, too small or no numbers, and not in the sums", n)
     for line in lines:
         logger.info(line)
     return lines

@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 from orderpulse import model
 from orderpulse.operators.bridge import build_bridge
 from orderpulse.operators.changelog import replace_table
-from orderpulse.operators.documents import malformed, order_line_rows, order_rows
+from orderpulse.operators.checks import Counted, required_checks, spec_checks
+from orderpulse.operators.documents import malformed, order_line_rows, order_rows, without_orphans
 from orderpulse.operators.sinks import append_by_position, overwrite_partition, staged
 from orderpulse.operators.tables import ensure_tables
 from orderpulse.session import build_session
@@ -51,9 +52,11 @@ def load_orders(df: DataFrame, to: Target) -> None:
     """The text is parsed once; the tables then read only the columns they need."""
     fields = F.struct(*model.ORDER_DOCUMENT.fieldNames())
     with staged(df, to.database, "documents") as documents:
-        overwrite_partition(order_rows(documents), model.ORDERS, to.database, INITIAL)
-        overwrite_partition(order_line_rows(documents), model.ORDER_LINES, to.database, INITIAL)
-        rejects = malformed(documents).select(F.coalesce("_corrupt_record", F.to_json(fields)).alias("value"))
+        usable, orphans = without_orphans(documents)
+        overwrite_partition(order_rows(usable), model.ORDERS, to.database, INITIAL)
+        overwrite_partition(order_line_rows(usable), model.ORDER_LINES, to.database, INITIAL)
+        rejects = malformed(usable) if orphans is None else malformed(usable).unionByName(orphans)
+        rejects = rejects.select(F.coalesce("_corrupt_record", F.to_json(fields)).alias("value"))
         overwrite_partition(rejects, model.ORDER_REJECTS, to.database, INITIAL)
 
 
@@ -78,11 +81,31 @@ def standard_sources(base: str) -> list[SourceSpec]:
     ]
 
 
+def read_counted(spark: SparkSession, source: SourceSpec) -> Counted:
+    """The rows of a source, with what is wrong with them to be counted when they are first written.
+
+    CSV is read as text and then cast, as a value that the reader can't parse would be NULL without a trace.
+    """
+    if source.format != "csv":
+        return Counted(READERS[source.format](spark, source.path, source.schema), required_checks(model.ORDERS, "amount"))
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in source.schema])
+    raw = READERS["csv"](spark, source.path, text)
+    required = tuple(n for n in source.tables[0].required if n in source.schema.names)
+    spec = model.TableSpec(source.tables[0].name, tuple((f.name, f.dataType.simpleString().upper()) for f in source.schema), required=required)
+    counted = Counted(raw, spec_checks(raw.columns, spec))
+    counted.rows = counted.rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in source.schema])
+    return counted
+
+
 def load_all(spark: SparkSession, sources: list[SourceSpec], to: Target, full_refresh: bool = True) -> None:
-    """Load each source into its tables. Appends only add up if the tables are not refreshed."""
+    """Load each source into its tables, and what is wrong with it into LOAD_CHECKS. Appends only add up if the tables are
+    not refreshed."""
+    ensure_tables(spark, to.database, to.root, [model.LOAD_CHECKS])
     for source in sources:
         ensure_tables(spark, to.database, to.root, source.tables, full_refresh)
-        source.load(READERS[source.format](spark, source.path, source.schema), to)
+        counted = read_counted(spark, source)
+        source.load(counted.rows, to)
+        counted.store(spark, to.database, source.tables[0].read_name, INITIAL["stream_id"], INITIAL["epoch"])
 
 
 def main() -> None:

@@ -5,22 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from orderpulse.model import ORDER_LINES, ORDER_REJECTS, ORDERS
-from orderpulse.operators.documents import malformed, order_line_rows, order_rows, parse_orders
+from orderpulse.model import LOAD_CHECKS, ORDER_LINES, ORDER_REJECTS, ORDERS
+from orderpulse.operators.checks import Counted, required_checks
+from orderpulse.operators.documents import malformed, order_line_rows, order_rows, parse_orders, without_orphans
 from orderpulse.operators.sinks import overwrite_partition, store_raw
 
-STREAM_TABLES = (ORDERS, ORDER_LINES, ORDER_REJECTS)
+STREAM_TABLES = (ORDERS, ORDER_LINES, ORDER_REJECTS, LOAD_CHECKS)
 
 
 def store_silver(batch: DataFrame, epoch: int, database: str, stream_id: str) -> None:
     """Write one epoch to both tables; running it again replaces what it wrote before."""
-    parsed = parse_orders(batch).persist()
+    spark, parsed = batch.sparkSession, parse_orders(batch).persist()
     try:
         written_by = {"stream_id": stream_id, "epoch": epoch}
-        overwrite_partition(order_rows(parsed), ORDERS, database, written_by)
-        overwrite_partition(order_line_rows(parsed), ORDER_LINES, database, written_by)
-        rejects = malformed(parsed).selectExpr("raw AS value")
-        overwrite_partition(rejects, ORDER_REJECTS, database, written_by)
+        usable, orphans = without_orphans(parsed, spark.table(f"`{database}`.`{ORDERS.name}`"))
+        # The first write reads every message, so that it counts what is wrong with them.
+        counted = Counted(usable, required_checks(ORDERS, "amount"))
+        overwrite_partition(order_rows(counted.rows), ORDERS, database, written_by)
+        overwrite_partition(order_line_rows(usable), ORDER_LINES, database, written_by)
+        counted.store(spark, database, ORDERS.read_name, stream_id, epoch)
+        rejects = malformed(usable) if orphans is None else malformed(usable).unionByName(orphans)
+        # Last: an epoch whose rejects are stored, if only as an empty partition, is stored whole.
+        overwrite_partition(rejects.selectExpr("raw AS value"), ORDER_REJECTS, database, written_by)
     finally:
         parsed.unpersist()
 

@@ -1,10 +1,12 @@
 import json
+from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
-from orderpulse.model import ORDER_DOCUMENT, TableSpec
+from orderpulse.model import FRAGMENT, ORDER_DOCUMENT, TableSpec
 from orderpulse.operators.documents import (lines_without_order, malformed, nest_orders, order_line_rows, order_rows,
-                                            parse_orders, split_orders)
+                                            parse_orders, split_orders, without_orphans)
 from orderpulse.operators.tables import schema_violations
 from orderpulse.sources.batch import read_csv, read_json_lines
 from orderpulse.model import CUSTOMERS_CSV
@@ -80,6 +82,36 @@ def test_lines_without_order_are_told(spark):
     assert rows(lines_without_order(orders, lines.unionByName(stray)).select("order_id")) == [("9",)]
 
 
+def test_a_producers_own_fragment_field_is_nothing_special(spark):
+    parsed = parse_orders(messages(spark, json.dumps({**DOCUMENT, "fragment": 1}))).cache()
+    assert rows(order_rows(parsed).select("order_id")) == [("o1",)] and order_line_rows(parsed).count() == 2
+
+
+def test_fragments_of_unknown_orders_are_told(spark):
+    part = {**DOCUMENT, "order_id": "o2", FRAGMENT: 1}
+    known = {**DOCUMENT, "order_id": "o3", FRAGMENT: 2}
+    stored_part = {**DOCUMENT, "order_id": "o4", FRAGMENT: 1}
+    header = {**DOCUMENT, "order_id": "o3", "order_lines": []}
+    parsed = parse_orders(messages(spark, *map(json.dumps, (DOCUMENT, part, part, known, header, stored_part)), "junk")).cache()
+    stored = spark.createDataFrame([("o4", date(2024, 2, 29)), ("o2", date(2024, 1, 1))], "order_id string, order_date date")
+    usable, orphans = without_orphans(parsed, stored)
+    assert rows(orphans.select("order_id")) == [("o2",), ("o2",)] and orphans.columns == parsed.columns
+    assert usable.count() == 5 and rows(malformed(usable).select("raw")) == [("junk",)]
+    assert rows(order_rows(usable).select("order_id")) == [("o1",), ("o3",)]
+    assert rows(order_line_rows(usable).select("order_id").distinct()) == [("o1",), ("o3",), ("o4",)]
+    for some in (parse_orders(messages(spark, json.dumps(DOCUMENT))), parse_orders(messages(spark, json.dumps(known), json.dumps(header)))):
+        same, none = without_orphans(some)
+        assert same is some and none is None
+
+
+@pytest.mark.parametrize("amount, fits", [(12.5, True), (0, True), (-0.000001, True), (4e-7, False), (1e22, False), (-1e23, False),
+                                          ("NaN", False), ("Infinity", False), (None, True), (9.9e21, True)])
+def test_amounts_that_sums_would_lose_are_rejected(spark, amount, fits):
+    text = json.dumps({**DOCUMENT, "amount": amount}).replace('"NaN"', "NaN").replace('"Infinity"', "Infinity")
+    parsed = parse_orders(messages(spark, text)).cache()
+    assert (order_rows(parsed).count(), malformed(parsed).count()) == ((1, 0) if fits else (0, 1))
+
+
 def test_orders_without_time_or_customer_are_rejected(spark):
     no_time = json.dumps({**DOCUMENT, "order_id": "o4", "timestamp": "soon"})
     no_customer = json.dumps({**DOCUMENT, "order_id": "o5", "customer_id": None})
