@@ -137,9 +137,10 @@ MEMBER_INDUSTRIES = TableSpec(
 REFRESHES = TableSpec("refreshes", (("stream_id", "STRING"), ("epoch", "BIGINT"), ("refresh", "BIGINT")), ("refresh",))
 # Messages that hold no order document.
 ORDER_REJECTS = TableSpec(
-    "order_rejects",
+    "order_rejects_stored",
     (("value", "STRING"), ("stream_id", "STRING"), ("epoch", "BIGINT")),
     partition=("stream_id", "epoch"),
+    view=("order_rejects", ("value", "stream_id", "epoch")),
 )
 
 # Violations that loads and streams counted, by what wrote them.

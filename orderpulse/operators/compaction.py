@@ -1,4 +1,4 @@
-"""Fold the partitions of closed epochs into one for each day, while readers and the stream go on."""
+"""Fold the partitions of closed epochs into one (for each day, where the table has days), while readers and the stream go on."""
 
 from __future__ import annotations
 
@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderpulse.model import TableSpec
-from orderpulse.operators.sinks import by_partition, sql_literal, view_properties
+from orderpulse.operators.sinks import by_partition, partitions, sql_literal, view_properties
+
+#: How the catalog names a partition of NULL.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 #: Properties of the view, by stream: the last folded epoch, and when it was folded (nanoseconds).
 _FOLDED, _MOMENT = "orderpulse.folded.", "orderpulse.folded_at."
@@ -48,28 +51,27 @@ def _stored(spark: SparkSession, spec: TableSpec, database: str, stream: str) ->
 
 
 def _drop(spark: SparkSession, spec: TableSpec, database: str, stream: str, first: int, last: int) -> None:
-    """Drop the partitions of some epochs of a stream. What is listed is names, one for each partition."""
-    rows = _stored(spark, spec, database, stream).where(F.col("epoch").between(first, last))
-    keys = rows.select("epoch", F.col("order_date").cast("string").alias("day")).distinct().collect()
-    name = f"`{database}`.`{spec.name}`"
-    for at in range(0, len(keys), 500):
-        parts = ", ".join(
-            f"PARTITION (stream_id = {sql_literal(stream, 'STRING')}, epoch = {r.epoch}, order_date = "
-            + ("NULL" if r.day is None else sql_literal(r.day, "DATE")) + ")" for r in keys[at:at + 500])
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
+    """Drop the partitions of some epochs of a stream, found by name."""
+    types, found = dict(spec.columns), []
+    for part in partitions(spark, database, spec.name):
+        if part["stream_id"] == stream and first <= int(part["epoch"]) <= last:
+            named = ", ".join(f"`{c}` = " + ("NULL" if v == NO_VALUE else sql_literal(v, types[c])) for c, v in part.items())
+            found.append(f"PARTITION ({named})")
+    for at in range(0, len(found), 500):
+        spark.sql(f"ALTER TABLE `{database}`.`{spec.name}` DROP IF EXISTS {', '.join(found[at:at + 500])}")
 
 
 def last_closed(spark: SparkSession, spec: TableSpec, database: str, stream: str) -> int:
     """The epoch before the last one stored, which a restart could still replay; -1 if there is none."""
-    last = _stored(spark, spec, database, stream).agg(F.max("epoch")).first()[0]
-    return -1 if last is None else max(-1, last - 1)
+    epochs = [int(part["epoch"]) for part in partitions(spark, database, spec.name) if part["stream_id"] == stream]
+    return max([-1, *(epoch - 1 for epoch in epochs)])
 
 
 def fold_epochs(spark: SparkSession, spec: TableSpec, database: str, stream: str, through: int,
                 min_age: timedelta = timedelta(hours=1)) -> None:
     """Fold the epochs of `stream` up to `through`, which must be closed: the stream never writes them again.
 
-    Epochs since the last fold are written once more, a partition for each day; the switch of the view is the
+    Epochs since the last fold are written once more, a partition for each further partition column; the switch of the view is the
     commit. A failure before that leaves the table as it was, and a repeat clears what it left. What was folded
     `min_age` ago or earlier is dropped at the next call; give it the time of the longest query over the table.
     """
@@ -84,5 +86,5 @@ def fold_epochs(spark: SparkSession, spec: TableSpec, database: str, stream: str
     _drop(spark, spec, database, stream, -(1 << 62), -(done + 2))
     rows = _stored(spark, spec, database, stream).where(F.col("epoch").between(done + 1, through)).withColumn(
         "epoch", F.lit(-(through + 1)).cast("long"))
-    by_partition(spec.conform(rows), ["order_date"]).write.insertInto(f"`{database}`.`{spec.name}`")
+    by_partition(spec.conform(rows), list(spec.partition[2:])).write.insertInto(f"`{database}`.`{spec.name}`")
     create_view(spark, spec, database, {_FOLDED + stream: str(through), _MOMENT + stream: str(time.time_ns())})

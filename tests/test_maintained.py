@@ -108,7 +108,7 @@ def test_a_refresh_that_failed_is_not_seen_and_written_again(spark, warehouse, m
 def test_an_epoch_counts_once_it_is_whole(spark, warehouse):
     to = warehouse
     store_orders(spark, to, "s", 0, [("c1", DAY, 5.0)])
-    spark.sql(f"ALTER TABLE {to.database}.order_rejects DROP PARTITION (stream_id = 's', epoch = 0)")
+    spark.sql(f"ALTER TABLE {to.database}.order_rejects_stored DROP PARTITION (stream_id = 's', epoch = 0)")
     assert maintained.stored_epochs(spark, to.database, {}) == {}
     store_orders(spark, to, "s", 0, [("c1", DAY, 5.0)])
     assert maintained.stored_epochs(spark, to.database, {"t": 4}) == {"s": 0, "t": 4}

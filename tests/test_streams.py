@@ -12,8 +12,9 @@ from orderpulse import model
 from orderpulse.operators import changelog
 from orderpulse.operators.changelog import append_changes, fold_log, log_spec, replace_table, versions
 from orderpulse.operators.compaction import fold_epochs, last_closed
-from orderpulse.operators.sinks import read_raw
+from orderpulse.operators.sinks import partitions, read_raw
 from orderpulse.operators.tables import ensure_tables
+from orderpulse.plans import compact_orders
 from orderpulse.sources.batch import read_table
 from orderpulse.sources.stream import customer_files, file_messages, kafka_messages
 from orderpulse.streaming.customers import run_customer_stream, store_customers
@@ -278,6 +279,25 @@ def test_closed_epochs_fold_into_days(spark, target):
     assert seen() == expected
 
 
+def test_rejects_fold_too(spark, target, monkeypatch):
+    to = target(*STREAM_TABLES)
+    for epoch in range(5):
+        store_silver(messages(spark, ("a", "2024-01-01", 1), junk=[f"junk {epoch}"] if epoch % 2 else ()), epoch, to.database, "s")
+    monkeypatch.setattr(compact_orders, "build_session", lambda name: spark)
+    monkeypatch.setattr("sys.argv", ["job", "--stream_id", "s", "--database", to.database, "--min_age_hours", "0"])
+    for _ in range(2):
+        compact_orders.main()
+        assert rows(read_table(spark, to.database, "order_rejects").select("value")) == [("junk 1",), ("junk 3",)]
+        assert read_table(spark, to.database, "orders").count() == read_table(spark, to.database, "order_lines").count() == 5
+    left = [int(p["epoch"]) for p in partitions(spark, to.database, model.ORDER_REJECTS.name)]
+    assert sorted(left) == [-4, 4]
+    # Where sums are kept, what they have not read yet is not folded.
+    ensure_tables(spark, to.database, to.root, [model.REFRESHES])
+    store_silver(messages(spark, junk=["junk 5"]), 5, to.database, "s")
+    compact_orders.main()
+    assert sorted(int(p["epoch"]) for p in partitions(spark, to.database, model.ORDER_REJECTS.name)) == [-4, 4, 5]
+
+
 def test_daily_totals_have_open_days_and_late_rows(spark, tmp_path):
     def deliver(*data):
         spark.createDataFrame(data, "e string, ts string, v double").withColumn("ts", F.to_timestamp("ts")).coalesce(1).write.mode(
