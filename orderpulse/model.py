@@ -27,6 +27,9 @@ class TableSpec:
     # and the column whose change makes a row new, or the columns that are distinct. Formats with MERGE need no log.
     upsert: tuple[str, str] | None = None
     union: tuple[str, ...] = ()
+    # Rows of one value of this column lie in one of so many buckets, sorted: joins on it leave the table where it is. The
+    # count is the stored table's; another one here holds for tables that are made later.
+    clustered: tuple[str, int] | None = None
     # What readers see instead of the stored columns, and under which name.
     view: tuple[str, tuple[str, ...]] | None = None
 
@@ -59,6 +62,9 @@ class TableSpec:
         sql = f"CREATE TABLE IF NOT EXISTS `{database}`.`{self.name}` (\n  {columns}\n) USING {self.format}"
         if self.partition:
             sql += "\nPARTITIONED BY (" + ", ".join(f"`{p}`" for p in self.partition) + ")"
+        if self.clustered:
+            column, buckets = self.clustered
+            sql += f"\nCLUSTERED BY (`{column}`) SORTED BY (`{column}`) INTO {buckets} BUCKETS"
         return sql
 
     def conform(self, df: DataFrame) -> DataFrame:
@@ -129,11 +135,13 @@ ENTITY_DAYS = TableSpec(
 )
 # Daily sums that are kept up to date, by refresh: sums add up over refreshes and may be negative in one.
 _SUMS = (("total", MONEY_SUM), ("n_rows", "BIGINT"), ("n_values", "BIGINT"), ("refresh", "BIGINT"))
-MEMBER_DAYS = TableSpec("member_days", (("customer_id", "STRING"), ("date", "DATE"), *_SUMS), ("refresh",), ("customer_id", "date"))
+_BY_MEMBER = ("customer_id", 16)
+MEMBER_DAYS = TableSpec("member_days", (("customer_id", "STRING"), ("date", "DATE"), *_SUMS), ("refresh",), ("customer_id", "date"),
+                        clustered=_BY_MEMBER)
 INDUSTRY_DAYS = TableSpec("industry_days", (("industry", "STRING"), ("date", "DATE"), *_SUMS), ("refresh",), ("industry", "date"))
 MEMBER_INDUSTRIES = TableSpec(
     "member_industries", (("customer_id", "STRING"), ("industry", "STRING"), ("refresh", "BIGINT")), ("refresh",),
-    ("customer_id", "industry"))
+    ("customer_id", "industry"), clustered=_BY_MEMBER)
 REFRESHES = TableSpec("refreshes", (("stream_id", "STRING"), ("epoch", "BIGINT"), ("refresh", "BIGINT")), ("refresh",))
 # Messages that hold no order document.
 ORDER_REJECTS = TableSpec(

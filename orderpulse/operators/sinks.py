@@ -15,7 +15,9 @@ from orderpulse.model import TableSpec
 
 def append_by_position(df: DataFrame, spec: TableSpec, database: str) -> None:
     rows = spec.conform(df)
-    if spec.partition:
+    if spec.clustered:
+        rows = rows.repartition(spec.clustered[1], spec.clustered[0])
+    elif spec.partition:
         rows = by_partition(rows, list(spec.partition))
     rows.write.mode("append").insertInto(f"{database}.{spec.name}")
 
@@ -47,7 +49,9 @@ def overwrite_partition(df: DataFrame, spec: TableSpec, database: str, values: d
     types = dict(spec.columns)
     clause = ", ".join([f"`{c}` = {sql_literal(values[c], types[c])}" for c in assigned] + [f"`{c}`" for c in dynamic])
     rows = spec.conform(df.withColumns({c: F.lit(v).cast(types[c]) for c, v in values.items()})).drop(*assigned)
-    if dynamic:
+    if spec.clustered:
+        rows = rows.repartition(spec.clustered[1], spec.clustered[0])  # as the buckets are dealt: a task writes one file
+    elif dynamic:
         rows = by_partition(rows, dynamic)
     # Static: all that the clause names is cleared. A replayed epoch with fewer days would else leave its earlier days behind.
     _overwrite(rows, spec, database, "static", f"PARTITION ({clause})")

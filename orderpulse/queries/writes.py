@@ -61,6 +61,30 @@ def ddl_create_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, to.database, "products").drop("ingest_date")
 
 
+PLACED_ORDERS = model.TableSpec("placed_orders", (("customer", "BIGINT"), ("amount", "DOUBLE")), clustered=("customer", 8))
+PLACED_CUSTOMERS = model.TableSpec("placed_customers", (("customer", "BIGINT"), ("segment", "STRING")), clustered=("customer", 8))
+
+
+def placed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their customer's segment, from tables that are stored by customer; neither side is moved."""
+    to = new_database(spark, [PLACED_ORDERS, PLACED_CUSTOMERS])
+    sinks.append_by_position(load(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("customer"), F.col("o_totalprice").alias("amount")), PLACED_ORDERS, to.database)
+    sinks.append_by_position(load(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("customer"), F.col("c_mktsegment").alias("segment")), PLACED_CUSTOMERS, to.database)
+    orders, customers = (read_table(spark, to.database, t.name) for t in (PLACED_ORDERS, PLACED_CUSTOMERS))
+    return orders.hint("merge").join(customers, "customer")
+
+
+@query("""
+SELECT c_mktsegment AS segment, count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL
+""")
+def join_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return placed_join(spark, sf_dir).groupBy("segment").agg(
+        F.count(F.lit(1)).alias("n_orders"), F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("total"))
+
+
 SIZES_BEFORE = model.TableSpec("sizes", (("product_id", "STRING"), ("size", "INT"), ("ingest_date", "DATE")), ("ingest_date",),
                                ("product_id",))
 SIZES_NOW = model.TableSpec("sizes", (("product_id", "STRING"), ("size", "BIGINT"), ("brand", "STRING"), ("ingest_date", "DATE")),

@@ -103,3 +103,30 @@ def test_upsert_with_a_small_batch_does_not_shuffle_the_target(spark, no_broadca
     text = plan(merge_upsert(target, batch, "id", "name"))
     first_branch = text[:text.index("LeftAnti")]
     assert "LeftOuter" in first_branch and "SortMergeJoin" not in text
+
+
+def test_tables_stored_by_their_join_key_stay_where_they_are(spark, no_broadcast):
+    from orderpulse.queries.writes import placed_join
+    text = plan(placed_join(spark, SF_DIR))
+    assert "SortMergeJoin" in text and "Exchange" not in text and text.count("Bucketed: true") == 2
+
+
+def test_kept_sums_are_not_moved_to_meet_a_dimension(spark, target, no_broadcast, monkeypatch):
+    """Beyond the broadcast size too: the few pairs are sent to the buckets, over all refreshes."""
+    from orderpulse import model
+    from orderpulse.operators import maintained
+    from orderpulse.operators.sinks import overwrite_partition
+    monkeypatch.setattr(maintained, "fits", lambda df: False)
+    to = target(model.MEMBER_DAYS)
+    for n in (1, 2):
+        rows = spark.range(100).selectExpr("CAST(id AS STRING) AS customer_id", "DATE'2024-01-01' AS date", "1 AS total", "1 AS n_rows", "1 AS n_values")
+        overwrite_partition(rows, model.MEMBER_DAYS, to.database, {"refresh": n})
+    days = spark.table(f"{to.database}.member_days")
+    pairs = spark.range(50).selectExpr("CAST(id AS STRING) AS customer_id", "'x' AS industry")
+    joined = maintained._meet(days.where("refresh <= 2"), pairs)
+    assert joined.count() == 100
+    text = plan(joined)
+    stored = text[text.index("SortMergeJoin"):text.index("Range")]
+    assert "Bucketed: true" in text and text.count("Exchange hashpartitioning") == 1
+    assert "Exchange" not in stored.split("FileScan")[0]
+    assert len(days.where("refresh = 1").inputFiles()) <= model.MEMBER_DAYS.clustered[1]
