@@ -151,6 +151,13 @@ ORDER_REJECTS = TableSpec(
     view=("order_rejects", ("value", "stream_id", "epoch")),
 )
 
+# Files that a stream took, by what is in them.
+DELIVERIES = TableSpec(
+    "deliveries",
+    (("file", "STRING"), ("n_rows", "BIGINT"), ("print_1", "DECIMAL(38,0)"), ("print_2", "DECIMAL(38,0)"), ("stream_id", "STRING"),
+     ("epoch", "BIGINT")),
+    partition=("stream_id", "epoch"),
+)
 # Violations that loads and streams counted, by what wrote them.
 LOAD_CHECKS = TableSpec(
     "load_checks",

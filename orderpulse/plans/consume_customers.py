@@ -7,11 +7,10 @@ from __future__ import annotations
 
 import argparse
 
-from orderpulse.model import COMPANIES, CUSTOMERS
 from orderpulse.operators.tables import ensure_tables
 from orderpulse.session import build_session
 from orderpulse.sources.stream import customer_files
-from orderpulse.streaming.customers import run_customer_stream
+from orderpulse.streaming.customers import STREAM_TABLES, run_customer_stream
 
 
 def main() -> None:
@@ -19,12 +18,14 @@ def main() -> None:
     parser.add_argument("--root", required=True)
     parser.add_argument("--checkpoint", required=True)
     parser.add_argument("--folder", required=True)
+    parser.add_argument("--archive", help="folder that files move to when they are done with, outside --folder")
+    parser.add_argument("--max_per_trigger", type=int, help="most files per epoch")
     parser.add_argument("--interval", default="60 seconds")
     parser.add_argument("--database", default="orderpulse")
     args = parser.parse_args()
     spark = build_session("consume_customers")
-    ensure_tables(spark, args.database, args.root, [CUSTOMERS, COMPANIES])
-    run_customer_stream(customer_files(spark, args.folder), args.database, args.checkpoint,
+    ensure_tables(spark, args.database, args.root, STREAM_TABLES)
+    run_customer_stream(customer_files(spark, args.folder, args.max_per_trigger, args.archive), args.database, args.checkpoint,
                         interval=args.interval).awaitTermination()
 
 

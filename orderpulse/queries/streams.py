@@ -27,7 +27,7 @@ from orderpulse.session import fresh_folder
 from orderpulse.sources.batch import read_table
 from orderpulse.sources.stream import customer_files, file_messages
 from orderpulse.streaming.customers import run_customer_stream, store_customers
-from orderpulse.streaming import fluctuations
+from orderpulse.streaming import customers, fluctuations
 from orderpulse.streaming.daily import read_daily_totals, run_daily_totals
 from orderpulse.streaming.orders import STREAM_TABLES, run_order_stream, store_silver
 
@@ -110,16 +110,16 @@ UNION ALL SELECT DISTINCT 'company', company_name, unnest(string_split(specializ
 """)
 def stream_customers_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers and bridge after a delivery of files reached existing customers."""
-    to = new_database(spark, [model.CUSTOMERS, model.COMPANIES])
+    to = new_database(spark, customers.STREAM_TABLES)
     replace_table(members(spark, sf_dir).withColumn("ingest_date", F.lit(TARGET_DAY)),
                   model.CUSTOMERS, to.database)
     run_customer_stream(customer_files(spark, delivery_csv(spark, sf_dir)), to.database,
                         fresh_folder(spark, "checkpoint"), ingest_date=INCOMING_DAY,
                         available_now=True).awaitTermination()
-    customers = read_table(spark, to.database, "customers").toDF("id", "value", "ingest_date")
+    stored = read_table(spark, to.database, "customers").toDF("id", "value", "ingest_date")
     companies = read_table(spark, to.database, "companies").select(*BRIDGE, "ingest_date").toDF(
         "id", "value", "ingest_date")
-    return customers.select(F.lit("customer").alias("kind"), "*").unionByName(
+    return stored.select(F.lit("customer").alias("kind"), "*").unionByName(
         companies.select(F.lit("company").alias("kind"), "*"))
 
 

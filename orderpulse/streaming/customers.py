@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from orderpulse.model import COMPANIES, CUSTOMERS, TableSpec
+from orderpulse.model import COMPANIES, CUSTOMERS, DELIVERIES, TableSpec
 from orderpulse.operators.bridge import build_bridge
 from orderpulse.operators.changelog import append_changes
+from orderpulse.operators.deliveries import FILE, new_deliveries
 from orderpulse.operators.upsert import merge_into, one_row_per_key
 from orderpulse.streaming.batches import stream_name
 
 
+STREAM_TABLES = (CUSTOMERS, COMPANIES, DELIVERIES)
+
+
 def store_customers(batch: DataFrame, database: str, ingest_date: date | None = None, stream: str | None = None,
                     epoch: int = 0, customers: TableSpec = CUSTOMERS) -> None:
     """Apply one batch at the cost of its own rows; nothing stored is read or rewritten. The whole bridge gets its date.
@@ -46,6 +50,8 @@ def run_customer_stream(files: DataFrame, database: str, checkpoint: str,
                         ingest_date: date | None = None, interval: str = "60 seconds",
                         available_now: bool = False) -> StreamingQuery:
     def store(batch: DataFrame, epoch: int) -> None:
+        if FILE in batch.columns:  # a file that came before, under whatever name, changes nothing
+            batch = new_deliveries(batch, database, stream_name(batch), epoch)
         store_customers(batch, database, ingest_date, stream_name(batch), epoch)
 
     writer = (

@@ -12,6 +12,7 @@ from orderpulse import model
 from orderpulse.operators import changelog
 from orderpulse.operators.changelog import append_changes, fold_log, log_spec, replace_table, versions
 from orderpulse.operators.compaction import fold_epochs, last_closed
+from orderpulse.operators.deliveries import new_deliveries
 from orderpulse.operators.sinks import partitions, read_raw
 from orderpulse.operators.tables import ensure_tables
 from orderpulse.plans import compact_orders
@@ -19,7 +20,7 @@ from orderpulse.sources.batch import read_table
 from orderpulse.sources.stream import customer_files, file_messages, kafka_messages
 from orderpulse.streaming.customers import run_customer_stream, store_customers
 from orderpulse.operators.fluctuation import compare_day, rank_days
-from orderpulse.streaming import fluctuations
+from orderpulse.streaming import customers, fluctuations
 from orderpulse.streaming.daily import read_daily_totals, run_daily_totals
 from orderpulse.streaming.orders import STREAM_TABLES, run_order_stream, store_silver
 from tests.conftest import rows
@@ -108,7 +109,7 @@ def test_many_small_batches_equal_one(spark, target, tmp_path):
 
 
 def test_customer_stream(spark, target, tmp_path):
-    to = target(model.CUSTOMERS, model.COMPANIES)
+    to = target(*customers.STREAM_TABLES)
     replace_table(spark.createDataFrame([("1", "A", D0), ("2", "B", D0), ("3", None, D0)], model.CUSTOMERS.schema),
                   model.CUSTOMERS, to.database)
     replace_table(spark.createDataFrame([("A", "x", D0)], model.COMPANIES.schema), model.COMPANIES, to.database)
@@ -126,11 +127,60 @@ def test_customer_stream(spark, target, tmp_path):
     assert go() == (expected, [("A", "x", D1), ("B2", "y", D1), ("B2", "z", D1)])
     (folder / "b.csv").write_text(header)
     (folder / "c.csv").write_text(header + "1,A,x;w\n")
-    customers, companies = go()
-    assert customers == expected
+    stored, companies = go()
+    assert stored == expected
     assert [c[:2] for c in companies] == [("A", "w"), ("A", "x"), ("B2", "y"), ("B2", "z")]
 
 
+def test_a_file_that_comes_again_changes_nothing(spark, target, tmp_path):
+    to, folder, archive = target(*customers.STREAM_TABLES), tmp_path / "in", tmp_path / "done"
+    folder.mkdir()
+    header = "customer_id,company_name,specialized_industries\n"
+
+    def go(day):
+        run_customer_stream(customer_files(spark, str(folder), 1, str(archive)), to.database, str(tmp_path / "checkpoint"),
+                            ingest_date=day, available_now=True).awaitTermination()
+        return [rows(read_table(spark, to.database, t)) for t in ("customers", "companies")]
+
+    (folder / "a.csv").write_text(header + "1,A,x;y\n,B,z\n2,C,\n")
+    first = go(D0)
+    assert first == [[(None, "B", D0), ("1", "A", D0), ("2", "C", D0)], [("A", "x", D0), ("A", "y", D0), ("B", "z", D0)]]
+    (folder / "again.csv").write_text(header + "1,A,x;y\n,B,z\n2,C,\n")
+    (folder / "other order.csv").write_text(header + "2,C,\n,B,z\n1,A,x;y\n")
+    assert go(D1) == first
+    (folder / "longer.csv").write_text(header + "1,A,x;y\n,B,z\n2,C,\n2,C,\n")  # not the same rows
+    go(D1)
+    (folder / "new.csv").write_text(header + "1,A2,x\n")
+    customers_now, companies_now = go(D1)
+    assert customers_now == [(None, "B", D0), (None, "B", D1), ("1", "A2", D1), ("2", "C", D0)] and ("A2", "x", D1) in companies_now
+    assert {p.name for p in archive.rglob("*.csv")} >= {"again.csv"}
+    assert len(rows(spark.table(f"{to.database}.deliveries"))) == 3
+
+
+def test_equal_files_of_one_batch_count_once(spark, target):
+    to = target(model.DELIVERIES)
+    batch = spark.createDataFrame([("f1", "1", "A"), ("f1", None, "B"), ("f2", None, "B"), ("f2", "1", "A"), ("f3", "1", "A")],
+                                  "_file string, customer_id string, company_name string")
+    for epoch in (0, 0):
+        assert rows(new_deliveries(batch, to.database, "s", epoch)) == [(None, "B"), ("1", "A"), ("1", "A")]
+    assert new_deliveries(batch, to.database, "s", 1).count() == new_deliveries(batch, to.database, "t", 0).count() == 0
+    assert new_deliveries(batch.limit(0), to.database, "s", 2).count() == 0
+
+
+def test_a_folder_of_many_files_is_listed_once(spark, tmp_path):
+    """Batches take files from the first listing, and only the last one looks for more."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for n in range(300):
+        (folder / f"{n}.csv").write_text(f"customer_id,company_name,specialized_industries\n{n},A,\n")
+    stream = customer_files(spark, str(folder), 30).writeStream.foreachBatch(lambda batch, epoch: batch.count()).option(
+        "checkpointLocation", str(tmp_path / "checkpoint")).trigger(processingTime="0 seconds").start()
+    stream.processAllAvailable()
+    waits = [p["durationMs"].get("latestOffset", 0) for p in stream.recentProgress if p["numInputRows"]]
+    stream.stop()
+    assert len(waits) == 10 and sum(waits[1:]) / 9 < waits[0] + 50
+
+
 CUSTOMER_ROWS = "customer_id string, company_name string, specialized_industries string"
 
 
