@@ -249,7 +249,11 @@ def decode_column(docs: DataFrame, ranks_path: str, ids: str = "token_ids", out:
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", out: str = "token_ids",
                decoded: str = "decoded") -> DataFrame:
-    """`docs` with both columns, encoded and decoded again in one pass: a task then needs one Python worker, not two."""
+    """`docs` with both columns, encoded and decoded again in one pass: a task then needs one Python worker, not two.
+
+    A null or empty text has no ids and empty bytes. Rows are independent of each other, repeated ones too, and other columns
+    stay, save those called as the new ones. An empty table stays empty.
+    """
     short_batches(docs.sparkSession)
     shared, name = share_ranks(docs.sparkSession, ranks_path)
 

@@ -160,7 +160,8 @@ def locate_turns(conversations: DataFrame, template: Template = INSTRUCTIONS, co
     `text_start`, `text_stop` count characters of that string. `rewrites`: rendering this turn changed output of
     earlier turns, so spans told before are void from `start` on. `verbatim`: the text stands in the output, escaped
     at most; without it the text's span is null. Null roles and texts are empty. Turns go by `turn` (null first),
-    then role and text; repeated rows are turns of their own; rows without conv_id form one conversation.
+    then role and text; repeated rows are turns of their own; rows without conv_id form one conversation. Conversation
+    ids and turns are whole numbers. An empty table gives no rows; other columns are not looked at.
 
     Conversations are spread by id and stream through their task, sorted by Spark: with a local template a worker holds a
     window of turns and never a conversation, however long; with any other it holds and renders a conversation whole.
@@ -201,7 +202,7 @@ def digest_conversations(located: DataFrame, template: Template = INSTRUCTIONS,
 
     The turns are read back from the pieces; the loss mask is the span of each text of `role`, and what stands under it
     is unescaped. Hashes run along the stream of pieces, so nothing grows with a conversation. `located` must come
-    straight from `locate_turns`: its rows are not dealt out again.
+    straight from `locate_turns`: its rows are not dealt out again. No turns give no rows.
     """
     def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, row, turns, loss = object(), None, None, None

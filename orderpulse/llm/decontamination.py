@@ -107,7 +107,10 @@ def leaked_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
 
 
 def drop_leaking(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """`docs`, same columns, without the documents that hold an item."""
+    """`docs`, same columns, without the documents that hold an item; of rows that repeat an id, those whose text holds one.
+
+    Null and empty texts hold none. Without items, or with an empty table, `docs` stays as it is.
+    """
     one, two = unused(docs, "__id"), unused(docs, "__hash")
     gone = kept(leaked_items(docs, items, key, text, **how).select(
         F.col("doc_id").alias(one), F.col("text_hash").alias(two)).distinct())

@@ -45,12 +45,17 @@ def dedup_decisions(docs: DataFrame, key: str = "doc_id", text: str = "text", **
 def drop_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **limits) -> DataFrame:
     """`docs` with one row of each text, the one with the largest id; same columns, whatever they are called.
 
-    Ties of the id go to the largest other columns, so rows that repeat entirely leave one. Copies of a text
-    meet on the map side first: a task passes on one row of each text.
+    Ties of the id go to the largest other columns, so rows that repeat entirely leave one; columns without an order (maps)
+    decide nothing. Copies of a text meet on the map side first: a task passes on one row of each text. A null text equals
+    an empty one, a null id is less than any other. An empty table gives no rows.
     """
     marked = mark_suspects(docs, text, **limits)
     suspect = F.col(marked.columns[-1])
     alone = marked.where(~suspect).drop(suspect)
     row = F.struct(quoted(key).alias("__key"), *[quoted(c).alias(f"c{n}") for n, c in enumerate(docs.columns)])
-    best = marked.where(suspect).groupBy(F.sha2(text_of(text), 256).alias("__sha")).agg(F.max(row).alias("__row"))
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    ordered = [c for c in docs.columns if "map<" not in kinds[c] and "variant" not in kinds[c]]
+    largest = F.max(row) if ordered == docs.columns else F.max_by(
+        row, F.struct(quoted(key), *[quoted(c) for c in ordered if c != text]))
+    best = marked.where(suspect).groupBy(F.sha2(text_of(text), 256).alias("__sha")).agg(largest.alias("__row"))
     return alone.unionByName(best.select(*[F.col(f"__row.c{n}").alias(c) for n, c in enumerate(docs.columns)]))

@@ -110,7 +110,8 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     `n_base`, `first_word`, `last_word`, `base_labels` count the places of `phrases` (words from 0; null
     without a place). `detections` holds rule, label, interval in words and confidence of what `resolve` leaves, save
-    for what the text denies. A null text is empty and has no words; long texts are scanned whole. Rows are independent of each other.
+    for what the text denies. A null text is empty and has no words; long texts are scanned whole. Rows are independent of each other:
+    null and repeated ids change nothing. An empty table gives no rows; other columns are not looked at.
     Only a text that holds one of `gates`, in any case, is looked at: each phrase and rule must hold one. Without
     `gates` they are taken from the rules and phrases, so that none is missed.
     """

@@ -254,7 +254,8 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text",
     set count one by one. `set_id` is the least id among documents of the same set, `class_id` the least id among all that
     links connect. A text of fewer words than a shingle is one shingle; null and wordless texts have no links and are
     classes of their own (`class_id` their id). A null id is less than no other: it is only reported
-    where a class has no other id. Empty tables give no rows. Sets count as equal when their 64-bit hashes are.
+    where a class has no other id. Ids are whole numbers (text that is none fails). Empty tables give no rows; other columns
+    are not looked at. Sets count as equal when their 64-bit hashes are.
     """
     short_batches(docs.sparkSession)
     sketches = kept(sketch(docs, settings, key, text))
@@ -295,7 +296,10 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
                          settings: JoinSettings = JoinSettings()) -> DataFrame:
-    """`docs`, same columns, with the row of least id of each class; rows without id stay, and so do repeats of that row."""
+    """`docs`, same columns, with the row of least id of each class; rows without id stay, and so do repeats of that row.
+
+    Null and wordless texts are classes of their own and stay. An empty table stays empty; other columns decide nothing.
+    """
     one, two = unused(docs, "__id"), unused(docs, "__hash")
     gone = kept(jaccard_join(docs, key, text, settings).where("doc_id <> class_id")
                 .select(F.col("doc_id").alias(one), F.col("text_hash").alias(two)).distinct())

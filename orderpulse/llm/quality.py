@@ -157,7 +157,8 @@ def grade_documents(docs: DataFrame, model: OrdinalModel | None, key: str = "doc
     """One row per row of `docs`: doc_id, expected_grade, tails (P(grade > k) for each k), selected.
 
     Whole texts are scored; a null or empty text has a feature of its own. Without a model (no ratings) grade and
-    tails are null and all is selected. Rows are independent of each other and of other columns.
+    tails are null and all is selected. Rows are independent of each other and of other columns; null and repeated ids
+    change nothing. An empty table gives no rows.
     """
     short_batches(docs.sparkSession)
     if model is None:

@@ -30,7 +30,25 @@ def tokenizer() -> dict[str, str]:
     return {"ranks_path": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
 
 
-@query()
+@query("""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+controls AS (SELECT unnest(['\\', '<s>', '</s>', '<<SYS>>', '<</SYS>>', '[INST]', '[/INST]', '[ROLE]', '[/ROLE]']) AS c),
+escapes AS (
+  SELECT text AS body, sum((length(text) - length(replace(text, c, ''))) // length(c)) AS n
+  FROM (SELECT text FROM turns UNION SELECT role FROM turns), controls GROUP BY text),
+sized AS (
+  SELECT t.*, length(t.text) + e.n + CASE role WHEN 'user' THEN 15 WHEN 'system' THEN 15 WHEN 'assistant' THEN 4
+    ELSE 20 + length(role) + r.n END AS chars
+  FROM turns t JOIN escapes e ON e.body = t.text JOIN escapes r ON r.body = t.role)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       (3 + sum(chars))::BIGINT AS formatted_chars, 0::BIGINT AS rewrites, 0::BIGINT AS not_verbatim
+FROM sized GROUP BY conv_id
+""")
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = chat.with_control_case(spark, load(spark, sf_dir, "conversations"))
     return chat.digest_conversations(chat.locate_turns(rows))

@@ -35,7 +35,8 @@ def assign_shards(docs: DataFrame, weights: Sequence[float], grown: Sequence[flo
     without). `size` is the UTF-8 length plus 16; a null text counts as empty. `slot` numbers a shard's rows from
     0 without gaps: rows are counted per shard and hash group, the counts add up to each group's first slot,
     and only a group is ever sorted. A row's group hangs on id, checksum and size, so rows that share an id or have none
-    are spread too; only rows equal in all three meet, in one group.
+    are spread too; only rows equal in all three meet, in one group. An empty table gives no rows; other columns are not
+    looked at.
     """
     groups = max(1, -(-docs.count() // (len(weights) * group_rows)))
     body = text_of("__text")

@@ -260,7 +260,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text",
     in the same one. Words are runs of anything but ASCII white space. A null text has no words; texts shorter
     than a window lose none. A null id is less than any other. Rows that repeat id and text are one document and
     share its result; rows that repeat an id with another text are told apart by a hash of the text, which
-    decides their order. Empty tables give no rows.
+    decides their order. Ids are whole numbers (text that is none fails). Empty tables give no rows; other columns are not
+    looked at.
     """
     short_batches(docs.sparkSession)
     rows = _rows(docs, key, text)

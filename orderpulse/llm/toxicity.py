@@ -140,11 +140,12 @@ def grow_trees(x: np.ndarray, y: np.ndarray, *, trees: int = 80, depth: int = 3,
 
 def isotonic(score: np.ndarray, y: np.ndarray, prior: float = 2.0) -> tuple[np.ndarray, np.ndarray]:
     """Pooled adjacent violators: ascending scores and the calibrated chance at each, drawn to the mean by `prior` rows."""
-    order = np.argsort(score, kind="stable")
+    # Equal scores are one row from the start: pooled one by one, some would go with the scores below.
+    levels, place = np.unique(score, return_inverse=True)
     mean, blocks = float(y.mean()), []
-    for s, label in zip(score[order].tolist(), y[order].tolist(), strict=True):
-        blocks.append([float(label), 1.0, s, s])
-        while len(blocks) > 1 and (blocks[-2][0] / blocks[-2][1] >= blocks[-1][0] / blocks[-1][1] or blocks[-2][3] == blocks[-1][2]):
+    for s, total, count in zip(levels.tolist(), np.bincount(place, y).tolist(), np.bincount(place).tolist(), strict=True):
+        blocks.append([total, count, s, s])
+        while len(blocks) > 1 and blocks[-2][0] / blocks[-2][1] >= blocks[-1][0] / blocks[-1][1]:
             up = blocks.pop()
             blocks[-1] = [blocks[-1][0] + up[0], blocks[-1][1] + up[1], blocks[-1][2], up[3]]
     at = np.array([x for b in blocks for x in (b[2], b[3])])
@@ -254,7 +255,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel | None, key: str = "doc
     """One row per row of `docs`: doc_id and its score, 0 to 1.
 
     Whole texts are scored; a null text counts as empty and gets what wordless texts get. Without a model (no labels) the
-    score is 0. Rows are independent of each other and of other columns.
+    score is 0. Rows are independent of each other and of other columns; null and repeated ids change nothing. An empty
+    table gives no rows.
     """
     short_batches(docs.sparkSession)
     score = F.lit(0.0) if model is None else toxicity_score(model, text)
