@@ -2,6 +2,9 @@
 
 Each stage gets the documents that the one before it kept, with the columns of `documents`, and its
 decisions take effect. The last one returns token ids.
+
+Null texts count as empty. Rows without id and rows that repeat one are documents like others: the stages tell them apart by
+text. Further columns go along up to the last stage. An empty table stays empty; without labels nothing is rejected.
 """
 
 from __future__ import annotations
