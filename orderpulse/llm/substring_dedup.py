@@ -22,6 +22,8 @@ from orderpulse.llm.common import kept, short_batches, text_of
 from orderpulse.llm.words import mix, runs, whole_groups, window_hashes, word_hashes
 
 NO_ID = -(1 << 63)
+#: Tasks of the stage over buckets.
+MOST_TASKS = 50_000
 
 
 @dataclass(frozen=True)
@@ -179,8 +181,11 @@ def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
     return made[0], made[1]
 
 
-def repeated_windows(packed: DataFrame, settings: PassageSettings) -> DataFrame:
-    """Spans of words (id, print, start, stop) under windows that also start earlier; spans of a document may overlap."""
+def repeated_windows(packed: DataFrame, settings: PassageSettings, buckets: int) -> DataFrame:
+    """Spans of words (id, print, start, stop) under windows that also start earlier; spans of a document may overlap.
+
+    There are as many tasks as buckets, up to a limit beyond which a task works through several, one after the other.
+    """
     window = settings.window
 
     def spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -238,7 +243,7 @@ def repeated_windows(packed: DataFrame, settings: PassageSettings) -> DataFrame:
             rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
             yield pd.DataFrame(_merged(rows, window), columns=["id", "print", "start", "stop"])
 
-    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(spans, SPANS)
+    return packed.repartition(min(buckets, MOST_TASKS), "bucket").sortWithinPartitions("bucket").mapInPandas(spans, SPANS)
 
 
 def _merged(rows: np.ndarray, window: int) -> np.ndarray:
@@ -266,8 +271,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text",
     short_batches(docs.sparkSession)
     rows = _rows(docs, key, text)
     hot, size = hot_minimisers(rows, settings)
-    packed = super_kmers(rows, settings, hot, max(1, -(-3 * size // settings.bucket_bytes)))
-    spans = repeated_windows(packed, settings).groupBy("id", "print").agg(
+    buckets = max(1, -(-3 * size // settings.bucket_bytes))
+    packed = super_kmers(rows, settings, hot, buckets)
+    spans = repeated_windows(packed, settings, buckets).groupBy("id", "print").agg(
         F.collect_list(F.struct("start", "stop")).alias("spans"))  # a document's spans are fewer than its words
     spans = kept(spans)
     # Only documents with spans need to meet them; a filter spares most of the others the shuffle.
