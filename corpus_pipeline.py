@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from orderpulse.llm import bpe, decontamination, exact_dedup, ngram_join, quality
 from orderpulse.llm.common import load
 from orderpulse.llm.queries import tokenizer
-from orderpulse.session import fresh_folder
+from orderpulse.session import fresh_folder, remove_folder
 
 
 def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,9 +59,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each one's rows are written to the shared folder and read again."""
+    """All stages over `documents`; each one's rows are written to the shared folder and read again.
+
+    A stage's rows go once the next one's are written, so that the folder never holds more than two stages.
+    """
     docs, folder = load(spark, sf_dir, "documents"), fresh_folder(spark, "pipeline")
     for number, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}")
         docs = spark.read.parquet(f"{folder}/{number}")
+        if number:
+            remove_folder(spark, f"{folder}/{number - 1}")
     return docs

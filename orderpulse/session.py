@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -17,6 +19,8 @@ def build_session(app_name: str, **conf: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Files of a checkpoint go once nothing refers to it.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -26,7 +30,7 @@ def build_session(app_name: str, **conf: str) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach: `spark.checkpoint.dir` where it is set.
 
-    Only a local-mode session without that setting gets a folder of its own.
+    Only a local-mode session without that setting gets a folder of its own, which goes when Python ends.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -36,6 +40,7 @@ def shared_root(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if sc.applicationId not in _local_roots:
         _local_roots[sc.applicationId] = tempfile.mkdtemp(prefix="orderpulse-")
+        atexit.register(shutil.rmtree, _local_roots[sc.applicationId], ignore_errors=True)
     return _local_roots[sc.applicationId]
 
 
@@ -50,5 +55,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ours on whatever file system it is."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
