@@ -4,8 +4,9 @@
 2. Bands of MinHash values put classes into buckets. Within a bucket, pairs compare their values a few at a time and
    are dropped once the posterior probability that they reach the threshold falls below a tolerance. What is left
    connects the classes of a bucket; a spanning forest of it suffices, so no task emits pairs.
-3. Connected classes meet in blocks; each pair of a block goes through the same pruning and is then
-   verified on the full shingle sets. Blocks return each class's number of links and a spanning forest.
+3. Connected classes meet in blocks; each pair of a block goes through the same pruning and, if it survives, is
+   verified exactly on the whole shingle sets, which travel as differences from one set of their component. Blocks return
+   each class's number of links and a spanning forest.
 """
 
 from __future__ import annotations
@@ -191,9 +192,10 @@ LINKS = "a long, b long, links long"
 
 
 def block_links(blocks: DataFrame, settings: JoinSettings) -> DataFrame:
-    """Verified links of each block (root, low, high, tile, node, copies, signature, shingles).
+    """Verified links of each block (root, low, high, tile, node, copies, signature, n_shingles, delta).
 
-    Rows (a, b) are a spanning forest, rows (a, null, links) numbers of linked documents.
+    Pairs that survive pruning are checked exactly, from what each set has other than their component's base. Rows (a, b)
+    are a spanning forest, rows (a, null, links) numbers of linked documents.
     """
     def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         needed = settings.least_matches()
@@ -212,9 +214,13 @@ def block_links(blocks: DataFrame, settings: JoinSettings) -> DataFrame:
                 i, j = i[alive], j[alive]
                 if not len(i):
                     continue
-                sets = [np.frombuffer(s, "<u8") for s in rows["shingles"]]
-                sizes = np.array([len(s) for s in sets])
-                both = overlaps(sets)[i, j]
+                checked = np.unique(np.concatenate([i, j]))  # the others have no pair left
+                deltas = [np.frombuffer(rows["delta"].iloc[n], "<u8") for n in checked.tolist()]
+                away, sizes = np.zeros(len(rows), np.int64), rows["n_shingles"].to_numpy()
+                away[checked] = [len(d) for d in deltas]
+                common = overlaps(deltas)[np.searchsorted(checked, i), np.searchsorted(checked, j)].astype(np.int64)
+                # |A xor B| = |dA xor dB|, whatever the base is.
+                both = (sizes[i] + sizes[j] - (away[i] + away[j] - 2 * common)) // 2
                 real = both >= settings.threshold * (sizes[i] + sizes[j] - both) - 1e-6
                 i, j = i[real], j[real]
                 near = np.zeros((len(rows), len(rows)), bool)
@@ -246,6 +252,25 @@ def shingled(docs: DataFrame, settings: JoinSettings) -> DataFrame:
     return docs.mapInPandas(sets, f"{schema}, shingles binary")
 
 
+def deltas(sets: DataFrame) -> DataFrame:
+    """(root, members, node, copies, signature, n_shingles, delta): each set as its difference from that of its component's root.
+
+    Near copies differ in few shingles, so that little travels with each pair of tiles. Any base gives the same pairs.
+    """
+    bases = sets.where("node = root").groupBy("root").agg(F.first("shingles").alias("base"))  # rows that repeat have equal sets
+    schema = "root long, members long, node long, copies long, signature binary, n_shingles long, delta binary"
+
+    def differences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            pairs = [(np.frombuffer(s, "<u8"), np.frombuffer(b, "<u8")) for s, b in zip(batch["shingles"], batch["base"], strict=True)]
+            made = batch[["root", "members", "node", "copies", "signature"]].copy()
+            made["n_shingles"] = [len(s) for s, _ in pairs]
+            made["delta"] = [np.setxor1d(s, b, assume_unique=True).tobytes() for s, b in pairs]
+            yield made
+
+    return sets.join(bases, "root").mapInPandas(differences, schema)
+
+
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text",
                  settings: JoinSettings = JoinSettings()) -> DataFrame:
     """One row per document: doc_id, text_hash, set_id, class_id, n_links.
@@ -276,7 +301,8 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text",
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text_of(text)).alias("text_hash"), text_of(text).alias("text"))
     members = texts.alias("d").join(small(wanted, 200_000).alias("w"), F.expr("d.text_hash = w.set_hash AND d.doc_id <=> w.set_id")) \
         .select("d.text", "w.*")
-    verified = kept(block_links(in_tiles(shingled(members, settings), "members", settings.block), settings))
+    sets = kept(shingled(members, settings))
+    verified = kept(block_links(in_tiles(deltas(sets), "members", settings.block), settings))
 
     linked = kept(components(verified.where("b IS NOT NULL").select("a", "b")))
     counts = verified.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))

@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import regex
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from orderpulse.llm import chat, common, decontamination, licenses, ngram_join, quality, sharding, substring_dedup, toxicity
@@ -315,6 +316,31 @@ def test_rows_without_id_meet_only_their_own_class(spark):
         assert Counter(r.n_links for r in got) == Counter(links for _, _, links in expected.values())
 
 
+def test_sets_travel_as_differences(spark):
+    """Whatever the base, the exact check sees whole sets: chains whose ends share nothing, near copies, mixed blocks."""
+    rng = random.Random(4)
+    chain, words = [], [f"w{n}" for n in range(80)]
+    for n in range(24):
+        words = words[3:] + [f"x{n}-{k}" for k in range(3)]
+        chain.append(" ".join(words))
+    copies = [" ".join(f"c{k}" if k != n else f"changed{n}" for k in range(90)) for n in range(30)]
+    rows = list(enumerate(chain + copies + ["same text of five words here"] * 3))
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for block in (4, 512):
+        got = ngram_join.jaccard_join(docs, settings=ngram_join.JoinSettings(block=block)).collect()
+        assert {r.doc_id: (r.set_id, r.class_id, r.n_links) for r in got} == jaccard_plainly(rows)
+    sketches = ngram_join.sketch(docs, ngram_join.JoinSettings(), "doc_id", "text")
+    sets = ngram_join.shingled(docs.join(sketches, "doc_id").withColumn("root", F.first("node").over(Window.orderBy("doc_id"))).withColumn(
+        "members", F.lit(57).cast("long")).withColumn("copies", F.lit(1).cast("long")).drop("bands", "text_hash"), ngram_join.JoinSettings())
+    plain = {r.doc_id: set(np.frombuffer(r.shingles, "<u8").tolist()) for r in sets.select("doc_id", "shingles").collect()}
+    base = plain[0]
+    by_node = {r.node: r for r in ngram_join.deltas(sets).collect()}
+    for r in sets.select("doc_id", "node").collect():
+        assert set(np.frombuffer(by_node[r.node].delta, "<u8").tolist()) == plain[r.doc_id] ^ base
+        assert by_node[r.node].n_shingles == len(plain[r.doc_id])
+
+
 # Samples
 
 def test_samples_bound_documents_not_only_labels(spark, monkeypatch):
