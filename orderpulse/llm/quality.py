@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderpulse.llm.common import short_batches, text_of, worker_cache
+from orderpulse.llm.common import kept, short_batches, text_of, worker_cache
 from orderpulse.llm.words import WordTable
 
 #: Hashed features, and at most so many rated documents (those of least id hash) for a fit.
@@ -133,7 +133,7 @@ def fit_quality(docs: DataFrame, ratings: DataFrame, levels: int, key: str = "do
 
     made = rated.mapInPandas(features, "id long, grade int, found binary, parts binary")
     # The sample bounds ratings; documents that share a rated id are bounded here.
-    rows = made.orderBy(F.xxhash64("id"), "id", "grade", "found", "parts").limit(sample_rows).collect()
+    rows = kept(made.orderBy(F.xxhash64("id"), "id", "grade", "found", "parts").limit(sample_rows)).collect()
     if not rows:
         return None
     rows.sort(key=lambda r: (r.id, r.grade, r.found))

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderpulse.llm.common import short_batches, text_of, worker_cache
+from orderpulse.llm.common import kept, short_batches, text_of, worker_cache
 from orderpulse.llm.words import WordTable
 
 #: At most so many labelled documents (those of least id hash) for a fit; entries of the learned lexicon.
@@ -229,7 +229,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
 
     made = rows.where(part >= LEXICON_PART).mapInPandas(features, "id long, part long, toxic int, x array<double>")
     # The sample bounds labels; documents that share a labelled id are bounded here.
-    made = made.orderBy(F.xxhash64("id"), "id", "toxic", "x").limit(sample_rows).toPandas()
+    made = kept(made.orderBy(F.xxhash64("id"), "id", "toxic", "x").limit(sample_rows)).toPandas()
     made = made.sort_values(["id", "toxic"], kind="stable")
     x = np.array(made["x"].tolist(), np.float64).reshape(-1, FEATURES)
     y, tree_part = made["toxic"].to_numpy(np.float64), made["part"].to_numpy() < TREE_PART
