@@ -36,6 +36,12 @@ def malformed(parsed: DataFrame) -> DataFrame:
     return parsed.filter(~_complete())
 
 
+def without_spare_text(parsed: DataFrame) -> DataFrame:
+    """`parsed` with `raw` only where a row may be rejected, malformed or a fragment: the text of all others is most of
+    what would be kept for several readers."""
+    return parsed.withColumn("raw", F.when(~_complete() | F.col(FRAGMENT).isNotNull(), F.col("raw")))
+
+
 def order_rows(parsed: DataFrame) -> DataFrame:
     """One row per order; documents that only go on with an order's lines add none."""
     return parsed.filter(_complete() & F.col(FRAGMENT).isNull()).select(

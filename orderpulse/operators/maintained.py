@@ -47,6 +47,11 @@ def _new_orders(spark: SparkSession, database: str, applied: dict[str, int], las
     return spark.table(f"`{database}`.`{ORDERS.name}`").where(wanted)
 
 
+def member_industries(spark: SparkSession, database: str, number: int) -> DataFrame:
+    """The distinct (customer_id, industry) that a refresh was given; those of the last one are kept."""
+    return spark.table(f"`{database}`.`{MEMBER_INDUSTRIES.name}`").where(F.col("refresh") == number).drop("refresh")
+
+
 def _totals(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Sums, numbers of rows and of values per key of rows that have them already."""
     return rows.groupBy(*keys).agg(F.sum("total").cast(MONEY_SUM).alias("total"), F.sum("n_rows").alias("n_rows"),
@@ -69,8 +74,7 @@ def refresh(spark: SparkSession, database: str, dim: DataFrame) -> int:
     last, this = stored_epochs(spark, database, applied), {"refresh": number + 1}
 
     overwrite_partition(dim.select("customer_id", "industry"), MEMBER_INDUSTRIES, database, this)
-    dims = spark.table(f"`{database}`.`{MEMBER_INDUSTRIES.name}`")
-    now, before = (dims.where(F.col("refresh") == n).drop("refresh") for n in (number + 1, number))
+    now, before = (member_industries(spark, database, n) for n in (number + 1, number))
 
     amount = as_money(F.col("amount"))
     came = _new_orders(spark, database, applied, last).groupBy("customer_id", F.col("order_date").alias("date")).agg(

@@ -18,7 +18,7 @@ from orderpulse.model import COMPANIES, CUSTOMERS, FLUCTUATIONS, INDUSTRIES, ORD
 from orderpulse.operators.bridge import entity_dim
 from orderpulse.operators.checks import observed
 from orderpulse.operators.fluctuation import TOP_K, Facts, compare_day, fill_days, report, top_fluctuations
-from orderpulse.operators.maintained import MAINTAINED_TABLES, industry_days, refresh
+from orderpulse.operators.maintained import MAINTAINED_TABLES, industry_days, member_industries, refresh
 from orderpulse.operators.ranking import top_by
 from orderpulse.operators.sinks import overwrite_partition
 from orderpulse.operators.tables import ensure_tables
@@ -31,9 +31,14 @@ logger = logging.getLogger(__name__)
 WAREHOUSE_ORDERS = Facts(member="customer_id", moment="order_date", amount="amount")
 
 
+def members(spark: SparkSession, database: str) -> DataFrame:
+    """(customer_id, industry) of all customers of known industries."""
+    return entity_dim(*[read_table(spark, database, t.name) for t in (CUSTOMERS, COMPANIES, INDUSTRIES)])
+
+
 def dimension(spark: SparkSession, database: str) -> DataFrame:
-    """(customer_id, industry) of all customers of known industries, computed once."""
-    return checkpointed(entity_dim(*[read_table(spark, database, t.name) for t in (CUSTOMERS, COMPANIES, INDUSTRIES)]))
+    """The same, computed once for all that reads it."""
+    return checkpointed(members(spark, database))
 
 
 def compute(spark: SparkSession, database: str, as_of: date, k: int = TOP_K, zero_fill: bool = False,
@@ -49,13 +54,16 @@ def compute(spark: SparkSession, database: str, as_of: date, k: int = TOP_K, zer
 
 def compute_maintained(spark: SparkSession, database: str, as_of: date, k: int = TOP_K, zero_fill: bool = False,
                        keep_missing: bool = False) -> DataFrame:
-    """The same from daily sums that are kept: of the orders only those since the last run are read."""
-    dim = dimension(spark, database)
-    refresh(spark, database, dim)
+    """The same from daily sums that are kept: of the orders only those since the last run are read.
+
+    The refresh stores the dimension, so that no other copy of it is made.
+    """
+    number = refresh(spark, database, members(spark, database))
     first, _ = trailing_bounds(as_of)
     days = industry_days(spark, database).where(in_days(F.col("date"), first, as_of))
     if zero_fill or keep_missing:
-        days = fill_days(days, dim.select("industry").distinct(), first, as_of, zero=zero_fill)
+        industries = member_industries(spark, database, number).select("industry").distinct()
+        days = fill_days(days, industries, first, as_of, zero=zero_fill)
     return top_by(compare_day(days, as_of, keep_missing=keep_missing), k, F.abs("diff"), "industry")
 
 

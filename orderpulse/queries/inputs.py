@@ -180,8 +180,8 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 # --- the event stream as orders ---------------------------------------------------------------------
 # An event is an order of its user with two lines: one for its type, one for its property.
 
-def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = load(spark, sf_dir, "events").withColumn("k", F.from_json("props", "k INT")["k"])
+def event_documents(events: DataFrame) -> DataFrame:
+    events = events.withColumn("k", F.from_json("props", "k INT")["k"])
     by_type = F.struct(F.col("value").alias("price"), F.col("event_type").alias("product_id"), F.col("k").alias("volume"))
     by_property = F.struct(
         F.col("value").alias("price"), F.concat(F.lit("k"), "k").alias("product_id"), F.lit(1).alias("volume"))
@@ -191,8 +191,10 @@ def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").cast("timestamp").alias("timestamp"))
 
 
-def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = event_documents(spark, sf_dir)
+def event_messages(events: DataFrame, files: int) -> DataFrame:
+    """Messages in offset order in so many partitions. Events are dealt out, not their text, which is longer and would be
+    made twice: once to find the ranges."""
+    documents = event_documents(events.repartitionByRange(files, "event_id"))
     return documents.select(
         F.col("customer_id").cast("binary").alias("key"),
         F.to_json(F.struct(*documents.columns)).cast("binary").alias("value"),
@@ -266,7 +268,7 @@ def document_files(spark: SparkSession, sf_dir: str) -> str:
 
 
 def order_files(spark: SparkSession, sf_dir: str) -> str:
-    return _once(spark, sf_dir, "Orders", lambda path: event_documents(spark, sf_dir).write.json(path))
+    return _once(spark, sf_dir, "Orders", lambda path: event_documents(load(spark, sf_dir, "events")).write.json(path))
 
 
 def customer_csv(spark: SparkSession, sf_dir: str) -> str:
@@ -293,4 +295,4 @@ def message_files(spark: SparkSession, sf_dir: str) -> str:
     """Messages in offset order over several files, so that a stream can take several epochs."""
     files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return _once(spark, sf_dir, "Messages",
-                 lambda path: event_messages(spark, sf_dir).repartitionByRange(files, "offset").write.parquet(path))
+                 lambda path: event_messages(load(spark, sf_dir, "events"), files).write.parquet(path))

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from orderpulse.model import LOAD_CHECKS, ORDER_LINES, ORDER_REJECTS, ORDERS
 from orderpulse.operators.checks import Counted, required_checks
-from orderpulse.operators.documents import malformed, order_line_rows, order_rows, parse_orders, without_orphans
+from orderpulse.operators.documents import malformed, order_line_rows, order_rows, parse_orders, without_orphans, without_spare_text
 from orderpulse.operators.sinks import overwrite_partition, store_raw
 
 STREAM_TABLES = (ORDERS, ORDER_LINES, ORDER_REJECTS, LOAD_CHECKS)
@@ -15,7 +15,7 @@ STREAM_TABLES = (ORDERS, ORDER_LINES, ORDER_REJECTS, LOAD_CHECKS)
 
 def store_silver(batch: DataFrame, epoch: int, database: str, stream_id: str) -> None:
     """Write one epoch to both tables; running it again replaces what it wrote before."""
-    spark, parsed = batch.sparkSession, parse_orders(batch).persist()
+    spark, parsed = batch.sparkSession, without_spare_text(parse_orders(batch)).persist()
     try:
         written_by = {"stream_id": stream_id, "epoch": epoch}
         usable, orphans = without_orphans(parsed, spark.table(f"`{database}`.`{ORDERS.name}`"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from orderpulse.model import FRAGMENT, ORDER_DOCUMENT, TableSpec
 from orderpulse.operators.documents import (lines_without_order, malformed, nest_orders, order_line_rows, order_rows,
-                                            parse_orders, split_orders, without_orphans)
+                                            parse_orders, split_orders, without_orphans, without_spare_text)
 from orderpulse.operators.tables import schema_violations
 from orderpulse.sources.batch import read_csv, read_json_lines
 from orderpulse.model import CUSTOMERS_CSV
@@ -104,6 +104,18 @@ def test_fragments_of_unknown_orders_are_told(spark):
         assert same is some and none is None
 
 
+def test_text_is_kept_of_what_may_be_rejected(spark):
+    part, lost = json.dumps({**DOCUMENT, FRAGMENT: 1}), json.dumps({**DOCUMENT, "order_id": "o9", FRAGMENT: 1})
+    no_customer = json.dumps({**DOCUMENT, "customer_id": None})
+    parsed = parse_orders(messages(spark, json.dumps(DOCUMENT), part, lost, no_customer, "junk", None))
+    spared = without_spare_text(parsed)
+    assert spared.columns == parsed.columns and rows(spared.drop("raw")) == rows(parsed.drop("raw"))
+    assert {r.raw for r in spared.collect()} == {None, part, lost, no_customer, "junk"}
+    assert str(spared._jdf.queryExecution().optimizedPlan()).count("from_json") == 1
+    usable, orphans = without_orphans(spared.cache())
+    assert rows(malformed(usable).select("raw")) == rows(malformed(parsed).select("raw")) and rows(orphans.select("raw")) == [(lost,)]
+
+
 @pytest.mark.parametrize("amount, fits", [(12.5, True), (0, True), (-0.000001, True), (4e-7, False), (1e22, False), (-1e23, False),
                                           ("NaN", False), ("Infinity", False), (None, True), (9.9e21, True)])
 def test_amounts_that_sums_would_lose_are_rejected(spark, amount, fits):

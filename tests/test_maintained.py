@@ -140,3 +140,17 @@ def test_the_job_from_kept_sums(spark, warehouse):
     lines = [daily_fluctuations.run(spark, to.database, to.root, DAY, maintained=m) for m in (True, False, True)]
     assert lines[0] == lines[1] == lines[2] and len(lines[0]) == 2
     assert spark.table(f"{to.database}.fluctuations").count() == 2
+
+
+@pytest.mark.parametrize("how", [{"zero_fill": True}, {"keep_missing": True}])
+def test_kept_sums_keep_one_copy_of_the_dimension(spark, warehouse, monkeypatch, how):
+    """The stored pairs serve filled days too."""
+    to = warehouse
+    store_orders(spark, to, "s", 0, [("c1", DAY - timedelta(days=3), 4.0), ("c1", DAY, 10.0), ("c4", DAY, 2.0)])
+    theirs = rows(daily_fluctuations.compute(spark, to.database, DAY, 10, **how))
+
+    def copied(df):
+        raise AssertionError("the dimension is copied")
+
+    monkeypatch.setattr(daily_fluctuations, "checkpointed", copied)
+    assert rows(daily_fluctuations.compute_maintained(spark, to.database, DAY, 10, **how)) == theirs and theirs

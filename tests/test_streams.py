@@ -16,6 +16,7 @@ from orderpulse.operators.deliveries import new_deliveries
 from orderpulse.operators.sinks import partitions, read_raw
 from orderpulse.operators.tables import ensure_tables
 from orderpulse.plans import compact_orders
+from orderpulse.queries import inputs, writes
 from orderpulse.sources.batch import read_table
 from orderpulse.sources.stream import customer_files, file_messages, kafka_messages
 from orderpulse.streaming.customers import run_customer_stream, store_customers
@@ -449,3 +450,26 @@ def test_streamed_days_equal_the_backfill(spark, fluctuation_stream):
 def test_kafka_source_needs_its_package(spark):
     with pytest.raises(Exception, match="kafka"):
         kafka_messages(spark, "host:9092", "orders")
+
+
+def test_messages_are_dealt_out_as_events(spark):
+    """Their text is made once, after the ranges are found, and in offset order over all files."""
+    events = spark.range(0, 400, 1, 3).select(
+        F.col("id").alias("event_id"), F.lit("2024-01-01").alias("ts"), F.lit(7).alias("user_id"), F.lit("view").alias("event_type"),
+        F.lit(1.5).alias("value"), F.lit('{"k": 3}').alias("props")).orderBy(F.hash("event_id"))
+    dealt = inputs.event_messages(events, 4)
+    plan = dealt._jdf.queryExecution().analyzed().toString().splitlines()
+    at = next(n for n, line in enumerate(plan) if "RepartitionByExpression" in line)
+    assert any("to_json" in line for line in plan[:at]) and not any("_json" in line for line in plan[at:])
+    spans = rows(dealt.groupBy(F.spark_partition_id()).agg(F.min("offset"), F.max("offset"), F.count(F.lit(1))))
+    assert len(spans) == 4 and sum(s[3] for s in spans) == 400
+    spans = sorted(s[1:3] for s in spans)
+    assert all(before[1] < after[0] for before, after in zip(spans, spans[1:], strict=False))
+
+
+def test_raw_files_are_written_for_wanted_sources_alone(spark, monkeypatch):
+    made = []
+    for kind in ("customer_csv", "industry_csv", "order_files", "product_csv"):
+        monkeypatch.setattr(writes, kind, lambda spark, sf_dir, kind=kind: made.append(kind) or kind)
+    assert [s.path for s in writes.raw_sources(spark, "", leave_out=(model.ORDERS,))] == made == ["customer_csv", "industry_csv", "product_csv"]
+    assert len(writes.raw_sources(spark, "")) == 4 and made[-4:] == ["customer_csv", "industry_csv", "order_files", "product_csv"]
